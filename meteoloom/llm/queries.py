@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprints, mixing, secrets, sharding
+from . import decontam, fingerprints, lm_score, mixing, secrets, sharding, simhash, suffix_array, suffix_tree, toxicity
 from .common import shared_dir
 
 
@@ -23,16 +23,44 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secrets_digest(_table(spark, sf_dir, "documents"))
 
 
+def op3_suffix_tree_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.word_digest(_table(spark, sf_dir, "documents"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_digest(_table(spark, sf_dir, "documents"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated_pairs(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(_table(spark, sf_dir, "documents"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.toxicity(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
+
+
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.lm_scores(_table(spark, sf_dir, "documents"))
+
+
+def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_array.byte_digest(_table(spark, sf_dir, "documents"))
+
+
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_groups(_table(spark, sf_dir, "documents"))
+
+
+_QUERIES = (op1_sharding, op2_secrets, op3_suffix_tree_dedup, op4_mixing, op5_decontamination, op6_fingerprints, op7_toxicity, op8_lm_scoring, op9_suffix_array_dedup, op10_simhash)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sharding, op2_secrets, op4_mixing, op6_fingerprints)}
+    return {f.__name__: f for f in _QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
