@@ -1,12 +1,14 @@
 """Toxicity scores by non-negative positive-unlabelled learning.
 
 Confirmed toxic documents are the positives; every other training text is unlabelled, whatever
-its label says. With class prior p, sigmoid loss l and scores g, the risk to minimise is
+its label says. With class prior p, logistic loss l and scores g, the risk to minimise is
 p * E_pos[l(g)] + max(0, E_unl[l(-g)] - p * E_pos[l(-g)]); when the second part falls below
 zero, its gradient is followed the other way, which keeps a flexible model from fitting the
-unlabelled positives as negatives.
+unlabelled positives as negatives. The bias is then set so that a score of 0.7 is the cut with
+the best F0.5 that positives, unlabelled texts and prior let one estimate.
 
-The classifier is linear in the words of a text and their four-byte prefixes (present or not).
+The classifier is linear in the words of a text and their four-byte prefixes (present or not),
+of those that are clearly commoner in the positives than in the unlabelled texts.
 It is fitted on the driver from a bounded sample: at most ``POSITIVES`` confirmed documents and
 ``UNLABELLED`` others, those first by a hash of doc_id. Scoring reads whole texts in the tasks.
 """
@@ -24,11 +26,14 @@ from .common import Rolling, as_bytes
 
 POSITIVES = 4000
 UNLABELLED = 12000
-#: Features kept at most, and documents of the sample that one must occur in.
+#: Features kept at most, and positives that one must occur in.
 FEATURES = 1 << 16
 LEAST = 3
+#: Standard errors by which a feature must be commoner in the positives than in the rest.
+LIFT = 4.0
 PRIOR = 0.1
 THRESHOLD = 0.7
+LOGIT = float(np.log(THRESHOLD / (1 - THRESHOLD)))
 
 # Letters of ASCII in lower case, bytes of longer characters as they are, all else 0.
 _LETTER = np.zeros(256, np.uint8)
@@ -63,29 +68,45 @@ class Model:
     def __init__(self, features: np.ndarray, weights: np.ndarray, bias: float):
         self.features, self.weights, self.bias = features, weights, bias
 
+    def sum(self, features: np.ndarray) -> float:
+        """Weights of those features (sorted) that the model has."""
+        if not len(features) or not len(self.features):
+            return 0.0
+        at = np.minimum(np.searchsorted(self.features, features), len(self.features) - 1)
+        return float(self.weights[at[self.features[at] == features]].sum())
+
     def score(self, text: str | None) -> float:
-        own = text_features(text)
-        z = self.bias
-        if len(own) and len(self.features):
-            at = np.minimum(np.searchsorted(self.features, own), len(self.features) - 1)
-            z += float(self.weights[at[self.features[at] == own]].sum())
-        return float(1 / (1 + np.exp(-np.clip(z, -50, 50))))
+        return float(1 / (1 + np.exp(-np.clip(self.bias + self.sum(text_features(text)), -50, 50))))
 
 
-def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, rounds: int = 60, seed: int = 7) -> Model:
-    """Minimise the non-negative risk by Adam over mini-batches.
+def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, folds: int = 3) -> Model:
+    """The model of all texts, with its cut set on texts that each fold's model hasn't seen.
 
     Without positives or unlabelled texts the model gives the prior to every text.
     """
+    whole = minimise(positive, unlabelled, prior)
+    if len(positive) < 2 * folds or len(unlabelled) < 2 * folds:
+        return whole
+    p, u = [], []
+    for k in range(folds):
+        part = minimise([d for i, d in enumerate(positive) if i % folds != k], [d for i, d in enumerate(unlabelled) if i % folds != k], prior)
+        p += [part.sum(d) for d in positive[k::folds]]
+        u += [part.sum(d) for d in unlabelled[k::folds]]
+    return Model(whole.features, whole.weights, LOGIT - threshold(np.array(p), np.array(u), prior))
+
+
+def minimise(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, rounds: int = 40, seed: int = 7) -> Model:
+    """Minimise the non-negative risk by Adam over mini-batches."""
     flat = float(np.log(prior / (1 - prior)))
     if not positive or not unlabelled:
         return Model(np.zeros(0, np.uint32), np.zeros(0), flat)
     seen, df = np.unique(np.concatenate([*positive, *unlabelled]), return_counts=True)
     pos_seen, pos_df = np.unique(np.concatenate(positive), return_counts=True)
-    rate = np.zeros(len(seen))
-    rate[np.searchsorted(seen, pos_seen)] = pos_df
-    lift = np.abs(rate / len(positive) - df / (len(positive) + len(unlabelled)))
-    keep = np.flatnonzero(df >= min(LEAST, len(positive)))
+    own = np.zeros(len(seen))
+    own[np.searchsorted(seen, pos_seen)] = pos_df
+    share = np.minimum(df, len(unlabelled)) / len(unlabelled)
+    lift = (own / len(positive) - share) * np.sqrt(len(positive) / (share * (1 - share) + 1e-4))
+    keep = np.flatnonzero((own >= min(LEAST, len(positive))) & (lift >= LIFT))
     keep = np.sort(keep[np.argsort(-lift[keep], kind="stable")[:FEATURES]])
     features = seen[keep]
 
@@ -100,7 +121,7 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
     rng = np.random.default_rng(seed)
     n = len(features)
     w, m, v = np.zeros(n + 1), np.zeros(n + 1), np.zeros(n + 1)
-    w[n] = flat / 2
+    w[n] = flat
     step, size = 0, 256
 
     def batch(docs, pick):
@@ -115,23 +136,37 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
             pick_p = rng.choice(len(pos), min(len(pos), size // 2), replace=False)
             (iu, ru, zu), (ip, rp, zp) = batch(unl, pick_u), batch(pos, pick_p)
             su, sp = 1 / (1 + np.exp(-np.clip(zu, -50, 50))), 1 / (1 + np.exp(-np.clip(zp, -50, 50)))
-            # l(g) = sigmoid(-g): its slope is -s(1-s); that of l(-g) is s(1-s).
-            rest = su.mean() - prior * sp.mean()
-            du, dp = su * (1 - su) / len(su), sp * (1 - sp) / len(sp)
+            # The slope of l(g) is s - 1, that of l(-g) is s; their difference for a positive is -1.
+            rest = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
             if rest >= 0:
-                gu, gp = du, -2 * prior * dp
+                gu, gp = su / len(su), np.full(len(sp), -prior / len(sp))
             else:
-                gu, gp = -du, prior * dp
-            g = np.bincount(iu, gu[ru], minlength=n + 1) + np.bincount(ip, gp[rp], minlength=n + 1)
+                gu, gp = -su / len(su), prior * sp / len(sp)
+            g = np.bincount(iu, gu[ru], minlength=n + 1).astype(float) + np.bincount(ip, gp[rp], minlength=n + 1)
             g[n] += gu.sum() + gp.sum()
             g[:n] += 1e-4 * w[:n] / max(1, n) ** 0.5
             step += 1
             m += 0.1 * (g - m)
             v += 0.001 * (g * g - v)
-            w -= 0.02 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
+            w -= 0.05 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
+            np.maximum(w[:n], 0, out=w[:n])  # every feature kept speaks for toxicity
     return Model(features, w[:n].copy(), float(w[n]))
 
 
+def threshold(positive: np.ndarray, unlabelled: np.ndarray, prior: float, beta: float = 0.5) -> float:
+    """The cut with the best F-beta as positives and unlabelled texts show it.
+
+    With the share r of positives and u of unlabelled texts above a cut, recall is r and
+    precision is prior * r / u. Half way to the next lower score, so that ties fall together.
+    """
+    cuts = np.unique(np.concatenate([positive, unlabelled]))
+    above = lambda x: 1 - np.searchsorted(np.sort(x), cuts) / len(x)
+    r, u = above(positive), np.maximum(above(unlabelled), prior * above(positive))
+    f = (1 + beta**2) * prior * r / (u + beta**2 * prior)
+    best = int(np.argmax(f))
+    return float((cuts[best] + cuts[best - 1]) / 2 if best else cuts[0] - 1)
+
+
 def _featurize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = [text_features(t).view(np.int32).tolist() for t in batch.column(1).to_pylist()]
