@@ -23,15 +23,21 @@ PERIOD, COVER = 7, (0, 1, 3)
 _SHIFT = [[next(d for d in range(PERIOD) if (a + d) % PERIOD in COVER and (b + d) % PERIOD in COVER) for b in range(PERIOD)] for a in range(PERIOD)]
 
 
-def cover_ranks(text: np.ndarray, prefix: np.ndarray, depth: int) -> np.ndarray:
-    """Ranks (from 1) of the cover's suffixes by their first ``depth`` bytes or more; 0 elsewhere."""
-    n = len(text)
+def cover_ranks(prefix: np.ndarray) -> np.ndarray:
+    """Ranks (from 1) of the cover's suffixes in their full order, by doubling; 0 elsewhere.
+
+    Only a full order makes all shifts agree on ties.
+    """
+    n = len(prefix)
     place = np.flatnonzero(np.isin(np.arange(n) % PERIOD, COVER))
-    rank = np.zeros(n + 2 * depth + PERIOD, np.uint64)
-    rank[place] = np.unique(prefix[place], return_inverse=True)[1] + 1
+    rank = np.zeros(n + PERIOD, np.uint64)
+    distinct, inverse = np.unique(prefix[place], return_inverse=True)
+    rank[place] = inverse + 1
     span = PERIOD
-    while span < depth:  # a place and the one a span later are in the cover together
-        rank[place] = np.unique((rank[place] << np.uint64(32)) | rank[place + span], return_inverse=True)[1] + 1
+    while len(distinct) < len(place):  # a place and the one a span later are in the cover together
+        after = np.where(place + span < n, rank[np.minimum(place + span, n)], 0)
+        distinct, inverse = np.unique((rank[place] << np.uint64(32)) | after, return_inverse=True)
+        rank[place] = inverse + 1
         span *= 2
     return rank
 
@@ -60,12 +66,12 @@ def array_classes(symbols: np.ndarray, starts: np.ndarray, length: int, bucket:
     """Class labels of the windows at ``starts``: equal where ``length`` bytes are equal."""
     n = len(symbols)
     text = np.zeros(n + length + PERIOD, np.uint64)
-    text[:n] = symbols
+    text[:n] = symbols + np.uint64(1)
     prefix = np.zeros(n, np.uint64)
-    for j in range(PERIOD):
-        prefix = (prefix << np.uint64(8)) | text[j : j + n]
-    rank = cover_ranks(symbols, prefix, length)
-    text = text.astype(np.uint8)
+    for j in range(PERIOD):  # nine bits a byte, so that the end of the text sorts before byte 0
+        prefix = (prefix << np.uint64(9)) | text[j : j + n]
+    rank = cover_ranks(prefix)
+    text = text.astype(np.uint16)
     by = np.argsort(prefix[starts], kind="stable")
     key = prefix[starts[by]]
     border = np.append(np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])), len(by))
