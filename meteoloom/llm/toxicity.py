@@ -158,13 +158,16 @@ def threshold(positive: np.ndarray, unlabelled: np.ndarray, prior: float, beta:
 
     With the share r of positives and u of unlabelled texts above a cut, recall is r and
     precision is prior * r / u. Half way to the next lower score, so that ties fall together.
+    A text without any feature of the model is never above the cut.
     """
-    cuts = np.unique(np.concatenate([positive, unlabelled]))
+    cuts = np.unique(np.concatenate([positive, unlabelled, [0.0]]))
     above = lambda x: 1 - np.searchsorted(np.sort(x), cuts) / len(x)
     r, u = above(positive), np.maximum(above(unlabelled), prior * above(positive))
     f = (1 + beta**2) * prior * r / (u + beta**2 * prior)
-    best = int(np.argmax(f))
-    return float((cuts[best] + cuts[best - 1]) / 2 if best else cuts[0] - 1)
+    if len(cuts) == 1:
+        return 1.0
+    best = 1 + int(np.argmax(f[1:]))
+    return float((cuts[best] + cuts[best - 1]) / 2)
 
 
 def _featurize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
