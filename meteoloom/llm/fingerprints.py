@@ -98,8 +98,8 @@ def edited_fingerprints(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
 
     The edited text has its last floor(n/4) code points replaced by the first as many (or all)
     of the next document. doc_id is a key; null texts count as empty, and a text of under four
-    code points is its own edited text. One text shuffle by doc_id serves both fingerprints;
-    a second one carries only the heads that the edits need.
+    code points is its own edited text. One text shuffle by doc_id fetches the heads that
+    the edits need, a second one serves both fingerprints.
     """
     from .common import materialize
 
@@ -108,9 +108,9 @@ def edited_fingerprints(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     order = materialize(successors(held.select("doc_id")), "fingerprint-order")
     sizes = held.select("doc_id", quarter.alias("_q"))
     wanted = order.join(sizes, "doc_id").select(F.col("doc_id").alias("_for"), F.col("next_id").alias("_of"), "_q").where("_q > 0")
-    wanted = materialize(wanted, "fingerprint-heads")
     texts = held.repartition("doc_id")
     heads = wanted.join(texts, wanted["_of"] == texts["doc_id"]).select("_for", "_q", F.expr("left(text, _q)").alias("_head"))
+    heads = materialize(heads, "fingerprint-heads")  # lets go of the first text shuffle before the second
     both = texts.join(heads, texts["doc_id"] == heads["_for"], "left")
     changed = F.concat(F.expr("left(text, char_length(text) - _q)"), F.col("_head"))
     both = both.select("doc_id", "text", F.coalesce(F.when(F.col("_q") > 0, changed), F.col("text")).alias("edited"))
