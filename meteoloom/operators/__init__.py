@@ -1 +1 @@
-
+"""Operators on forecast tables: every function takes and returns DataFrames."""

@@ -1 +1 @@
-
+"""Registered queries and the tables they run on."""

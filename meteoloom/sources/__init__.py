@@ -1 +1 @@
-
+"""Readers, catalog selection and sinks."""
