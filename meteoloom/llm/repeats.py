@@ -7,7 +7,8 @@ share. A window of L symbols holds L - k + 1 runs of k symbols; the one with the
 1. Documents are dealt to batches. Each batch sends the distinct hashes of its seeds, four
    bytes each, to hash buckets; a bucket answers which ones another batch sent too.
 2. For each seed that repeats, its batch sends out the seed's context: the stretch that the
-   windows of this seed cover. Everything else is unique and travels no further.
+   windows of this seed cover. Of equal contexts in a batch only the first travels; the windows
+   of the later ones repeat it. Everything else is unique and travels no further.
 3. Contexts meet by seed. In a group, equal contexts count once, with their earliest place;
    the suffixes at the window starts of the distinct ones are sorted, and windows are in one
    class where neighbours share L symbols. Windows later than the first of their class go back
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Rolling, as_bytes, materialize, sliding
+from .common import Rolling, as_bytes, discard, materialize, sliding
 
 BATCH_BYTES = 4 << 20
 BUCKET_SEEDS = 1 << 20
@@ -157,24 +158,32 @@ def _contexts(spec: Windows, bits: int):
             lo, hi = at[b], at[b + 1]
             repeats[lo:hi] |= np.unpackbits(np.frombuffer(own.as_py(), np.uint8), count=hi - lo).view(bool)
         chosen, done = repeats[batch.inverse], 0
-        hs, docs_, ss, ns, contexts = [], [], [], [], []
+        seen: dict = {}
+        rows: list[tuple] = []
         for doc, data, (h, first, last, start, end) in zip(batch.keys.tolist(), batch.data, batch.each, strict=True):
             pick = np.flatnonzero(chosen[done : done + len(h)])
             done += len(h)
-            if not len(pick):
-                continue
-            raw = data.tobytes()
-            a, b = start[first[pick]], end[last[pick] + spec.length - 1]
-            contexts += [raw[i:j] for i, j in zip(a.tolist(), b.tolist(), strict=True)]
-            hs.append(h[pick].view(np.int64))
-            ss.append(first[pick])
-            ns.append(last[pick] - first[pick] + 1)
-            docs_.append(np.full(len(pick), doc, np.int64))
-        cat = lambda x, t: pa.array(np.concatenate([np.zeros(0, np.int64), *x]), t)
+            raw, open_ = data.tobytes(), None
+            a, b = start[first[pick]].tolist(), end[last[pick] + spec.length - 1].tolist()
+            for seed, s, e, i, j in zip(h[pick].view(np.int64).tolist(), first[pick].tolist(), last[pick].tolist(), a, b, strict=True):
+                context = raw[i:j]
+                place = (doc, s) if spec.within else doc
+                # Only the batch's first of equal contexts travels; a later one is settled here.
+                if place <= seen.get(context, place):
+                    seen[context] = place
+                    rows.append((seed, doc, s, e - s + 1, context))
+                elif open_ and open_[1] + 1 == s:
+                    open_[1] = e
+                else:
+                    if open_:
+                        rows.append((None, doc, open_[0], open_[1] - open_[0] + 1, None))
+                    open_ = [s, e]
+            if open_:
+                rows.append((None, doc, open_[0], open_[1] - open_[0] + 1, None))
+        cols = list(zip(*rows, strict=True)) or [()] * 5
         return pa.table({
-            "h": cat(hs, pa.int64()), "batch": pa.array([key[0].as_py()] * len(contexts), pa.int32()), "doc": cat(docs_, pa.int64()),
-            "s": pa.array(np.concatenate([np.zeros(0, np.int64), *ss]).astype(np.int32)), "n": pa.array(np.concatenate([np.zeros(0, np.int64), *ns]).astype(np.int32)),
-            "context": pa.array(contexts, pa.binary()),
+            "h": pa.array(cols[0], pa.int64()), "batch": pa.array([key[0].as_py()] * len(rows), pa.int32()), "doc": pa.array(cols[1], pa.int64()),
+            "s": pa.array(cols[2], pa.int32()), "n": pa.array(cols[3], pa.int32()), "context": pa.array(cols[4], pa.binary()),
         })
 
     return cut
@@ -284,19 +293,24 @@ def repeated_runs(docs: DataFrame, total: int, spec: Windows, hot: int = HOT) ->
     bits = max(4, int(total * spec.density * 2 / (spec.length - spec.seed + 2) / BUCKET_SEEDS).bit_length())
     sent = materialize(docs.groupBy("batch").applyInArrow(_sent(spec, bits), "batch int, bucket int, seeds binary"), f"{spec.name}-seeds")
     answers = materialize(sent.groupBy("bucket").applyInArrow(_answer, "batch int, bucket int, bits binary"), f"{spec.name}-answers")
+    discard(sent)
     contexts = docs.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(_contexts(spec, bits), _CONTEXT)
     contexts = materialize(contexts, f"{spec.name}-contexts")
-    counts = materialize(contexts.groupBy("h").agg(F.count("*").alias("k"), F.sum("n").alias("n")).groupBy((F.col("k") > hot).alias("hot"), F.when(F.col("k") > hot, F.col("h")).alias("hot_h")).agg(F.sum("n").alias("n")), f"{spec.name}-counts")
-    windows = counts.where("not hot").agg(F.sum("n")).first()[0] or 0
-    groups = windows // GROUP_WINDOWS + 1
-    many = counts.where("hot").select("hot_h")
-    cold = contexts
+    discard(answers)
+    settled = contexts.where("context is null").select("batch", "doc", F.col("s").alias("first"), (F.col("s") + F.col("n") - 1).alias("last"))
+    travelling = contexts.where("context is not null")
+    counts = travelling.groupBy("h").agg(F.count("*").alias("k"), F.sum("n").alias("n"))
+    many = materialize(counts.where(F.col("k") > hot).select(F.col("h").alias("hot_h")), f"{spec.name}-hot")
+    cold = travelling
     if not many.isEmpty():
-        cold = contexts.join(many, contexts["h"] == many["hot_h"], "left_anti")
+        cold = travelling.join(many, travelling["h"] == many["hot_h"], "left_anti")
+    groups = (cold.agg(F.sum("n")).first()[0] or 0) // GROUP_WINDOWS + 1
     runs = cold.withColumn("g", F.pmod(F.xxhash64("h"), F.lit(groups))).groupBy("g").applyInArrow(_later(spec), _RUN)
     if not many.isEmpty():
-        runs = runs.unionByName(_hot_runs(contexts.join(many, contexts["h"] == many["hot_h"], "left_semi"), spec))
-    return materialize(runs, f"{spec.name}-runs")
+        runs = runs.unionByName(_hot_runs(travelling.join(many, travelling["h"] == many["hot_h"], "left_semi"), spec))
+    runs = materialize(runs.unionByName(settled), f"{spec.name}-runs")
+    discard(contexts)
+    return runs
 
 
 def without_repeats(docs: DataFrame, spec: Windows, finish: Callable, schema: str, hot: int = HOT) -> DataFrame:
