@@ -13,11 +13,9 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SLOT = ("model", "var", "init_date", "init_ts")
-
+from .normalise import join_null_safe, pad_union
 
-def _same(a: DataFrame, b: DataFrame, keys):
-    return reduce(lambda x, y: x & y, [a[k].eqNullSafe(b[k]) for k in keys])
+SLOT = ("model", "var", "init_date", "init_ts")
 
 
 def slots(cube: DataFrame) -> DataFrame:
@@ -45,7 +43,7 @@ def fill_slots(cube: DataFrame) -> DataFrame:
     variables = cube.select("model", "var").distinct()
     spine = starts.join(variables, "model")
     s = slots(cube)
-    return spine.join(s, _same(spine, s, SLOT), "left").select(*[spine[k] for k in SLOT], F.coalesce(s["state"], F.lit("missing")).alias("state"))
+    return join_null_safe(spine, s, SLOT, "left").select(*SLOT, F.coalesce("state", F.lit("missing")).alias("state"))
 
 
 def backfill(landing: DataFrame, archive: DataFrame, n: int = 4) -> DataFrame:
@@ -96,7 +94,7 @@ def sync_archive(landing: DataFrame, root: str, n: int = 4, dry_run: bool = Fals
     touched = new.select(*parts).distinct()
     kept = archive.join(touched, parts, "left_semi")
     gone = new.select(*SLOT).distinct()
-    kept = kept.join(gone, _same(kept, gone, SLOT), "left_anti")
+    kept = join_null_safe(kept, gone, SLOT, "left_anti")
     stage = f"{root.rstrip('/')}.staging-{uuid.uuid4().hex}"
     kept.unionByName(new).write.partitionBy(*parts).parquet(stage)
     staged = spark.read.schema(landing.schema).parquet(stage)
@@ -144,8 +142,9 @@ def replace_leads(archive: DataFrame, grid: DataFrame) -> DataFrame:
 
 def canonical_leads(spark, rows: list[tuple[str, float, int]]) -> DataFrame:
     """model, canon (array of labels): first, first + 1, ... (n of them)."""
-    lit = [F.struct(F.lit(m).alias("model"), F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i, f=f: (i + F.lit(f)).cast("float")).alias("canon")) for m, f, n in rows]
-    return spark.range(1).select(F.inline(F.array(*lit)))
+    lit = [F.struct(F.lit(m).alias("model"), F.lit(float(f)).alias("first"), F.lit(n).alias("n")) for m, f, n in rows]
+    grid = spark.range(1).select(F.inline(F.array(*lit)))
+    return grid.select("model", F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: (i + F.col("first")).cast("float")).alias("canon"))
 
 
 def lead_files(cube: DataFrame, dtype: str = "float32") -> DataFrame:
@@ -200,8 +199,6 @@ def unexpected_leads(cube: DataFrame, by: float = 0.5) -> DataFrame:
 
 def merge_members(old: DataFrame, new: DataFrame) -> DataFrame:
     """Good members of the old start stay, the others come from the new one; leads are padded to their union."""
-    from .normalise import pad_union
-
     key = ["model", "var", "init_date", "member"]
     good = old.groupBy(*key).agg(F.count("value").alias("_n")).where("_n > 0").drop("_n")
     kept = old.join(good, key, "left_semi").select(*old.columns)

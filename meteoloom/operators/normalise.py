@@ -22,6 +22,14 @@ ALIASES = {
 VARIABLES = {"PRECTOTCORR": "pr", "T2M": "tas", "TS": "ts", "OLR": "rlut", "U": "ua", "V": "va", "H": "zg", "air_temperature": "tas"}
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, keys, how: str = "inner") -> DataFrame:
+    """Join on keys that may be null; the keys come from the left side only."""
+    named = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys])
+    out = left.join(named, on, how)
+    return out.drop(*[f"_right_{k}" for k in keys])
+
+
 def snap_grid(df: DataFrame, digits: int = 6, *cols: str) -> DataFrame:
     """Round coordinates (half to even); 0 digits snaps to whole degrees. -0.0 becomes 0.0."""
     return df.withColumns({c: F.bround(c, digits) + F.lit(0.0) for c in cols or ("lat", "lon")})
@@ -94,9 +102,8 @@ def fold_starts(df: DataFrame) -> DataFrame:
     """Sub-daily starts become members, numbered from 1 by start, then member."""
     members = df.select(*SERIES, "init_ts", "member").distinct()  # few rows for each start
     rank = F.dense_rank().over(Window.partitionBy(*SERIES).orderBy("init_ts", "member"))
-    numbered = members.select(*[F.col(c).alias(f"_{c}") for c in (*SERIES, "init_ts", "member")], rank.alias("_new"))
-    on = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in (*SERIES, "init_ts", "member")])
-    return df.join(numbered, on).withColumn("member", F.col("_new")).select(*df.columns)
+    numbered = members.withColumn("_new", rank)
+    return join_null_safe(df, numbered, [*SERIES, "init_ts", "member"]).withColumn("member", F.col("_new")).select(*df.columns)
 
 
 def is_accumulated(units: Column) -> Column:
@@ -155,10 +162,8 @@ def lead_position(df: DataFrame, by: str = "lead_days", keys=SERIES) -> DataFram
     """
     leads = df.select(*keys, by).distinct()
     ix = (F.dense_rank().over(Window.partitionBy(*keys).orderBy(by)) - 1).cast("int")
-    ranked = leads.select(*[F.col(c).alias(f"_{c}") for c in keys], F.col(by).alias("_by"), ix.alias("_ix"))
-    on = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys]) & F.col(by).eqNullSafe(F.col("_by"))
-    drop = [f"_{c}" for c in keys] + ["_by"]
-    return df.drop("lead_ix").join(ranked, on).drop(*drop).withColumnRenamed("_ix", "lead_ix")
+    ranked = leads.withColumn("_ix", ix)
+    return join_null_safe(df.drop("lead_ix"), ranked, [*keys, by]).withColumnRenamed("_ix", "lead_ix")
 
 
 def spine(df: DataFrame, keys, axis: DataFrame) -> DataFrame:
@@ -182,8 +187,7 @@ def start_spine(df: DataFrame, hours=(0, 6, 12, 18)) -> DataFrame:
     keys = [c for c in df.columns if c not in ("init_ts", "value")]
     full = df.select(*keys).distinct().crossJoin(F.broadcast(axis))
     full = full.withColumn("init_ts", F.timestamp_add("HOUR", F.col("_h"), F.col("init_date").cast("timestamp_ntz"))).drop("_h")
-    on = reduce(lambda a, b: a & b, [full[c].eqNullSafe(df[c]) for c in (*keys, "init_ts")])
-    return full.join(df, on, "left").select(*[full[c] for c in (*keys, "init_ts")], df["value"]).select(*df.columns)
+    return join_null_safe(full, df, [*keys, "init_ts"], "left").select(*df.columns)
 
 
 def pad_union(df: DataFrame, axis: str, over=SERIES) -> DataFrame:
@@ -192,8 +196,7 @@ def pad_union(df: DataFrame, axis: str, over=SERIES) -> DataFrame:
     labels = df.select(*group, axis).distinct()
     keys = [c for c in df.columns if c not in (axis, "value")]
     full = df.select(*keys).distinct().join(labels, group) if group else df.select(*keys).distinct().crossJoin(labels)
-    on = reduce(lambda a, b: a & b, [full[c].eqNullSafe(df[c]) for c in (*keys, axis)])
-    return full.join(df, on, "left").select(*[full[c] for c in (*keys, axis)], df["value"]).select(*df.columns)
+    return join_null_safe(full, df, [*keys, axis], "left").select(*df.columns)
 
 
 def align_leads(df: DataFrame, ref: DataFrame) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .normalise import join_null_safe
+
 
 def drop_empty(df: DataFrame, keys, sample: Column | None = None) -> DataFrame:
     """drop the files (keys) without any value, judged on all cells or on those of ``sample``.
@@ -13,13 +15,7 @@ def drop_empty(df: DataFrame, keys, sample: Column | None = None) -> DataFrame:
     """
     seen = F.count(F.when(sample if sample is not None else F.lit(True), F.col("value")))
     good = df.groupBy(*keys).agg(seen.alias("_n")).where("_n > 0").drop("_n")
-    names = {k: f"_{k}" for k in keys}
-    good = good.withColumnsRenamed(names)
-    on = None
-    for k, n in names.items():
-        same = F.col(k).eqNullSafe(F.col(n))
-        on = same if on is None else on & same
-    return df.join(good, on, "left_semi")
+    return join_null_safe(df, good, keys, "left_semi")
 
 
 def strided_sample(every: int = 18) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.calendar import week_dim
-from .normalise import legacy_model
+from .normalise import join_null_safe, legacy_model
 
 MME = "SUBC-MME"
 
@@ -36,13 +36,8 @@ def weekly_reduce(df: DataFrame, fcst: str, nweeks: int = 4, empty_sum: str = "z
     held = df.withColumn("week", week).where(F.col("week").between(1, nweeks))
     sums = held.groupBy(*keys, "week").agg(F.sum(v).alias("_s"), F.avg(v).alias("_m"))
     spine = df.select(*keys).distinct().crossJoin(F.broadcast(weeks.select("week")))
-    on = None
-    s = sums.withColumnsRenamed({c: f"_k_{c}" for c in (*keys, "week")})
-    for c in (*keys, "week"):
-        same = F.col(c).eqNullSafe(F.col(f"_k_{c}"))
-        on = same if on is None else on & same
     total = F.coalesce(F.col("_s"), F.lit(0.0)) if empty_sum == "zero" else F.col("_s")
-    return spine.join(s, on, "left").select(*keys, "week", F.when(F.col("var").startswith("pr"), total).otherwise(F.col("_m")).alias("value"))
+    return join_null_safe(spine, sums, [*keys, "week"], "left").select(*keys, "week", F.when(F.col("var").startswith("pr"), total).otherwise(F.col("_m")).alias("value"))
 
 
 def multi_model_mean(df: DataFrame, label: str = MME) -> DataFrame:

@@ -33,6 +33,7 @@ def crossing_counts(events: DataFrame, threshold: float, key: str = "user_id", t
 
     Works on a stream (with a watermark, so that state is bounded) and on a table alike.
     """
+    events = events.withColumn(time, F.col(time).cast("timestamp"))
     held = events.withWatermark(time, late) if events.isStreaming else events
     return held.groupBy(F.window(time, "7 days", "1 day").alias("w"), key).agg(F.count_if(F.col("value") > threshold).alias("crossings"), F.count("*").alias("n"))
 
