@@ -31,10 +31,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Rolling, as_bytes, discard, materialize, sliding
+from .common import Rolling, as_bytes, discard, materialize, mix, sliding
 
 BATCH_BYTES = 4 << 20
-BUCKET_SEEDS = 1 << 20
+BUCKET_SEEDS = 1 << 18
 GROUP_WINDOWS = 400_000
 HOT = 50_000
 _PIECE = 1 << 20
@@ -76,7 +76,8 @@ def seeds(symbols: np.ndarray, spec: Windows) -> tuple[np.ndarray, np.ndarray, n
         part = symbols[lo : lo + min(_PIECE, n - lo) + spec.length - 1]
         grams = Rolling(part).grams(spec.seed)
         at, first, last = winnow(grams, spec.length - spec.seed + 1)
-        out.append((grams[at], first + lo, last + lo))
+        # Least hashes crowd at the low end; scrambled again they fill all buckets alike.
+        out.append((mix(~grams[at]), first + lo, last + lo))
     if not out:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
