@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 TARGET_BYTES = 32 << 20
 FANIN = 4
 SMALLEST = 1 << 20
+#: Shard names (under 200 bytes each) that a merge may broadcast.
+BROADCAST_NAMES = 100_000
 MANIFEST = "path string, tier int, rows long, bytes long, born long"
 
 
@@ -110,9 +112,11 @@ class ShardStore:
         folder = f"{self.root}/data/{uuid.uuid4().hex}"
         rows = self.spark.read.parquet(*[p for p, _ in runs]).withColumn("_path", F.col("_metadata.file_path"))
         names = plan.select(F.col("path").alias("_p"), "bin")
+        # A list of names: broadcast up to a bound, so that the rows are shuffled once, to their run.
+        names = F.broadcast(names) if len(runs) <= BROADCAST_NAMES else names
         merged = rows.join(names, rows["_path"] == names["_p"]).drop("_path", "_p")
-        # A range per run: each merged file is written by one task, whose rows a run bounds.
-        merged.repartitionByRange(n, "bin").write.option("compression", "zstd").partitionBy("bin").parquet(folder)
+        # A run's rows go to one task, which writes its merged file; the target bounds them.
+        merged.repartition(n, "bin").write.option("compression", "zstd").partitionBy("bin").parquet(folder)
         new = self._described(folder, self._tier, base + 1)
         kept = self.manifest(base).join(plan.select("path"), "path", "left_anti")
         return self._commit(kept.unionByName(new), base)
