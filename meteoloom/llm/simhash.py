@@ -104,7 +104,7 @@ def _linker(most: int, cap: int | None):
         hot = None  # the key whose rows are being passed on
 
         def out(a, b, again):
-            a, b = np.concatenate([*a, again[2]]).view(np.int64), np.concatenate(b).view(np.int64)
+            a, b = np.concatenate([*a, again[2].view(np.uint64)]).view(np.int64), np.concatenate(b).view(np.int64)
             k = len(again[2])
             ka = np.concatenate([np.zeros(len(b), np.int64), again[0]])
             return pa.RecordBatch.from_arrays([pa.array(a), pa.array(np.concatenate([b, np.zeros(k, np.int64)]), mask=np.arange(len(a)) >= len(b)), pa.array(ka, mask=np.arange(len(a)) < len(b))], ["a", "b", "k1"])
@@ -188,5 +188,5 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
 
     doc_id must be distinct. Documents without an id are dropped only as copies of one with an id.
     """
-    groups = simhash_groups(docs, **options).where("doc_id != component_id").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(groups, docs["doc_id"] == groups["_id"], "left_anti")
+    groups = simhash_groups(docs, **options).where("doc_id != component_id").select(F.col("doc_id").alias("id__")).distinct()
+    return docs.join(groups, F.col("doc_id") == F.col("id__"), "left_anti")
