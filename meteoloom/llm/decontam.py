@@ -201,5 +201,5 @@ def _pairs_shuffled(docs: DataFrame, seeds: DataFrame, coverage: float, least: i
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """``docs`` without the documents that hold an item (rows with a null doc_id stay)."""
-    found = contaminated_pairs(docs, items, **options).select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(found, docs["doc_id"] == found["_id"], "left_anti")
+    found = contaminated_pairs(docs, items, **options).select(F.col("doc_id").alias("id__")).distinct()
+    return docs.join(found, F.col("doc_id") == F.col("id__"), "left_anti")

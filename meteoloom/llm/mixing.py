@@ -106,12 +106,12 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     Repetitions are whole documents here. Rows must have distinct doc_ids. Documents without a
     word weigh nothing and are kept once.
     """
-    plan = mix(docs, whole=True, **options).select(F.col("doc_id").alias("_id"), F.when(F.col("size") == 0, 1).otherwise(F.round("copies")).cast("int").alias("_copies"))
-    out = docs.join(plan, docs["doc_id"].eqNullSafe(plan["_id"]))
-    times = F.when(F.col("_copies") > 0, F.array_repeat(F.lit(1), F.col("_copies"))).otherwise(F.array().cast("array<int>"))
-    return out.withColumn("_copy", F.explode(times)).drop("_id", "_copies", "_copy")
+    plan = mix(docs, whole=True, **options).select(F.col("doc_id").alias("id__"), F.when(F.col("size") == 0, 1).otherwise(F.round("copies")).cast("int").alias("copies__"))
+    out = docs.join(plan, F.col("doc_id").eqNullSafe(F.col("id__")))
+    times = F.when(F.col("copies__") > 0, F.array_repeat(F.lit(1), F.col("copies__"))).otherwise(F.array().cast("array<int>"))
+    return out.withColumn("copy__", F.explode(times)).drop("id__", "copies__", "copy__")
 
 
 def mix_digest(docs: DataFrame) -> DataFrame:
     """The columns of the registered query."""
-    return mix(docs).select("doc_id", "size", "source_size", "target", "taken", "source")
+    return mix(docs).select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken", "source")

@@ -64,4 +64,21 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_sharding": OP1_SQL, "op4_mixing": OP4_SQL}
+
+
+OP1_SQL = "SELECT doc_id, source, lang, CAST(strlen(text) AS BIGINT) AS n_bytes, sha256(text) AS text_sha256 FROM documents"
+
+# Water-filling by its level: for each source as the first open one, and the cut by a plain running sum.
+OP4_SQL = r"""WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(COALESCE(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size, md5('20:' || doc_id) AS k FROM documents),
+s AS (SELECT source, CAST(SUM(size) AS BIGINT) AS source_size, ROW_NUMBER() OVER (ORDER BY source NULLS LAST) AS r FROM d GROUP BY 1),
+w AS (SELECT *, (r - 1) % 3 + 1 AS weight, 3.0::DOUBLE * source_size / ((r - 1) % 3 + 1) AS ratio FROM s),
+l AS (SELECT *, ((SELECT SUM(source_size) FROM w) - COALESCE(SUM(3 * source_size) OVER o, 0))::DOUBLE / ((SELECT SUM(weight) FROM w) - COALESCE(SUM(weight) OVER o, 0)) AS level
+  FROM w WINDOW o AS (ORDER BY ratio, r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+f AS (SELECT arg_min(level, ratio) AS level FROM l WHERE ratio > level),
+t AS (SELECT w.*, LEAST(3.0 * source_size, COALESCE((SELECT level FROM f), 'infinity'::DOUBLE) * weight) AS target FROM w),
+e AS (SELECT *, CAST(CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS BIGINT) AS whole FROM t),
+p AS (SELECT *, CAST(GREATEST(0, round_even(target - whole * source_size, 0)) AS BIGINT) AS part FROM e),
+c AS (SELECT d.*, p.source_size, p.target, p.whole, p.part, COALESCE(SUM(size) OVER (PARTITION BY d.source ORDER BY k, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS run
+  FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source)
+SELECT doc_id, size, source_size, ROUND(target, 6) AS target, CAST(whole * size + GREATEST(0, LEAST(size, part - run)) AS BIGINT) AS taken, source FROM c"""

@@ -21,6 +21,8 @@ FANIN = 4
 SMALLEST = 1 << 20
 #: Shard names (under 200 bytes each) that a merge may broadcast.
 BROADCAST_NAMES = 100_000
+#: Folder columns, named so that no column of the documents clashes.
+ARRIVAL, BIN = "arrival__", "bin__"
 MANIFEST = "path string, tier int, rows long, bytes long, born long"
 
 
@@ -110,13 +112,13 @@ class ShardStore:
             return base
         n = max(b for _, b in runs)
         folder = f"{self.root}/data/{uuid.uuid4().hex}"
-        rows = self.spark.read.parquet(*[p for p, _ in runs]).withColumn("_path", F.col("_metadata.file_path"))
-        names = plan.select(F.col("path").alias("_p"), "bin")
+        rows = self.spark.read.parquet(*[p for p, _ in runs]).withColumn("file__", F.col("_metadata.file_path"))
+        names = plan.select(F.col("path").alias("path__"), F.col("bin").alias(BIN))
         # A list of names: broadcast up to a bound, so that the rows are shuffled once, to their run.
         names = F.broadcast(names) if len(runs) <= BROADCAST_NAMES else names
-        merged = rows.join(names, rows["_path"] == names["_p"]).drop("_path", "_p")
+        merged = rows.join(names, F.col("file__") == F.col("path__")).drop("file__", "path__")
         # A run's rows go to one task, which writes its merged file; the target bounds them.
-        merged.repartition(n, "bin").write.option("compression", "zstd").partitionBy("bin").parquet(folder)
+        merged.repartition(n, BIN).write.option("compression", "zstd").partitionBy(BIN).parquet(folder)
         new = self._described(folder, self._tier, base + 1)
         kept = self.manifest(base).join(plan.select("path"), "path", "left_anti")
         return self._commit(kept.unionByName(new), base)
@@ -131,11 +133,10 @@ class ShardStore:
             before = now
         return self.version()
 
-    def read(self, version: int | None = None, with_shard: bool = False) -> DataFrame:
+    def read(self, version: int | None = None) -> DataFrame:
         """The rows of a version, as its live shards hold them."""
         paths = [r["path"] for r in self.manifest(version).select("path").toLocalIterator()]
-        df = self.spark.read.parquet(*paths)
-        return df.withColumn("_shard", F.col("_metadata.file_path")) if with_shard else df
+        return self.spark.read.parquet(*paths)
 
     def sweep(self, keep: int = 1) -> int:
         """Delete shard files that none of the newest ``keep`` versions names; returns how many.
@@ -156,9 +157,9 @@ class ShardStore:
 
 
 def arrivals_of(docs: DataFrame, n: int = 8) -> DataFrame:
-    """``docs`` with ``arrival`` 0..n-1: batches of unequal size, by a hash of doc_id."""
+    """``docs`` with the column ``ARRIVAL`` 0..n-1: batches of unequal size, by a hash of doc_id."""
     u = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))), F.lit(n * (n + 1) // 2))
-    return docs.withColumn("arrival", F.floor((F.sqrt(8 * u + 1) - 1) / 2).cast("int"))
+    return docs.withColumn(ARRIVAL, F.floor((F.sqrt(8 * u + 1) - 1) / 2).cast("int"))
 
 
 def shard_documents(docs: DataFrame, root: str, target: int = TARGET_BYTES, fanin: int = FANIN) -> tuple[ShardStore, int]:
@@ -168,7 +169,7 @@ def shard_documents(docs: DataFrame, root: str, target: int = TARGET_BYTES, fani
     table commits no shard, and its store stays at version 0.
     """
     store = ShardStore(docs.sparkSession, root, target, fanin)
-    store.append(arrivals_of(docs), "arrival")
+    store.append(arrivals_of(docs), ARRIVAL)
     store.settle()
     return store, store.version()
 
@@ -176,14 +177,9 @@ def shard_documents(docs: DataFrame, root: str, target: int = TARGET_BYTES, fani
 def shard_digest(docs: DataFrame, root: str) -> DataFrame:
     """What the registered query returns: each document as read back from the committed shards.
 
-    doc_id, n_bytes, text_sha256 (null text: null), source, lang, ``version`` and the shard's tier.
+    doc_id, source, lang, n_bytes and text_sha256 (null text: nulls).
     """
     docs = docs.select("doc_id", "text", "lang", "source")
     store, version = shard_documents(docs, root)
-    if not version:
-        rows = docs.limit(0).withColumns({"tier": F.lit(0), "_shard": F.lit("")})
-    else:
-        rows = store.read(version, with_shard=True)
-        live = store.manifest(version).select(F.col("path").alias("_p"), "tier")
-        rows = rows.join(live, F.col("_shard") == F.col("_p"))
+    rows = store.read(version) if version else docs.limit(0)
     return rows.select("doc_id", "source", "lang", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("text_sha256"))
