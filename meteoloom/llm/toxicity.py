@@ -2,13 +2,13 @@
 
 Confirmed toxic documents are the positives; every other training text is unlabelled, whatever
 its label says. With class prior p, logistic loss l and scores g, the risk to minimise is
-p * E_pos[l(g)] + max(0, E_unl[l(-g)] - p * E_pos[l(-g)]); when the second part falls below
-zero, its gradient is followed the other way, which keeps a flexible model from fitting the
-unlabelled positives as negatives. The bias is then set so that a score of 0.7 is the cut with
-the best F0.5 that positives, unlabelled texts and prior let one estimate.
+p * E_pos[l(g)] + max(0, E_unl[l(-g)] - p * E_pos[l(-g)]); where the second part would fall
+below zero it counts as zero, which keeps the model from fitting the unlabelled positives as
+negatives. The bias is then set so that a score of 0.7 is the cut with
+the best F1 that positives, unlabelled texts and prior let one estimate.
 
-The classifier is linear in the words of a text and their four-byte prefixes (present or not),
-of those that are clearly commoner in the positives than in the unlabelled texts.
+The classifier is linear in the words of a text and their prefixes (present or not, and how
+often), of those that are clearly commoner in the positives than in the unlabelled texts.
 It is fitted on the driver from a bounded sample: at most ``POSITIVES`` confirmed documents and
 ``UNLABELLED`` others, those first by a hash of doc_id. Scoring reads whole texts in the tasks.
 """
@@ -40,10 +40,13 @@ _LETTER = np.zeros(256, np.uint8)
 _LETTER[ord("a") : ord("z") + 1] = np.arange(ord("a"), ord("z") + 1)
 _LETTER[ord("A") : ord("Z") + 1] = np.arange(ord("a"), ord("z") + 1)
 _LETTER[0x80:] = np.arange(0x80, 0x100)
+_HEADS = (4, 6)
+_SALTS = (np.uint64(0x5BD1E995_5BD1E995), np.uint64(0x1B873593_1B873593))
 
 
 def text_features(text: str | None) -> np.ndarray:
-    """Sorted distinct 32-bit features: each word, and its first four bytes."""
+    """Sorted distinct 32-bit features: each word, its first four and six bytes, and for these six
+    that two or four words of the text start with them."""
     data = _LETTER[as_bytes(text)]
     inside = np.zeros(len(data) + 2, np.int8)
     inside[1:-1] = data > 0
@@ -52,9 +55,13 @@ def text_features(text: str | None) -> np.ndarray:
     if not len(start):
         return np.zeros(0, np.uint32)
     roll = Rolling(data)
-    long = end - start >= 4
-    head = roll.slices(start[long], start[long] + 4) ^ np.uint64(0x5BD1E9955BD1E995)
-    return np.unique((np.concatenate([roll.slices(start, end), head]) >> np.uint64(32)).astype(np.uint32))
+    found = [roll.slices(start, end)]
+    for n, salt in zip(_HEADS, _SALTS, strict=True):
+        own = start[end - start >= n]
+        heads, counts = np.unique(roll.slices(own, own + n), return_counts=True)
+        found.append(heads ^ salt)
+    found += [heads[counts >= least] ^ np.uint64(int(_SALTS[-1]) * (least + 1) % 2**64) for least in (2, 4)]
+    return np.unique((np.concatenate(found) >> np.uint64(32)).astype(np.uint32))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -122,7 +129,7 @@ def minimise(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: fl
     n = len(features)
     w, m, v = np.zeros(n + 1), np.zeros(n + 1), np.zeros(n + 1)
     w[n] = flat
-    step, size = 0, 256
+    step, size = 0, 1024
 
     def batch(docs, pick):
         ix = np.concatenate([docs[i] for i in pick]) if len(pick) else np.zeros(0, np.int64)
@@ -141,7 +148,7 @@ def minimise(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: fl
             if rest >= 0:
                 gu, gp = su / len(su), np.full(len(sp), -prior / len(sp))
             else:
-                gu, gp = -su / len(su), prior * sp / len(sp)
+                gu, gp = np.zeros(len(su)), prior * (sp - 1) / len(sp)  # that part is held at zero
             g = np.bincount(iu, gu[ru], minlength=n + 1).astype(float) + np.bincount(ip, gp[rp], minlength=n + 1)
             g[n] += gu.sum() + gp.sum()
             g[:n] += 1e-4 * w[:n] / max(1, n) ** 0.5
@@ -153,7 +160,7 @@ def minimise(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: fl
     return Model(features, w[:n].copy(), float(w[n]))
 
 
-def threshold(positive: np.ndarray, unlabelled: np.ndarray, prior: float, beta: float = 0.5) -> float:
+def threshold(positive: np.ndarray, unlabelled: np.ndarray, prior: float, beta: float = 1.0) -> float:
     """The cut with the best F-beta as positives and unlabelled texts show it.
 
     With the share r of positives and u of unlabelled texts above a cut, recall is r and
