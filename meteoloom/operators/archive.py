@@ -82,11 +82,9 @@ def sync_archive(landing: DataFrame, root: str, n: int = 4, dry_run: bool = Fals
     """
     spark = landing.sparkSession
     parts = ["model", "var", "init_date"]
-    try:
-        archive = spark.read.schema(landing.schema).parquet(root)
-        archive.limit(1).count()
-    except Exception:  # noqa: BLE001  a folder that isn't there yet: the initial write (M1)
-        archive = landing.limit(0)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+    stored = folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+    archive = spark.read.schema(landing.schema).parquet(root) if stored else landing.limit(0)  # M1: the initial write
     plan = sync_plan(landing, archive, n)
     if dry_run:
         return plan

@@ -27,34 +27,37 @@ def pool_samples(hindcast: DataFrame, window: int = 15, keys=("model", "var", "l
     day = mmdd_to_doy(mmdd(F.col("init_date")))
     sample = F.struct(F.col("value").isNull().alias("missing"), F.col("value"))
     daily = hindcast.groupBy(*keys, day.alias("_day")).agg(F.collect_list(sample).alias("_samples"))
-    offsets = F.sequence(F.lit(-window), F.lit(window))
-    target = F.explode(F.transform(offsets, lambda o: F.pmod(F.col("_day") - 1 + o, F.lit(YEAR)) + 1)).alias("doy")
-    return daily.select(*keys, target, "_samples")
+    return daily.select(*keys, _targets(window).alias("doy"), "_samples")
 
 
-def thresholds(hindcast: DataFrame, pct: int, window: int = 15, first: int | None = None, last: int | None = None, keys=("model", "var", "lead_ix", "lat", "lon")) -> DataFrame:
+def thresholds(hindcast: DataFrame, pct: int, window: int = 15, first: int | None = None, last: int | None = None, trim: bool = True, keys=("model", "var", "lead_ix", "lat", "lon")) -> DataFrame:
     """A3: nearest-rank percentile of each key and target day: keys, pct, doy, mmdd, threshold.
 
-    Leads beyond the shortest one in a pool of a model and day are cut off.
+    With ``trim`` leads beyond those of the shortest start in a (model, var) pool are cut off.
     """
     if first is not None:
         hindcast = hindcast.where(F.year("init_date") >= first)
     if last is not None:
         hindcast = hindcast.where(F.year("init_date") <= last)
-    pools = pool_samples(hindcast, window, keys).groupBy(*keys, "doy").agg(F.array_sort(F.flatten(F.collect_list("_samples"))).alias("_pool"))
+    pools = pool_samples(hindcast, window, keys)
+    if trim:
+        pools = pools.join(shortest_leads(hindcast, window), ["model", "var", "doy"]).where("lead_ix < _least").drop("_least")
+    pools = pools.groupBy(*keys, "doy").agg(F.array_sort(F.flatten(F.collect_list("_samples"))).alias("_pool"))
     out = pools.select(*keys, F.lit(pct).alias("pct"), "doy", nearest_rank(F.col("_pool"), pct / 100).alias("threshold"))
     return out.withColumn("mmdd", F.date_format(F.date_add(F.lit("1999-12-31").cast("date"), F.col("doy").cast("int")), "MMdd"))
 
 
-def trim_to_shortest(hindcast: DataFrame, window: int = 15, series=("model", "var")) -> DataFrame:
-    """A3: per sample only the leads that every start of its widest pool has."""
-    own = hindcast.groupBy(*series, "init_date").agg((F.max("lead_ix") + 1).alias("_n"))
-    day = own.withColumn("_day", mmdd_to_doy(mmdd(F.col("init_date")))).groupBy(*series, "_day").agg(F.min("_n").alias("_n"))
+def shortest_leads(hindcast: DataFrame, window: int = 15) -> DataFrame:
+    """A3: model, var, doy, and how many leads every start in the day's pool has (a row for each series and day)."""
+    own = hindcast.groupBy("model", "var", "init_date").agg((F.max("lead_ix") + 1).alias("_n"))
+    day = own.groupBy("model", "var", mmdd_to_doy(mmdd(F.col("init_date"))).alias("_day")).agg(F.min("_n").alias("_n"))
+    return day.select("model", "var", _targets(window).alias("doy"), "_n").groupBy("model", "var", "doy").agg(F.min("_n").alias("_least"))
+
+
+def _targets(window: int) -> Column:
+    """The days of the year within ``window`` of ``_day``, around the year's end."""
     offsets = F.sequence(F.lit(-window), F.lit(window))
-    least = day.select(*series, F.explode(F.transform(offsets, lambda o: F.pmod(F.col("_day") - 1 + o, F.lit(YEAR)) + 1)).alias("_day"), "_n")
-    least = least.groupBy(*series, "_day").agg(F.min("_n").alias("_least"))
-    cells = hindcast.withColumn("_day", mmdd_to_doy(mmdd(F.col("init_date"))))
-    return cells.join(least, [*series, "_day"]).where("lead_ix < _least").select(*hindcast.columns)
+    return F.explode(F.transform(offsets, lambda o: F.pmod(F.col("_day") - 1 + o, F.lit(YEAR)) + 1))
 
 
 def nearest_mmdd(catalog: DataFrame, wanted: str | DataFrame, max_days: int | None = 7, keys=("model", "var", "pct")) -> DataFrame:

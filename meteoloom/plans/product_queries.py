@@ -268,7 +268,10 @@ def climatology_smoothed(spark, sf_dir):
 
 @query(f"""WITH {HIND}, d AS (SELECT model, lead_ix, lon, value, CAST(dayofyear(('2000' || strftime(init_date, '-%m-%d'))::DATE) AS INT) AS sd FROM hind),
 pool AS (SELECT model, lead_ix, lon, ((sd - 1 + o + 366) % 366) + 1 AS doy, value FROM d CROSS JOIN (SELECT CAST(range AS INT) AS o FROM range(-15, 16))),
-r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY model, lead_ix, lon, doy ORDER BY value NULLS LAST) AS n, COUNT(*) OVER (PARTITION BY model, lead_ix, lon, doy) AS c FROM pool)
+own AS (SELECT model, sd, MIN(m) AS m FROM (SELECT model, init_date, CAST(dayofyear(('2000' || strftime(init_date, '-%m-%d'))::DATE) AS INT) AS sd, MAX(lead_ix) + 1 AS m FROM hind GROUP BY 1, 2, 3) GROUP BY 1, 2),
+short AS (SELECT model, ((sd - 1 + o + 366) % 366) + 1 AS doy, MIN(m) AS least_ FROM own CROSS JOIN (SELECT CAST(range AS INT) AS o FROM range(-15, 16)) GROUP BY 1, 2),
+r AS (SELECT pool.*, ROW_NUMBER() OVER (PARTITION BY model, lead_ix, lon, doy ORDER BY value NULLS LAST) AS n, COUNT(*) OVER (PARTITION BY model, lead_ix, lon, doy) AS c
+  FROM pool JOIN short USING (model, doy) WHERE lead_ix < least_)
 SELECT model, lead_ix, lon, CAST(doy AS INT) AS doy, strftime(DATE '1999-12-31' + CAST(doy AS INT), '%m%d') AS mmdd, value AS threshold FROM r WHERE n = CAST(round_even(0.95 * (c - 1), 0) AS BIGINT) + 1""")
 def thresholds_p95(spark, sf_dir):
     """J15, A3, D5, D6."""
