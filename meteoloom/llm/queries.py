@@ -64,7 +64,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_sharding": OP1_SQL, "op4_mixing": OP4_SQL}
+    return {"op1_sharding": OP1_SQL, "op2_secrets": op2_sql(), "op3_suffix_tree_dedup": OP3_SQL, "op4_mixing": OP4_SQL, "op9_suffix_array_dedup": OP9_SQL}
 
 
 OP1_SQL = "SELECT doc_id, source, lang, CAST(strlen(text) AS BIGINT) AS n_bytes, sha256(text) AS text_sha256 FROM documents"
@@ -82,3 +82,42 @@ p AS (SELECT *, CAST(GREATEST(0, round_even(target - whole * source_size, 0)) AS
 c AS (SELECT d.*, p.source_size, p.target, p.whole, p.part, COALESCE(SUM(size) OVER (PARTITION BY d.source ORDER BY k, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS run
   FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source)
 SELECT doc_id, size, source_size, ROUND(target, 6) AS target, CAST(whole * size + GREATEST(0, LEAST(size, part - run)) AS BIGINT) AS taken, source FROM c"""
+
+
+def op2_sql() -> str:
+    """Spans from the lengths of matches and of the gaps between them, rule by rule."""
+    parts = []
+    for o, r in enumerate(secrets.RULES):
+        pat = "'" + r.pattern.replace("'", "''") + "'"
+        m, g, k = f"regexp_extract_all(t, {pat})", f"string_split_regex(t, {pat})", f"regexp_extract_all(t, {pat}, {r.group})"
+        parts.append(
+            f"(SELECT list_filter(list_transform(range(1, len(m) + 1), lambda i: {{'s': list_sum(list_transform(g[1:i], lambda x: length(x))) + COALESCE(list_sum(list_transform(m[1:i-1], lambda x: length(x))), 0), "
+            f"'o': {o}, 'n': length(m[i]), 'k': length(k[i])}}), lambda x: x.k >= {r.least}) FROM (SELECT {m} AS m, {g} AS g, {k} AS k))"
+        )
+    kinds = "[" + ", ".join(f"'{r.kind}'" for r in secrets.RULES) + "]"
+    text = lambda x: f"COALESCE(array_to_string(list_transform({x}, lambda x: {kinds}[x.o + 1] || ':' || CAST(x.s AS BIGINT) || ':' || CAST(x.s + x.n AS BIGINT)), ','), '')"
+    n = ", ".join(f"CAST(len(list_filter(f, lambda x: x.o = {o})) AS BIGINT) AS n_{r.kind}" for o, r in enumerate(secrets.BASE))
+    base = text(f"list_filter(f, lambda x: x.o < {len(secrets.BASE)})")
+    return f"WITH d AS (SELECT doc_id, COALESCE(text, '') AS t FROM documents), r AS (SELECT doc_id, list_sort(list_concat({', '.join(parts[:2])})) AS a, " + ", ".join(f"{x} AS r{i}" for i, x in enumerate(parts[2:])) + f" FROM d), s AS (SELECT doc_id, list_sort(a || {' || '.join(f'r{i}' for i in range(len(parts) - 2))}) AS f FROM r) SELECT doc_id, {n}, sha256({base}) AS base_sha256, {text('f')} AS spans FROM s"
+
+
+OP3_SQL = r"""WITH w AS (SELECT doc_id, regexp_extract_all(COALESCE(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+win AS (SELECT doc_id, unnest(list_transform(range(0, len(ws) - 19), lambda s: {'s': s, 'k': md5(array_to_string(ws[s + 1 : s + 20], ' '))})) AS x FROM w WHERE len(ws) >= 20),
+f AS (SELECT x.k AS k, MIN({'d': doc_id, 's': x.s}) AS first_ FROM win GROUP BY 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(x.s, x.s + 20)) AS p FROM win JOIN f ON f.k = win.x.k WHERE {'d': doc_id, 's': x.s} > first_),
+words AS (SELECT doc_id, unnest(ws) AS word, unnest(range(0, len(ws))) AS p FROM w),
+kept AS (SELECT words.doc_id, COUNT(gone.p) AS n_removed, string_agg(word, ' ' ORDER BY words.p) FILTER (gone.p IS NULL) AS kept FROM words LEFT JOIN gone ON gone.doc_id = words.doc_id AND gone.p = words.p GROUP BY 1)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, COALESCE(n_removed, 0) AS n_removed, sha256(COALESCE(kept, '')) AS kept_sha256 FROM w LEFT JOIN kept USING (doc_id)"""
+
+# Bytes as pairs of hexadecimal digits.
+OP9_SQL = r"""WITH d AS (SELECT doc_id, hex(encode(COALESCE(text, ''))) AS h FROM documents),
+blk AS (SELECT doc_id, o, h[2 * o + 1 : 2 * o + 2098] AS p FROM (SELECT doc_id, h, unnest(range(0, CAST(strlen(h) / 2 AS BIGINT) - 49, 1000)) AS o FROM d)),
+win AS (SELECT doc_id, unnest(list_transform(range(0, LEAST(1000, CAST(strlen(p) / 2 AS BIGINT) - 49)), lambda i: {'s': o + i, 'k': md5(p[2 * i + 1 : 2 * i + 100])})) AS x FROM blk),
+f AS (SELECT x.k AS k, MIN(doc_id) AS first_ FROM win GROUP BY 1),
+late AS (SELECT doc_id, x.s AS s FROM win JOIN f ON f.k = win.x.k WHERE doc_id > first_),
+island AS (SELECT doc_id, s, SUM(CASE WHEN s <= prev + 50 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY s) AS g FROM (SELECT *, LAG(s) OVER (PARTITION BY doc_id ORDER BY s) AS prev FROM late)),
+cut AS (SELECT doc_id, MIN(s) AS a, MAX(s) + 50 AS b FROM island GROUP BY doc_id, g),
+per AS (SELECT doc_id, COUNT(*) AS n_spans, CAST(SUM(b - a) AS BIGINT) AS n_removed, list_sort(list({'a': a, 'b': b})) AS spans FROM cut GROUP BY 1)
+SELECT d.doc_id, CAST(strlen(h) / 2 AS BIGINT) AS n_bytes, COALESCE(n_removed, 0) AS n_removed, COALESCE(n_spans, 0) AS n_spans,
+sha256(unhex(CASE WHEN spans IS NULL THEN h ELSE array_to_string(list_transform(range(0, len(spans) + 1), lambda i: h[2 * CAST(CASE WHEN i = 0 THEN 0 ELSE spans[i].b END AS BIGINT) + 1 : CASE WHEN i = len(spans) THEN strlen(h) ELSE 2 * spans[i + 1].a END]), '') END)) AS kept_sha256
+FROM d LEFT JOIN per USING (doc_id)"""
