@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 
 import numpy as np
@@ -56,10 +57,13 @@ def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of finished jobs.
 
     Spark removes them once the driver's garbage collector has dropped their handles, which on
-    a quiet driver may take half an hour; between large steps that would pile up disk.
+    a quiet driver may take half an hour; between large steps that would pile up disk. The
+    plan of the last job is only dropped after a first collection, hence two.
     """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.2)
 
 
 def ascii_lower(col: Column) -> Column:

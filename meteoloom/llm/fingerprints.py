@@ -109,8 +109,9 @@ def edited_fingerprints(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     sizes = held.select("doc_id", quarter.alias("_q"))
     wanted = order.join(sizes, "doc_id").select(F.col("doc_id").alias("_for"), F.col("next_id").alias("_of"), "_q").where("_q > 0")
     texts = held.repartition("doc_id")
-    heads = wanted.join(texts, wanted["_of"] == texts["doc_id"]).select("_for", "_q", F.expr("left(text, _q)").alias("_head"))
-    heads = materialize(heads, "fingerprint-heads")  # lets go of the first text shuffle before the second
+    heads = F.expr("left(text, _q)").alias("_head")
+    # Written with nothing else holding its plan, so that this text shuffle goes before the next.
+    heads = materialize(wanted.join(texts, wanted["_of"] == texts["doc_id"]).select("_for", "_q", heads), "fingerprint-heads")
     both = texts.join(heads, texts["doc_id"] == heads["_for"], "left")
     changed = F.concat(F.expr("left(text, char_length(text) - _q)"), F.col("_head"))
     both = both.select("doc_id", "text", F.coalesce(F.when(F.col("_q") > 0, changed), F.col("text")).alias("edited"))
