@@ -176,10 +176,11 @@ def _parity(spark, sf_dir):
     return ct.parity(c.where("model <> 'G-M1'").withColumn("schema", F.col("var")), c.where("model <> 'G-M2'").withColumn("schema", odd))
 
 
-@query(_PAR + " SELECT * FROM par")
+@query(_PAR + " SELECT model, var, init_date, presence, CASE WHEN schema_ok THEN 'same' WHEN NOT schema_ok THEN 'other' ELSE 'unknown' END AS \"schema\" FROM par")
 def parity(spark, sf_dir):
     """J11."""
-    return _parity(spark, sf_dir)
+    schema = F.when(F.col("schema_ok"), "same").when(~F.col("schema_ok"), "other").otherwise("unknown")
+    return _parity(spark, sf_dir).select("model", "var", "init_date", "presence", schema.alias("schema"))
 
 
 @query(_PAR + """ SELECT COUNT(*) FILTER (presence = 'both') AS "both", COUNT(*) FILTER (presence = 'primary_only') AS primary_only, COUNT(*) FILTER (presence = 'shadow_only') AS shadow_only,
