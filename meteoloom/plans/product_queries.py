@@ -161,7 +161,7 @@ def shortest_mme(spark, sf_dir):
 
 @query(f"""WITH {CUBE}, k AS (SELECT model, var, init_date, lead_ix, ROW_NUMBER() OVER (PARTITION BY model, var ORDER BY lead_ix) - 1 AS ix FROM
   (SELECT DISTINCT model, var, init_date, lead_ix FROM cube WHERE lead_ix % 3 <> 1))
-SELECT model, var, CAST(ix AS INT) AS lead_ix, lead_ix + 0.5 AS lead_days, COUNT(*) AS n FROM cube JOIN k USING (model, var, init_date, lead_ix) GROUP BY 1, 2, 3, 4""")
+SELECT model, var, CAST(ix AS INT) AS lead_ix, CAST(lead_ix + 0.5 AS DOUBLE) AS lead_days, COUNT(*) AS n FROM cube JOIN k USING (model, var, init_date, lead_ix) GROUP BY 1, 2, 3, 4""")
 def lead_positions(spark, sf_dir):
     """W3."""
     c = cube(spark, sf_dir).where("lead_ix % 3 <> 1").withColumn("lead_days", F.col("lead_ix") + 0.5)
