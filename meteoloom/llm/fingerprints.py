@@ -13,8 +13,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD
-
 SAMPLES = 32
 #: Hex digits kept of each sample.
 DIGITS = 4

@@ -110,22 +110,22 @@ class Batch:
         owner = owner[order]
         return owner[start] != owner[end - 1] if len(start) else np.zeros(0, bool)
 
-    def ranges(self, bits: int) -> np.ndarray:
-        """Where the distinct seeds of each hash bucket begin (and the last ends)."""
-        edges = np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits)
-        return np.concatenate([[0], np.searchsorted(self.distinct, edges), [len(self.distinct)]])
+    def ranges(self, bits: int) -> tuple[np.ndarray, np.ndarray]:
+        """The hash buckets that the distinct seeds fall in, and where each begins (and the last ends)."""
+        own = (self.distinct >> np.uint64(64 - bits)).astype(np.int64)
+        first = np.flatnonzero(np.diff(own, prepend=-1))
+        return own[first], np.append(first, len(own))
 
 
 def _sent(spec: Windows, bits: int):
     def send(key: tuple, table: pa.Table) -> pa.Table:
         batch = Batch(table, spec)
-        at = batch.ranges(bits)
+        buckets, at = batch.ranges(bits)
         short = ((batch.distinct >> np.uint64(32 - bits)) & _MASK).astype("<u4")
-        full = np.flatnonzero(np.diff(at))
         return pa.table({
-            "batch": pa.array([key[0].as_py()] * len(full), pa.int32()),
-            "bucket": pa.array(full, pa.int32()),
-            "seeds": pa.array([short[at[b] : at[b + 1]].tobytes() for b in full], pa.binary()),
+            "batch": pa.array([key[0].as_py()] * len(buckets), pa.int32()),
+            "bucket": pa.array(buckets, pa.int32()),
+            "seeds": pa.array([short[i:j].tobytes() for i, j in zip(at[:-1], at[1:], strict=True)], pa.binary()),
         })
 
     return send
@@ -154,8 +154,8 @@ _CONTEXT = "h long, batch int, doc long, s int, n int, context binary"
 def _contexts(spec: Windows, bits: int):
     def cut(key: tuple, docs: pa.Table, answers: pa.Table) -> pa.Table:
         batch = Batch(docs, spec)
-        at, repeats = batch.ranges(bits), batch.local()
-        for b, own in zip(answers.column("bucket").to_pylist(), answers.column("bits"), strict=True):
+        (buckets, at), repeats = batch.ranges(bits), batch.local()
+        for b, own in zip(np.searchsorted(buckets, answers.column("bucket").to_numpy()), answers.column("bits"), strict=True):
             lo, hi = at[b], at[b + 1]
             repeats[lo:hi] |= np.unpackbits(np.frombuffer(own.as_py(), np.uint8), count=hi - lo).view(bool)
         chosen, done = repeats[batch.inverse], 0
@@ -291,7 +291,7 @@ def batched(docs: DataFrame) -> tuple[DataFrame, int]:
 
 def repeated_runs(docs: DataFrame, total: int, spec: Windows, hot: int = HOT) -> DataFrame:
     """Runs (batch, doc, first, last) of window starts whose window also occurs earlier."""
-    bits = max(4, int(total * spec.density * 2 / (spec.length - spec.seed + 2) / BUCKET_SEEDS).bit_length())
+    bits = min(30, max(4, int(total * spec.density * 2 / (spec.length - spec.seed + 2) / BUCKET_SEEDS).bit_length()))
     sent = materialize(docs.groupBy("batch").applyInArrow(_sent(spec, bits), "batch int, bucket int, seeds binary"), f"{spec.name}-seeds")
     answers = materialize(sent.groupBy("bucket").applyInArrow(_answer, "batch int, bucket int, bits binary"), f"{spec.name}-answers")
     discard(sent)

@@ -64,7 +64,7 @@ class ShardStore:
     # -------------------------------------------------------------- shards
 
     def _described(self, folder: str, tier, born: int) -> DataFrame:
-        """Manifest rows of the files under ``folder``: their rows, and bytes of text they hold."""
+        """Manifest rows of the files under ``folder``: rows and bytes of each."""
         files = self.spark.read.parquet(folder).select("_metadata.file_path", "_metadata.file_size")
         per = files.groupBy(F.col("file_path").alias("path"), F.col("file_size").alias("bytes")).agg(F.count("*").alias("rows"))
         return per.select("path", tier(F.col("bytes")).cast("int").alias("tier"), "rows", "bytes", F.lit(born).cast("long").alias("born"))
@@ -86,7 +86,7 @@ class ShardStore:
         return not any(s.isDirectory() or s.getPath().getName().endswith(".parquet") for s in self._fs.listStatus(self._path(folder)))
 
     def plan(self, version: int | None = None) -> DataFrame:
-        """Runs to merge: path, bin (the merged file), to_tier. Empty when nothing is due.
+        """Runs to merge: path, bin (the merged file) and bytes. Empty when nothing is due.
 
         A tier is due with ``fanin`` or more shards below the target. Its shards, oldest first,
         are cut into runs of about the target size; a run of a single shard stays as it is.
