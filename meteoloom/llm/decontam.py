@@ -81,30 +81,36 @@ def tile(item: np.ndarray, doc: np.ndarray, least: int = TILE) -> list[tuple[int
 
 
 def _item_seeds(items: DataFrame, k: int) -> DataFrame:
-    """item_id, h, n: the distinct seeds of each item (all words if it has fewer) and its length."""
+    """item_id, h, at, n: every seed of each item, the word at which it starts, and the item's length."""
 
     def seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, hs, ns = [], [], []
+            ids, hs, ats, ns = [], [], [], []
             for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 own = token_hashes(text)
                 if len(own) >= k:
-                    h = np.unique(Rolling(own).grams(k)).view(np.int64)
+                    h = Rolling(own).grams(k).view(np.int64)
                     ids += [item] * len(h)
                     hs += h.tolist()
+                    ats += range(len(h))
                     ns += [len(own)] * len(h)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(hs, pa.int64()), pa.array(ns, pa.int32())], ["item_id", "h", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(hs, pa.int64()), pa.array(ats, pa.int32()), pa.array(ns, pa.int32())], ["item_id", "h", "at", "n"])
 
-    return items.select("item_id", "text").mapInArrow(seeds, "item_id long, h long, n int")
+    return items.select("item_id", "text").mapInArrow(seeds, "item_id long, h long, at int, n int")
 
 
-def _needed(n, k: int, coverage: float, least: int):
-    """Fewest distinct seeds that tiles covering ``coverage`` of n words can have.
+def _coverable(item: np.ndarray, at: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Items, the index of a row of each, and how many of its words lie in the seeds starting at ``at``.
 
-    A tile of length t >= least has t - k + 1 seeds, at least the share (least - k + 1) / least
-    of its words; seeds that repeat inside the item are allowed for by a factor of two.
+    Every word of a tile of k words or more lies in such a seed, so tiles can't cover more.
     """
-    return np.maximum(1, np.floor(coverage * n * (least - k + 1) / least / 2)).astype(np.int64)
+    order = np.lexsort((at, item))
+    item, at = item[order], at[order]
+    step = np.full(len(at), k, np.int64)
+    same = item[1:] == item[:-1]
+    step[:-1][same] = np.minimum(k, at[1:] - at[:-1])[same]
+    first = np.flatnonzero(np.concatenate([[True], ~same]))
+    return item[first], order[first], np.add.reduceat(step, first)
 
 
 def contaminated_pairs(docs: DataFrame, items: DataFrame, coverage: float = COVERAGE, least: int = TILE, broadcast_seeds: int = BROADCAST_SEEDS) -> DataFrame:
@@ -119,9 +125,9 @@ def contaminated_pairs(docs: DataFrame, items: DataFrame, coverage: float = COVE
     items = items.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id is not null").dropDuplicates(["item_id"])
     seeds = _item_seeds(items, SEED)
     if seeds.limit(broadcast_seeds + 1).count() <= broadcast_seeds:
-        pairs = _pairs_broadcast(docs, seeds, coverage, least)
+        pairs = _pairs_broadcast(docs, seeds, coverage)
     else:
-        pairs = _pairs_shuffled(docs, seeds, coverage, least)
+        pairs = _pairs_shuffled(docs, seeds, coverage)
     texts = items.select(F.col("item_id").alias("_item"), F.col("text").alias("item_text"))
     joined = pairs.join(texts, F.col("item_id") == F.col("_item")).select("doc_id", "item_id", "text", "item_text")
 
@@ -144,16 +150,16 @@ def contaminated_pairs(docs: DataFrame, items: DataFrame, coverage: float = COVE
     return joined.mapInPandas(check, "doc_id long, item_id long, item_words int, covered int, coverage double, tiles int")
 
 
-def _pairs_broadcast(docs: DataFrame, seeds: DataFrame, coverage: float, least: int) -> DataFrame:
+def _pairs_broadcast(docs: DataFrame, seeds: DataFrame, coverage: float) -> DataFrame:
     """Candidate pairs with the document's text; the seeds of all items fit the stated bound."""
     got = seeds.toArrow()
     h = got.column("h").to_numpy().view(np.uint64)
     order = np.argsort(h, kind="stable")
-    item, n = got.column("item_id").to_numpy()[order], got.column("n").to_numpy()[order]
-    shared = docs.sparkSession.sparkContext.broadcast((h[order], item, n))
+    item, at, n = (got.column(c).to_numpy()[order] for c in ("item_id", "at", "n"))
+    shared = docs.sparkSession.sparkContext.broadcast((h[order], item, at, n))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, items, sizes = shared.value
+        keys, items, starts, sizes = shared.value
         for batch in batches:
             at, found = [], []
             for row, text in enumerate(batch.column(1)):
@@ -167,8 +173,8 @@ def _pairs_broadcast(docs: DataFrame, seeds: DataFrame, coverage: float, least:
                     continue
                 lo, hi = np.searchsorted(keys, hit), np.searchsorted(keys, hit, "right")
                 ix = np.concatenate([np.arange(a, b) for a, b in zip(lo, hi, strict=True)])
-                who, first, count = np.unique(items[ix], return_index=True, return_counts=True)
-                who = who[count >= _needed(sizes[ix][first], SEED, coverage, least)]
+                who, row_of, words = _coverable(items[ix], starts[ix], SEED)
+                who = who[words >= coverage * sizes[ix][row_of]]
                 at += [row] * len(who)
                 found += who.tolist()
             if at:
@@ -178,7 +184,7 @@ def _pairs_broadcast(docs: DataFrame, seeds: DataFrame, coverage: float, least:
     return docs.mapInArrow(scan, "doc_id long, item_id long, text string")
 
 
-def _pairs_shuffled(docs: DataFrame, seeds: DataFrame, coverage: float, least: int) -> DataFrame:
+def _pairs_shuffled(docs: DataFrame, seeds: DataFrame, coverage: float) -> DataFrame:
     """The same for a benchmark of any size: distinct seeds of each document meet by a join."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,9 +199,9 @@ def _pairs_shuffled(docs: DataFrame, seeds: DataFrame, coverage: float, least: i
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(ids)), pa.array(np.concatenate(hs))], ["doc_id", "_h"])
 
     own = docs.mapInArrow(scan, "doc_id long, _h long")
-    hits = own.join(seeds, own["_h"] == seeds["h"]).groupBy("doc_id", "item_id").agg(F.countDistinct("h").alias("k"), F.max("n").alias("n"))
-    need = F.greatest(F.lit(1.0), F.floor(F.col("n") * coverage * (least - SEED + 1) / least / 2))
-    hits = hits.where(F.col("k") >= need).select(F.col("doc_id").alias("_doc"), "item_id")
+    hits = own.join(seeds, own["_h"] == seeds["h"]).groupBy("doc_id", "item_id").agg(F.sort_array(F.collect_set("at")).alias("at"), F.max("n").alias("n"))
+    words = F.expr(f"aggregate(zip_with(slice(at, 2, size(at) - 1), slice(at, 1, size(at) - 1), (b, a) -> least({SEED}, b - a)), {SEED}, (s, x) -> s + x)")
+    hits = hits.where(words >= F.col("n") * F.lit(float(coverage))).select(F.col("doc_id").alias("_doc"), "item_id")
     return docs.join(hits, docs["doc_id"] == hits["_doc"]).select("doc_id", "item_id", "text")
 
 

@@ -260,6 +260,18 @@ def test_decontamination(spark, none):
     assert decontam.contaminated_pairs(frame(spark, data), table.limit(0)).count() == 0
 
 
+def test_repetitive_items_are_found(spark):
+    """Items of few distinct seeds: a refrain, and a repeated line after other words."""
+    line = "la li lu le lo"
+    items = [(1, " ".join([line] * 12)), (2, "once upon a time there was " + " ".join(["no more no less"] * 20))]
+    data = [(1, "before " + items[0][1] + " after"), (2, items[1][1]), (3, line + " and nothing else of it")]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    for bound in (1 << 20, 3):
+        got = sorted((r["doc_id"], r["item_id"], r["coverage"]) for r in decontam.contaminated_pairs(frame(spark, data), table, broadcast_seeds=bound).collect())
+        assert got == [(1, 1, 1.0), (2, 2, 1.0)]
+    assert [r["doc_id"] for r in decontam.drop_contaminated(frame(spark, data), table).collect()] == [3]
+
+
 def test_tiles_do_not_overlap():
     rng = np.random.default_rng(4)
     for _ in range(40):
