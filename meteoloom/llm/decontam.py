@@ -1,6 +1,7 @@
 """Benchmark decontamination by greedy string tiling.
 
-Documents and benchmark items are joined on shared seeds (runs of ``SEED`` words); each pair
+Documents and benchmark items are joined on shared seeds (runs of ``SEED`` words, or the whole
+of a shorter item); each pair
 that shares enough of them is tiled: the longest common runs of unmarked words are marked
 first, found by running Karp-Rabin hashes of a length that shrinks to ``TILE``. The share of
 the item's words under tiles is the coverage. Tiles may come in any order, so a passage whose
@@ -80,35 +81,47 @@ def tile(item: np.ndarray, doc: np.ndarray, least: int = TILE) -> list[tuple[int
         size = max(least, size // 2)
 
 
-def _item_seeds(items: DataFrame, k: int) -> DataFrame:
-    """item_id, h, at, n: every seed of each item, the word at which it starts, and the item's length."""
+def _item_seeds(items: DataFrame, longest: int) -> DataFrame:
+    """item_id, h, at, n, k: every seed of each item, its first word, the item's length and the seed's.
+
+    A seed has ``longest`` words, or all words of an item that has fewer. Seeds of different
+    lengths have different hashes.
+    """
 
     def seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, hs, ats, ns = [], [], [], []
+            ids, hs, ats, ns, ks = [], [], [], [], []
             for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 own = token_hashes(text)
-                if len(own) >= k:
-                    h = Rolling(own).grams(k).view(np.int64)
+                k = min(longest, len(own))
+                if k:
+                    h = _grams(own, k).view(np.int64)
                     ids += [item] * len(h)
                     hs += h.tolist()
                     ats += range(len(h))
                     ns += [len(own)] * len(h)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(hs, pa.int64()), pa.array(ats, pa.int32()), pa.array(ns, pa.int32())], ["item_id", "h", "at", "n"])
+                    ks += [k] * len(h)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(hs, pa.int64()), pa.array(ats, pa.int32()), pa.array(ns, pa.int32()), pa.array(ks, pa.int32())], ["item_id", "h", "at", "n", "k"])
+
+    return items.select("item_id", "text").mapInArrow(seeds, "item_id long, h long, at int, n int, k int")
+
 
-    return items.select("item_id", "text").mapInArrow(seeds, "item_id long, h long, at int, n int")
+def _grams(words: np.ndarray, k: int) -> np.ndarray:
+    """Hashes of the runs of k words; runs of other lengths hash apart."""
+    return Rolling(words).grams(k) ^ np.uint64(k)
 
 
-def _coverable(item: np.ndarray, at: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _coverable(item: np.ndarray, at: np.ndarray, k: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Items, the index of a row of each, and how many of its words lie in the seeds starting at ``at``.
 
-    Every word of a tile of k words or more lies in such a seed, so tiles can't cover more.
+    ``k`` is the seeds' length, the same for all rows of an item. Every word of a tile of k words
+    or more lies in such a seed, so tiles can't cover more.
     """
     order = np.lexsort((at, item))
     item, at = item[order], at[order]
-    step = np.full(len(at), k, np.int64)
+    step = k[order].astype(np.int64)
     same = item[1:] == item[:-1]
-    step[:-1][same] = np.minimum(k, at[1:] - at[:-1])[same]
+    step[:-1][same] = np.minimum(step[:-1], at[1:] - at[:-1])[same]
     first = np.flatnonzero(np.concatenate([[True], ~same]))
     return item[first], order[first], np.add.reduceat(step, first)
 
@@ -116,14 +129,14 @@ def _coverable(item: np.ndarray, at: np.ndarray, k: int) -> tuple[np.ndarray, np
 def contaminated_pairs(docs: DataFrame, items: DataFrame, coverage: float = COVERAGE, least: int = TILE, broadcast_seeds: int = BROADCAST_SEEDS) -> DataFrame:
     """doc_id, item_id, item_words, covered, coverage, tiles: the pairs that reach ``coverage``.
 
-    Null texts count as empty; items of fewer than ``SEED`` words are not looked for. Repeated
-    rows and copies are each reported. Rows with a null doc_id or item_id take no part in the
+    Null texts count as empty; items without a word are not looked for. Repeated rows and copies
+    are each reported. Rows with a null doc_id or item_id take no part in the
     report. Other columns are ignored.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
     items = items.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id is not null").dropDuplicates(["item_id"])
-    seeds = _item_seeds(items, SEED)
+    seeds = _item_seeds(items, max(1, min(SEED, least)))
     if seeds.limit(broadcast_seeds + 1).count() <= broadcast_seeds:
         pairs = _pairs_broadcast(docs, seeds, coverage)
     else:
@@ -155,26 +168,27 @@ def _pairs_broadcast(docs: DataFrame, seeds: DataFrame, coverage: float) -> Data
     got = seeds.toArrow()
     h = got.column("h").to_numpy().view(np.uint64)
     order = np.argsort(h, kind="stable")
-    item, at, n = (got.column(c).to_numpy()[order] for c in ("item_id", "at", "n"))
-    shared = docs.sparkSession.sparkContext.broadcast((h[order], item, at, n))
+    item, at, n, k = (got.column(c).to_numpy()[order] for c in ("item_id", "at", "n", "k"))
+    sizes = np.unique(k).tolist()
+    shared = docs.sparkSession.sparkContext.broadcast((h[order], item, at, n, k))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, items, starts, sizes = shared.value
+        keys, items, starts, lengths, spans = shared.value
         for batch in batches:
             at, found = [], []
             for row, text in enumerate(batch.column(1)):
                 own = token_hashes(text.as_py())
-                if len(own) < SEED or not len(keys):
+                if not len(own) or not len(keys):
                     continue
-                grams = Rolling(own).grams(SEED)
+                grams = np.concatenate([_grams(own, k) for k in sizes])
                 lo = np.minimum(np.searchsorted(keys, grams), len(keys) - 1)
                 hit = np.unique(grams[keys[lo] == grams])
                 if not len(hit):
                     continue
                 lo, hi = np.searchsorted(keys, hit), np.searchsorted(keys, hit, "right")
                 ix = np.concatenate([np.arange(a, b) for a, b in zip(lo, hi, strict=True)])
-                who, row_of, words = _coverable(items[ix], starts[ix], SEED)
-                who = who[words >= coverage * sizes[ix][row_of]]
+                who, row_of, words = _coverable(items[ix], starts[ix], spans[ix])
+                who = who[words >= coverage * lengths[ix][row_of]]
                 at += [row] * len(who)
                 found += who.tolist()
             if at:
@@ -186,21 +200,22 @@ def _pairs_broadcast(docs: DataFrame, seeds: DataFrame, coverage: float) -> Data
 
 def _pairs_shuffled(docs: DataFrame, seeds: DataFrame, coverage: float) -> DataFrame:
     """The same for a benchmark of any size: distinct seeds of each document meet by a join."""
+    sizes = sorted(r["k"] for r in seeds.select("k").distinct().collect())  # at most SEED numbers
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, hs = [], []
             for d, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 own = token_hashes(text.as_py())
-                h = np.unique(Rolling(own).grams(SEED)).view(np.int64)
+                h = np.unique(np.concatenate([np.zeros(0, np.uint64), *(_grams(own, k) for k in sizes)])).view(np.int64)
                 ids.append(np.full(len(h), d, np.int64))
                 hs.append(h)
             if ids:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(ids)), pa.array(np.concatenate(hs))], ["doc_id", "_h"])
 
     own = docs.mapInArrow(scan, "doc_id long, _h long")
-    hits = own.join(seeds, own["_h"] == seeds["h"]).groupBy("doc_id", "item_id").agg(F.sort_array(F.collect_set("at")).alias("at"), F.max("n").alias("n"))
-    words = F.expr(f"aggregate(zip_with(slice(at, 2, size(at) - 1), slice(at, 1, size(at) - 1), (b, a) -> least({SEED}, b - a)), {SEED}, (s, x) -> s + x)")
+    hits = own.join(seeds, own["_h"] == seeds["h"]).groupBy("doc_id", "item_id").agg(F.sort_array(F.collect_set("at")).alias("at"), F.max("n").alias("n"), F.max("k").alias("k"))
+    words = F.expr("aggregate(zip_with(slice(at, 2, size(at) - 1), slice(at, 1, size(at) - 1), (b, a) -> least(k, b - a)), k, (s, x) -> s + x)")
     hits = hits.where(words >= F.col("n") * F.lit(float(coverage))).select(F.col("doc_id").alias("_doc"), "item_id")
     return docs.join(hits, docs["doc_id"] == hits["_doc"]).select("doc_id", "item_id", "text")
 

@@ -272,6 +272,18 @@ def test_repetitive_items_are_found(spark):
     assert [r["doc_id"] for r in decontam.drop_contaminated(frame(spark, data), table).collect()] == [3]
 
 
+def test_short_items_are_found(spark):
+    """Items of one, two and three words, and tiles shorter than a seed."""
+    items = [(1, "Zyzzyva"), (2, "blue moon"), (3, "ask me anything"), (4, ""), (5, "p q r s t u")]
+    data = [(1, "a zyzzyva b"), (2, "zyzzyva"), (3, "once in a BLUE\nmoon"), (4, "moon blue ask me not anything"), (5, "ask me anything"), (6, None), (7, "p q r x s t u")]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    for bound in (1 << 20, 3):
+        got = sorted((r["doc_id"], r["item_id"]) for r in decontam.contaminated_pairs(frame(spark, data), table, broadcast_seeds=bound).collect())
+        assert got == [(1, 1), (2, 1), (3, 2), (5, 3)]
+        got = sorted((r["doc_id"], r["item_id"]) for r in decontam.contaminated_pairs(frame(spark, data), table, least=3, broadcast_seeds=bound).collect())
+        assert got == [(1, 1), (2, 1), (3, 2), (5, 3), (7, 5)]
+
+
 def test_tiles_do_not_overlap():
     rng = np.random.default_rng(4)
     for _ in range(40):
