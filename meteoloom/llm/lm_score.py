@@ -6,9 +6,10 @@ corpus frequency, so log P(word | window) = log P(class | window) + log P(word |
 document's score is the sum over all its tokens.
 
 Words are hashed to 65,536 buckets, which stand for the vocabulary. Bucket counts cover every
-token of the corpus. Training covers every document: each block of about a million tokens
+token of the corpus. Training covers every token: each block of about a million tokens
 (the rest of a task is a smaller one) starts from the current parameters, trains on the masked
-positions of the block (one in ``MASK``, other ones in each round), and hands back its
+positions of the block (one in ``MASK``, other ones in each of as many rounds, so that every
+position is masked once), and hands back its
 parameters; the token-weighted mean over all blocks is the next state. What is gathered thus
 grows with the corpus, while the model that is broadcast has a fixed size.
 """
@@ -31,8 +32,8 @@ INPUTS = 4096
 DIM = 16
 HIDDEN = 32
 WINDOW = (-2, -1, 1, 2)
-MASK = 8
-ROUNDS = 2
+MASK = 2
+ROUNDS = MASK
 BLOCK = 1 << 20
 BATCH = 1024
 _PIECE = 2048
@@ -80,11 +81,22 @@ class Vocabulary:
         self.prior = np.log(prior / prior.sum()).astype(np.float32)
 
 
-def windows(ids: np.ndarray, vocab: Vocabulary) -> np.ndarray:
-    """Input rows around each token (n x 4)."""
+def masked(ids: np.ndarray, turn: int) -> np.ndarray:
+    """The places that are masked in round ``turn``: over ``MASK`` rounds each place once.
+
+    They depend on the word, its place and the length, so reruns agree.
+    """
+    place = mix(np.arange(len(ids), dtype=np.uint64) * np.uint64(2654435761) + ids.astype(np.uint64) + np.uint64(len(ids)))
+    return np.flatnonzero(place % np.uint64(MASK) == np.uint64(turn % MASK))
+
+
+def windows(ids: np.ndarray, vocab: Vocabulary, at: np.ndarray | None = None) -> np.ndarray:
+    """Input rows around each token, or those at the places ``at`` (n x 4)."""
     n, reach = len(ids), max(map(abs, WINDOW))
     padded = np.zeros(n + 2 * reach, np.int64)
     padded[reach : reach + n] = vocab.row[ids]
+    if at is not None:
+        return padded[at[:, None] + (reach + np.array(WINDOW))]
     return np.stack([padded[reach + o : reach + o + n] for o in WINDOW], axis=1)
 
 
@@ -180,11 +192,9 @@ def train(docs: DataFrame, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray
             for block in _blocks(batches):
                 xs, ys, total = [], [], 0
                 for ids in block:
-                    # Masked places depend on the word, its place and the length, so reruns agree.
-                    place = mix(np.arange(len(ids), dtype=np.uint64) * np.uint64(2654435761) + ids.astype(np.uint64) + np.uint64(len(ids)))
-                    pick = np.flatnonzero(place % np.uint64(MASK) == np.uint64(turn % MASK))
+                    pick = masked(ids, turn)
                     if len(pick):
-                        xs.append(windows(ids, vocab)[pick])
+                        xs.append(windows(ids, vocab, pick))
                         ys.append(vocab.cls[ids[pick]])
                     total += len(ids)
                 if not xs:

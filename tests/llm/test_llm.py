@@ -403,6 +403,13 @@ def test_lm_scores(spark, none, docs, rows):
     assert lm_score.lm_scores(none).count() == 0
 
 
+def test_lm_training_masks_every_place_once():
+    rng = np.random.default_rng(1)
+    for n in (1, 2, 7, 500):
+        ids = rng.integers(0, lm_score.BUCKETS, n)
+        assert sorted(np.concatenate([lm_score.masked(ids, turn) for turn in range(lm_score.ROUNDS)])) == list(range(n))
+
+
 def test_lm_probabilities_sum_to_one():
     counts = np.random.default_rng(0).integers(0, 50, lm_score.BUCKETS).astype(float)
     v = lm_score.Vocabulary(counts)
