@@ -5,13 +5,20 @@ through one hidden layer to a softmax over word classes, and a class gives its w
 corpus frequency, so log P(word | window) = log P(class | window) + log P(word | class). A
 document's score is the sum over all its tokens.
 
-Words are hashed to 65,536 buckets, which stand for the vocabulary. Bucket counts cover every
-token of the corpus. Training covers every token: each block of about a million tokens
+Every distinct word of the corpus is counted, by its 64-bit hash, in a table that grows with the
+corpus. The ``OWN`` most frequent words are classes of their own. The others are put into
+classes by the words beside them: each class is a distribution over which of the ``FEATURES``
+most frequent words stand to the left and right, fitted by hard expectation maximisation over
+all words of the table (started on the most frequent ``FIRST``); words never seen beside one of
+those form the last class. The ``BUCKETS`` most frequent words (the listed ones) are broadcast
+with class and count; the other words of a document get theirs by a join with the table.
+
+Training covers every token: each block of about a million tokens
 (the rest of a task is a smaller one) starts from the current parameters, trains on the masked
 positions of the block (one in ``MASK``, other ones in each of as many rounds, so that every
 position is masked once), and hands back its
 parameters; the token-weighted mean over all blocks is the next state. What is gathered thus
-grows with the corpus, while the model that is broadcast has a fixed size.
+grows with the corpus, while the network and the list that are broadcast have a fixed size.
 """
 
 from __future__ import annotations
@@ -23,11 +30,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, mix, word_hashes
+from .common import as_bytes, discard, materialize, mix, word_hashes
 
-BUCKETS = 1 << 16
-OWN = 96
+BUCKETS = 1 << 18
+OWN = 64
 CLASSES = 128
+#: Classes found from contexts; the last class holds the words that have none.
+FOUND = CLASSES - OWN - 1
+FEATURES = 64
+FIRST = 8192
 INPUTS = 4096
 DIM = 16
 HIDDEN = 32
@@ -42,7 +53,8 @@ _SIZE = sum(int(np.prod(s)) for s in _SHAPES)
 
 
 def tokens(text: str | None) -> np.ndarray:
-    return (word_hashes(as_bytes(text))[0] % np.uint64(BUCKETS)).astype(np.int64)
+    """The words' hashes."""
+    return word_hashes(as_bytes(text))[0].view(np.int64)
 
 
 def _split(flat: np.ndarray) -> list[np.ndarray]:
@@ -65,20 +77,28 @@ def start(seed: int = 11) -> np.ndarray:
 
 
 class Vocabulary:
-    """From bucket counts: each bucket's class, input row and log P(word | class)."""
+    """Class, input row and log P(word | class) of the listed words, from counts and classes.
 
-    def __init__(self, counts: np.ndarray):
+    Entry len(counts) + c stands for any word of class c that isn't listed; log(count + 0.5) has
+    to be added to its ``base``. ``mass`` is the sum of count + 0.5 over all words of each class.
+    Without classes, words are dealt to them by rank (where expectation maximisation starts).
+    """
+
+    def __init__(self, counts: np.ndarray, cls: np.ndarray | None = None, mass: np.ndarray | None = None):
         order = np.argsort(-counts, kind="stable")
-        rank = np.empty(BUCKETS, np.int64)
-        rank[order] = np.arange(BUCKETS)
-        self.cls = np.where(rank < OWN, rank, OWN + rank % (CLASSES - OWN)).astype(np.int64)
-        half = INPUTS // 2
-        # Row 0 stands for a place outside the document.
-        self.row = np.where(rank < half - 1, rank + 1, half + rank % half).astype(np.int64)
+        rank = np.empty(len(counts), np.int64)
+        rank[order] = np.arange(len(counts))
+        self.cls = np.where(rank < OWN, rank, OWN + rank % (CLASSES - OWN)) if cls is None else cls.astype(np.int64)
         smooth = counts + 0.5
-        self.word = (np.log(smooth) - np.log(np.bincount(self.cls, smooth, minlength=CLASSES))[self.cls]).astype(np.float32)
-        prior = np.bincount(self.cls, smooth, minlength=CLASSES)
-        self.prior = np.log(prior / prior.sum()).astype(np.float32)
+        mass = np.bincount(self.cls, smooth, minlength=CLASSES) if mass is None else mass
+        mass = np.maximum(mass, 0.5)
+        self.word = (np.log(smooth) - np.log(mass)[self.cls]).astype(np.float32)
+        self.prior = np.log(mass / mass.sum()).astype(np.float32)
+        # Row 0 stands for a place outside the document, the last rows for classes.
+        by_class = INPUTS - CLASSES
+        self.row = np.concatenate([np.where(rank < by_class - 1, rank + 1, by_class + self.cls), by_class + np.arange(CLASSES)])
+        self.target = np.concatenate([self.cls, np.arange(CLASSES)])
+        self.base = np.concatenate([self.word, -np.log(mass).astype(np.float32)])
 
 
 def masked(ids: np.ndarray, turn: int) -> np.ndarray:
@@ -136,22 +156,24 @@ def train_block(flat: np.ndarray, x: np.ndarray, y: np.ndarray, rate: float = 0.
 
 
 def log_likelihood(flat: np.ndarray, vocab: Vocabulary, ids: np.ndarray) -> np.ndarray:
-    """log P of each token given the tokens around it."""
-    parts, x, y = _split(flat), windows(ids, vocab), vocab.cls[ids]
+    """log P of each token given the tokens around it, but for log(count + 0.5) of unlisted words."""
+    parts, x, y = _split(flat), windows(ids, vocab), vocab.target[ids]
     out = np.empty(len(ids), np.float64)
     for lo in range(0, len(ids), 8192):
         _, _, z, _, total = _forward(parts, x[lo : lo + 8192])
         yb = y[lo : lo + 8192]
         out[lo : lo + 8192] = z[np.arange(len(yb)), yb] - np.log(total[:, 0])
-    return out + vocab.word[ids]
+    return out + vocab.base[ids]
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
-    """Token ids of documents, in blocks of about BLOCK tokens; a longer document is a block."""
+def _blocks(batches: Iterator[pa.RecordBatch], read=lambda cell: tokens(cell.as_py())) -> Iterator[list[np.ndarray]]:
+    """Tokens of documents, in blocks of about BLOCK tokens; a longer document is a block."""
     held, n = [], 0
     for batch in batches:
-        for t in batch.column(0):
-            ids = tokens(t.as_py())
+        for cell in batch.column(0):
+            ids = read(cell)
+            if not len(ids):
+                continue
             held.append(ids)
             n += len(ids)
             if n >= BLOCK:
@@ -161,41 +183,245 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
         yield held
 
 
-def bucket_counts(docs: DataFrame) -> np.ndarray:
-    """How often each bucket occurs in all texts (65,536 numbers)."""
+def _table(**columns: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns.values()], list(columns))
+
+
+class _Lookup:
+    """Positions of hashes in a list of distinct ones (-1: not in it)."""
+
+    def __init__(self, hashes: np.ndarray):
+        self.at = np.argsort(hashes)
+        self.keys = hashes[self.at]
+
+    def __call__(self, h: np.ndarray) -> np.ndarray:
+        if not len(self.keys):
+            return np.full(len(h), -1, np.int64)
+        lo = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
+        return np.where(self.keys[lo] == h, self.at[lo], -1)
+
+
+def word_counts(docs: DataFrame) -> DataFrame:
+    """h, n: how often each word occurs in all texts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in _blocks(batches):
-            n = np.bincount(np.concatenate(block), minlength=BUCKETS)
-            at = np.flatnonzero(n)
-            yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(n[at].astype(np.int64))], ["bucket", "n"])
-
-    rows = docs.select("text").mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
-    got = rows.toArrow()  # at most one row for each bucket
-    out = np.zeros(BUCKETS, np.float64)
-    out[got.column(0).to_numpy()] = got.column(1).to_numpy()
+            h, n = np.unique(np.concatenate(block), return_counts=True)
+            yield _table(h=h, n=n.astype(np.int64))
+
+    return docs.select("text").mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+
+
+def _most_frequent(words: DataFrame, most: int) -> int:
+    """The least count such that at most ``most`` words reach it."""
+    hist = words.groupBy("n").count().toArrow()
+    n, k = hist.column(0).to_numpy(), hist.column(1).to_numpy()
+    order = np.argsort(-n)
+    fit = np.cumsum(k[order]) <= most
+    return int(n[order][fit].min()) if fit.any() else int(n.max(initial=0)) + 1
+
+
+def _by_rank(words: DataFrame, least: int) -> dict[str, np.ndarray]:
+    """The columns of the words that occur ``least`` times, most frequent first."""
+    got = words.where(F.col("n") >= least).toArrow()
+    n, h = got.column("n").to_numpy(), got.column("h").to_numpy()
+    order = np.lexsort((h, -n))
+    return {c: got.column(c).take(pa.array(order)) if c == "c" else got.column(c).to_numpy()[order] for c in got.column_names}
+
+
+def contexts(docs: DataFrame, features: np.ndarray) -> DataFrame:
+    """h, c: how often each word has each of the ``features`` (hashes) to its left or right."""
+    width = 2 * FEATURES
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        look = _Lookup(features)
+        for block in _blocks(batches):
+            h = np.concatenate(block)
+            code = look(h)
+            ends = np.cumsum([len(b) for b in block])
+            left, right = np.roll(code, 1), np.roll(code, -1)
+            left[np.concatenate([[0], ends[:-1]])] = -1
+            right[ends - 1] = -1
+            words, at = np.unique(h, return_inverse=True)
+            key = np.concatenate([(at * width + left)[left >= 0], (at * width + FEATURES + right)[right >= 0]])
+            key, n = np.unique(key, return_counts=True)
+            yield _table(h=words[key // width], f=(key % width).astype(np.int32), n=n.astype(np.int64))
+
+    rows = docs.select("text").mapInArrow(pairs, "h long, f int, n long").repartition("h")
+    return rows.groupBy("h", "f").agg(F.sum("n").alias("n")).groupBy("h").agg(F.collect_list(F.struct("f", "n")).alias("c"))
+
+
+def _flat(column: pa.ListArray) -> tuple[np.ndarray, ...]:
+    """Lengths of the lists and the fields of all their structs."""
+    size = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    return size, *(x.to_numpy(zero_copy_only=False) for x in column.flatten().flatten())
+
+
+def _closest(theta: np.ndarray, size: np.ndarray, f: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """For each word the class (of FOUND) that gives its contexts the highest likelihood; -1: no contexts."""
+    out = np.full(len(size), -1, np.int64)
+    some = np.flatnonzero(size)
+    if len(some):
+        first = np.cumsum(size)[some] - size[some]
+        out[some] = np.add.reduceat(np.log(theta).T[f] * n[:, None], first, axis=0).argmax(axis=1)
     return out
 
 
-def train(docs: DataFrame, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
-    """Parameters and bucket counts learnt from all of ``docs``."""
+def _shares(sums: np.ndarray) -> np.ndarray:
+    return ((sums + 0.1) / (sums + 0.1).sum(axis=1, keepdims=True)).astype(np.float32)
+
+
+def _sums(cls: np.ndarray, size: np.ndarray, f: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Context counts of each class."""
+    key = np.repeat(cls, size) * 2 * FEATURES + f
+    return np.bincount(key, n, minlength=FOUND * 2 * FEATURES).reshape(FOUND, -1)
+
+
+def lexicon(docs: DataFrame) -> DataFrame:
+    """h, n, cls: count and class of every word of ``docs``."""
+    words = materialize(word_counts(docs), "lm-words")
+    top = _by_rank(words, _most_frequent(words, FIRST + OWN))
+    own = top["h"][:OWN]
+    seen = materialize(words.join(contexts(docs, top["h"][:FEATURES]), "h", "left"), "lm-contexts")
+    discard(words)
+    first = _by_rank(seen, int(top["n"][-1]) if len(top["n"]) else 1)
+    size, f, n = _flat(first["c"].combine_chunks() if isinstance(first["c"], pa.ChunkedArray) else first["c"])
+    cls = np.arange(len(size)) % FOUND
+    for _ in range(20):
+        theta = _shares(_sums(cls, size, f, n))
+        cls = np.maximum(_closest(theta, size, f, n), 0)
+    width = 2 * FEATURES
+    for _ in range(2):  # now over all words
+
+        def gather(batches: Iterator[pa.RecordBatch], theta=theta) -> Iterator[pa.RecordBatch]:
+            sums = np.zeros((FOUND, width))
+            for batch in batches:
+                size, f, n = _flat(batch.column(0))
+                sums += _sums(np.maximum(_closest(theta, size, f, n), 0), size, f, n)
+            at = np.flatnonzero(sums)
+            yield _table(at=at.astype(np.int32), s=sums.ravel()[at].astype(np.int64))
+
+        got = seen.select("c").mapInArrow(gather, "at int, s long").groupBy("at").agg(F.sum("s").alias("s")).toArrow()
+        sums = np.zeros(FOUND * width)
+        sums[got.column(0).to_numpy()] = got.column(1).to_numpy()
+        theta = _shares(sums.reshape(FOUND, width))
+
+    def assign(batches: Iterator[pa.RecordBatch], theta=theta) -> Iterator[pa.RecordBatch]:
+        look = _Lookup(own)
+        for batch in batches:
+            h = batch.column(0).to_numpy()
+            found, rank = _closest(theta, *_flat(batch.column(2))), look(h)
+            cls = np.where(rank >= 0, rank, np.where(found >= 0, OWN + found, CLASSES - 1))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(cls.astype(np.int32))], ["h", "n", "cls"])
+
+    out = materialize(seen.select("h", "n", "c").mapInArrow(assign, "h long, n long, cls int"), "lm-lexicon")
+    discard(seen)
+    return out
+
+
+def encode(docs: DataFrame, listed: np.ndarray, rest: DataFrame) -> DataFrame:
+    """doc_id, ids, rare: each text's entries (32-bit) and the sum of log(count + 0.5) of its unlisted words.
+
+    ``rest`` is the lexicon of the unlisted words; a word that isn't in it either has count 0 and
+    the last class.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(listed)
+    # Copies of a text have keys of their own, so that no key is frequent.
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("key", F.xxhash64("doc_id", "text"))
+
+    def missing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        look = _Lookup(shared.value)
+        for batch in batches:
+            keys, hs = [], []
+            for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                own = tokens(text.as_py())
+                own = np.unique(own[look(own) < 0])
+                keys.append(np.full(len(own), key, np.int64))
+                hs.append(own)
+            if keys:
+                yield _table(key=np.concatenate(keys), h=np.concatenate(hs))
+
+    found = docs.select("key", "text").mapInArrow(missing, "key long, h long").distinct().join(rest, "h")
+    lists = found.groupBy("key").agg(F.collect_list(F.struct("h", "cls", "n")).alias("w"))
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        look = _Lookup(shared.value)
+        n_listed = len(shared.value)
+        for whole in batches:
+            for lo in range(0, whole.num_rows, 256):
+                batch = whole.slice(lo, 256)
+                size, h, cls, n = _flat(batch.column(2))
+                end = np.cumsum(size)
+                ids, rare = [], []
+                for text, a, b in zip(batch.column(1), end - size, end, strict=True):
+                    own = tokens(text.as_py())
+                    at = look(own)
+                    rest_at = np.flatnonzero(at < 0)
+                    if len(rest_at):
+                        here = _Lookup(h[a:b])(own[rest_at])
+                        known = here >= 0
+                        at[rest_at] = n_listed + np.where(known, np.append(cls[a:b], 0)[here], CLASSES - 1)
+                        rare.append(float(np.log(np.where(known, np.append(n[a:b], 0)[here], 0) + 0.5).sum()))
+                    else:
+                        rare.append(0.0)
+                    ids.append(at.astype(np.int32).tobytes())
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary()), pa.array(rare, pa.float64())], ["doc_id", "ids", "rare"])
+
+    return docs.join(lists, "key", "left").select("doc_id", "text", "w").mapInArrow(fill, "doc_id long, ids binary, rare double")
+
+
+def _entries(cell) -> np.ndarray:
+    return np.frombuffer(cell.as_buffer(), np.int32).astype(np.int64)
+
+
+class Model:
+    """Network parameters, listed words (hash, count, class), class masses and the table of the rest."""
+
+    def __init__(self, words: DataFrame):
+        least = _most_frequent(words, BUCKETS)
+        top = _by_rank(words, least)
+        self.listed, self.counts, self.cls = top["h"], top["n"].astype(np.float64), top["cls"]
+        got = words.groupBy("cls").agg(F.sum(F.col("n") + F.lit(0.5)).alias("m")).toArrow()
+        self.mass = np.zeros(CLASSES)
+        self.mass[got.column(0).to_numpy()] = got.column(1).to_numpy()
+        self.rest = words.where(F.col("n") < least)
+        self.flat = start()
+        _split(self.flat)[4][:] = self.vocabulary().prior
+
+    def vocabulary(self) -> Vocabulary:
+        return Vocabulary(self.counts, self.cls, self.mass)
+
+    def __getitem__(self, at: int):
+        return (self.flat, self.counts)[at]
+
+    def encode(self, docs: DataFrame) -> DataFrame:
+        return encode(docs, self.listed, self.rest)
+
+
+def train(docs: DataFrame, rounds: int = ROUNDS) -> Model:
+    """The model learnt from all of ``docs``."""
+    return _train(docs, rounds)[0]
+
+
+def _train(docs: DataFrame, rounds: int = ROUNDS) -> tuple[Model, DataFrame]:
+    """The model, and ``docs`` as encoded for it."""
     spark = docs.sparkSession
-    counts = bucket_counts(docs)
-    flat = start()
-    _split(flat)[4][:] = Vocabulary(counts).prior
+    model = Model(lexicon(docs))
+    coded = materialize(model.encode(docs), "lm-coded")
+    flat = model.flat
     for turn in range(rounds):
-        shared = spark.sparkContext.broadcast((flat, counts))
+        shared = spark.sparkContext.broadcast((flat, model.counts, model.cls, model.mass))
 
         def learn(batches: Iterator[pa.RecordBatch], turn=turn, shared=shared) -> Iterator[pa.RecordBatch]:
-            base, seen = shared.value
-            vocab = Vocabulary(seen)
-            for block in _blocks(batches):
+            base, *words = shared.value
+            vocab = Vocabulary(*words)
+            for block in _blocks(batches, _entries):
                 xs, ys, total = [], [], 0
                 for ids in block:
                     pick = masked(ids, turn)
                     if len(pick):
                         xs.append(windows(ids, vocab, pick))
-                        ys.append(vocab.cls[ids[pick]])
+                        ys.append(vocab.target[ids[pick]])
                     total += len(ids)
                 if not xs:
                     continue
@@ -203,7 +429,7 @@ def train(docs: DataFrame, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray
                 pieces = [new[lo : lo + _PIECE] for lo in range(0, _SIZE, _PIECE)]
                 yield pa.RecordBatch.from_arrays([pa.array(range(len(pieces)), pa.int32()), pa.array([total] * len(pieces), pa.int64()), pa.array([p.tolist() for p in pieces], pa.list_(pa.float32()))], ["piece", "n", "w"])
 
-        rows = docs.select("text").mapInArrow(learn, "piece int, n long, w array<float>")
+        rows = coded.select("ids").mapInArrow(learn, "piece int, n long, w array<float>")
         each = rows.select("piece", "n", F.posexplode("w").alias("at", "w"))
         # Sums of whole numbers, so that the order in which blocks come doesn't matter.
         mean = each.groupBy("piece", "at").agg(F.sum(F.round(F.col("w").cast("double") * 1e6).cast("long") * F.col("n")).alias("s"), F.sum("n").alias("n"))
@@ -212,30 +438,35 @@ def train(docs: DataFrame, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray
             flat = flat.copy()
             flat[got.column(0).to_numpy()] = got.column(1).to_numpy()
         shared.unpersist()
-    return flat, counts
+    model.flat = flat
+    return model, coded
 
 
-def lm_scores(docs: DataFrame, model: tuple[np.ndarray, np.ndarray] | None = None) -> DataFrame:
+def lm_scores(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """doc_id, n_tokens, log_likelihood (sum) and mean_log_likelihood for every row of ``docs``.
 
     A text without a word (null and empty ones too) has sum 0 and a null mean. Repeated rows
     score alike; other columns are ignored. The model is learnt from ``docs`` if none is given.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model or train(docs))
+    if model is None:
+        model, coded = _train(docs)
+    else:
+        coded = model.encode(docs)
+    shared = docs.sparkSession.sparkContext.broadcast((model.flat, model.counts, model.cls, model.mass))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flat, counts = shared.value
-        vocab = Vocabulary(counts)
+        flat, *words = shared.value
+        vocab = Vocabulary(*words)
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
                 n, s = [], []
-                for t in part.column(1):
-                    ids = tokens(t.as_py())
+                for cell, rare in zip(part.column(1), part.column(2).to_pylist(), strict=True):
+                    ids = _entries(cell)
                     n.append(len(ids))
-                    s.append(float(log_likelihood(flat, vocab, ids).sum()) if len(ids) else 0.0)
+                    s.append(float(log_likelihood(flat, vocab, ids).sum()) + rare if len(ids) else 0.0)
                 mean = [b / a if a else None for a, b in zip(n, s, strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(s, pa.float64()), pa.array(mean, pa.float64())], ["doc_id", "n_tokens", "log_likelihood", "mean_log_likelihood"])
 
     schema = "doc_id long, n_tokens long, log_likelihood double, mean_log_likelihood double"
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(score, schema)
+    return coded.select("doc_id", "ids", "rare").mapInArrow(score, schema)

@@ -403,6 +403,37 @@ def test_lm_scores(spark, none, docs, rows):
     assert lm_score.lm_scores(none).count() == 0
 
 
+def test_lm_words_have_their_own_counts_and_classes_of_context(spark, monkeypatch):
+    """Of many rare words each keeps its count, and words in like contexts share classes."""
+    monkeypatch.setattr(lm_score, "BUCKETS", 300)
+    rng = random.Random(8)
+    frames = [[f"{side}{k}{j}" for j in range(32)] for k in range(2) for side in "ab"]
+    data, kind = [], {}
+    for i in range(400):
+        t = []
+        for _ in range(60):
+            k = rng.randrange(2)
+            w = f"w{k}_{rng.randrange(800)}"
+            kind[w] = k
+            t += [rng.choice(frames[2 * k]), w, rng.choice(frames[2 * k + 1])]
+        data.append((i, " ".join(t)))
+    docs = frame(spark, data)
+    got = {r["h"]: r for r in lm_score.lexicon(docs).collect()}
+    want = collections.Counter(w for _, t in data for w in SPLIT(t))
+    of = lambda w: int(lm_score.tokens(w)[0])
+    assert len(got) == len(want) and all(got[of(w)]["n"] == n for w, n in want.items())
+    votes = collections.defaultdict(collections.Counter)
+    for w, k in kind.items():
+        votes[got[of(w)]["cls"]][k] += 1
+    assert sum(max(v.values()) for v in votes.values()) >= 0.9 * len(kind)
+    model = lm_score.train(docs)
+    assert len(model.listed) <= 300
+    whole = np.exp(model.vocabulary().word).sum() + sum((r["n"] + 0.5) / model.mass[r["cls"]] for r in model.rest.collect())
+    assert abs(whole - len(np.flatnonzero(model.mass))) < 1e-3
+    scores = lm_score.lm_scores(docs, model).collect()
+    assert len(scores) == 400 and all(r["n_tokens"] == 180 and r["log_likelihood"] < 0 for r in scores)
+
+
 def test_lm_training_masks_every_place_once():
     rng = np.random.default_rng(1)
     for n in (1, 2, 7, 500):
