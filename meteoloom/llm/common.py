@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
-import time
 import uuid
 
 import numpy as np
@@ -20,50 +18,48 @@ WORD = r"[^\x20\x09-\x0D]+"
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir`` of the session.
 
-    Only where that is unset (a local session, as in tests) a temporary folder is made and set.
+    Only a local session (as in tests) may leave that unset; a temporary folder is then made and
+    set. Elsewhere executors would not see the driver's folder, so this raises.
     """
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="meteoloom-")
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
 
 
-def materialize(df: DataFrame, name: str, free: bool = True) -> DataFrame:
+#: Spark deletes a query's shuffle files as soon as the query is done.
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def materialize(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back, which cuts its lineage.
 
-    The files are as durable as the shared store, so a lost executor costs nothing. With
-    ``free`` the shuffle files of the finished job are let go.
+    The files are as durable as the shared store, so a lost executor costs nothing. The shuffle
+    files of the finished job are let go. With ``by`` the table is partitioned by that column.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    schema = df.schema
-    del df
-    if free:
-        release(spark)
-    return spark.read.schema(schema).parquet(path)
-
-
-def discard(df: DataFrame) -> None:
-    """Delete the files of a table that ``materialize`` wrote, once nothing reads it any more."""
-    spark = df.sparkSession
-    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    before = spark.conf.get(_CLEAN, "false")
+    spark.conf.set(_CLEAN, "true")
+    try:
+        out = df.write.option("compression", "zstd")
+        (out.partitionBy(by) if by else out).parquet(path)
+    finally:
+        spark.conf.set(_CLEAN, before)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored._stored_at = path
+    return stored
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of finished jobs.
-
-    Spark removes them once the driver's garbage collector has dropped their handles, which on
-    a quiet driver may take half an hour; between large steps that would pile up disk. The
-    plan of the last job is only dropped after a first collection, hence two.
-    """
-    for _ in range(2):
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(0.2)
+def discard(*tables: DataFrame) -> None:
+    """Delete the files of tables that ``materialize`` returned, once nothing reads them any more."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._stored_at)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def ascii_lower(col: Column) -> Column:
@@ -165,16 +161,3 @@ def sliding(values: np.ndarray, w: int, least: bool) -> np.ndarray:
     if span < w:
         out = f(out[: len(out) - (w - span)], out[w - span :])
     return out
-
-
-def winnow(hashes: np.ndarray, w: int) -> np.ndarray:
-    """Positions that are the minimum of some w consecutive hashes (all of them on ties).
-
-    Two sequences that share w + k - 1 symbols share the hashes of w k-grams, and so the k-gram
-    at the minimum of those is selected in both.
-    """
-    if len(hashes) < w:
-        return np.zeros(0, np.int64)
-    low = sliding(hashes, w, True)
-    pad = np.zeros(w - 1, hashes.dtype)
-    return np.flatnonzero(sliding(np.concatenate([pad, low, pad]), w, False) == hashes)

@@ -1,11 +1,16 @@
 """Benchmark decontamination by greedy string tiling.
 
 Documents and benchmark items are joined on shared seeds (runs of ``SEED`` words, or the whole
-of a shorter item); each pair
-that shares enough of them is tiled: the longest common runs of unmarked words are marked
-first, found by running Karp-Rabin hashes of a length that shrinks to ``TILE``. The share of
-the item's words under tiles is the coverage. Tiles may come in any order, so a passage whose
-sentences were moved about is still covered.
+of a shorter item). Every word of a tile lies in a shared seed, so a pair is tiled if the words
+under the seeds that it shares can reach the coverage; no pair that reaches it is left out.
+Tiling marks the longest common runs of unmarked words first, found by running Karp-Rabin hashes
+of a length that shrinks to ``TILE``. The share of the item's words under tiles is the coverage.
+Tiles may come in any order, so a passage whose sentences were moved about is still covered.
+
+A benchmark of up to ``BROADCAST_WORDS`` words is broadcast, and each text is looked through
+where it lies. A larger one meets the documents by shuffles on the seeds: each item keeps only
+its rarest seeds, so many that the others alone can't reach the coverage, which no common phrase
+can make frequent unless it is most of the item.
 """
 
 from __future__ import annotations
@@ -13,18 +18,17 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Rolling, as_bytes, word_hashes
+from .common import Rolling, as_bytes, materialize, word_hashes
 
 SEED = 4
 TILE = 5
 COVERAGE = 0.5
-#: Seeds of the benchmark that may be broadcast (16 bytes each); beyond, the join shuffles.
-BROADCAST_SEEDS = 1 << 20
+#: Words of the benchmark that may be broadcast (about 40 bytes each); beyond, the join shuffles.
+BROADCAST_WORDS = 1 << 20
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
@@ -81,41 +85,15 @@ def tile(item: np.ndarray, doc: np.ndarray, least: int = TILE) -> list[tuple[int
         size = max(least, size // 2)
 
 
-def _item_seeds(items: DataFrame, longest: int) -> DataFrame:
-    """item_id, h, at, n, k: every seed of each item, its first word, the item's length and the seed's.
-
-    A seed has ``longest`` words, or all words of an item that has fewer. Seeds of different
-    lengths have different hashes.
-    """
-
-    def seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, hs, ats, ns, ks = [], [], [], [], []
-            for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                own = token_hashes(text)
-                k = min(longest, len(own))
-                if k:
-                    h = _grams(own, k).view(np.int64)
-                    ids += [item] * len(h)
-                    hs += h.tolist()
-                    ats += range(len(h))
-                    ns += [len(own)] * len(h)
-                    ks += [k] * len(h)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(hs, pa.int64()), pa.array(ats, pa.int32()), pa.array(ns, pa.int32()), pa.array(ks, pa.int32())], ["item_id", "h", "at", "n", "k"])
-
-    return items.select("item_id", "text").mapInArrow(seeds, "item_id long, h long, at int, n int, k int")
-
-
 def _grams(words: np.ndarray, k: int) -> np.ndarray:
     """Hashes of the runs of k words; runs of other lengths hash apart."""
     return Rolling(words).grams(k) ^ np.uint64(k)
 
 
-def _coverable(item: np.ndarray, at: np.ndarray, k: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Items, the index of a row of each, and how many of its words lie in the seeds starting at ``at``.
+def _coverable(item: np.ndarray, at: np.ndarray, k: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Items, and how many words of each lie in the seeds of ``k`` words that start at ``at``.
 
-    ``k`` is the seeds' length, the same for all rows of an item. Every word of a tile of k words
-    or more lies in such a seed, so tiles can't cover more.
+    Every word of a tile of k words or more lies in such a seed, so tiles can't cover more.
     """
     order = np.lexsort((at, item))
     item, at = item[order], at[order]
@@ -123,104 +101,181 @@ def _coverable(item: np.ndarray, at: np.ndarray, k: np.ndarray) -> tuple[np.ndar
     same = item[1:] == item[:-1]
     step[:-1][same] = np.minimum(step[:-1], at[1:] - at[:-1])[same]
     first = np.flatnonzero(np.concatenate([[True], ~same]))
-    return item[first], order[first], np.add.reduceat(step, first)
+    return item[first], np.add.reduceat(step, first)
 
 
-def contaminated_pairs(docs: DataFrame, items: DataFrame, coverage: float = COVERAGE, least: int = TILE, broadcast_seeds: int = BROADCAST_SEEDS) -> DataFrame:
+def _item_words(items: DataFrame) -> DataFrame:
+    """item_id, words (64-bit hashes, binary), n: the items that hold a word, each id once."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [token_hashes(text.as_py()) for text in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([w.tobytes() for w in own], pa.binary()), pa.array([len(w) for w in own], pa.int64())], ["item_id", "words", "n"])
+
+    own = items.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id is not null")
+    once = own.groupBy("item_id").agg(F.min("text").alias("text"))
+    return once.mapInArrow(read, "item_id long, words binary, n long").where("n > 0")
+
+
+class Benchmark:
+    """Items with their seeds, sorted by hash."""
+
+    def __init__(self, ids: list[int], words: list[np.ndarray], coverage: float, least: int):
+        self.ids, self.words, self.coverage, self.least = ids, words, coverage, least
+        longest = max(1, min(SEED, least))
+        size = np.array([len(w) for w in words], np.int64)
+        seed = np.minimum(size, longest)
+        each = [_grams(w, int(k)) for w, k in zip(words, seed, strict=True)]
+        n = np.array([len(h) for h in each], np.int64)
+        h = np.concatenate([np.zeros(0, np.uint64), *each])
+        order = np.argsort(h, kind="stable")
+        item = np.repeat(np.arange(len(ids)), n)
+        at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        self.keys, self.item, self.at = h[order], item[order], at[order]
+        self.size, self.seed, self.lengths = size, seed, np.unique(seed).tolist()
+
+    def find(self, text: str | None) -> list[tuple[int, int, int, int]]:
+        """Item, its words, covered words and tiles, for each item whose coverage the text reaches."""
+        own = token_hashes(text)
+        if not len(own) or not len(self.keys):
+            return []
+        grams = np.concatenate([_grams(own, k) for k in self.lengths])
+        lo = np.minimum(np.searchsorted(self.keys, grams), len(self.keys) - 1)
+        hit = np.unique(grams[self.keys[lo] == grams])
+        if not len(hit):
+            return []
+        lo, hi = np.searchsorted(self.keys, hit), np.searchsorted(self.keys, hit, "right")
+        ix = np.repeat(lo - np.cumsum(hi - lo) + (hi - lo), hi - lo) + np.arange((hi - lo).sum())
+        who, words = _coverable(self.item[ix], self.at[ix], self.seed[self.item[ix]])
+        who = who[words >= self.coverage * self.size[who]]
+        return [r for i in who.tolist() if (r := covering(self.ids[i], self.words[i], own, self.coverage, self.least))]
+
+
+def covering(item_id: int, item: np.ndarray, doc: np.ndarray, coverage: float, least: int) -> tuple[int, int, int, int] | None:
+    tiles = tile(item, doc, least)
+    covered = sum(t[2] for t in tiles)
+    return (item_id, len(item), covered, len(tiles)) if covered >= coverage * len(item) else None
+
+
+def _benchmark(items: DataFrame, coverage: float, least: int, most: int) -> Benchmark | None:
+    """The items for the driver to broadcast; None if they have more than ``most`` words."""
+    words = _item_words(items)
+    if (words.agg(F.sum("n")).first()[0] or 0) > most:
+        return None
+    got = words.toArrow()
+    order = np.argsort(got.column("item_id").to_numpy())
+    ids, data = got.column("item_id").to_pylist(), got.column("words").to_pylist()
+    return Benchmark([ids[i] for i in order], [np.frombuffer(data[i], np.uint64) for i in order], coverage, least)
+
+
+_PAIRS = "doc_id long, item_id long, item_words int, covered int, coverage double, tiles int"
+
+
+def _pair_rows(ids: list, found: list[list[tuple[int, int, int, int]]]) -> pa.RecordBatch:
+    rows = [(d, i, n, c, c / n, t) for d, own in zip(ids, found, strict=True) for i, n, c, t in own]
+    cols = list(zip(*rows, strict=True)) or [()] * 6
+    types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.float64(), pa.int32())
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], [x.split()[0] for x in _PAIRS.split(", ")])
+
+
+def contaminated_pairs(docs: DataFrame, items: DataFrame, coverage: float = COVERAGE, least: int = TILE, broadcast_words: int = BROADCAST_WORDS) -> DataFrame:
     """doc_id, item_id, item_words, covered, coverage, tiles: the pairs that reach ``coverage``.
 
-    Null texts count as empty; items without a word are not looked for. Repeated rows and copies
-    are each reported. Rows with a null doc_id or item_id take no part in the
-    report. Other columns are ignored.
+    Null texts count as empty. Every row of ``docs`` is reported on its own, repeated ones and
+    those without a doc_id too (their doc_id is null). Items without an id or without a word are
+    not looked for; of items that share an id the one with the smallest text is. Other columns
+    are ignored.
     """
-    spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
-    items = items.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id is not null").dropDuplicates(["item_id"])
-    seeds = _item_seeds(items, max(1, min(SEED, least)))
-    if seeds.limit(broadcast_seeds + 1).count() <= broadcast_seeds:
-        pairs = _pairs_broadcast(docs, seeds, coverage)
-    else:
-        pairs = _pairs_shuffled(docs, seeds, coverage)
-    texts = items.select(F.col("item_id").alias("_item"), F.col("text").alias("item_text"))
-    joined = pairs.join(texts, F.col("item_id") == F.col("_item")).select("doc_id", "item_id", "text", "item_text")
-
-    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache: dict[int, np.ndarray] = {}
-        for pdf in batches:
-            rows = []
-            for d, i, text, item in pdf.itertuples(index=False):
-                if i not in cache:
-                    if len(cache) > 4096:
-                        cache.clear()
-                    cache[i] = token_hashes(item)
-                own = cache[i]
-                tiles = tile(own, token_hashes(text), least)
-                covered = sum(t[2] for t in tiles)
-                if covered >= coverage * len(own):
-                    rows.append((d, i, len(own), covered, covered / len(own), len(tiles)))
-            yield pd.DataFrame(rows, columns=["doc_id", "item_id", "item_words", "covered", "coverage", "tiles"]).astype({"coverage": float})
-
-    return joined.mapInPandas(check, "doc_id long, item_id long, item_words int, covered int, coverage double, tiles int")
-
-
-def _pairs_broadcast(docs: DataFrame, seeds: DataFrame, coverage: float) -> DataFrame:
-    """Candidate pairs with the document's text; the seeds of all items fit the stated bound."""
-    got = seeds.toArrow()
-    h = got.column("h").to_numpy().view(np.uint64)
-    order = np.argsort(h, kind="stable")
-    item, at, n, k = (got.column(c).to_numpy()[order] for c in ("item_id", "at", "n", "k"))
-    sizes = np.unique(k).tolist()
-    shared = docs.sparkSession.sparkContext.broadcast((h[order], item, at, n, k))
+    known = _benchmark(items, coverage, least, broadcast_words)
+    if known is None:
+        return _pairs_shuffled(docs, items, coverage, least).select(*[x.split()[0] for x in _PAIRS.split(", ")])
+    shared = docs.sparkSession.sparkContext.broadcast(known)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, items, starts, lengths, spans = shared.value
         for batch in batches:
-            at, found = [], []
-            for row, text in enumerate(batch.column(1)):
-                own = token_hashes(text.as_py())
-                if not len(own) or not len(keys):
-                    continue
-                grams = np.concatenate([_grams(own, k) for k in sizes])
-                lo = np.minimum(np.searchsorted(keys, grams), len(keys) - 1)
-                hit = np.unique(grams[keys[lo] == grams])
-                if not len(hit):
-                    continue
-                lo, hi = np.searchsorted(keys, hit), np.searchsorted(keys, hit, "right")
-                ix = np.concatenate([np.arange(a, b) for a, b in zip(lo, hi, strict=True)])
-                who, row_of, words = _coverable(items[ix], starts[ix], spans[ix])
-                who = who[words >= coverage * lengths[ix][row_of]]
-                at += [row] * len(who)
-                found += who.tolist()
-            if at:
-                take = pa.array(at, pa.int64())
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(take), pa.array(found, pa.int64()), batch.column(1).take(take)], ["doc_id", "item_id", "text"])
-
-    return docs.mapInArrow(scan, "doc_id long, item_id long, text string")
-
-
-def _pairs_shuffled(docs: DataFrame, seeds: DataFrame, coverage: float) -> DataFrame:
-    """The same for a benchmark of any size: distinct seeds of each document meet by a join."""
-    sizes = sorted(r["k"] for r in seeds.select("k").distinct().collect())  # at most SEED numbers
+            yield _pair_rows(batch.column(0).to_pylist(), [shared.value.find(text.as_py()) for text in batch.column(1)])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(scan, _PAIRS)
+
+
+def _rare_seeds(seeds: DataFrame, coverage: float) -> DataFrame:
+    """item_id, h: of each item's seeds (h, at, n, k, df) the rarest, so many that those left out cover too little."""
+
+    def choose(key: tuple, table: pa.Table) -> pa.Table:
+        h, at, n, k, df = (table.column(c).to_numpy() for c in ("h", "at", "n", "k", "df"))
+        # Whole hashes, the most frequent first.
+        order = np.lexsort((h, -df))
+        border = np.append(np.flatnonzero(np.concatenate([[True], h[order][1:] != h[order][:-1]])), len(h))
+        lo, hi = 0, len(border) - 1  # the greatest number of hashes that may be left out
+        while lo < hi:
+            mid = (lo + hi + 1) // 2
+            own = order[: border[mid]]
+            if _coverable(np.zeros(len(own), np.int64), at[own], k[own])[1][0] < coverage * n[0]:
+                lo = mid
+            else:
+                hi = mid - 1
+        kept = np.unique(h[order[border[lo] :]])
+        return pa.table({"item_id": pa.array([key[0].as_py()] * len(kept), pa.int64()), "h": pa.array(kept)})
+
+    return seeds.groupBy("item_id").applyInArrow(choose, "item_id long, h long")
+
+
+def _pairs_shuffled(docs: DataFrame, items: DataFrame, coverage: float, least: int) -> DataFrame:
+    """The pairs for a benchmark of any size, with the row's key ``key__``."""
+    words, longest = _item_words(items), max(1, min(SEED, least))
+
+    def seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for item, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                own = np.frombuffer(data, np.uint64)
+                k = min(longest, len(own))
+                h = _grams(own, k).view(np.int64)
+                m = len(h)
+                yield pa.RecordBatch.from_arrays([pa.array([item] * m, pa.int64()), pa.array(h), pa.array(np.arange(m, dtype=np.int32)), pa.array([len(own)] * m, pa.int32()), pa.array([k] * m, pa.int32())], ["item_id", "h", "at", "n", "k"])
+
+    of_items = words.select("item_id", "words").mapInArrow(seeds, "item_id long, h long, at int, n int, k int")
+    lengths = list(range(1, longest + 1))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, hs = [], []
-            for d, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            for key, text in zip(batch.column(0), batch.column(1), strict=True):
                 own = token_hashes(text.as_py())
-                h = np.unique(np.concatenate([np.zeros(0, np.uint64), *(_grams(own, k) for k in sizes)])).view(np.int64)
-                ids.append(np.full(len(h), d, np.int64))
-                hs.append(h)
-            if ids:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(ids)), pa.array(np.concatenate(hs))], ["doc_id", "_h"])
-
-    own = docs.mapInArrow(scan, "doc_id long, _h long")
-    hits = own.join(seeds, own["_h"] == seeds["h"]).groupBy("doc_id", "item_id").agg(F.sort_array(F.collect_set("at")).alias("at"), F.max("n").alias("n"), F.max("k").alias("k"))
-    words = F.expr("aggregate(zip_with(slice(at, 2, size(at) - 1), slice(at, 1, size(at) - 1), (b, a) -> least(k, b - a)), k, (s, x) -> s + x)")
-    hits = hits.where(words >= F.col("n") * F.lit(float(coverage))).select(F.col("doc_id").alias("_doc"), "item_id")
-    return docs.join(hits, docs["doc_id"] == hits["_doc"]).select("doc_id", "item_id", "text")
-
-
-def drop_contaminated(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """``docs`` without the documents that hold an item (rows with a null doc_id stay)."""
-    found = contaminated_pairs(docs, items, **options).select(F.col("doc_id").alias("id__")).distinct()
-    return docs.join(found, F.col("doc_id") == F.col("id__"), "left_anti")
+                h = np.unique(np.concatenate([np.zeros(0, np.uint64), *(_grams(own, k) for k in lengths)])).view(np.int64)
+                if len(h):
+                    yield pa.RecordBatch.from_arrays([pa.array([key.as_py()] * len(h), key.type), pa.array(h)], ["key__", "h"])
+
+    # Rows with the same doc_id and text are one until the end.
+    keyed = docs.select(F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("h")).alias("key__"), "text")
+    held = keyed.mapInArrow(scan, "key__ struct<doc_id:long,h:long>, h long")
+    held = materialize(held.join(of_items.select("h").distinct(), "h", "left_semi").distinct(), "decontam-held")
+    often = held.groupBy("h").agg(F.count("*").alias("df"))
+    rare = _rare_seeds(of_items.join(often, "h"), coverage)
+    pairs = held.join(rare, "h").select("key__", "item_id").distinct().join(words, "item_id")
+    wanted = pairs.groupBy("key__").agg(F.collect_list(F.struct("item_id", "words")).alias("items"))
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for key, text, own in zip(batch.column(0), batch.column(1), batch.column(2), strict=True):
+                doc = token_hashes(text.as_py())
+                found = [r for i in own.as_py() if (r := covering(i["item_id"], np.frombuffer(i["words"], np.uint64), doc, coverage, least))]
+                rows = _pair_rows([key.as_py()["doc_id"]], [found])
+                yield pa.RecordBatch.from_arrays([pa.array([key.as_py()] * rows.num_rows, key.type), *rows.columns], ["key__", *rows.schema.names])
+
+    joined = keyed.join(wanted, "key__").select("key__", "text", "items")
+    return joined.mapInArrow(check, "key__ struct<doc_id:long,h:long>, " + _PAIRS)
+
+
+def drop_contaminated(docs: DataFrame, items: DataFrame, coverage: float = COVERAGE, least: int = TILE, broadcast_words: int = BROADCAST_WORDS) -> DataFrame:
+    """``docs`` without the rows that hold an item, whatever their doc_id. Edge cases as in ``contaminated_pairs``."""
+    known = _benchmark(items, coverage, least, broadcast_words)
+    if known is None:
+        key = F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("h"))
+        found = _pairs_shuffled(docs, items, coverage, least).select(F.col("key__").alias("found__")).distinct()
+        return docs.join(found, key == F.col("found__"), "left_anti")
+    shared, at = docs.sparkSession.sparkContext.broadcast(known), docs.columns.index("text")
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array([not shared.value.find(text.as_py()) for text in batch.column(at)], pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)

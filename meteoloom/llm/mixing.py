@@ -67,10 +67,15 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = M
     ends gives only the words still wanted; with ``whole`` it counts fully if more than half of
     it is wanted, else not at all. Null texts have size 0, a null source is a source of its
     own, rows that repeat a doc_id are mixed each on their own, and ties in the order are
-    broken by doc_id and size. Other columns are ignored.
+    broken by doc_id, size and a hash of the text. Other columns are ignored.
     """
+    return _plan(docs, weights, max_epochs, seed, whole).drop("_h")
+
+
+def _plan(docs: DataFrame, weights: tuple[int, ...], max_epochs: int, seed: int, whole: bool) -> DataFrame:
+    """``mix`` and the hash of each row's text, ``_h``."""
     key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
-    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), key.alias("_key"))
+    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), F.xxhash64("text").alias("_h"), key.alias("_key"))
     sized = materialize(sized.withColumn("_bin", F.substring("_key", 1, 3)), "mix-sizes")
     targets = water_fill(weighted_sources(sized, weights), max_epochs=max_epochs)
     epochs = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
@@ -89,7 +94,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = M
 
     # Only the bin in which a source's target falls needs the order of its documents.
     cut = (F.col("_wanted") > 0) & (F.col("_wanted") < F.col("_size"))
-    inside = Window.partitionBy("source", "_bin", F.when(cut, F.lit(0)).otherwise(F.pmod(F.xxhash64("doc_id"), F.lit(4096)))).orderBy("_key", "doc_id", "size")
+    inside = Window.partitionBy("source", "_bin", F.when(cut, F.lit(0)).otherwise(F.pmod(F.xxhash64("doc_id"), F.lit(4096)))).orderBy("_key", "doc_id", "size", "_h")
     d = d.withColumn("_run", F.coalesce(F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     rest = F.greatest(F.lit(0), F.least(F.col("size"), F.col("_wanted") - F.col("_run")))
     if whole:
@@ -97,19 +102,24 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = M
     rest = F.when(F.col("_wanted") >= F.col("_size"), F.col("size")).when(cut, rest).otherwise(F.lit(0))
     d = d.withColumn("taken", (F.col("_whole") * F.col("size") + rest).cast("long"))
     copies = F.when(F.col("size") > 0, F.col("taken") / F.col("size")).otherwise(F.lit(0.0))
-    return d.select("doc_id", "source", "size", "source_size", "target", "taken", copies.alias("copies"))
+    return d.select("doc_id", "source", "size", "source_size", "target", "taken", copies.alias("copies"), "_h")
 
 
-def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: int = SEED) -> DataFrame:
     """The mix itself: every row of ``docs`` as often as the mix takes it, with all its columns.
 
-    Repetitions are whole documents here. Rows must have distinct doc_ids. Documents without a
-    word weigh nothing and are kept once.
+    Repetitions are whole documents here. Documents without a word weigh nothing and are kept
+    once. Rows with equal doc_id, source and text share what the mix takes of them evenly.
     """
-    plan = mix(docs, whole=True, **options).select(F.col("doc_id").alias("id__"), F.when(F.col("size") == 0, 1).otherwise(F.round("copies")).cast("int").alias("copies__"))
-    out = docs.join(plan, F.col("doc_id").eqNullSafe(F.col("id__")))
-    times = F.when(F.col("copies__") > 0, F.array_repeat(F.lit(1), F.col("copies__"))).otherwise(F.array().cast("array<int>"))
-    return out.withColumn("copy__", F.explode(times)).drop("id__", "copies__", "copy__")
+    each = F.when(F.col("size") == 0, 1).otherwise(F.round("copies")).cast("long")
+    plan = _plan(docs, weights, max_epochs, seed, True).groupBy(F.struct("doc_id", "source", "_h").alias("row__")).agg(F.sum(each).alias("copies__"), F.count("*").alias("rows__"))
+    keyed = docs.withColumn("key__", F.struct("doc_id", "source", F.xxhash64("text").alias("_h")))
+    out = keyed.join(plan, F.col("key__") == F.col("row__"))
+    # Copies left over by even shares go to the first of the equal rows.
+    nth = F.row_number().over(Window.partitionBy("row__").orderBy("row__"))
+    times = F.floor(F.col("copies__") / F.col("rows__")) + F.when(F.col("rows__") > 1, (nth <= F.col("copies__") % F.col("rows__")).cast("int")).otherwise(0)
+    out = out.withColumn("times__", times.cast("int")).where("times__ > 0")
+    return out.withColumn("copy__", F.explode(F.array_repeat(F.lit(1), F.col("times__")))).drop("key__", "row__", "copies__", "rows__", "times__", "copy__")
 
 
 def mix_digest(docs: DataFrame) -> DataFrame:

@@ -10,14 +10,16 @@ share. A window of L symbols holds L - k + 1 runs of k symbols; the one with the
    windows of this seed cover. Of equal contexts in a batch only the first travels; the windows
    of the later ones repeat it. Everything else is unique and travels no further.
 3. Contexts meet by seed. In a group, equal contexts count once, with their earliest place;
-   the suffixes at the window starts of the distinct ones are sorted, and windows are in one
-   class where neighbours share L symbols. Windows later than the first of their class go back
-   to their batch as runs.
-4. Seeds with more than ``hot`` contexts don't go to a group: their windows are hashed to 128
-   bits, reduced to the earliest place by a combined aggregation, and joined back.
-
-Texts travel three times, one shuffle at a time; a batch or group is a few MB, whatever the
-size of the corpus.
+   the suffixes at the window starts of the distinct ones are sorted by the operator's own
+   construction, which tells the windows that occur at an earlier place too. Those go back to
+   their batch as runs.
+4. Seeds with more than ``hot`` contexts don't fit a group and are split by the longest prefix
+   that matters, the window itself: of equal windows (their bytes are the key) a combined
+   aggregation keeps the earliest place, and a join marks the later ones.
+
+Hashes only choose what travels and where it meets; whether windows are equal is decided by
+their bytes. Texts travel three times, one shuffle at a time; a batch or group is a few MB,
+whatever the size of the corpus.
 """
 
 from __future__ import annotations
@@ -45,14 +47,16 @@ _MASK = np.uint64(0xFFFFFFFF)
 @dataclass(frozen=True)
 class Windows:
     """What counts as a window. ``symbols`` gives hashes, byte starts and byte ends of a text's
-    symbols; ``classes(symbols, starts, length)`` labels equal windows; ``within``: an earlier
+    symbols, ``names`` numbers that are equal only for equal symbols; ``later(names, starts, stop,
+    place, length)`` tells which windows also occur at a smaller place; ``within``: an earlier
     start in the same document counts too; ``density``: about how many symbols a byte has."""
 
     name: str
     length: int
     seed: int
     symbols: Callable
-    classes: Callable
+    names: Callable
+    later: Callable
     within: bool
     density: float
 
@@ -208,10 +212,9 @@ def _runs(batch: np.ndarray, doc: np.ndarray, at: np.ndarray, row: np.ndarray) -
     return pa.table({"batch": pa.array(batch[row[new]].astype(np.int32)), "doc": pa.array(doc[row[new]]), "first": pa.array(at[new].astype(np.int32)), "last": pa.array(at[end].astype(np.int32))})
 
 
-def _context_symbols(contexts: list[bytes], spec: Windows) -> np.ndarray:
-    """The symbols of contexts, end to end; a space keeps words apart."""
-    glue = b" " if spec.density < 1 else b""
-    return spec.symbols(np.frombuffer(glue.join(contexts), np.uint8))[0]
+def _joined(contexts: list[bytes], spec: Windows) -> np.ndarray:
+    """The bytes of contexts, end to end; a space keeps words apart."""
+    return np.frombuffer((b" " if spec.density < 1 else b"").join(contexts), np.uint8)
 
 
 def _later(spec: Windows):
@@ -230,48 +233,48 @@ def _later(spec: Windows):
         count[which] = n
         earliest = np.full(len(seen), np.iinfo(np.int64).max)
         np.minimum.at(earliest, which, place)
-        offset = np.cumsum(count + spec.length - 1) - (count + spec.length - 1)
+        size = count + spec.length - 1
+        offset = np.cumsum(size) - size
         step = _ramp(count)
-        starts = np.repeat(offset, count) + step
-        label = spec.classes(_context_symbols(list(seen), spec), starts, spec.length)
-        order = np.argsort(label, kind="stable")
-        own = (np.repeat(earliest, count) + (step if spec.within else 0))[order]
-        border = np.flatnonzero(np.concatenate([[True], np.diff(label[order]) != 0]))
-        least = np.empty(label.max() + 1, np.int64)
-        least[label[order][border]] = np.minimum.reduceat(own, border)
-        # Back to all occurrences.
+        starts, stop = np.repeat(offset, count) + step, np.repeat(offset + size, count)
+        own = np.repeat(earliest, count) + (step if spec.within else 0)
+        again = spec.later(spec.names(_joined(list(seen), spec)), starts, stop, own, spec.length)
+        # Back to all occurrences: all windows of a context that isn't the earliest of its kind.
         row, step = np.repeat(np.arange(len(n)), n), _ramp(n)
         base = np.cumsum(count) - count
-        mine = place[row] + (step if spec.within else 0)
-        late = least[label[base[which[row]] + step]] < mine
+        late = (place > earliest[which])[row] | again[base[which[row]] + step]
         return _runs(batch, doc, (s[row] + step)[late], row[late])
 
     return mark
 
 
 def _window_rows(spec: Windows):
-    """Contexts -> one row for each window: 128-bit hash and place (the way for hot seeds)."""
+    """Contexts -> one row for each window: its bytes (words one space apart) and its place."""
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             doc = batch.column(2).to_numpy()
             own, s, n = (batch.column(i).to_numpy().astype(np.int64) for i in (1, 3, 4))
-            symbols = _context_symbols(batch.column(5).to_pylist(), spec)
-            at = np.repeat(np.cumsum(n + spec.length - 1) - (n + spec.length - 1), n) + _ramp(n)
+            windows = []
+            for context, k in zip(batch.column(5).to_pylist(), n.tolist(), strict=True):
+                if spec.density < 1:
+                    words = context.split()
+                    windows += [b" ".join(words[i : i + spec.length]) for i in range(k)]
+                else:
+                    windows += [context[i : i + spec.length] for i in range(k)]
             row = np.repeat(np.arange(len(n)), n)
-            cols = [Rolling(symbols).slices(at, at + spec.length), Rolling(symbols ^ np.uint64(0xA5A5A5A5A5A5A5A5)).slices(at, at + spec.length)]
-            yield pa.RecordBatch.from_arrays([pa.array(c.view(np.int64)) for c in cols] + [pa.array(own[row].astype(np.int32)), pa.array(doc[row]), pa.array((s[row] + _ramp(n)).astype(np.int32))], ["w1", "w2", "batch", "doc", "s"])
+            yield pa.RecordBatch.from_arrays([pa.array(windows, pa.binary()), pa.array(own[row].astype(np.int32)), pa.array(doc[row]), pa.array((s[row] + _ramp(n)).astype(np.int32))], ["w", "batch", "doc", "s"])
 
     return explode
 
 
-def _hot_runs(contexts: DataFrame, spec: Windows) -> DataFrame:
-    rows = contexts.mapInArrow(_window_rows(spec), "w1 long, w2 long, batch int, doc long, s int")
+def _hot_runs(contexts: DataFrame, spec: Windows) -> tuple[DataFrame, DataFrame]:
+    """Later windows of hot seeds as runs of one, and the table that they are read from."""
+    rows = contexts.mapInArrow(_window_rows(spec), "w binary, batch int, doc long, s int")
     place = F.struct("doc", F.col("s") if spec.within else F.lit(0).alias("s"))
-    first = rows.groupBy("w1", "w2").agg(F.min(place).alias("least"))
-    first = materialize(first.select(F.col("w1").alias("v1"), F.col("w2").alias("v2"), "least"), f"{spec.name}-first")
-    late = rows.join(first, (F.col("w1") == F.col("v1")) & (F.col("w2") == F.col("v2"))).where(F.col("least") < place)
-    return late.select("batch", "doc", F.col("s").alias("first"), F.col("s").alias("last"))
+    first = materialize(rows.groupBy("w").agg(F.min(place).alias("least")).select(F.col("w").alias("v"), "least"), f"{spec.name}-first")
+    late = rows.join(first, F.col("w") == F.col("v")).where(F.col("least") < place)
+    return late.select("batch", "doc", F.col("s").alias("first"), F.col("s").alias("last")), first
 
 
 def _covered(n: int, first: np.ndarray, last: np.ndarray, length: int) -> np.ndarray:
@@ -307,10 +310,13 @@ def repeated_runs(docs: DataFrame, total: int, spec: Windows, hot: int = HOT) ->
         cold = travelling.join(many, travelling["h"] == many["hot_h"], "left_anti")
     groups = (cold.agg(F.sum("n")).first()[0] or 0) // GROUP_WINDOWS + 1
     runs = cold.withColumn("g", F.pmod(F.xxhash64("h"), F.lit(groups))).groupBy("g").applyInArrow(_later(spec), _RUN)
+    spent = [contexts, many]
     if not many.isEmpty():
-        runs = runs.unionByName(_hot_runs(travelling.join(many, travelling["h"] == many["hot_h"], "left_semi"), spec))
+        late, first = _hot_runs(travelling.join(many, travelling["h"] == many["hot_h"], "left_semi"), spec)
+        runs = runs.unionByName(late)
+        spent.append(first)
     runs = materialize(runs.unionByName(settled), f"{spec.name}-runs")
-    discard(contexts)
+    discard(*spent)
     return runs
 
 

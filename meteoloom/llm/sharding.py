@@ -3,29 +3,41 @@
 Arrivals are appended as small immutable Parquet shards. A shard's tier is the power of
 ``fanin`` that its bytes reach over the smallest size; whenever a tier holds ``fanin`` shards
 below the target size, they form a run and are merged into files of about the target size.
-Every change is a new manifest: the list of live shards, written in full under a temporary
-name and then renamed to ``v<N>``. The rename either happens or not and never replaces a
-version that exists, so readers always see one whole version and a writer that lost a race
-fails and may try again. Files that no live shard names can be swept at any later time.
+Every change is a new manifest: the list of live shards, written in full to a folder of its own.
+The version is the file ``v<N>`` that names this folder. It comes into being in one step that
+fails if the file exists (a link on a local file system, elsewhere a rename without overwriting),
+so of two writers of one version exactly one succeeds, and readers always see one whole version.
+The other writer raises ``Conflict`` and may try again from the new version. Files that no live
+shard names can be swept at any later time.
 """
 
 from __future__ import annotations
 
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .common import discard, materialize
+
+#: Size of a full shard. Fit for tables of gigabytes; give 512 MB or more for hundreds of terabytes.
 TARGET_BYTES = 32 << 20
 FANIN = 4
 SMALLEST = 1 << 20
-#: Shard names (under 200 bytes each) that a merge may broadcast.
-BROADCAST_NAMES = 100_000
-#: Folder columns, named so that no column of the documents clashes.
+#: Shards that one round of compaction merges at most; what is left is due in the next round.
+ROUND_SHARDS = 20_000
+#: Batches in which the registered query lets its table arrive.
+ARRIVALS = 4
+#: Columns named so that no column of the documents clashes.
 ARRIVAL, BIN = "arrival__", "bin__"
 MANIFEST = "path string, tier int, rows long, bytes long, born long"
 
 
+class Conflict(RuntimeError):
+    """Another writer committed the version first."""
+
+
 class ShardStore:
     """A folder of shards and manifests in any file system that Spark reaches."""
 
@@ -42,23 +54,56 @@ class ShardStore:
     def version(self) -> int:
         """The newest committed version; 0 before the first."""
         names = [s.getPath().getName() for s in self._fs.listStatus(self._path(f"{self.root}/manifest"))]
-        return max([0, *(int(n[1:]) for n in names if n[0] == "v")])
+        return max([0, *(int(n[1:]) for n in names if n[0] == "v" and n[1:].isdigit())])
 
     def manifest(self, version: int | None = None) -> DataFrame:
         """Live shards of a version: path, tier, rows, bytes, born (the version that made it)."""
         version = self.version() if version is None else version
         if not version:
             return self.spark.range(0).select(*[F.lit(None).cast(t).alias(n) for n, t in (x.split() for x in MANIFEST.split(", "))])
-        return self.spark.read.schema(MANIFEST).parquet(f"{self.root}/manifest/v{version}")
+        return self.spark.read.schema(MANIFEST).parquet(f"{self.root}/lists/{self._named(version)}")
+
+    def _named(self, version: int) -> str:
+        """The folder that a version's file names."""
+        stream = self._fs.open(self._path(f"{self.root}/manifest/v{version}"))
+        try:
+            return stream.readUTF()
+        finally:
+            stream.close()
+
+    def _claim(self, made: str, to: str) -> None:
+        """Give the file ``made`` the name ``to`` in one step, or raise ``Conflict`` if there is one."""
+        jvm, gateway = self.spark._jvm, self.spark.sparkContext._gateway
+        made_path, to_path = self._path(made), self._path(to)
+        try:
+            if self._fs.getScheme() == "file":
+                files = [jvm.java.io.File(p.toUri().getPath()).toPath() for p in (to_path, made_path)]
+                jvm.java.nio.file.Files.createLink(*files)
+            else:
+                context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(to_path.toUri(), self.spark._jsc.hadoopConfiguration())
+                context.rename(made_path, to_path, gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0))
+        except Py4JJavaError as e:
+            if "AlreadyExists" in e.java_exception.getClass().getName():
+                raise Conflict(f"{to} is there already; read the manifest again and retry") from None
+            raise
 
     def _commit(self, live: DataFrame, base: int) -> int:
-        """Write ``live`` as version base + 1, or fail if another writer was first."""
-        made = f"{self.root}/manifest/_{uuid.uuid4().hex}"
-        live.select(*[x.split()[0] for x in MANIFEST.split(", ")]).coalesce(1).write.parquet(made)
-        to = self._path(f"{self.root}/manifest/v{base + 1}")
-        if self._fs.exists(to) or not self._fs.rename(self._path(made), to):
-            self._fs.delete(self._path(made), True)
-            raise RuntimeError(f"version {base + 1} is there already; read the manifest again and retry")
+        """Write ``live`` as version base + 1, or raise ``Conflict`` if another writer was first."""
+        name = uuid.uuid4().hex
+        live.select(*[x.split()[0] for x in MANIFEST.split(", ")]).coalesce(8).write.parquet(f"{self.root}/lists/{name}")
+        made = f"{self.root}/manifest/_{name}"
+        stream = self._fs.create(self._path(made), False)
+        stream.writeUTF(name)
+        stream.close()
+        try:
+            self._claim(made, f"{self.root}/manifest/v{base + 1}")
+        except Conflict:
+            self._fs.delete(self._path(f"{self.root}/lists/{name}"), True)
+            raise
+        finally:
+            self._fs.delete(self._path(made), False)
+        if self._named(base + 1) != name:
+            raise Conflict(f"version {base + 1} names another list")
         return base + 1
 
     # -------------------------------------------------------------- shards
@@ -73,20 +118,20 @@ class ShardStore:
         """0 up to the smallest size, then one more for each factor ``fanin``."""
         return F.greatest(F.lit(0), F.ceil(F.log(float(self.fanin), size / F.lit(float(self.smallest)))))
 
-    def append(self, arrivals: DataFrame, by: str) -> int:
-        """Append ``arrivals`` as small shards, one folder for each value of ``by``, in one version."""
+    def append(self, arrivals: DataFrame) -> int:
+        """Append ``arrivals`` as small shards in one version; no rows change nothing."""
         base, folder = self.version(), f"{self.root}/data/{uuid.uuid4().hex}"
-        arrivals.write.option("compression", "zstd").partitionBy(by).parquet(folder)
-        if self._empty(folder):
-            return base
-        new = self._described(folder, self._tier, base + 1)
-        return self._commit(self.manifest(base).unionByName(new), base)
-
-    def _empty(self, folder: str) -> bool:
-        return not any(s.isDirectory() or s.getPath().getName().endswith(".parquet") for s in self._fs.listStatus(self._path(folder)))
+        arrivals.write.option("compression", "zstd").parquet(folder)
+        new = materialize(self._described(folder, self._tier, base + 1), "shards-new")
+        try:
+            if new.isEmpty():
+                return base
+            return self._commit(self.manifest(base).unionByName(new), base)
+        finally:
+            discard(new)
 
     def plan(self, version: int | None = None) -> DataFrame:
-        """Runs to merge: path, bin (the merged file) and bytes. Empty when nothing is due.
+        """Runs to merge: path, bin (0, 1, ... the merged file) and bytes. Empty when nothing is due.
 
         A tier is due with ``fanin`` or more shards below the target. Its shards, oldest first,
         are cut into runs of about the target size; a run of a single shard stays as it is.
@@ -100,41 +145,43 @@ class ShardStore:
         due = due.withColumn("_run", F.floor((before + F.col("bytes") / 2) / F.lit(self.target)))
         run = Window.partitionBy("tier", "_run")
         due = due.withColumn("_in", F.count("*").over(run)).where("_in > 1")
-        return due.select("path", F.dense_rank().over(Window.orderBy("tier", "_run")).alias("bin"), "bytes")
+        return due.select("path", (F.dense_rank().over(Window.orderBy("tier", "_run")) - 1).alias("bin"), "bytes")
 
     def compact(self) -> int:
-        """One round: merge every due run and commit; returns the version (unchanged if none was due)."""
+        """One round: merge due runs, at most ``ROUND_SHARDS`` shards of them, and commit.
+
+        Returns the version (unchanged if no run was due).
+        """
         base = self.version()
-        plan = self.plan(base)
-        # A list of file names and run numbers; the rows themselves never reach the driver.
-        runs = [(r["path"], r["bin"]) for r in plan.toLocalIterator()]
+        # A list of file names and run numbers, bounded; the rows themselves never reach the driver.
+        plan = self.plan(base).orderBy("bin", "path")
+        runs = [(r["path"], r["bin"]) for r in plan.limit(ROUND_SHARDS + 1).collect()]
+        if len(runs) > ROUND_SHARDS:  # whole runs only, unless one alone is larger
+            runs = [r for r in runs if r[1] < runs[-1][1]] or runs[:-1]
         if not runs:
             return base
-        n = max(b for _, b in runs)
         folder = f"{self.root}/data/{uuid.uuid4().hex}"
         rows = self.spark.read.parquet(*[p for p, _ in runs]).withColumn("file__", F.col("_metadata.file_path"))
-        names = plan.select(F.col("path").alias("path__"), F.col("bin").alias(BIN))
-        # A list of names: broadcast up to a bound, so that the rows are shuffled once, to their run.
-        names = F.broadcast(names) if len(runs) <= BROADCAST_NAMES else names
-        merged = rows.join(names, F.col("file__") == F.col("path__")).drop("file__", "path__")
-        # A run's rows go to one task, which writes its merged file; the target bounds them.
-        merged.repartition(n, BIN).write.option("compression", "zstd").partitionBy(BIN).parquet(folder)
+        names = plan.limit(len(runs)).select(F.col("path").alias("path__"), F.col("bin").alias(BIN))
+        merged = rows.join(F.broadcast(names), F.col("file__") == F.col("path__")).drop("file__", "path__")
+        # A run's rows go to the task of its number, which writes the merged file; the target bounds them.
+        merged.repartitionById(runs[-1][1] + 1, F.col(BIN)).drop(BIN).write.option("compression", "zstd").parquet(folder)
         new = self._described(folder, self._tier, base + 1)
-        kept = self.manifest(base).join(plan.select("path"), "path", "left_anti")
+        kept = self.manifest(base).join(F.broadcast(names), F.col("path") == F.col("path__"), "left_anti")
         return self._commit(kept.unionByName(new), base)
 
-    def settle(self, rounds: int = 16) -> int:
-        """Compact until no tier is due."""
-        before = -1
-        for _ in range(rounds):
-            now = self.compact()
-            if now == before:
-                break
-            before = now
-        return self.version()
+    def settle(self) -> int:
+        """Compact until no tier is due; every round leaves fewer shards, so that this ends."""
+        before, now = -1, self.version()
+        while now != before:
+            before, now = now, self.compact()
+        return now
 
     def read(self, version: int | None = None) -> DataFrame:
-        """The rows of a version, as its live shards hold them."""
+        """The rows of a version, as its live shards hold them.
+
+        Their names are listed on the driver, as Spark does for any table that it reads.
+        """
         paths = [r["path"] for r in self.manifest(version).select("path").toLocalIterator()]
         return self.spark.read.parquet(*paths)
 
@@ -144,33 +191,42 @@ class ShardStore:
         Only for a store that no job still reads at an older version.
         """
         newest = self.version()
-        live = {r["path"] for v in range(max(1, newest - keep + 1), newest + 1) for r in self.manifest(v).select("path").toLocalIterator()}
-        gone, listing = 0, self._fs.listFiles(self._path(f"{self.root}/data"), True)
+        versions = range(max(1, newest - keep + 1), newest + 1)
         strip = lambda p: p.split(":", 1)[-1].lstrip("/")
-        live = {strip(p) for p in live}
+        live = {strip(r["path"]) for v in versions for r in self.manifest(v).select("path").toLocalIterator()}
+        gone, listing = 0, self._fs.listFiles(self._path(f"{self.root}/data"), True)
         while listing.hasNext():
             path = listing.next().getPath()
             if path.getName().endswith(".parquet") and strip(path.toString()) not in live:
                 self._fs.delete(path, False)
                 gone += 1
+        for v in range(1, versions.start):
+            file = self._path(f"{self.root}/manifest/v{v}")
+            if self._fs.exists(file):
+                self._fs.delete(self._path(f"{self.root}/lists/{self._named(v)}"), True)
+                self._fs.delete(file, False)
         return gone
 
 
-def arrivals_of(docs: DataFrame, n: int = 8) -> DataFrame:
-    """``docs`` with the column ``ARRIVAL`` 0..n-1: batches of unequal size, by a hash of doc_id."""
-    u = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))), F.lit(n * (n + 1) // 2))
-    return docs.withColumn(ARRIVAL, F.floor((F.sqrt(8 * u + 1) - 1) / 2).cast("int"))
+def arrivals_of(docs: DataFrame, n: int = ARRIVALS) -> DataFrame:
+    """``docs`` with the column ``ARRIVAL`` 0..n-1, by a hash of doc_id."""
+    return docs.withColumn(ARRIVAL, F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))), F.lit(n)).cast("int"))
 
 
-def shard_documents(docs: DataFrame, root: str, target: int = TARGET_BYTES, fanin: int = FANIN) -> tuple[ShardStore, int]:
-    """Append ``docs`` in arrivals, compact until settled, commit; returns store and version.
+def shard_documents(docs: DataFrame, root: str, target: int = TARGET_BYTES, fanin: int = FANIN, smallest: int = SMALLEST, arrivals: int = ARRIVALS) -> tuple[ShardStore, int]:
+    """Append ``docs`` arrival by arrival with compaction in between; returns store and version.
 
-    Every row is kept as it is, with all its columns (nulls and repeats included). An empty
-    table commits no shard, and its store stays at version 0.
+    Each arrival is a version of its own, and so is each round of compaction; shards that only
+    older versions name are deleted as it goes. Every row is kept as it is, with all its columns
+    (nulls and repeats included). An empty table commits no shard, and its store stays at
+    version 0.
     """
-    store = ShardStore(docs.sparkSession, root, target, fanin)
-    store.append(arrivals_of(docs), ARRIVAL)
-    store.settle()
+    store = ShardStore(docs.sparkSession, root, target, fanin, smallest)
+    dealt = arrivals_of(docs, arrivals)
+    for k in range(arrivals):
+        store.append(dealt.where(F.col(ARRIVAL) == k).drop(ARRIVAL))
+        store.settle()
+        store.sweep()
     return store, store.version()
 
 

@@ -15,10 +15,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, materialize
+from .common import ascii_lower, discard, materialize
 from .components import components
 
 MOST = 3
@@ -59,13 +59,13 @@ def _majority(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 counts[rows] += np.add.reduceat(bits, np.maximum(offsets[rows], lo) - lo, axis=0, dtype=np.int64)
         over = (2 * counts > np.diff(offsets)[:, None]).astype(np.uint8)
         fp = np.packbits(over, axis=1, bitorder="little").copy().view("<u8").ravel().view(np.int64)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp)], ["doc_id", "fp"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp), batch.column(2)], ["doc_id", "fp", "text_h"])
 
 
 def simhash(docs: DataFrame) -> DataFrame:
-    """doc_id, fp (the 64 bits as a long), one row per row of ``docs``; zero without a word."""
-    hashed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), shingle_hashes(F.col("text")).alias("h"))
-    return hashed.mapInArrow(_majority, "doc_id long, fp long")
+    """doc_id, fp (the 64 bits as a long) and text_h, a hash of the text, one row per row of ``docs``; zero without a word."""
+    hashed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), shingle_hashes(F.col("text")).alias("h"), F.xxhash64("text").alias("text_h"))
+    return hashed.mapInArrow(_majority, "doc_id long, fp long, text_h long")
 
 
 def _variants(value: Column, width: int, tag: int) -> list[Column]:
@@ -169,24 +169,39 @@ def simhash_groups(docs: DataFrame, most: int = MOST, cap: int = CAP) -> DataFra
     component_id is the smallest doc_id that links reach. Null and empty texts have the zero
     fingerprint and link like any other. Documents with equal fingerprints are one node, so
     copies are never paired. A null doc_id gets its group's component_id, null if no document
-    of the group has an id.
+    of the group has an id. Rows that repeat a doc_id are each signed and reported.
     """
+    out, _ = _grouped(docs, most, cap)
+    return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def _grouped(docs: DataFrame, most: int = MOST, cap: int = CAP) -> tuple[DataFrame, DataFrame]:
+    """Every row as doc_id, fp, component_id; and one row (doc_id, text_h) for each group: the
+    least doc_id (null last), and of rows with that id the one whose text has the least hash."""
     signed = materialize(simhash(docs), "simhash-fp")
-    nodes = materialize(signed.groupBy("fp").agg(F.min("doc_id").alias("rep")), "simhash-nodes")
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_h")
+    nodes = materialize(signed.groupBy("fp").agg(F.min(row).alias("rep")), "simhash-nodes")
     links = near_links(nodes.select("fp"), most, cap)
     label = components(links)
     # A component is named by its least fingerprint first, then by its least doc_id.
     named = nodes.join(label, nodes["fp"] == label["node"], "left").select("fp", "rep", F.coalesce("component", "fp").alias("c"))
-    least = named.groupBy("c").agg(F.min("rep").alias("component_id"))
-    of = materialize(named.select("fp", "c").join(least, "c").select(F.col("fp").alias("_fp"), "component_id"), "simhash-components")
-    out = signed.join(of, F.col("fp") == F.col("_fp"))
-    return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    least = named.groupBy("c").agg(F.min("rep").alias("rep"))
+    of = materialize(named.select("fp", "c").join(least, "c").select(F.col("fp").alias("_fp"), "c", "rep"), "simhash-components")
+    discard(nodes)
+    out = signed.join(of, F.col("fp") == F.col("_fp")).select("doc_id", "fp", F.col("rep.doc_id").alias("component_id"))
+    return out, of.select("c", "rep").distinct().select("rep.doc_id", "rep.text_h")
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with one document of each group: the one whose doc_id names the component.
+    """``docs`` with one row of each group: the one with the least doc_id, nulls last.
 
-    doc_id must be distinct. Documents without an id are dropped only as copies of one with an id.
+    Of rows that repeat this doc_id the one whose text has the least hash stays, and of equal
+    rows one. A group without any doc_id keeps one row too.
     """
-    groups = simhash_groups(docs, **options).where("doc_id != component_id").select(F.col("doc_id").alias("id__")).distinct()
-    return docs.join(groups, F.col("doc_id") == F.col("id__"), "left_anti")
+    _, kept = _grouped(docs, **options)
+    key = F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_h"))
+    kept = kept.select(F.struct("doc_id", "text_h").alias("kept__"))
+    rows = docs.withColumn("row__", key).join(kept, F.col("row__") == F.col("kept__"), "left_semi")
+    # Sorted by this key already; only equal rows are numbered beyond 1.
+    nth = F.row_number().over(Window.partitionBy("row__").orderBy("row__"))
+    return rows.withColumn("nth__", nth).where("nth__ = 1").drop("row__", "nth__")

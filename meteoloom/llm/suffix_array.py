@@ -95,12 +95,22 @@ def array_classes(symbols: np.ndarray, starts: np.ndarray, length: int, bucket:
     return label
 
 
+def array_later(symbols: np.ndarray, starts: np.ndarray, stop: np.ndarray, place: np.ndarray, length: int, bucket: int = BUCKET) -> np.ndarray:
+    """Which of the windows of ``length`` bytes at ``starts`` also occur at a smaller place."""
+    label = array_classes(symbols, starts, length, bucket)
+    order = np.argsort(label, kind="stable")
+    border = np.flatnonzero(np.concatenate([[True], np.diff(label[order]) != 0]))
+    least = np.empty(label.max() + 1, np.int64)
+    least[label[order][border]] = np.minimum.reduceat(place[order], border)
+    return least[label] < place
+
+
 def _symbols(data: np.ndarray):
     at = np.arange(len(data))
     return data.astype(np.uint64), at, at + 1
 
 
-BYTES = Windows("bytes", LENGTH, SEED, _symbols, array_classes, False, 1.0)
+BYTES = Windows("bytes", LENGTH, SEED, _symbols, lambda data: data.astype(np.uint64), array_later, False, 1.0)
 
 
 def remove_repeated_bytes(docs: DataFrame, hot: int = HOT) -> DataFrame:

@@ -1,79 +1,139 @@
 """Substring dedup over words with prefix-partitioned suffix trees.
 
-The suffixes at window starts are split by variable-length prefixes: a prefix of one word, and
-where too many suffixes share it of two, four, ... words, until a group fits ``GROUP``. Each
-group's subtree is taken on its own. Sorted suffixes with the depth that neighbours share are
-the tree's leaves and internal nodes; a deepest-first walk isn't needed, as the leaves under
-one internal node of depth >= L, and only those, hold the same window. See ``repeats.py`` for
-how suffixes that can repeat are found and meet.
+The suffixes at window starts are split by variable-length prefixes: a prefix is made longer,
+word by word, until the suffixes that share it fit ``GROUP``. The subtree of each group is built
+on its own, from its root down: the suffixes under a node part by their next words, and a part
+of a single suffix is a leaf that nothing repeats. A node at a depth of ``LENGTH`` words or more
+is a repeat, and the deepest one under which a suffix isn't the earliest leaf gives the longest
+stretch from there that also starts earlier: a maximal repeat. See ``repeats.py`` for how
+suffixes that can repeat are found and meet.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 from pyspark.sql import DataFrame
 
-from .common import word_hashes
+from .common import Rolling, word_hashes, word_spans
 from .repeats import HOT, Windows, digest, without_repeats
 
 LENGTH = 20
 SEED = 10
 GROUP = 1 << 16
+_WORDS = 1 << 17
+
+
+def word_names(data: np.ndarray) -> np.ndarray:
+    """A number for each word: equal where the words' bytes are equal, and only there."""
+    start, end = word_spans(data)
+    if not len(start):
+        return np.zeros(0, np.uint64)
+    _, first, name = np.unique(Rolling(data).slices(start, end), return_index=True, return_inverse=True)
+    model, size = first[name], end - start
+    same = size == size[model]
+    for lo in range(0, len(start), _WORDS):  # the bytes of each word against those of the first of its hash
+        own = np.arange(lo, min(lo + _WORDS, len(start)))
+        own = own[same[own] & (model[own] != own)]
+        if len(own):
+            n = size[own]
+            step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            differ = data[np.repeat(start[own], n) + step] != data[np.repeat(start[model[own]], n) + step]
+            same[own] = ~np.logical_or.reduceat(differ, np.cumsum(n) - n)
+    if not same.all():
+        others: dict[bytes, int] = {}
+        for i in np.flatnonzero(~same).tolist():
+            name[i] = len(first) + others.setdefault(data[start[i] : end[i]].tobytes(), len(others))
+    return name.astype(np.uint64)
+
+
+def _parts(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order that brings equal keys together, and where each key begins in it."""
+    order = np.argsort(key)
+    key = key[order]
+    return order, np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+
+
+def prefix_groups(names: np.ndarray, starts: np.ndarray, length: int, most: int) -> Iterator[tuple[np.ndarray, int]]:
+    """Indices of ``starts`` in groups of at most ``most`` suffixes, with the length of the prefix they share.
+
+    A group holds one prefix or several neighbouring small ones of the same parent. A prefix of
+    ``length`` words is split no further; a prefix of one suffix belongs to no group.
+    """
+    todo = [(np.arange(len(starts)), 0)]
+    while todo:
+        own, depth = todo.pop()
+        if len(own) <= most or depth == length:
+            yield own, depth
+            continue
+        order, border = _parts(names[starts[own] + depth])
+        own, ends = own[order], np.append(border[1:], len(own))
+        held, size = [], 0
+        for a, b in zip(border.tolist(), ends.tolist(), strict=True):
+            if b - a > most:
+                todo.append((own[a:b], depth + 1))
+            elif b - a > 1:
+                if size + b - a > most:
+                    yield np.concatenate(held), depth
+                    held, size = [], 0
+                held.append(own[a:b])
+                size += b - a
+        if held:
+            yield np.concatenate(held), depth
+
+
+def subtree(names: np.ndarray, starts: np.ndarray, stop: np.ndarray, place: np.ndarray, length: int, depth: int) -> np.ndarray:
+    """Depth of the deepest node of ``length`` words or more under which each suffix isn't the earliest leaf; 0: none.
+
+    The suffixes share their first ``depth`` words and end at ``stop``.
+    """
+    reach = np.zeros(len(starts), np.int64)
+    bits = int(names.max()).bit_length() if len(names) else 1
+    left, node = np.arange(len(starts)), np.zeros(len(starts), np.uint64)
+    while len(left) > 1:
+        if depth >= length:
+            order, border = _parts(node)
+            left, size = left[order], np.diff(np.append(border, len(left)))
+            late = place[left] > np.repeat(np.minimum.reduceat(place[left], border), size)
+            reach[left[late]] = depth
+            more = stop[left] > starts[left] + depth  # the others end here
+            node = np.repeat(np.arange(len(border), dtype=np.uint64), size)[more]
+            left = left[more]
+            if len(left) < 2:
+                break
+        # One edge step: as many words as a key holds, but none across the least depth.
+        step = 1 if depth >= length else max(1, min(length - depth, (64 - len(left).bit_length()) // max(bits, 1)))
+        key = node
+        for j in range(step):
+            key = (key << np.uint64(bits)) | names[starts[left] + depth + j]
+        order, border = _parts(key)
+        size = np.diff(np.append(border, len(left)))
+        node = np.repeat(np.arange(len(border), dtype=np.uint64), size)
+        branch = np.repeat(size > 1, size)
+        left, node = left[order][branch], node[branch]
+        if len(node):  # dense again, so that keys stay short
+            node = np.cumsum(np.concatenate([[0], node[1:] != node[:-1]])).astype(np.uint64)
+        depth += step
+    return reach
+
+
+def tree_later(names: np.ndarray, starts: np.ndarray, stop: np.ndarray, place: np.ndarray, length: int, most: int = GROUP) -> np.ndarray:
+    """Which of the windows of ``length`` words at ``starts`` also occur at a smaller place.
+
+    Suffixes end at ``stop``; ``place`` grows by one with each start of the same stretch.
+    """
+    edge = np.zeros(len(names) + 1, np.int64)
+    for own, depth in prefix_groups(names, starts, length, most):
+        at = starts[own]
+        reach = subtree(names, at, stop[own], place[own], length, depth)
+        hit = reach > 0
+        np.add.at(edge, at[hit], 1)  # the repeat's windows, from its first to its last
+        np.add.at(edge, at[hit] + reach[hit] - length + 1, -1)
+    return np.cumsum(edge)[starts] > 0
 
 
-def prefix_groups(names: list[np.ndarray], starts: np.ndarray, most: int):
-    """Indices of ``starts`` in groups of at most ``most`` suffixes, each a set of whole prefixes.
-
-    ``names[i]`` ranks the prefixes of 2**i words at every place. A prefix that more suffixes
-    share is made longer; at the greatest length a group stays as it is.
-    """
-    left = np.arange(len(starts))
-    for i, name in enumerate(names):
-        own = name[starts[left]]
-        sizes = np.bincount(own)
-        small = (sizes[own] <= most) | (i == len(names) - 1)
-        done, left = left[small], left[~small]
-        done = done[np.argsort(own[small], kind="stable")]
-        if len(done):
-            # Small neighbours share a group.
-            own = name[starts[done]]
-            border = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
-            first = 0
-            for k in range(1, len(border) + 1):
-                end = border[k] if k < len(border) else len(done)
-                nxt = border[k + 1] if k + 1 < len(border) else len(done)
-                if k == len(border) or nxt - first > most:
-                    yield done[first:end]
-                    first = end
-        if not len(left):
-            return
-
-
-def tree_classes(symbols: np.ndarray, starts: np.ndarray, length: int, most: int = GROUP) -> np.ndarray:
-    """Class labels of the windows at ``starts``: equal where ``length`` symbols are equal."""
-    rank = np.unique(symbols, return_inverse=True)[1].astype(np.uint64) + np.uint64(1)
-    names, span = [rank.astype(np.int64)], 1
-    while span * 2 <= length:
-        nxt = np.zeros_like(rank)
-        nxt[:-span] = rank[span:]
-        rank = np.unique((rank << np.uint64(32)) | nxt, return_inverse=True)[1].astype(np.uint64) + np.uint64(1)
-        names.append(rank.astype(np.int64))
-        span *= 2
-    label, used = np.empty(len(starts), np.int64), 0
-    for group in prefix_groups(names, starts, most):
-        at = starts[group]
-        # Two overlapping prefixes of ``span`` words make up the window.
-        head, tail = names[-1][at], names[-1][at + length - span]
-        order = np.lexsort((tail, head))
-        head, tail = head[order], tail[order]
-        deep = (head[1:] == head[:-1]) & (tail[1:] == tail[:-1])  # neighbours that share >= length words
-        node = np.concatenate([[0], np.cumsum(~deep)])
-        label[group[order]] = used + node
-        used += node[-1] + 1
-    return label
-
-
-WORDS = Windows("words", LENGTH, SEED, word_hashes, tree_classes, True, 0.17)
+WORDS = Windows("words", LENGTH, SEED, word_hashes, word_names, tree_later, True, 0.17)
 
 
 def _kept(data: np.ndarray, covered: np.ndarray) -> bytes:
