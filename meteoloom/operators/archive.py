@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.working import delete, store
 from .normalise import join_null_safe, pad_union
 
 SLOT = ("model", "var", "init_date", "init_ts")
@@ -77,31 +78,41 @@ def sync_archive(landing: DataFrame, root: str, n: int = 4, dry_run: bool = Fals
     """M1-M6 on an archive stored by (model, var, init_date): returns the plan that was carried out.
 
     New rows are first written under a staging folder and counted there; only if every slot has
-    its rows are the partitions overwritten (dynamic partition overwrite). A failure before that
-    leaves the archive as it was; the last step replaces one partition at a time.
+    its rows do they go to the archive. The initial write renames the staging folder. Later ones
+    overwrite the touched partitions (dynamic partition overwrite): a failure before that leaves
+    the archive as it was, the last step replaces one partition at a time. The plan is a table
+    in the shared folder, and the staging folder is deleted.
     """
     spark = landing.sparkSession
-    parts = ["model", "var", "init_date"]
+    parts, root = ["model", "var", "init_date"], root.rstrip("/")
     folder = spark._jvm.org.apache.hadoop.fs.Path(root)
-    stored = folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    stored = files.exists(folder)
     archive = spark.read.schema(landing.schema).parquet(root) if stored else landing.limit(0)  # M1: the initial write
     plan = sync_plan(landing, archive, n)
     if dry_run:
         return plan
-    new = add_vars(landing, archive).unionByName(append_starts(landing, archive)).unionByName(backfill(landing, archive, n))
-    touched = new.select(*parts).distinct()
-    kept = archive.join(touched, parts, "left_semi")
-    gone = new.select(*SLOT).distinct()
-    kept = join_null_safe(kept, gone, SLOT, "left_anti")
-    stage = f"{root.rstrip('/')}.staging-{uuid.uuid4().hex}"
-    kept.unionByName(new).write.partitionBy(*parts).parquet(stage)
-    staged = spark.read.schema(landing.schema).parquet(stage)
-    bad = verify(staged.join(gone, list(SLOT), "left_semi"), plan.select(*SLOT, "cells"))
-    if not bad.isEmpty():
-        raise RuntimeError("staged rows don't match the plan; the archive is unchanged")
-    rows = plan.collect()  # a row for each slot written
-    staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(root)
-    return spark.createDataFrame(rows, plan.schema)
+    plan = store(plan, "sync-plan")
+    # The plan names whole slots, so it names the rows too.
+    due = plan.select(*SLOT).distinct()
+    new = join_null_safe(landing, due, SLOT, "left_semi")
+    kept = join_null_safe(archive.join(due.select(*parts).distinct(), parts, "left_semi"), due, SLOT, "left_anti")
+    stage = f"{root}.staging-{uuid.uuid4().hex}"
+    try:
+        rows = kept.unionByName(new) if stored else new
+        rows.repartition(*parts).write.partitionBy(*parts).parquet(stage)
+        staged = spark.read.schema(landing.schema).parquet(stage)
+        bad = verify(join_null_safe(staged, due, SLOT, "left_semi"), plan.select(*SLOT, "cells"))
+        if not bad.isEmpty():
+            raise RuntimeError("staged rows don't match the plan; the archive is unchanged")
+        if not stored:
+            if not files.rename(spark._jvm.org.apache.hadoop.fs.Path(stage), folder):
+                raise RuntimeError(f"{root} can't be made")
+        else:
+            staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(root)
+    finally:
+        delete(spark, stage)
+    return plan
 
 
 def lagging(archive: DataFrame) -> DataFrame:
@@ -138,10 +149,8 @@ def replace_leads(archive: DataFrame, grid: DataFrame) -> DataFrame:
     return out.withColumn("lead_days", label.cast("float")).select(*archive.columns)
 
 
-def canonical_leads(spark, rows: list[tuple[str, float, int]]) -> DataFrame:
-    """model, canon (array of labels): first, first + 1, ... (n of them)."""
-    lit = [F.struct(F.lit(m).alias("model"), F.lit(float(f)).alias("first"), F.lit(n).alias("n")) for m, f, n in rows]
-    grid = spark.range(1).select(F.inline(F.array(*lit)))
+def canonical_leads(grid: DataFrame) -> DataFrame:
+    """grid (model, first, n) -> model, canon (array of labels): first, first + 1, ... (n of them)."""
     return grid.select("model", F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: (i + F.col("first")).cast("float")).alias("canon"))
 
 

@@ -23,10 +23,11 @@ def doy_means(hindcast: DataFrame, keys=("model", "var", "lead_ix", "lat", "lon"
 
 
 def fill_year(means: DataFrame, keys=("model", "var", "lead_ix", "lat", "lon")) -> DataFrame:
-    """A2: all 366 days for every key; days without a start are null."""
-    days = means.sparkSession.range(1, YEAR + 1).select(F.col("id").cast("int").alias("doy"))
-    full = means.select(*keys).distinct().crossJoin(F.broadcast(days))
-    return full.join(means, [*keys, "doy"], "left")
+    """A2: all 366 days for every key; days without a start are null. Keeps a partitioning by keys."""
+    keys = list(keys)
+    year = means.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("doy", "value"))).alias("_year"))
+    days = year.select(*keys, "_year", F.explode(F.sequence(F.lit(1), F.lit(YEAR))).alias("doy"))
+    return days.select(*keys, "doy", F.try_element_at("_year", F.col("doy")).alias("value"))
 
 
 def circular_smooth(df: DataFrame, window: int = 31, passes: int = 2, keys=("model", "var", "lead_ix", "lat", "lon")) -> DataFrame:
@@ -34,7 +35,7 @@ def circular_smooth(df: DataFrame, window: int = 31, passes: int = 2, keys=("mod
 
     Missing days are skipped, and a window without a value stays missing. The year's ends are
     padded anew in each pass; two passes can't be folded into one weighted window where days
-    are missing. All passes use one partitioning, so the data are shuffled once.
+    are missing. All passes use the partitioning by keys.
     """
     half = window // 2
     keys = list(keys)
@@ -47,10 +48,18 @@ def circular_smooth(df: DataFrame, window: int = 31, passes: int = 2, keys=("mod
 
 
 def climatology(hindcast: DataFrame, first: int | None = None, last: int | None = None, window: int = 31, passes: int = 2, keys=("model", "var", "lead_ix", "lat", "lon")) -> DataFrame:
-    """A2 then W1 over a year range: keys, doy, mmdd, value."""
+    """A2 then W1 over a year range: keys, doy, mmdd, value.
+
+    The hindcast is shuffled once, by a hash of its keys that all means and both smoothing passes
+    carry along. (Spark normalises floating-point keys of windows, and so wouldn't see that a
+    partitioning by the keys themselves is good for both.)
+    """
+    keys = list(keys)
     if first is not None:
         hindcast = hindcast.where(F.year("init_date") >= first)
     if last is not None:
         hindcast = hindcast.where(F.year("init_date") <= last)
-    smooth = circular_smooth(fill_year(doy_means(hindcast, keys), keys), window, passes, keys)
+    dealt = hindcast.select(F.xxhash64(*keys).alias("_series"), *keys, "init_date", "member", "value").repartition("_series")
+    own = ["_series", *keys]
+    smooth = circular_smooth(fill_year(doy_means(dealt, own), own), window, passes, own).drop("_series")
     return smooth.withColumn("mmdd", doy_to_mmdd(F.col("doy")))

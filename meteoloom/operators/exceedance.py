@@ -48,9 +48,13 @@ def lead_spine(df: DataFrame) -> DataFrame:
 
 def exceedance(forecast: DataFrame, thresholds: DataFrame, window: int = 7, direction: str = "above", aggregate: str = "any", min_days: int | None = None) -> DataFrame:
     """Per model and window end the members whose window crosses (``count``), all members
-    of it (``members``) and the probability in percent. F6 trims empty outer leads first.
+    of it (``members``) and the probability in percent.
+
+    F6 trims empty outer leads first. A threshold's lead counts the days since the model's own
+    start, so positions restart at the first lead that is left: a model padded to the leads of
+    others meets its thresholds from the first one on. ``valid_date`` tells the calendar day.
     """
-    full = lead_spine(trim_empty_leads(forecast.select(*CELL, "member", "lead_ix", "valid_date", "value")))
+    full = lead_spine(trim_empty_leads(forecast.select(*CELL, "member", "lead_ix", "valid_date", "value"), restart=True))
     flags = rolling_flags(crossings(full, thresholds, direction), window, aggregate, min_days)
     keys = (*CELL, "lead_ix", "valid_date")
     out = flags.groupBy(*keys).agg(F.sum("flag").alias("count"), F.count("*").alias("members"))

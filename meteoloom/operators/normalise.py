@@ -220,11 +220,14 @@ def stack(*frames: DataFrame) -> DataFrame:
 stack_models = stack
 
 
-def widen_vars(df: DataFrame, variables=None, on_conflict: str = "first") -> DataFrame:
-    """One column for each variable. Values that disagree: the first start wins, or 'error' raises."""
-    keys = [c for c in df.columns if c not in ("var", "value")]
+def widen_vars(df: DataFrame, variables=None, on_conflict: str = "first", order: str = "init_ts") -> DataFrame:
+    """One column for each variable. Values that disagree: the earliest by ``order`` wins (on
+    ties the least value), or 'error' raises. Without a column ``order`` the least value wins.
+    """
+    keys = [c for c in df.columns if c not in ("var", "value", *([order] if on_conflict == "first" else []))]
     pivot = df.groupBy(*keys).pivot("var", list(variables) if variables else None)
     if on_conflict == "first":
-        return pivot.agg(F.first("value", ignorenulls=True))
+        rank = F.struct(*[c for c in (order, "value") if c in df.columns])
+        return pivot.agg(F.min_by("value", F.when(F.col("value").isNotNull(), rank)))
     one = F.when(F.coalesce(F.min("value") == F.max("value"), F.lit(True)), F.max("value")).otherwise(F.raise_error(F.lit("values of one cell disagree")).cast("double"))
     return pivot.agg(one)

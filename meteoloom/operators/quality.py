@@ -39,10 +39,16 @@ def plausible_median(df: DataFrame, var: str = "tas", low: float = 180, high: fl
     return df.where(~F.col("var").eqNullSafe(F.lit(var))).unionByName(kept)
 
 
-def trim_empty_leads(df: DataFrame, keys=("model", "var")) -> DataFrame:
-    """drop leading and trailing leads without any value; gaps between stay. Positions are kept."""
+def trim_empty_leads(df: DataFrame, keys=("model", "var"), restart: bool = False) -> DataFrame:
+    """drop leading and trailing leads without any value; gaps between stay.
+
+    Positions are kept, or with ``restart`` counted from 0 at the first lead that is left.
+    """
     b = df.where(F.col("value").isNotNull()).groupBy(*keys).agg(F.min("lead_ix").alias("_lo"), F.max("lead_ix").alias("_hi"))
-    return df.join(b, list(keys)).where(F.col("lead_ix").between(F.col("_lo"), F.col("_hi"))).select(*df.columns)
+    out = df.join(F.broadcast(b), list(keys)).where(F.col("lead_ix").between(F.col("_lo"), F.col("_hi")))  # a row for each series
+    if restart:
+        out = out.withColumn("lead_ix", F.col("lead_ix") - F.col("_lo"))
+    return out.select(*df.columns)
 
 
 def keep_first(df: DataFrame, keys, order) -> DataFrame:

@@ -20,16 +20,37 @@ def subsample_grid(df: DataFrame, step: int = 1, native: float = 0.5, expected:
     return out
 
 
-def bilinear(df: DataFrame, grid: DataFrame, step_lat: float, step_lon: float) -> DataFrame:
-    """Values at ``grid`` (lat, lon) from a regular source grid with these steps.
+def axis_of(df: DataFrame, col: str, step: float | None = None) -> tuple[float, float]:
+    """First label and step of a regular axis, in whatever order its labels come; raises if it isn't regular.
+
+    Without ``step`` it is taken from the number of labels. An axis of one label has step 1.
+    """
+    labels = df.select(F.col(col).cast("double").alias("x")).where("x is not null").distinct()
+    n, lo, hi = labels.agg(F.count("*"), F.min("x"), F.max("x")).first()
+    if not n:
+        return 0.0, step or 1.0
+    step = step or ((hi - lo) / (n - 1) if n > 1 else 1.0)
+    at = (F.col("x") - lo) / step
+    off = labels.agg(F.max(F.abs(at - F.bround(at)))).first()[0]
+    if off > 1e-6:
+        raise ValueError(f"{col} is no regular axis of step {step}")
+    return lo, step
+
+
+def bilinear(df: DataFrame, grid: DataFrame, step_lat: float | None = None, step_lon: float | None = None) -> DataFrame:
+    """Values at ``grid`` (lat, lon) from a regular source grid, whatever its first labels.
 
     Each target names its four neighbours, which meet the source by an equi-join; on a grid
     line two of them are one and the same with weight 0 or 1. A target without all neighbours
-    (outside the hull, or next to a missing value) is missing.
+    (outside the hull, or next to a missing value) is missing. Steps are found if not given.
     """
     keys = [c for c in df.columns if c not in ("lat", "lon", "value")]
+    (lat0, step_lat), (lon0, step_lon) = axis_of(df, "lat", step_lat), axis_of(df, "lon", step_lon)
+    small = _small(grid)
     g = grid.select(F.col("lat").alias("_lat"), F.col("lon").alias("_lon"))
-    y, x = F.col("_lat") / step_lat, F.col("_lon") / step_lon
+    # Labels that are whole steps but for rounding lie on the grid line.
+    snap = lambda x: F.when(F.abs(x - F.bround(x)) < 1e-9, F.bround(x)).otherwise(x)
+    y, x = snap((F.col("_lat") - lat0) / step_lat), snap((F.col("_lon") - lon0) / step_lon)
     corners = []
     for dy in (0, 1):
         for dx in (0, 1):
@@ -37,34 +58,51 @@ def bilinear(df: DataFrame, grid: DataFrame, step_lat: float, step_lon: float) -
             weight = (fy if dy else 1 - fy) * (fx if dx else 1 - fx)
             corners.append(F.struct((F.floor(y) + dy).alias("iy"), (F.floor(x) + dx).alias("ix"), weight.alias("w")))
     want = g.select("_lat", "_lon", F.inline(F.array(*corners))).where("w > 0")
-    src = df.withColumns({"iy": F.bround(F.col("lat") / step_lat).cast("long"), "ix": F.bround(F.col("lon") / step_lon).cast("long")}).drop("lat", "lon")
-    near = src.join(F.broadcast(want) if _small(grid) else want, ["iy", "ix"])
+    at = lambda c, first, step: F.bround((F.col(c) - first) / step).cast("long")
+    src = df.withColumns({"iy": at("lat", lat0, step_lat), "ix": at("lon", lon0, step_lon)}).drop("lat", "lon")
+    near = src.join(F.broadcast(want) if small else want, ["iy", "ix"])
     out = near.groupBy(*keys, F.col("_lat").alias("lat"), F.col("_lon").alias("lon")).agg(F.sum(F.col("w") * F.col("value")).alias("_v"), F.sum(F.when(F.col("value").isNotNull(), F.col("w"))).alias("_w"))
-    full = df.select(*keys).distinct().crossJoin(F.broadcast(grid.select("lat", "lon"))) if _small(grid) else df.select(*keys).distinct().crossJoin(grid.select("lat", "lon"))
-    return full.join(out, [*keys, "lat", "lon"], "left").select(*keys, "lat", "lon", F.when(F.col("_w") > 1 - 1e-9, F.col("_v")).alias("value"))
+    targets = grid.select("lat", "lon")
+    full = df.select(*keys).distinct().crossJoin(F.broadcast(targets) if small else targets)
+    return full.join(out, [*keys, "lat", "lon"], "left").select(*keys, "lat", "lon", F.when(F.abs(F.col("_w") - 1) < 1e-9, F.col("_v")).alias("value"))
 
 
 def _small(grid: DataFrame, most: int = 1_000_000) -> bool:
     return grid.limit(most + 1).count() <= most
 
 
-def nearest_cell(df: DataFrame, grid: DataFrame, step: float) -> DataFrame:
-    """For each target cell the value of the source cell nearest to it (ties: lesser lat, then lon).
+def nearest_label(axis: DataFrame, targets: DataFrame, col: str, grids=()) -> DataFrame:
+    """For each target label of ``col`` the nearest label of the axis, however far; ties to the greater.
 
-    Targets look into the nine buckets of side ``step`` around them, so a source cell within
-    ``step`` is found by an equi-join; farther ones are not taken.
+    ``axis``: grids, col; ``targets``: col. Returns grids, col (of the axis) and ``_to`` (the target).
+    Both are merged in order, so that the labels below and above come from one window each.
+    """
+    names = axis.select(*grids).distinct() if grids else axis.sparkSession.range(1).select()
+    own = axis.select(*grids, F.col(col).alias("_x"), F.col(col).alias("_own"), F.lit(None).cast("double").alias("_to")).distinct()
+    ask = F.broadcast(targets.select(F.col(col).cast("double").alias("_to")).distinct())  # the labels of one axis
+    asked = names.crossJoin(ask).select(*grids, F.col("_to").alias("_x"), F.lit(None).cast("double").alias("_own"), "_to")
+    w = Window.partitionBy(*(grids or [F.lit(0)])).orderBy("_x")
+    below = F.last("_own", ignorenulls=True).over(w.rangeBetween(Window.unboundedPreceding, 0))
+    above = F.first("_own", ignorenulls=True).over(w.rangeBetween(0, Window.unboundedFollowing))
+    both = own.unionByName(asked).withColumns({"_below": below, "_above": above}).where("_to is not null")
+    up = F.col("_below").isNull() | (F.col("_above") - F.col("_to") <= F.col("_to") - F.col("_below"))
+    return both.select(*grids, F.when(up, F.col("_above")).otherwise(F.col("_below")).alias(col), "_to")
+
+
+def nearest_cell(df: DataFrame, grid: DataFrame, grids=()) -> DataFrame:
+    """For each target cell the value of the source cell at the nearest latitude and longitude.
+
+    ``grids`` names the columns whose values have grids of their own. Latitude and longitude are
+    looked up one after the other, so the source meets two lists of labels and isn't shuffled. A
+    target far outside the source takes its border; a label between two takes the greater one.
     """
     keys = [c for c in df.columns if c not in ("lat", "lon", "value")]
-    b = lambda c: F.floor(F.col(c) / step)
-    g = grid.select(F.col("lat").alias("_lat"), F.col("lon").alias("_lon"))
-    around = F.array(*[F.struct((F.floor(F.col("_lat") / step) + i).alias("by"), (F.floor(F.col("_lon") / step) + j).alias("bx")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
-    want = g.select("_lat", "_lon", F.inline(around))
-    src = df.withColumns({"by": b("lat"), "bx": b("lon")})
-    pairs = src.join(want, ["by", "bx"])
-    d = (F.col("lat") - F.col("_lat")) ** 2 + (F.col("lon") - F.col("_lon")) ** 2
-    best = F.min(F.struct(d.alias("d"), F.col("lat").alias("a"), F.col("lon").alias("o"), F.col("value").alias("v")))
-    out = pairs.where(d <= step * step).groupBy(*keys, "_lat", "_lon").agg(best.alias("_b"))
-    return out.select(*keys, F.col("_lat").alias("lat"), F.col("_lon").alias("lon"), F.col("_b.v").alias("value"))
+    lat, lon = (nearest_label(df, grid, c, grids).select(*grids, c, F.col("_to").alias(f"_{c}")) for c in ("lat", "lon"))
+    targets = grid.select(F.col("lat").cast("double").alias("_lat"), F.col("lon").cast("double").alias("_lon"))
+    # Two joins on labels would pair every latitude with every longitude; the list of cells is as long as the grid.
+    cells = targets.join(F.broadcast(lat), "_lat").join(F.broadcast(lon), ["_lon", *grids])
+    out = df.join(F.broadcast(cells) if _small(grid) else cells, [*grids, "lat", "lon"])
+    return out.select(*keys, F.col("_lat").alias("lat"), F.col("_lon").alias("lon"), "value")
 
 
 def regular_axis(spark, n: int, first: float, last: float) -> DataFrame:

@@ -19,15 +19,22 @@ def nearest_rank(entries: Column, q: float) -> Column:
 
 
 def pool_samples(hindcast: DataFrame, window: int = 15, keys=("model", "var", "lead_ix", "lat", "lon")) -> DataFrame:
-    """For each target day the samples whose start lies within ``window`` days around the year.
+    """Keys, doy, _pool: the samples whose start lies within ``window`` days of a day, around the year.
 
-    Samples of a key and day are first gathered into one array, which then goes to its 2w + 1
-    target days by an exploded equi-key: there is no range join, and the pool travels as arrays.
+    The hindcast is shuffled once, by a hash of its keys. A series' days are laid out over the year, with
+    its ends repeated beyond them, and a window over the days gathers each pool, so no sample
+    travels more than once. Days without any sample near them are left out.
     """
-    day = mmdd_to_doy(mmdd(F.col("init_date")))
+    own, day = ["_series", *keys], mmdd_to_doy(mmdd(F.col("init_date")))
     sample = F.struct(F.col("value").isNull().alias("missing"), F.col("value"))
-    daily = hindcast.groupBy(*keys, day.alias("_day")).agg(F.collect_list(sample).alias("_samples"))
-    return daily.select(*keys, _targets(window).alias("doy"), "_samples")
+    dealt = hindcast.select(F.xxhash64(*keys).alias("_series"), *keys, day.alias("_day"), sample.alias("_s")).repartition("_series")
+    daily = dealt.groupBy(*own, "_day").agg(F.collect_list("_s").alias("_samples"))
+    series = daily.groupBy(*own).agg(F.map_from_entries(F.collect_list(F.struct("_day", "_samples"))).alias("_days"))
+    at = F.explode(F.sequence(F.lit(1 - window), F.lit(YEAR + window))).alias("_at")
+    laid = series.select(*own, "_days", at).select(*own, "_at", F.try_element_at("_days", F.pmod(F.col("_at") - 1, F.lit(YEAR)) + 1).alias("_samples"))
+    near = Window.partitionBy(*own).orderBy("_at").rowsBetween(-window, window)
+    pools = laid.withColumn("_pool", F.collect_list("_samples").over(near)).where(F.col("_at").between(1, YEAR) & (F.size("_pool") > 0))
+    return pools.select(*keys, F.col("_at").alias("doy"), F.flatten("_pool").alias("_pool"))
 
 
 def thresholds(hindcast: DataFrame, pct: int, window: int = 15, first: int | None = None, last: int | None = None, trim: bool = True, keys=("model", "var", "lead_ix", "lat", "lon")) -> DataFrame:
@@ -41,9 +48,9 @@ def thresholds(hindcast: DataFrame, pct: int, window: int = 15, first: int | Non
         hindcast = hindcast.where(F.year("init_date") <= last)
     pools = pool_samples(hindcast, window, keys)
     if trim:
-        pools = pools.join(shortest_leads(hindcast, window), ["model", "var", "doy"]).where("lead_ix < _least").drop("_least")
-    pools = pools.groupBy(*keys, "doy").agg(F.array_sort(F.flatten(F.collect_list("_samples"))).alias("_pool"))
-    out = pools.select(*keys, F.lit(pct).alias("pct"), "doy", nearest_rank(F.col("_pool"), pct / 100).alias("threshold"))
+        # A row for each model, variable and day of the year.
+        pools = pools.join(F.broadcast(shortest_leads(hindcast, window)), ["model", "var", "doy"]).where("lead_ix < _least").drop("_least")
+    out = pools.select(*keys, F.lit(pct).alias("pct"), "doy", nearest_rank(F.array_sort("_pool"), pct / 100).alias("threshold"))
     return out.withColumn("mmdd", F.date_format(F.date_add(F.lit("1999-12-31").cast("date"), F.col("doy").cast("int")), "MMdd"))
 
 

@@ -19,6 +19,13 @@ def enforce(report: DataFrame, policy: str = "warn") -> int:
     return int(policy == "fail_on_missing" and report.where(~F.col("ok")).count() > 0)
 
 
+def policy_codes(report: DataFrame, policies: DataFrame, keys=("model",)) -> DataFrame:
+    """V2: the exit code of each key's policy (keys, policy): 1 if something is missing under 'fail_on_missing', else 0."""
+    lacks = report.groupBy(*keys).agg(F.count_if(~F.col("ok")).alias("missing"))
+    code = (F.col("policy") == "fail_on_missing") & (F.col("missing") > 0)
+    return lacks.join(policies, list(keys)).withColumn("code", code.cast("int"))
+
+
 def status_counts(df: DataFrame, status: str = "status", keys=()) -> DataFrame:
     """Rows of each status."""
     return df.groupBy(*keys, status).agg(F.count("*").alias("n"))
@@ -65,6 +72,17 @@ def parity_counts(report: DataFrame) -> DataFrame:
     )
 
 
+def smoke_runs(inputs: DataFrame, forecasts: DataFrame, smoke: bool) -> DataFrame:
+    """V5: a row for each run (``forecasts``: fcst_date) with its number of input rows (``inputs``:
+    fcst_date); a run without any is marked in smoke mode, or fails the job without ``smoke``."""
+    n = inputs.groupBy("fcst_date").agg(F.count("*").alias("inputs"))
+    runs = forecasts.select("fcst_date").distinct().join(n, "fcst_date", "left").withColumn("inputs", F.coalesce("inputs", F.lit(0)))
+    empty = F.col("inputs") == 0
+    if not smoke:
+        empty = F.when(empty, F.raise_error(F.concat(F.lit("no input for "), F.col("fcst_date").cast("string"))).cast("boolean")).otherwise(F.lit(False))
+    return runs.withColumn("smoke_mode", empty)
+
+
 def smoke_manifest(df: DataFrame, fcst: str, smoke: bool) -> DataFrame:
     """V5: one row for the run; without any input it is marked in smoke mode and an error otherwise."""
     empty = df.isEmpty()

@@ -208,14 +208,20 @@ def already_built(spark, sf_dir):
     return th.already_built(e, m).groupBy("entry", "stage", "first_year", "last_year").agg(F.count("*").alias("n"))
 
 
-@query("""SELECT * FROM (VALUES ('G-A', 'pr'), ('G-A', 'ua'), ('G-B', 'tas')) t(label, var)""".replace("SELECT *", "SELECT n.label, n.var, c.n FROM (SELECT *") + """) n CROSS JOIN (SELECT COUNT(DISTINCT o_orderpriority) AS n FROM orders) c""")
+@query(f"""WITH {CAT}, m AS (SELECT DISTINCT model AS label, var FROM files WHERE init_date < DATE '1997-01-01' AND (var <> 'v2' OR model = 'G-M2')),
+o AS (SELECT DISTINCT 'M1' AS key, var FROM files WHERE model = 'G-M1' AND extract(day FROM init_date) = 3 AND var < 'v4' UNION SELECT 'G-M4', var FROM files WHERE model = 'G-M4' AND var > 'v3'),
+v AS (SELECT DISTINCT model AS label, var FROM files WHERE init_date >= DATE '1997-01-01' AND NOT (model = 'G-M3' AND var <> 'v5'))
+SELECT label, var FROM (SELECT DISTINCT m.label, CASE WHEN m.label IN ('G-M1', 'G-M4') THEN o.var ELSE m.var END AS var FROM m LEFT JOIN o ON o.key = m.label OR 'G-' || o.key = m.label)
+JOIN v USING (label, var) WHERE label <> (SELECT MAX(model) FROM files)""")
 def resolved_models(spark, sf_dir):
-    """F8, beside a count from the data."""
-    m = spark.sql("SELECT * FROM VALUES ('G-A', 'A', array('pr')), ('G-B', 'B', array('tas', 'xx')), ('G-C', 'C', array('yy')), ('G-D', 'D', array('pr')) AS t(label, name, vars)")
-    o = spark.sql("SELECT 'A' AS key, array('pr', 'ua') AS vars")
-    v = spark.sql("SELECT * FROM VALUES ('G-A', 'pr'), ('G-A', 'ua'), ('G-B', 'tas'), ('G-D', 'pr') AS t(label, var)")
-    n = table(spark, sf_dir, "orders").agg(F.countDistinct("o_orderpriority").alias("n"))
-    return ct.resolve_models(m, v, o, spark.sql("SELECT 'G-D' AS label")).crossJoin(n)
+    """F8: variables from early files, overrides by name and by label, known ones from later files, the last model skipped."""
+    c = catalog(spark, sf_dir)
+    lists = lambda df, *keys: df.groupBy(*keys).agg(F.collect_set("var").alias("vars"))
+    m = lists(c.where("init_date < DATE '1997-01-01' AND (var <> 'v2' OR model = 'G-M2')"), F.col("model").alias("label"), F.substring("model", 3, 9).alias("name"))
+    by_name = lists(c.where("model = 'G-M1' AND day(init_date) = 3 AND var < 'v4'"), F.lit("M1").alias("key"))
+    by_label = lists(c.where("model = 'G-M4' AND var > 'v3'"), F.lit("G-M4").alias("key"))
+    v = c.where("init_date >= DATE '1997-01-01' AND NOT (model = 'G-M3' AND var <> 'v5')").select(F.col("model").alias("label"), "var").distinct()
+    return ct.resolve_models(m, v, by_name.unionByName(by_label), c.agg(F.max("model").alias("label")))
 
 
 @query(f"""WITH {CAT}, r AS (SELECT DISTINCT model FROM files UNION ALL SELECT 'SUBC-MME') SELECT model, CAST(ROW_NUMBER() OVER (ORDER BY CASE WHEN model = 'SUBC-MME' THEN 3 WHEN model IN ('G-M3', 'G-M1') THEN 0 WHEN model = 'G-M5' THEN 1 ELSE 2 END,
@@ -321,8 +327,8 @@ def _leads(spark, sf_dir):
 
 
 def _audit(spark, sf_dir, c):
-    models = [r["model"] for r in c.select("model").distinct().collect()]  # a handful of models
-    return ar.audit_leads(ar.lead_files(c), ar.canonical_leads(spark, [(m, 0.5, 45) for m in sorted(models)]))
+    models = c.select("model").distinct().select("model", F.lit(0.5).alias("first"), F.lit(45).alias("n"))
+    return ar.audit_leads(ar.lead_files(c), ar.canonical_leads(models))
 
 
 _AUD = f"""WITH {CUBE}, aud AS (SELECT model, var, CASE WHEN COUNT(DISTINCT lead_ix) <> 45 THEN 'length_mismatch' WHEN var = 'tas' OR model LIKE 'R%' THEN 'relabel' ELSE 'ok' END AS status FROM cube GROUP BY 1, 2)"""

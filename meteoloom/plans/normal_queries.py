@@ -197,10 +197,12 @@ def unexpected_leads(spark, sf_dir):
     return ar.unexpected_leads(_leads(spark, sf_dir)).select("model", "var", "odd")
 
 
-@query(f"WITH {CUBE} SELECT DATE '{FCST}' AS fcst_date, COUNT(*) = 0 AS smoke_mode FROM cube WHERE member > 90")
+@query("""WITH f AS (SELECT DISTINCT CAST(o_orderdate AS DATE) + 1 AS fcst_date FROM orders), i AS (SELECT CAST(o_orderdate AS DATE) AS fcst_date, COUNT(*) AS n FROM orders WHERE o_orderkey % 3 = 0 GROUP BY 1)
+SELECT fcst_date, COALESCE(n, 0) AS inputs, n IS NULL AS smoke_mode FROM f LEFT JOIN i USING (fcst_date)""")
 def smoke_run(spark, sf_dir):
-    """V5."""
-    return va.smoke_manifest(cube(spark, sf_dir).where("member > 90"), FCST, True)
+    """V5: a run on the day after each order, with some of the orders as input; days without any run in smoke mode."""
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderdate").cast("date").alias("fcst_date"), "o_orderkey")
+    return va.smoke_runs(o.where("o_orderkey % 3 = 0"), o.select(F.date_add("fcst_date", 1).alias("fcst_date")), True)
 
 
 @query(f"""WITH {CUBE}, s AS (SELECT model, var, lead_ix, CASE WHEN var = 'pr' THEN value / 1e5 ELSE value END AS value FROM cube)

@@ -215,6 +215,24 @@ def exceedance_min_days(spark, sf_dir):
     return _ex_cols(_exceed(spark, sf_dir, 5.25, window=10, min_days=3))
 
 
+@query(f"""WITH {CUBE}, {CLIMO}, late AS (SELECT *, CASE WHEN model LIKE 'R%' AND lead_ix < 3 THEN NULL WHEN model LIKE 'N%' AND lead_ix > 40 THEN NULL ELSE value END AS v FROM cube),
+pos AS (SELECT model, var, lead_ix, valid_date, ROW_NUMBER() OVER (PARTITION BY model, var ORDER BY lead_ix) - 1 AS p FROM
+  (SELECT DISTINCT l.model, l.var, l.lead_ix, l.valid_date FROM late l JOIN (SELECT model, var, MIN(lead_ix) AS a, MAX(lead_ix) AS b FROM late WHERE v IS NOT NULL GROUP BY 1, 2) x
+   ON l.model = x.model AND l.var = x.var AND l.lead_ix BETWEEN a AND b)),
+day AS (SELECT k.model, k.var, k.lat, k.lon, k.member, pos.p, pos.valid_date, CASE WHEN l.v > c.value + 10.25 THEN 1 ELSE 0 END AS x FROM (SELECT DISTINCT model, var, lat, lon, member FROM late) k
+  JOIN pos ON pos.model = k.model AND pos.var = k.var JOIN climo c ON c.model = k.model AND c.var = k.var AND c.lat = k.lat AND c.lon = k.lon AND c.lead_ix = pos.p
+  LEFT JOIN late l ON l.model = k.model AND l.var = k.var AND l.lat = k.lat AND l.lon = k.lon AND l.member = k.member AND l.valid_date = pos.valid_date),
+win AS (SELECT a.model, a.var, a.lat, a.lon, a.member, a.p, a.valid_date, MAX(b.x) AS hit FROM day a JOIN day b ON a.model = b.model AND a.var = b.var AND a.lat = b.lat AND a.lon = b.lon AND a.member = b.member AND b.p BETWEEN a.p - 6 AND a.p
+  WHERE a.p >= 6 GROUP BY 1, 2, 3, 4, 5, 6, 7)
+SELECT model, var, lat, lon, CAST(p AS INT) AS lead_ix, valid_date, CAST(SUM(hit) AS BIGINT) AS "count", COUNT(*) AS members FROM win GROUP BY 1, 2, 3, 4, 5, 6""")
+def exceedance_of_padded_models(spark, sf_dir):
+    """Models whose first or last leads are empty meet their thresholds from position 0 on."""
+    empty = (F.col("model").startswith("R") & (F.col("lead_ix") < 3)) | (F.col("model").startswith("N") & (F.col("lead_ix") > 40))
+    c = cube(spark, sf_dir).withColumn("value", F.when(~empty, F.col("value")))
+    t = climo(spark, sf_dir).select("model", "var", "lead_ix", "lat", "lon", (F.col("value") + 10.25).alias("threshold"))
+    return ex.exceedance(c, t).select("model", "var", "lat", "lon", "lead_ix", "valid_date", "count", "members")
+
+
 _POOL = _ex_sql("+ 10.25", ">", 7, 1) + """, nens AS (SELECT model, MAX(n) AS nens FROM (SELECT model, var, COUNT(DISTINCT member) AS n FROM cube GROUP BY 1, 2) GROUP BY 1),
 pool AS (SELECT var, valid_date, lat, lon, CAST(SUM("count") AS BIGINT) AS "count", CAST(SUM(nens) AS BIGINT) AS nens FROM out_ JOIN nens USING (model) GROUP BY 1, 2, 3, 4
   HAVING COUNT(DISTINCT model) = (SELECT COUNT(DISTINCT model) FROM out_))"""
@@ -316,14 +334,27 @@ def bilinear(spark, sf_dir):
 
 
 @query(f"""WITH {CUBE}, m AS (SELECT model, lat, lon, AVG(value) AS value FROM cube WHERE var = 'pr' GROUP BY 1, 2, 3),
-g AS (SELECT * FROM (VALUES (1.0, 5.0), (9.0, 95.0), (5.0, 185.0)) t(lat, lon)),
-r AS (SELECT model, g.lat, g.lon, m.value, ROW_NUMBER() OVER (PARTITION BY model, g.lat, g.lon ORDER BY (m.lat - g.lat) ** 2 + (m.lon - g.lon) ** 2, m.lat, m.lon) AS n FROM m CROSS JOIN g)
+g AS (SELECT * FROM (VALUES (1.0, 5.0), (9.0, 95.0), (5.0, 185.0), (-80.0, 45.0), (75.0, 359.0)) t(lat, lon)),
+r AS (SELECT model, g.lat, g.lon, m.value, ROW_NUMBER() OVER (PARTITION BY model, g.lat, g.lon ORDER BY abs(m.lat - g.lat), m.lat DESC, abs(m.lon - g.lon), m.lon DESC) AS n FROM m CROSS JOIN g)
 SELECT model, lat::DOUBLE AS lat, lon::DOUBLE AS lon, ROUND(value, 4) AS value FROM r WHERE n = 1""")
 def nearest_cell(spark, sf_dir):
-    """P17."""
+    """Ties go to the greater label, far targets to the border."""
     mean = cube(spark, sf_dir).where("var = 'pr'").groupBy("model", "lat", "lon").agg(F.avg("value").alias("value"))
-    grid = spark.sql("SELECT * FROM VALUES (1D, 5D), (9D, 95D), (5D, 185D) AS t(lat, lon)")
-    return gr.nearest_cell(mean, grid, 90).select("model", "lat", "lon", _r("value"))
+    grid = spark.sql("SELECT * FROM VALUES (1D, 5D), (9D, 95D), (5D, 185D), (-80D, 45D), (75D, 359D) AS t(lat, lon)")
+    return gr.nearest_cell(mean, grid).select("model", "lat", "lon", _r("value"))
+
+
+@query(f"""WITH {CUBE}, m AS (SELECT model, 0.5 - lat AS lat, lon / 90 + 0.25 AS lon, AVG(value) AS value FROM cube WHERE var = 'tas' GROUP BY 1, 2, 3),
+g AS (SELECT * FROM (VALUES (0.5, 0.25), (-4.5, 1.0), (-2.0, 2.25), (-9.5, 3.0), (-9.5, 3.3), (0.6, 1.0)) t(lat, lon)),
+c AS (SELECT g.lat, g.lon, m.model, m.value, (1 - abs(m.lat - g.lat) / 10) * (1 - abs(m.lon - g.lon)) AS w FROM g JOIN m ON abs(m.lat - g.lat) < 10 AND abs(m.lon - g.lon) < 1)
+SELECT k.model, g.lat::DOUBLE AS lat, g.lon::DOUBLE AS lon, ROUND(CASE WHEN SUM(w) BETWEEN 0.999999 AND 1.000001 THEN SUM(w * value) END, 4) AS value
+FROM (SELECT DISTINCT model FROM m) k CROSS JOIN g LEFT JOIN c ON c.model = k.model AND c.lat = g.lat AND c.lon = g.lon GROUP BY 1, 2, 3""")
+def bilinear_between_steps(spark, sf_dir):
+    """Cell centres that are no multiples of the step, latitudes from north to south."""
+    place = {"lat": F.lit(0.5) - F.col("lat"), "lon": F.col("lon") / 90 + 0.25}
+    mean = cube(spark, sf_dir).where("var = 'tas'").withColumns(place).groupBy("model", "lat", "lon").agg(F.avg("value").alias("value"))
+    grid = spark.sql("SELECT * FROM VALUES (0.5D, 0.25D), (-4.5D, 1D), (-2D, 2.25D), (-9.5D, 3D), (-9.5D, 3.3D), (0.6D, 1D) AS t(lat, lon)")
+    return gr.bilinear(mean, grid).select("model", "lat", "lon", _r("value"))
 
 
 @query(f"""WITH {CUBE} SELECT lat, CAST(CAST(lon + 360 AS INT) % 360 AS DOUBLE) AS lon, COUNT(*) AS n FROM cube WHERE CAST(lon AS INT) % 180 = 0 AND CAST(lat AS INT) % 180 = 0 GROUP BY 1, 2""")

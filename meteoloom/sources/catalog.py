@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.calendar import parse_date_token
+from ..functions.ranking import global_rank
 
 
 def list_files(spark, root: str, pattern: str = "*") -> DataFrame:
@@ -60,7 +61,7 @@ def filter_listing(listing: DataFrame, var: str, dates: DataFrame, suffixes=(".n
     token = F.col("name").rlike(rf"(?i)(^|[^a-z0-9]){var}([^a-z0-9]|$)")
     day = F.coalesce(parse_date_token(F.col("name")), parse_date_token(F.col("url")))
     got = listing.where(ends & token).withColumn("day", day).join(F.broadcast(dates.select("day")), "day", "left_semi")
-    return got.withColumn("rank", F.row_number().over(Window.orderBy(F.col("day").desc(), F.col("name").desc())))
+    return global_rank(got, [F.col("day").desc(), F.col("name").desc()], "rank")
 
 
 def plan_fetch(wanted: DataFrame, offered: DataFrame, held: DataFrame, key: str = "day") -> DataFrame:
@@ -116,10 +117,13 @@ def resend_jobs(manifest: DataFrame, root: str, allowed: DataFrame, local: DataF
 
 def chunk(df: DataFrame, n: int, order="path", keys=()) -> DataFrame:
     """Batches of ``n``: batch (from 1) and batches (their number); within keys if there are any."""
-    w = Window.partitionBy(*keys).orderBy(order) if keys else Window.orderBy(order)
-    whole = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
-    out = df.withColumn("batch", (F.floor((F.row_number().over(w) - 1) / n) + 1).cast("int"))
-    return out.withColumn("batches", F.ceil(F.count("*").over(whole) / n).cast("int"))
+    if keys:
+        ranked = df.withColumn("batch", F.row_number().over(Window.partitionBy(*keys).orderBy(order)))
+        out = ranked.withColumn("batches", F.count("*").over(Window.partitionBy(*keys)))
+    else:
+        ranked = global_rank(df, [F.col(order)], "batch")
+        out = ranked.crossJoin(F.broadcast(ranked.agg(F.count("*").alias("batches"))))  # one row
+    return out.withColumns({"batch": (F.floor((F.col("batch") - 1) / n) + 1).cast("int"), "batches": F.ceil(F.col("batches") / n).cast("int")})
 
 
 def limit_per_model(df: DataFrame, n: int) -> DataFrame:
@@ -214,7 +218,3 @@ def route_sources(models: DataFrame, default: str, overrides: DataFrame, direct:
 def candidates_table(names: DataFrame) -> DataFrame:
     """model, name, cand_ix rows from ``model_names``."""
     return names.select("model", F.posexplode("candidates").alias("cand_ix", "name"))
-
-
-def rank_column(order: Column) -> Column:
-    return F.row_number().over(Window.orderBy(order))

@@ -296,7 +296,7 @@ class TestArchive:
 
     def test_relabel_compare_and_set_and_revert(self, spark):
         c = landing(spark, range(1), ("pr",)).withColumn("lead_days", (F.col("lead_ix") + 1).cast("float"))
-        canon = ar.canonical_leads(spark, [("A", 0.5, 3)])
+        canon = ar.canonical_leads(spark.createDataFrame([("A", 0.5, 3)], "model string, first double, n int"))
         audit = ar.audit_leads(ar.lead_files(c), canon)
         assert audit.first()["status"] == "relabel"
         new = ar.relabel_leads(c, audit)

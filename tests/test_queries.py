@@ -20,7 +20,7 @@ def test_every_query_has_sql():
     assert set(registry.queries()) == set(registry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(set(registry.queries()) - {"subsample", "replaced_leads"}))
+@pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_query(spark, con, sf_dir, name):
     assert_same(registry.queries()[name](spark, sf_dir), con, registry.oracle_sql()[name])
 
