@@ -8,12 +8,11 @@ manifest. The last stage returns the rows as read back from the committed shards
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 from meteoloom.llm import decontam, mixing, sharding, simhash, toxicity
-from meteoloom.llm.common import materialize, shared_dir
+from meteoloom.llm.common import discard, materialize
+from meteoloom.sources.working import scratch
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,7 +21,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each SimHash group."""
+    """One row of each SimHash group: the one with the smallest doc_id, nulls last."""
     return simhash.keep_one(docs)
 
 
@@ -32,13 +31,13 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Whole documents, repeated or left out as their source's target weight asks."""
+    """Whole documents, repeated or left out as their source's target weight asks; repeated rows count each."""
     return mixing.mixed_documents(docs)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix as the committed shards hold it: doc_id, source, lang, n_bytes, text_sha256."""
-    return sharding.shard_digest(docs, f"{shared_dir(spark)}/shards-{uuid.uuid4().hex}")
+    return sharding.shard_digest(docs, scratch(spark, "shards"))
 
 
 STAGES = [
@@ -49,13 +48,17 @@ STAGES = [
     ("sharding", shard),
 ]
 
-#: The stages are learnt or hashed, which SQL can't express; tests hold them against brute force.
+#: The stages are learnt or hashed, which SQL can't express. Tests hold near-dedup, decontamination, mixing and
+#: sharding against plain loops in Python, and toxicity against labels that it didn't learn from.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the folder's ``documents``."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if before is not None:
+            discard(before)
+        before = docs
     return docs
