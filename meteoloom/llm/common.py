@@ -2,35 +2,21 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.working import delete, scratch
+
 #: The separators between words: space and the five control characters 09 to 0D.
 WORD = r"[^\x20\x09-\x0D]+"
 
 # ------------------------------------------------------------------ working tables
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir`` of the session.
-
-    Only a local session (as in tests) may leave that unset; a temporary folder is then made and
-    set. Elsewhere executors would not see the driver's folder, so this raises.
-    """
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        master = spark.sparkContext.master
-        if master != "local" and not master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        base = "file://" + tempfile.mkdtemp(prefix="meteoloom-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return base.rstrip("/")
-
-
 #: Spark deletes a query's shuffle files as soon as the query is done.
 _CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -42,7 +28,7 @@ def materialize(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     files of the finished job are let go. With ``by`` the table is partitioned by that column.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = scratch(spark, name)
     before = spark.conf.get(_CLEAN, "false")
     spark.conf.set(_CLEAN, "true")
     try:
@@ -58,8 +44,7 @@ def materialize(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
 def discard(*tables: DataFrame) -> None:
     """Delete the files of tables that ``materialize`` returned, once nothing reads them any more."""
     for df in tables:
-        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._stored_at)
-        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+        delete(df.sparkSession, df._stored_at)
 
 
 def ascii_lower(col: Column) -> Column:
@@ -147,6 +132,38 @@ def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return Rolling(data).slices(start, end), start, end
 
 
+_TOGETHER = 1 << 20
+
+
+def words_of(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Hashes of the words of all texts in order, and how many each text has; some texts at a time.
+
+    Works on the column's own buffer. A text of more than a megabyte comes alone; null ones have
+    no words.
+    """
+    wide = pa.types.is_large_string(texts.type)
+    offsets = np.frombuffer(texts.buffers()[1], np.int64 if wide else np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    buffer = texts.buffers()[2]
+    data = np.zeros(0, np.uint8) if buffer is None else np.frombuffer(buffer, np.uint8)
+    first = 0
+    while first < len(texts):
+        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + _TOGETHER, "right")) - 1)
+        lo, cut = offsets[first], offsets[first : last + 1] - offsets[first]
+        own = data[lo : lo + cut[-1]]
+        inside = np.zeros(len(own) + 1, bool)
+        inside[:-1] = ~_SEPARATOR[own]
+        after = np.concatenate([[False], inside[:-1]])
+        after[cut[:-1][cut[:-1] < len(own)]] = False  # a text begins anew
+        start = np.flatnonzero(inside & ~after)
+        ends = ~inside
+        ends[cut] = True
+        ends = np.flatnonzero(ends)
+        end = ends[np.searchsorted(ends, start, "right")]
+        h = Rolling(own).slices(start, end) if len(start) else np.zeros(0, np.uint64)
+        yield h, np.diff(np.searchsorted(start, cut))
+        first = last
+
+
 def as_bytes(text: str | None) -> np.ndarray:
     return np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8)
 

@@ -125,11 +125,13 @@ def successors(ids: DataFrame) -> DataFrame:
 
     Ids are ranged into blocks; the successor is found inside the block, and for the last one
     of a block in the table of block heads, which has one row for each range partition. Equal
-    ids share a successor. Nulls come first.
+    ids share a successor. Nulls come first. The blocks are stored, as ranging samples its
+    borders anew wherever it is computed.
     """
     n = max(1, int(ids.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     distinct = ids.select("doc_id").distinct()
     blocks = distinct.repartitionByRange(n, F.col("doc_id").asc_nulls_first()).withColumn("_block", F.spark_partition_id())
+    blocks = materialize(blocks, "fingerprint-blocks")
     order = Window.partitionBy("_block").orderBy(F.col("doc_id").asc_nulls_first())
     placed = blocks.withColumns({"_rank": F.row_number().over(order), "_next": F.lead(F.struct("doc_id")).over(order)})
     heads = placed.where("_rank = 1").select("_block", F.struct("doc_id").alias("_head"))

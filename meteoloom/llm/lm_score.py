@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, discard, materialize, word_hashes
+from .common import as_bytes, discard, materialize, word_hashes, words_of
 
 LISTED = 1 << 20
 OWN = 64
@@ -47,8 +47,9 @@ WINDOW = (-2, -1, 1, 2)
 REACH = 2
 BLOCK = 1 << 18
 FIRST_WAVE = 8
-BATCH = 1024
-_COUNTED = 1 << 20
+BATCH = 2048
+_SCORED = 1024
+_COUNTED = 1 << 22
 _PIECE = 2048
 _SHAPES = ((INPUTS, DIM), (len(WINDOW) * DIM, HIDDEN), (HIDDEN,), (HIDDEN, CLASSES), (CLASSES,))
 _SIZE = sum(int(np.prod(s)) for s in _SHAPES)
@@ -133,44 +134,45 @@ def train_block(state: tuple[np.ndarray, np.ndarray], places: Places, target: np
     A block far smaller than ``BLOCK`` (a small corpus) is gone through up to eight times.
     """
     flat, seen = state[0].copy(), state[1].copy()
-    parts = _split(flat)
-    (e, *_), (seen_e, *_), first = parts, _split(seen), INPUTS * DIM
+    parts, seen_e, first = _split(flat), _split(seen)[0], INPUTS * DIM
+    e, w1, _, w2, _ = parts
     grad = np.zeros_like(flat)
     _, g1, gb1, g2, gb2 = _split(grad)
     grad, dense, dense_seen = grad[first:], flat[first:], seen[first:]
-    step, rng, ones = np.empty_like(grad), np.random.default_rng(seed), np.ones(CLASSES, np.float32)
+    step, rng, ones, rate = np.empty_like(grad), np.random.default_rng(seed), np.ones(max(BATCH, CLASSES), np.float32), np.float32(rate)
     for _ in range(max(1, min(8, BLOCK // max(1, len(target))))):
         order = rng.permutation(len(target))
+        rows, wanted = places.windows(order), target[order]
         for lo in range(0, len(order), BATCH):
-            own = order[lo : lo + BATCH]
-            x, y, n = places.windows(own), target[own], len(own)
+            x, y = rows[lo : lo + BATCH], wanted[lo : lo + BATCH]
+            n = len(y)
             inp, hid, d = _forward(parts, x)
             np.exp(d, out=d)
-            d *= (1 / (n * (d @ ones)))[:, None]
+            d *= (1 / (n * (d @ ones[:CLASSES])))[:, None]
             d[np.arange(n), y] -= np.float32(1 / n)
             np.matmul(hid.T, d, out=g2)
-            np.sum(d, axis=0, out=gb2)
-            dh = d @ parts[3].T
+            np.matmul(ones[:n], d, out=gb2)
+            dh = d @ w2.T
             hid *= hid
             np.subtract(1, hid, out=hid)
             dh *= hid
             np.matmul(inp.T, dh, out=g1)
-            np.sum(dh, axis=0, out=gb1)
-            di = (dh @ parts[1].T).reshape(-1, DIM)
+            np.matmul(ones[:n], dh, out=gb1)
+            di = (dh @ w1.T).reshape(-1, DIM)
             # Embeddings: only the rows in use have a gradient.
             row = x.ravel()
-            by = np.argsort(row)
+            by = np.argsort(row.astype(np.uint16), kind="stable")
             row = row[by]
             border = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
-            row, ge = row[border], np.add.reduceat(di[by], border, axis=0)
+            row, ge = row[border], np.add.reduceat(di.take(by, axis=0), border, axis=0)
             sums = seen_e[row] + ge * ge
             seen_e[row] = sums
-            e[row] -= np.float32(rate) * ge / np.sqrt(sums)
+            e[row] -= rate * ge / np.sqrt(sums)
             np.multiply(grad, grad, out=step)
             dense_seen += step
             np.sqrt(dense_seen, out=step)
             np.divide(grad, step, out=step)
-            step *= np.float32(rate)
+            step *= rate
             dense -= step
     return flat, seen
 
@@ -179,8 +181,8 @@ def log_likelihood(flat: np.ndarray, vocab: Vocabulary, ids: np.ndarray, sizes:
     """log P of each token given the tokens around it, but for log(count + 0.5) of unlisted words."""
     parts, places, target, out = _split(flat), Places(ids, sizes, vocab), vocab.target[ids], np.empty(len(ids), np.float64)
     ones = np.ones(CLASSES, np.float32)
-    for lo in range(0, len(ids), BATCH):
-        own = slice(lo, lo + BATCH)
+    for lo in range(0, len(ids), _SCORED):
+        own = slice(lo, lo + _SCORED)
         _, _, z = _forward(parts, places.windows(own))
         out[own] = z[np.arange(len(z)), target[own]]
         np.exp(z, out=z)
@@ -220,9 +222,9 @@ def word_counts(docs: DataFrame) -> DataFrame:
             return _table(h=h, n=n.astype(np.int64))
 
         for batch in batches:
-            for cell in batch.column(0):
-                held.append(tokens(cell.as_py()))
-                size += len(held[-1])
+            for h, _ in words_of(batch.column(0)):
+                held.append(h.view(np.int64))
+                size += len(h)
                 if size >= _COUNTED:
                     yield done()
                     held, size = [], 0
@@ -267,12 +269,12 @@ def encode(docs: DataFrame, listed: np.ndarray, blocks: int) -> DataFrame:
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         look = _Lookup(shared.value)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 512):
-                part = batch.slice(lo, 512)
-                own = [tokens(text.as_py()) for text in part.column(3)]
-                h = np.concatenate([np.zeros(0, np.int64), *own])
-                at, end = look(h).astype(np.int32), np.cumsum([len(x) for x in own])
-                ids = [at[j - len(x) : j].tobytes() for x, j in zip(own, end, strict=True)]
+            lo = 0
+            for h, sizes in words_of(batch.column(3)):
+                part, lo = batch.slice(lo, len(sizes)), lo + len(sizes)
+                h = h.view(np.int64)
+                at, end = look(h).astype(np.int32), np.cumsum(sizes)
+                ids = [at[j - n : j].tobytes() for n, j in zip(sizes.tolist(), end.tolist(), strict=True)]
                 rare = np.flatnonzero(at == look.n)
                 cut = np.searchsorted(rare, np.concatenate([[0], end]))
                 lists = pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), pa.array(h[rare]))

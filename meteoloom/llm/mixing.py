@@ -74,8 +74,10 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = M
 
 def _plan(docs: DataFrame, weights: tuple[int, ...], max_epochs: int, seed: int, whole: bool) -> DataFrame:
     """``mix`` and the hash of each row's text, ``_h``."""
-    key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
-    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), F.xxhash64("text").alias("_h"), key.alias("_key"))
+    text_h = F.xxhash64("text")
+    # Rows without an id are spread by their texts.
+    key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("null"), F.hex(text_h)))))
+    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), text_h.alias("_h"), key.alias("_key"))
     sized = materialize(sized.withColumn("_bin", F.substring("_key", 1, 3)), "mix-sizes")
     targets = water_fill(weighted_sources(sized, weights), max_epochs=max_epochs)
     epochs = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..sources.working import scratch
 from . import decontam, fingerprints, lm_score, mixing, secrets, sharding, simhash, suffix_array, suffix_tree, toxicity
-from .common import shared_dir
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,7 +15,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.shard_digest(_table(spark, sf_dir, "documents"), f"{shared_dir(spark)}/shards-{uuid.uuid4().hex}")
+    return sharding.shard_digest(_table(spark, sf_dir, "documents"), scratch(spark, "shards"))
 
 
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

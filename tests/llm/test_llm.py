@@ -11,6 +11,7 @@ import zlib
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -20,7 +21,7 @@ from compare import assert_same, connect
 
 llm = pytest.importorskip("meteoloom.llm")
 from meteoloom.llm import common, components, decontam, fingerprints, lm_score, mixing, queries, secrets, sharding, simhash, suffix_array, suffix_tree, toxicity  # noqa: E402
-from meteoloom.llm.common import shared_dir  # noqa: E402
+from meteoloom.sources.working import shared_dir  # noqa: E402
 
 EXTRA = "h long, fp long, batch int, g int, n int, s int, w1 long, size long, _id long, _q int, bin int, arrival int, tier int, taken long, component long, positive boolean, score double"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, " + EXTRA
@@ -69,6 +70,23 @@ def none(spark):
     return frame(spark, [])
 
 
+# ------------------------------------------------------------------ shared kernels
+
+
+@pytest.mark.parametrize("together", [10, 1 << 20])
+def test_words_of_a_column(monkeypatch, together):
+    """Words of many texts at once, on sliced and wide columns, with nulls and words that end a text."""
+    monkeypatch.setattr(common, "_TOGETHER", together)
+    rng = random.Random(1)
+    for kind in (pa.string(), pa.large_string()):
+        texts = [None if rng.random() < 0.1 else "".join(rng.choice("ab é \n\t\x0bñ\U0001f600") for _ in range(rng.choice([0, 1, 3, 50, 2000]))) for _ in range(150)]
+        for column in (pa.array(texts, kind), pa.array(["zz q", *texts, "y"], kind).slice(1, len(texts)), pa.array([], kind)):
+            got = list(common.words_of(column))
+            want = [common.word_hashes(common.as_bytes(t))[0] for t in texts[: len(column)]]
+            assert [n for _, sizes in got for n in sizes] == [len(w) for w in want]
+            assert [h for hs, _ in got for h in hs] == [h for w in want for h in w]
+
+
 # ------------------------------------------------------------------ op1
 
 
@@ -345,7 +363,8 @@ def mixed_by_hand(rows, seed=20, most=3):
     target = dict(zip(names, water([total[s] for s in names], [i % 3 + 1 for i in range(len(names))], most), strict=True))
     out = collections.Counter()
     for s in names:
-        own = [(hashlib.md5(f"{seed}:{'null' if i is None else i}".encode()).hexdigest(), i, t) for i, t, x in rows if x == s]
+        name = lambda i, t: f"null{42 if t is None else xxhash.xxh64(t.encode(), seed=42).intdigest():X}" if i is None else i
+        own = [(hashlib.md5(f"{seed}:{name(i, t)}".encode()).hexdigest(), i, t) for i, t, x in rows if x == s]
         whole = int(target[s] // total[s]) if total[s] else 0
         part, done = round(target[s] - whole * total[s]), 0
         for _, i, t in sorted(own, key=lambda x: (x[0], x[1] or 0, size(x[2]))):
