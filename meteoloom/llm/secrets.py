@@ -8,13 +8,14 @@ the regular expression then verifies. A rule without a mandatory trigram scans e
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
-from re import _constants as c
-from re import _parser as parser
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import materialize
+
 # The patterns of the three base rules.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]+"
@@ -43,12 +44,66 @@ MORE = (
 )
 RULES = BASE + MORE
 _MOST = 64
+#: Candidate documents (about 100 bytes each) whose list may be broadcast.
+BROADCAST_HITS = 100_000
+
+
+_QUANTIFIER = re.compile(r"(?:([?*+])|\{(\d+)(?:(,)(\d*))?\})[?+]?")
+_OPEN = re.compile(r"\?[a-z-]*:")
+
+
+def _branches(pattern: str, i: int = 0) -> tuple[list, int]:
+    """The alternatives of a pattern from place ``i`` on, and where they end.
+
+    An alternative is a list of (node, least, most times); a node is a set of characters, a list
+    of alternatives (a group), or None for anything else, which a query leaves open.
+    """
+
+    def escaped(i: int) -> tuple[str | None, int]:
+        if pattern[i] == "x":
+            return chr(int(pattern[i + 1 : i + 3], 16)), i + 3
+        return (None if pattern[i].isalnum() else pattern[i]), i + 1
+
+    def one_of(i: int) -> tuple[set | None, int]:
+        chars, known = set(), pattern[i] != "^"
+        end = pattern.index("]", i + (1 if known else 2))
+        while i < end:
+            c, i = escaped(i + 1) if pattern[i] == "\\" else (pattern[i], i + 1)
+            known = known and c is not None and not (pattern[i] == "-" and i + 1 < end)
+            chars.add(c)
+        return (chars if known else None), end + 1
+
+    out: list = [[]]
+    while i < len(pattern) and pattern[i] != ")":
+        c, i = pattern[i], i + 1
+        if c == "|":
+            out.append([])
+            continue
+        if c == "(":
+            inner = _OPEN.match(pattern, i)
+            node, i = _branches(pattern, inner.end() if inner else i)
+            i += 1
+        elif c == "[":
+            node, i = one_of(i)
+        elif c == "\\":
+            c, i = escaped(i)
+            node = None if c is None else {c}
+        else:
+            node = None if c in ".^$" else {c}
+        least = most = 1
+        if times := _QUANTIFIER.match(pattern, i):
+            i = times.end()
+            least = {"?": 0, "*": 0, "+": 1}.get(times[1], int(times[2] or 0))
+            most = {"?": 1, "*": None, "+": None}[times[1]] if times[1] else (int(times[4]) if times[4] else None) if times[3] else least
+        out[-1].append((node, least, most))
+    return out, i
 
 
 def trigram_query(pattern: str) -> list[frozenset[str]]:
     """Clauses of lower-case trigrams: a match holds every trigram of some clause.
 
-    An empty clause means that no trigram is mandatory.
+    An empty clause means that no trigram is mandatory. Escapes, classes, groups, alternatives
+    and repetitions are read; look-arounds and back-references are not.
     """
 
     def grams(s: str) -> frozenset[str]:
@@ -58,27 +113,21 @@ def trigram_query(pattern: str) -> list[frozenset[str]]:
         return {(have | grams(run), "") for have, run in alts}
 
     def walk(items, alts):
-        for op, arg in items:
-            if op is c.LITERAL:
-                alts = {(have, run + chr(arg).lower()) for have, run in alts}
-            elif op is c.SUBPATTERN:
-                alts = walk(arg[3], alts)
-            elif op is c.BRANCH:
-                alts = set().union(*(walk(x, alts) for x in arg[1]))
-            elif op is c.IN and all(x[0] is c.LITERAL for x in arg) and len(arg) <= 8:
-                alts = set().union(*(walk([x], alts) for x in arg))
-            elif op in (c.MAX_REPEAT, c.MIN_REPEAT) and tuple(arg[:2]) == (0, 1) and len(arg[2]) == 1 and arg[2][0][0] is c.LITERAL:
-                alts = alts | walk(arg[2], alts)
-            elif op in (c.MAX_REPEAT, c.MIN_REPEAT) and arg[0] == arg[1] == 1:
-                alts = walk(arg[2], alts)
+        for node, least, most in items:
+            if isinstance(node, set) and len(node) <= 8 and most == 1:
+                with_it = {(have, run + c.lower()) for have, run in alts for c in node}
+                alts = with_it if least else alts | with_it
+            elif isinstance(node, list) and least == most == 1:
+                alts = set().union(*(walk(x, alts) for x in node))
             else:
                 alts = cut(alts)
             if len(alts) > _MOST:
                 alts = {(frozenset(), "")}
         return alts
 
-    clauses = {have for have, _ in cut(walk(parser.parse(pattern), {(frozenset(), "")}))}
-    return [frozenset()] if frozenset() in clauses else sorted(clauses, key=sorted)
+    clauses = {have for branch in _branches(pattern)[0] for have, _ in cut(walk(branch, {(frozenset(), "")}))}
+    # A clause that holds all of another one adds nothing.
+    return sorted((c for c in clauses if not any(d < c for d in clauses)), key=sorted)
 
 
 def build_index(docs: DataFrame, trigrams: list[str]) -> DataFrame:
@@ -121,7 +170,7 @@ def _joined(spans: Column) -> Column:
     return F.array_join(F.transform(F.array_sort(spans), lambda x: F.concat_ws(":", x["kind"], x["s"], x["e"])), ",")
 
 
-def scan_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+def scan_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, broadcast_hits: int = BROADCAST_HITS) -> DataFrame:
     """doc_id and the sorted array ``found`` of (s, o, e, kind) spans, for every row of ``docs``.
 
     Null texts count as empty, an empty text has no spans, repeated rows are each reported,
@@ -132,8 +181,10 @@ def scan_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     trigrams = sorted({t for r in indexed for clause in trigram_query(r.pattern) for t in clause})
     empty = F.array().cast("array<struct<s:int,o:int,e:int,kind:string>>")
     if indexed:
-        hits = candidates(build_index(docs, trigrams), indexed).withColumnRenamed("doc_id", "_id")
-        docs = docs.join(hits, docs["doc_id"].eqNullSafe(hits["_id"]), "left")
+        hits = materialize(candidates(build_index(docs, trigrams), indexed).withColumnRenamed("doc_id", "_id"), "secret-candidates")
+        # Few documents are candidates: up to a bound their list goes to the texts, beyond it they meet by a shuffle.
+        few = hits.limit(broadcast_hits + 1).count() <= broadcast_hits
+        docs = docs.join(F.broadcast(hits) if few else hits, docs["doc_id"].eqNullSafe(F.col("_id")), "left")
     else:
         docs = docs.withColumn("_kinds", F.lit(None).cast("array<string>"))
     parts = [_spans(F.col("text"), r, i) if r not in indexed else F.when(F.array_contains("_kinds", r.kind), _spans(F.col("text"), r, i)).otherwise(empty) for i, r in enumerate(rules)]
