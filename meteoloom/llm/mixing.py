@@ -2,8 +2,8 @@
 
 Every source asks for a share of the total in proportion to its weight and is clamped at
 ``max_epochs`` times its own size; the excess goes to the sources below their clamp, again by
-weight, until none is above. That fixed point is one water level: with the sources in order of
-cap per weight, the first ones are full and the rest get level x weight.
+weight, until none is above. That fixed point is one water level: sources whose cap per weight
+it reaches are full, and the others get level x weight.
 
 A source's target is then drawn as whole repetitions of all its documents plus a fractional
 one: documents in a seeded order until the words still wanted are reached. The order is by the
@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.ranking import global_rank
 from .common import materialize, word_count
 
 SEED = 20
@@ -27,36 +28,31 @@ WEIGHTS = (1, 2, 3)
 def water_fill(sources: DataFrame, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     """sources (source, weight, source_size), one row per source -> adds ``target`` (double).
 
-    The table has one row for each source, so its two cumulative sums are of that length only.
-    Sources of size 0 get target 0. An empty table stays empty.
+    Starting with no source full, the level that the open ones share fills those whose cap per
+    weight it reaches, which raises it for the others, until none is added. Each round is one
+    aggregation over the sources; four numbers reach the driver. Sources of size 0 get target 0.
+    An empty table stays empty.
     """
     cap = F.col("source_size") * F.lit(max_epochs)
-    order = Window.orderBy("_ratio", "_rank")
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    everything = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    t = sources.withColumn("_rank", F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last(), F.col("source_size"))))
-    t = t.withColumn("_ratio", cap / F.col("weight"))
-    t = t.withColumns({
-        "_all": F.sum("source_size").over(everything),
-        "_w": F.sum("weight").over(everything),
-        "_full": F.coalesce(F.sum(cap).over(before), F.lit(0)),
-        "_fullw": F.coalesce(F.sum("weight").over(before), F.lit(0)),
-    })
-    # Source i is full if the level that its predecessors leave reaches its cap per weight; the
-    # level that the first open source sees is the final one.
-    level = (F.col("_all") - F.col("_full")) / (F.col("_w") - F.col("_fullw"))
-    t = t.withColumn("_level", level).withColumn("_open", F.col("_ratio") > F.col("_level"))
-    t = t.withColumn("_final", F.min(F.when(F.col("_open"), F.struct("_ratio", "_rank", "_level"))).over(everything)["_level"])
-    target = F.least(cap.cast("double"), F.coalesce(F.col("_final"), F.lit(float("inf"))) * F.col("weight"))
-    return t.withColumn("target", target).select("source", "weight", "source_size", "target")
+    total, weight = sources.agg(F.sum("source_size"), F.sum("weight")).first()
+    level, before = 0.0, None
+    while total is not None:
+        full = (cap / F.col("weight")) <= F.lit(level)
+        state = sources.agg(F.sum(F.when(full, cap)), F.sum(F.when(full, F.col("weight")))).first() if level else (0, 0)
+        if tuple(state) == before:
+            break
+        before = tuple(state)
+        level = (total - (state[0] or 0)) / (weight - (state[1] or 0)) if weight > (state[1] or 0) else float("inf")
+    target = F.least(cap.cast("double"), F.lit(level) * F.col("weight"))
+    return sources.select("source", "weight", "source_size", target.alias("target"))
 
 
 def weighted_sources(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
     """Sources of ``sized`` (source, size) with their sizes; by code point, null last, weights repeat."""
-    # Two sums: a source with a third of the rows is first summed in every task.
+    # Summed in every task first, whatever the source's share of the rows.
     sums = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
-    rank = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
-    return sums.withColumn("weight", F.element_at(F.array(*map(F.lit, weights)), F.pmod(rank, F.lit(len(weights))) + 1))
+    ranked = global_rank(sums, [F.col("source").asc_nulls_last()], "_rank")
+    return ranked.withColumn("weight", F.element_at(F.array(*map(F.lit, weights)), F.pmod(F.col("_rank") - 1, F.lit(len(weights))) + 1)).drop("_rank")
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: int = SEED, whole: bool = False) -> DataFrame:
@@ -79,7 +75,7 @@ def _plan(docs: DataFrame, weights: tuple[int, ...], max_epochs: int, seed: int,
     key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("null"), F.hex(text_h)))))
     sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), text_h.alias("_h"), key.alias("_key"))
     sized = materialize(sized.withColumn("_bin", F.substring("_key", 1, 3)), "mix-sizes")
-    targets = water_fill(weighted_sources(sized, weights), max_epochs=max_epochs)
+    targets = water_fill(materialize(weighted_sources(sized, weights), "mix-sources"), max_epochs=max_epochs)
     epochs = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     targets = targets.withColumn("_whole", F.least(F.floor(epochs), F.lit(max_epochs)).cast("long"))
     targets = targets.withColumn("_part", F.greatest(F.lit(0), F.bround(F.col("target") - F.col("_whole") * F.col("source_size")).cast("long")))

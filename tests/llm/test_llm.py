@@ -200,6 +200,8 @@ def test_secrets(spark, none):
     spans = {r["doc_id"]: r["spans"] for r in got}
     assert "github:0:44" in spans[9] and "slack:" in spans[9] and "pem:0:31" in spans[10] and "urlauth:" in spans[10]
     assert secrets.secrets_digest(none).count() == 0
+    found = [sorted(secrets.scan_secrets(frame(spark, data), broadcast_hits=n).collect(), key=repr) for n in (100, 0)]
+    assert found[0] == found[1]
 
 
 def test_trigram_queries_are_mandatory():
@@ -207,6 +209,12 @@ def test_trigram_queries_are_mandatory():
     q = secrets.trigram_query(secrets.ASSIGN)
     assert frozenset({"tok", "oke", "ken"}) in q and frozenset({"api", "pi_", "i_k", "_ke", "key"}) in q and frozenset({"api", "pik", "ike", "key"}) in q
     assert all(secrets.trigram_query(r.pattern) != [frozenset()] for r in secrets.RULES if r.kind != "hex")
+    want = {
+        "abc|abd": [{"abc"}, {"abd"}], "x(?:foo|ba[rz])+q": [set()], "x(?i:Foo|ba[rz])q": [{"xfo", "foo", "ooq"}, {"xba", "bar", "arq"}, {"xba", "baz", "azq"}], "a{3}bcd": [{"bcd"}], "[^a]bcde": [{"bcd", "cde"}],
+        "[a-c]xyz": [{"xyz"}], "ab?cd": [{"abc", "bcd"}, {"acd"}], "[]a]bcd": [{"]bc", "bcd"}, {"abc", "bcd"}], r"a\.b\x20c\d+xyz": [{"a.b", ".b ", "b c", "xyz"}], "ab|c": [set()], "foo(bar)?": [{"foo"}],
+    }
+    for pattern, clauses in want.items():
+        assert sorted(map(sorted, secrets.trigram_query(pattern))) == sorted(map(sorted, clauses))
 
 
 # ------------------------------------------------------------------ op3, op9
