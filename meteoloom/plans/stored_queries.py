@@ -16,7 +16,7 @@ from ..sources import catalog as ct
 from ..sources import cube as cu
 from ..sources import sinks as sk
 from ..sources.working import scratch, store
-from ..streaming.landing import landing_stream
+from ..streaming.landing import crossing_stream, landing_stream
 from .archive_queries import _ARC, _archive, _land
 from .fixtures import CAT, CLIMO, CUBE, FCST, HIND, catalog, climo, cube, hindcast, table
 from .product_queries import ANOM, WEEKLY, _weekly
@@ -142,6 +142,19 @@ def landing_catch_up(spark, sf_dir):
     return _counted(spark.read.schema(full.schema).parquet(archive))
 
 
+@query("""WITH w AS (SELECT user_id, value, date_trunc('day', ts) - (CAST(range AS INT) || ' days')::INTERVAL AS s FROM events CROSS JOIN range(0, 7))
+SELECT strftime(s, '%Y-%m-%d') AS window_start, user_id, COUNT(*) FILTER (value > 20) AS crossings, COUNT(*) AS n FROM w
+WHERE s + INTERVAL 9 DAY <= (SELECT MAX(ts) FROM events) GROUP BY 1, 2 HAVING COUNT(*) FILTER (value > 20) >= 2""")
+def crossing_stream_output(spark, sf_dir):
+    """R2 as a stream: windows that end two days or more before the newest event are finished and stored."""
+    source, out, state = (scratch(spark, x) for x in ("events", "crossings", "stream"))
+    events = table(spark, sf_dir, "events").select("user_id", F.col("ts").cast("timestamp").alias("ts"), "value")
+    events.write.parquet(source)
+    crossing_stream(spark.readStream.schema(events.schema).parquet(source), out, state, 20, 2).awaitTermination()
+    schema = "user_id {}, window_start timestamp, window_end timestamp, crossings long, n long".format(events.schema["user_id"].dataType.simpleString())
+    return spark.read.schema(schema).parquet(out).select(F.date_format("window_start", "yyyy-MM-dd").alias("window_start"), "user_id", "crossings", "n")
+
+
 @query(f"""WITH {CAT}, e AS (SELECT DISTINCT model, var FROM files), f AS (SELECT DISTINCT model, var FROM files WHERE init_date BETWEEN DATE '1998-06-14' AND DATE '1998-06-15')
 SELECT e.model, CASE WHEN e.model IN ('G-M1', 'G-M3') THEN 'fail_on_missing' ELSE 'warn' END AS policy, COUNT(*) FILTER (f.var IS NULL) AS missing,
 CAST(CASE WHEN e.model IN ('G-M1', 'G-M3') AND COUNT(*) FILTER (f.var IS NULL) > 0 THEN 1 ELSE 0 END AS INT) AS code FROM e LEFT JOIN f ON e.model = f.model AND e.var = f.var GROUP BY 1""")

@@ -17,6 +17,7 @@ from meteoloom.operators import thresholds as th
 from meteoloom.operators import validation as va
 from meteoloom.sources import catalog as ct
 from meteoloom.sources import cube as cu
+from meteoloom.sources.working import shared_dir
 
 GRID = "model string, lat double, lon double, value double"
 START = dt.date(2026, 3, 5)
@@ -120,6 +121,26 @@ class TestPlans:
         assert len(got.select("*", "_metadata.file_path").select("file_path").distinct().collect()) == 1 and "PartitionFilters: [isnotnull" in got._jdf.queryExecution().toString()
 
 
+class TestWorkingFolders:
+    class Session:
+        """What is asked of a session, without one."""
+
+        def __init__(self, master, folder=None):
+            settings, self.set_to = {"spark.checkpoint.dir": folder} if folder else {}, {}
+            conf = type("Conf", (), {"get": lambda _, k, d=None: settings.get(k, d), "set": lambda _, k, v: self.set_to.update({k: v})})()
+            self.conf = conf
+            self.sparkContext = type("Context", (), {"master": master, "getConf": lambda _: conf})()
+
+    def test_a_cluster_needs_a_shared_folder(self):
+        for master in ("yarn", "spark://h:7077", "local-cluster[3,2,1000]", "k8s://h"):
+            with pytest.raises(ValueError):
+                shared_dir(self.Session(master))
+            assert shared_dir(self.Session(master, "hdfs:///shared/")) == "hdfs:///shared"
+        local = self.Session("local[4]")
+        made = shared_dir(local)
+        assert made.startswith("file:///") and local.set_to == {"spark.checkpoint.dir": made}
+
+
 class TestArchive:
     def test_staging_folders_go(self, spark, tmp_path):
         rows = [("forecast", "A", "pr", START + dt.timedelta(d), dt.datetime(2026, 3, 5) + dt.timedelta(d), 1, 0, 0.5, START, None, 0.0, 0.0, 1.0) for d in range(3)]
