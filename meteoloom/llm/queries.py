@@ -66,7 +66,7 @@ def oracle_sql() -> dict[str, str]:
     return {"op1_sharding": OP1_SQL, "op2_secrets": op2_sql(), "op3_suffix_tree_dedup": OP3_SQL, "op4_mixing": OP4_SQL, "op9_suffix_array_dedup": OP9_SQL}
 
 
-OP1_SQL = "SELECT doc_id, source, lang, CAST(strlen(text) AS BIGINT) AS n_bytes, sha256(text) AS text_sha256 FROM documents"
+OP1_SQL = "SELECT doc_id, source, lang, CAST(strlen(text) AS BIGINT) AS n_bytes, sha256(text) AS text_sha256, (SELECT COUNT(*) FROM documents) AS store_rows, true AS settled FROM documents"
 
 # Water-filling by its level: for each source as the first open one, and the cut by a plain running sum.
 OP4_SQL = r"""WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(COALESCE(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size, md5('20:' || doc_id) AS k FROM documents),

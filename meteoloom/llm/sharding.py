@@ -233,9 +233,12 @@ def shard_documents(docs: DataFrame, root: str, target: int = TARGET_BYTES, fani
 def shard_digest(docs: DataFrame, root: str) -> DataFrame:
     """What the registered query returns: each document as read back from the committed shards.
 
-    doc_id, source, lang, n_bytes and text_sha256 (null text: nulls).
+    doc_id, source, lang, n_bytes and text_sha256 (null text: nulls); ``store_rows``, the rows that
+    the manifest counts, and ``settled``, whether no run of shards is left to merge.
     """
     docs = docs.select("doc_id", "text", "lang", "source")
     store, version = shard_documents(docs, root)
     rows = store.read(version) if version else docs.limit(0)
-    return rows.select("doc_id", "source", "lang", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("text_sha256"))
+    counted = store.manifest(version).agg(F.sum("rows")).first()[0]
+    facts = F.lit(counted).cast("long").alias("store_rows"), F.lit(store.plan(version).isEmpty()).alias("settled")
+    return rows.select("doc_id", "source", "lang", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("text_sha256"), *facts)
