@@ -11,22 +11,23 @@ YEAR = 366
 
 
 def nearest_rank(entries: Column, q: float) -> Column:
-    """A3: the k-th smallest of sorted (missing, value) entries, k = round-half-even(q (n - 1)).
+    """A3: the k-th smallest of sorted entries, k = round-half-even(q (n - 1)).
 
-    n counts missing entries, which sort last, so the result may be missing (Q6).
+    n counts missing entries, NaN here, which sort last, so the result may be missing (Q6).
     """
-    return F.element_at(entries, (F.bround(F.lit(q) * (F.size(entries) - 1), 0) + 1).cast("int"))["value"]
+    k = (F.bround(F.lit(q) * (F.size(entries) - 1), 0) + 1).cast("int")
+    return F.nanvl(F.element_at(entries, k), F.lit(None).cast("double"))
 
 
 def pool_samples(hindcast: DataFrame, window: int = 15, keys=("model", "var", "lead_ix", "lat", "lon")) -> DataFrame:
-    """Keys, doy, _pool: the samples whose start lies within ``window`` days of a day, around the year.
+    """Keys, doy, _pool: the samples (missing ones as NaN) whose start lies within ``window`` days of a day, around the year.
 
     The hindcast is shuffled once, by a hash of its keys. A series' days are laid out over the year, with
     its ends repeated beyond them, and a window over the days gathers each pool, so no sample
     travels more than once. Days without any sample near them are left out.
     """
     own, day = ["_series", *keys], mmdd_to_doy(mmdd(F.col("init_date")))
-    sample = F.struct(F.col("value").isNull().alias("missing"), F.col("value"))
+    sample = F.coalesce(F.col("value"), F.lit(float("nan")))
     dealt = hindcast.select(F.xxhash64(*keys).alias("_series"), *keys, day.alias("_day"), sample.alias("_s")).repartition("_series")
     daily = dealt.groupBy(*own, "_day").agg(F.collect_list("_s").alias("_samples"))
     series = daily.groupBy(*own).agg(F.map_from_entries(F.collect_list(F.struct("_day", "_samples"))).alias("_days"))
@@ -50,7 +51,7 @@ def thresholds(hindcast: DataFrame, pct: int, window: int = 15, first: int | Non
     if trim:
         # A row for each model, variable and day of the year.
         pools = pools.join(F.broadcast(shortest_leads(hindcast, window)), ["model", "var", "doy"]).where("lead_ix < _least").drop("_least")
-    out = pools.select(*keys, F.lit(pct).alias("pct"), "doy", nearest_rank(F.array_sort("_pool"), pct / 100).alias("threshold"))
+    out = pools.select(*keys, F.lit(pct).alias("pct"), "doy", nearest_rank(F.sort_array("_pool"), pct / 100).alias("threshold"))
     return out.withColumn("mmdd", F.date_format(F.date_add(F.lit("1999-12-31").cast("date"), F.col("doy").cast("int")), "MMdd"))
 
 
