@@ -47,6 +47,11 @@ def discard(*tables: DataFrame) -> None:
         delete(df.sparkSession, df._stored_at)
 
 
+def hash_share(hashed: Column, share: float) -> Column:
+    """Whether a hash (long) lies among that share of all hashes; a cheap first cut before a sort that keeps a fixed number of rows."""
+    return F.shiftrightunsigned(hashed, 1) <= F.lit(min(2**63 - 1, int(share * 2**63)))
+
+
 def ascii_lower(col: Column) -> Column:
     """A-Z in lower case, every other character unchanged."""
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.working import scratch
-from . import decontam, fingerprints, lm_score, mixing, secrets, sharding, simhash, suffix_array, suffix_tree, toxicity
+from . import collocations, decontam, fingerprints, hard_negatives, lm_score, mixing, quality, secrets, sharding, simhash, suffix_array, suffix_tree, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,7 +55,20 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(_table(spark, sf_dir, "documents"))
 
 
-_QUERIES = (op1_sharding, op2_secrets, op3_suffix_tree_dedup, op4_mixing, op5_decontamination, op6_fingerprints, op7_toxicity, op8_lm_scoring, op9_suffix_array_dedup, op10_simhash)
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return quality.quality(docs, quality.train(docs, _table(spark, sf_dir, "labels")))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(hard_negatives.noisy_rows(_table(spark, sf_dir, "embeddings")))
+
+
+_QUERIES = (op1_sharding, op2_secrets, op3_suffix_tree_dedup, op4_mixing, op5_decontamination, op6_fingerprints, op7_toxicity, op8_lm_scoring, op9_suffix_array_dedup, op10_simhash, op11_collocations, op12_quality, op13_hard_negatives)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -63,7 +76,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_sharding": OP1_SQL, "op2_secrets": op2_sql(), "op3_suffix_tree_dedup": OP3_SQL, "op4_mixing": OP4_SQL, "op9_suffix_array_dedup": OP9_SQL}
+    return {"op1_sharding": OP1_SQL, "op2_secrets": op2_sql(), "op3_suffix_tree_dedup": OP3_SQL, "op4_mixing": OP4_SQL, "op9_suffix_array_dedup": OP9_SQL, "op11_collocations": OP11_SQL, "op13_hard_negatives": OP13_SQL}
 
 
 OP1_SQL = "SELECT doc_id, source, lang, CAST(strlen(text) AS BIGINT) AS n_bytes, sha256(text) AS text_sha256, (SELECT COUNT(*) FROM documents) AS store_rows, true AS settled FROM documents"
@@ -120,3 +133,25 @@ per AS (SELECT doc_id, COUNT(*) AS n_spans, CAST(SUM(b - a) AS BIGINT) AS n_remo
 SELECT d.doc_id, CAST(strlen(h) / 2 AS BIGINT) AS n_bytes, COALESCE(n_removed, 0) AS n_removed, COALESCE(n_spans, 0) AS n_spans,
 sha256(unhex(CASE WHEN spans IS NULL THEN h ELSE array_to_string(list_transform(range(0, len(spans) + 1), lambda i: h[2 * CAST(CASE WHEN i = 0 THEN 0 ELSE spans[i].b END AS BIGINT) + 1 : CASE WHEN i = len(spans) THEN strlen(h) ELSE 2 * spans[i + 1].a END]), '') END)) AS kept_sha256
 FROM d LEFT JOIN per USING (doc_id)"""
+
+# Phrases as strings; words hold no space, so equal strings are equal phrases.
+OP11_SQL = r"""WITH p AS (SELECT COALESCE(lang, 'und') AS lang, unnest(string_split_regex(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+g AS (SELECT lang, k, unnest(list_transform(range(0, len(ws) - k + 1), lambda i: array_to_string(ws[i + 1 : i + k], ' '))) AS phrase FROM w, (VALUES (1), (2), (3)) t(k) WHERE len(ws) >= k),
+c AS (SELECT lang, k, phrase, COUNT(*) AS f FROM g GROUP BY ALL),
+n AS (SELECT lang, SUM(f) AS n FROM c WHERE k = 1 GROUP BY 1),
+cand AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS ws FROM c WHERE k > 1 AND f >= 10),
+cut AS (SELECT lang, k, phrase, a, j, array_to_string(ws[1:j], ' ') AS lp, array_to_string(ws[j + 1 : k], ' ') AS rp FROM (SELECT *, unnest(range(1, k)) AS j FROM cand)),
+s AS (SELECT cut.lang, cut.k, cut.phrase, a, j, x.f AS l, y.f AS r, CAST(1000000 AS HUGEINT) * a * a // (CAST(x.f AS HUGEINT) * y.f) AS score FROM cut JOIN c x ON x.lang = cut.lang AND x.phrase = lp JOIN c y ON y.lang = cut.lang AND y.phrase = rp),
+b AS (SELECT * FROM s QUALIFY ROW_NUMBER() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+long AS (SELECT lang, unnest([array_to_string(ws[1:2], ' '), array_to_string(ws[2:3], ' ')]) AS phrase, a AS longer FROM cand WHERE k = 3),
+gone AS (SELECT DISTINCT cand.lang, cand.phrase FROM cand JOIN long ON long.lang = cand.lang AND long.phrase = cand.phrase WHERE 100 * longer >= 50 * cand.a)
+SELECT b.lang, ROW_NUMBER() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank, b.phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM b JOIN n ON n.lang = b.lang LEFT JOIN gone ON gone.lang = b.lang AND gone.phrase = b.phrase WHERE gone.phrase IS NULL QUALIFY rank <= 2000"""
+
+OP13_SQL = """WITH r AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v FROM embeddings
+WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, a.label AS own, r.vec_id, r.label, CAST(list_dot_product(a.v, r.v) AS BIGINT) AS score FROM r a, r WHERE a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id),
+p AS (SELECT anchor_id, own, vec_id AS positive_id, score AS positive_score FROM s WHERE label = own QUALIFY ROW_NUMBER() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, positive_id, CAST(ROW_NUMBER() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) AS INT) AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND s.label <> s.own WHERE 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score QUALIFY rank <= 10"""
