@@ -95,6 +95,7 @@ class Tree:
     """The whole tree; ``root`` is a Node, ``paths[leaf]`` lists the (node, child) that lead to a leaf."""
 
     def __init__(self, sample: np.ndarray, fan: int = FAN, leaf: int = LEAF, levels: int = LEVELS):
+        self.fan, self.levels = fan, levels
         self.paths: list[list[tuple[Node, int]]] = []
         self.root = self._grow(sample, [], fan, leaf, levels)
 
@@ -128,19 +129,20 @@ class Tree:
         return out
 
     def block_ranges(self, leaf: int, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Least and greatest distance of the rows to each split point on the leaf's path, padded to ``LEVELS * FAN``."""
-        low, high = np.full(LEVELS * FAN, np.inf), np.full(LEVELS * FAN, -np.inf)
+        """Least and greatest distance of the rows to each split point on the leaf's path, padded to the longest path."""
+        low, high = np.full(self.levels * self.fan, np.inf), np.full(self.levels * self.fan, -np.inf)
         for d, (node, _) in enumerate(self.paths[leaf]):
             away = distances(rows, node.points)
-            low[d * FAN : d * FAN + len(node.points)], high[d * FAN : d * FAN + len(node.points)] = away.min(axis=0), away.max(axis=0)
+            at = slice(d * self.fan, d * self.fan + len(node.points))
+            low[at], high[at] = away.min(axis=0), away.max(axis=0)
         return low, high
 
     def settle(self, leaf: int, low: np.ndarray, high: np.ndarray, short: float, long: float, first: int, last: int) -> None:
         """Widen the ranges of all subtrees on the leaf's path by those of the leaf."""
         for d, (node, k) in enumerate(self.paths[leaf]):
-            n = len(node.points)
-            node.low[:, k] = np.minimum(node.low[:, k], low[d * FAN : d * FAN + n])
-            node.high[:, k] = np.maximum(node.high[:, k], high[d * FAN : d * FAN + n])
+            at = slice(d * self.fan, d * self.fan + len(node.points))
+            node.low[:, k] = np.minimum(node.low[:, k], low[at])
+            node.high[:, k] = np.maximum(node.high[:, k], high[at])
             node.short[k], node.long[k] = min(node.short[k], short), max(node.long[k], long)
             node.first[k], node.last[k] = min(node.first[k], first), max(node.last[k], last)
 
@@ -188,7 +190,7 @@ def _vectors(column: pa.Array, width: int) -> np.ndarray:
     at = np.diff(np.asarray(column.offsets))
     flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.int32)
     if (at == width).all():
-        return flat.reshape(-1, width)
+        return flat.reshape(len(at), width)
     out = np.zeros((len(at), width), np.int32)
     out[np.repeat(np.arange(len(at)), at), np.arange(len(flat)) - np.repeat(np.cumsum(at) - at, at)] = flat
     return out
@@ -238,9 +240,9 @@ def build(rows: DataFrame) -> Index:
     keyed = placed.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.get(dealt, "leaf")).cast("int"))
     blocks = materialize(keyed.groupBy("leaf", "block").applyInArrow(pack, schema), "vector-blocks")
     discard(placed)
-    ends = [f(F.get(c, F.lit(i))) for c, f in (("low", F.min), ("high", F.max)) for i in range(LEVELS * FAN)]
+    ends = [f(F.get(c, F.lit(i))) for c, f in (("low", F.min), ("high", F.max)) for i in range(tree.levels * tree.fan)]
     for r in blocks.groupBy("leaf").agg(*ends, F.min("short"), F.max("long"), F.min("first"), F.max("last")).collect():  # a row for each leaf
-        low, high = np.array(r[1 : 1 + LEVELS * FAN]), np.array(r[1 + LEVELS * FAN : 1 + 2 * LEVELS * FAN])
+        low, high = np.array(r[1:-4]).reshape(2, -1)
         tree.settle(r[0], low, high, *r[-4:])
     return Index(tree, blocks.select("leaf", "block", "n", "ids", "labels", "vectors"), parts, width)
 
@@ -290,9 +292,10 @@ def _search(sent: DataFrame, index: Index, same: bool, k: int) -> DataFrame:
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in batch.to_pylist():
-                ids, labels, v = np.frombuffer(r["ids"], np.int64), np.frombuffer(r["labels"], np.int64), np.frombuffer(r["vectors"], np.int32).reshape(-1, width)
+                ids, labels = np.frombuffer(r["ids"], np.int64), np.frombuffer(r["labels"], np.int64)
+                v = np.frombuffer(r["vectors"], np.int32).reshape(len(ids), width)
                 anchors, tags, marks, least, most, bar, bar_id = (np.frombuffer(r[c], np.int64) for c in ("anchors", "tags", "marks", "least", "most", "bar", "bar_id"))
-                sought = np.frombuffer(r["sought"], np.int32).reshape(-1, width)
+                sought = np.frombuffer(r["sought"], np.int32).reshape(len(anchors), width)
                 once, at = np.unique(anchors, return_index=True)  # an anchor may ask for several windows
                 scores = inner(sought[at], v)[np.searchsorted(once, anchors)]
                 fits = (scores >= least[:, None]) & (scores <= most[:, None]) & ((scores > bar[:, None]) | (scores == bar[:, None]) & (ids[None] <= bar_id[:, None]))
