@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Rolling, as_bytes
+from .common import Rolling, as_bytes, hash_share
 
 POSITIVES = 4000
 UNLABELLED = 12000
@@ -102,6 +102,20 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
     return Model(whole.features, whole.weights, LOGIT - threshold(np.array(p), np.array(u), prior))
 
 
+def risk(unlabelled: np.ndarray, positive: np.ndarray, prior: float) -> tuple[float, np.ndarray, np.ndarray]:
+    """The non-negative risk of the scores of some unlabelled and positive texts, and its slope by each score.
+
+    Where the second part would be below zero it is held there and has no slope.
+    """
+    su, sp = 1 / (1 + np.exp(-np.clip(unlabelled, -50, 50))), 1 / (1 + np.exp(-np.clip(positive, -50, 50)))
+    own = prior * np.logaddexp(0, -positive).mean()
+    rest = np.logaddexp(0, unlabelled).mean() - prior * np.logaddexp(0, positive).mean()
+    # The slope of l(g) is s - 1, that of l(-g) is s; their difference for a positive is -1.
+    if rest >= 0:
+        return own + rest, su / len(su), np.full(len(sp), -prior / len(sp))
+    return own, np.zeros(len(su)), prior * (sp - 1) / len(sp)
+
+
 def minimise(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, rounds: int = 40, seed: int = 7) -> Model:
     """Minimise the non-negative risk by Adam over mini-batches."""
     flat = float(np.log(prior / (1 - prior)))
@@ -142,13 +156,7 @@ def minimise(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: fl
             pick_u = order[lo : lo + size]
             pick_p = rng.choice(len(pos), min(len(pos), size // 2), replace=False)
             (iu, ru, zu), (ip, rp, zp) = batch(unl, pick_u), batch(pos, pick_p)
-            su, sp = 1 / (1 + np.exp(-np.clip(zu, -50, 50))), 1 / (1 + np.exp(-np.clip(zp, -50, 50)))
-            # The slope of l(g) is s - 1, that of l(-g) is s; their difference for a positive is -1.
-            rest = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
-            if rest >= 0:
-                gu, gp = su / len(su), np.full(len(sp), -prior / len(sp))
-            else:
-                gu, gp = np.zeros(len(su)), prior * (sp - 1) / len(sp)  # that part is held at zero
+            _, gu, gp = risk(zu, zp, prior)
             g = np.bincount(iu, gu[ru], minlength=n + 1).astype(float) + np.bincount(ip, gp[rp], minlength=n + 1)
             g[n] += gu.sum() + gp.sum()
             g[:n] += 1e-4 * w[:n] / max(1, n) ** 0.5
@@ -179,39 +187,52 @@ def threshold(positive: np.ndarray, unlabelled: np.ndarray, prior: float, beta:
 
 def _featurize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = [text_features(t).view(np.int32).tolist() for t in batch.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int32()))], ["positive", "features"])
+        found = [text_features(t).view(np.int32).tolist() for t in batch.column(2).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int32()))], ["_id", "positive", "features"])
 
 
-def train(docs: DataFrame, labels: DataFrame, prior: float | None = None) -> Model:
-    """Fit from the training rows; labels of held-out rows are not read.
+def _first_ids(ids: DataFrame, n: int, most: int) -> DataFrame:
+    """The ``most`` distinct ids of least hash, of about ``n``; few enough are sorted at any size."""
+    order = F.xxhash64("_id")
+    return ids.where(hash_share(order, 2.0 * most / max(n, 1))).distinct().orderBy(order, "_id").limit(most)
 
-    The prior is the toxic share of the labels learnt from (``PRIOR`` if there are none).
-    Labels with a null id or value are ignored; a document with several labels is toxic if any is.
+
+def sample(docs: DataFrame, labels: DataFrame) -> tuple[list[np.ndarray], list[np.ndarray], float | None]:
+    """Features of the positives and of the unlabelled texts, and the toxic share of the labels learnt from.
+
+    At most ``POSITIVES`` and ``UNLABELLED`` texts, one for each doc_id: of rows that share an id
+    the one with the least features. So repeated rows change nothing. Both lists are sorted by all
+    their features, whatever the order in which tasks end.
     """
     known = labels.where("doc_id is not null and toxic is not null").where(~held_out(F.col("doc_id")))
-    known = known.groupBy("doc_id").agg((F.max("toxic") > 0).alias("toxic"))
-    if prior is None:
-        n, k = known.agg(F.count("*"), F.coalesce(F.sum(F.col("toxic").cast("int")), F.lit(0))).first()
-        prior = min(0.9, max(0.01, k / n)) if n else PRIOR
-    order = F.xxhash64("doc_id"), F.col("doc_id")
+    known = known.groupBy(F.col("doc_id").cast("long").alias("_id")).agg((F.max("toxic") > 0).alias("toxic"))
+    n, k = known.agg(F.count("*"), F.coalesce(F.sum(F.col("toxic").cast("int")), F.lit(0))).first()
+    text = docs.select(F.col("doc_id").cast("long").alias("_doc"), "text")
+    rest = text.select(F.col("_doc").alias("_id")).where("_id is not null").where(~held_out(F.col("_id")))
+    rest = _first_ids(rest, rest.agg(F.approx_count_distinct("_id")).first()[0], UNLABELLED)
     # Two lists of ids, bounded by the parameters, so they may be broadcast.
-    pos = known.where("toxic").select("doc_id").orderBy(*order).limit(POSITIVES).withColumn("positive", F.lit(True))
-    text = docs.select(F.col("doc_id").alias("_id"), "text")
-    rest = text.select(F.col("_id").alias("doc_id")).where("doc_id is not null").where(~held_out(F.col("doc_id")))
-    rest = rest.orderBy(*order).limit(UNLABELLED).withColumn("positive", F.lit(False))
-    chosen = pos.unionByName(rest)
-    sample = text.join(F.broadcast(chosen), text["_id"] == chosen["doc_id"]).select("positive", "text")
-    got = sample.mapInArrow(_featurize, "positive boolean, features array<int>").toArrow()
-    flags = got.column(0).to_numpy()
-    lists = got.column(1).combine_chunks()
+    chosen = _first_ids(known.where("toxic").select("_id"), k, POSITIVES).withColumn("positive", F.lit(True)).unionByName(rest.withColumn("positive", F.lit(False)))
+    rows = text.join(F.broadcast(chosen), F.col("_doc") == F.col("_id")).select("_id", "positive", "text")
+    got = rows.mapInArrow(_featurize, "_id long, positive boolean, features array<int>").groupBy("_id", "positive").agg(F.min("features").alias("features")).toArrow()
+    flags = got.column("positive").to_numpy()
+    lists = got.column("features").combine_chunks()
     values, offsets = lists.flatten().to_numpy().view(np.uint32), np.asarray(lists.offsets)
     offsets = offsets - offsets[0]
     each = [values[offsets[i] : offsets[i + 1]] for i in range(len(flags))]
-    # The order of rows from tasks may change; that of the sample must not.
-    key = lambda d: (len(d), d[:8].tobytes())
-    positive = sorted((d for d, f in zip(each, flags, strict=True) if f), key=key)
-    return fit(positive, sorted((d for d, f in zip(each, flags, strict=True) if not f), key=key), prior)
+    part = lambda flag: sorted((d for d, f in zip(each, flags, strict=True) if f == flag), key=lambda d: d.tobytes())
+    return part(True), part(False), k / n if n else None
+
+
+def train(docs: DataFrame, labels: DataFrame, prior: float | None = None) -> Model:
+    """Fit from the training rows; labels of held-out rows are not read.
+
+    The prior is the toxic share of the labels learnt from (``PRIOR`` if there are none).
+    Labels with a null id or value are ignored; a document with several labels is toxic if any is.
+    """
+    positive, unlabelled, share = sample(docs, labels)
+    if prior is None:
+        prior = PRIOR if share is None else min(0.9, max(0.01, share))
+    return fit(positive, unlabelled, prior)
 
 
 def toxicity(docs: DataFrame, model: Model) -> DataFrame:
