@@ -4,7 +4,7 @@ Documents and benchmark items are joined on shared seeds (runs of ``SEED`` words
 of a shorter item). Every word of a tile lies in a shared seed, so a pair is tiled if the words
 under the seeds that it shares can reach the coverage; no pair that reaches it is left out.
 Tiling marks the longest common runs of unmarked words first, found by running Karp-Rabin hashes
-of a length that shrinks to ``TILE``. The share of the item's words under tiles is the coverage.
+of ``TILE`` words. The share of the item's words under tiles is the coverage.
 Tiles may come in any order, so a passage whose sentences were moved about is still covered.
 
 A benchmark of up to ``BROADCAST_WORDS`` words is broadcast, and each text is looked through
@@ -15,6 +15,7 @@ can make frequent unless it is most of the item.
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,50 +40,66 @@ def token_hashes(text: str | None) -> np.ndarray:
     return word_hashes(_LOWER[as_bytes(text)])[0]
 
 
+#: Pairs of equal runs that are looked at together.
+_AT_ONCE = 1 << 20
+
+
+def _common_runs(item: np.ndarray, doc: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All longest runs that both hold, of ``least`` words or more: start in item, start in doc, length.
+
+    Starts are equal Karp-Rabin hashes of ``least`` words; how far a run goes on is found by
+    hashes of whole runs, whose length is halved step by step.
+    """
+    roll_i, roll_d = Rolling(item), Rolling(doc)
+    hi, hd = roll_i.grams(least), roll_d.grams(least)
+    order = np.argsort(hi, kind="stable")
+    lo, hi_end = np.searchsorted(hi[order], hd), np.searchsorted(hi[order], hd, "right")
+    many = hi_end - lo
+    own = np.flatnonzero(many)
+    found = []
+    for part in np.split(own, np.flatnonzero(np.diff(np.cumsum(many[own]) // _AT_ONCE)) + 1) if len(own) else []:
+        j = np.repeat(part, many[part])
+        i = order[np.repeat(lo[part], many[part]) + np.arange(len(j)) - np.repeat(np.cumsum(many[part]) - many[part], many[part])]
+        new = (i == 0) | (j == 0) | (item[i - 1] != doc[j - 1])  # the start of its run
+        i, j = i[new], j[new]
+        n, most = np.full(len(i), least), np.minimum(len(item) - i, len(doc) - j)
+        step = 1 << (int(most.max(initial=0)) - 1).bit_length() if len(i) else 0
+        while step:
+            more = np.flatnonzero(n + step <= most)
+            a, b = i[more] + n[more], j[more] + n[more]
+            same = roll_i.slices(a, a + step) == roll_d.slices(b, b + step)
+            n[more[same]] += step
+            step >>= 1
+        found.append((i, j, n))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else (own, own, own)
+
+
 def tile(item: np.ndarray, doc: np.ndarray, least: int = TILE) -> list[tuple[int, int, int]]:
     """Greedy tiles (start in item, start in doc, length), longest first, none shorter than ``least``.
 
-    An item shorter than ``least`` needs one tile of its own length.
+    Of equally long ones the first in the item goes first, then the first in the document. What a tile leaves of the
+    runs that it overlaps waits in the same queue by its own length. An item shorter than ``least``
+    needs one tile of its own length.
     """
     least = max(1, min(least, len(item)))
+    i, j, n = _common_runs(item, doc, least)
     free_i, free_d = np.ones(len(item), bool), np.ones(len(doc), bool)
-    roll_i, roll_d = Rolling(item), Rolling(doc)
+    queue = sorted(zip((-n).tolist(), i.tolist(), j.tolist(), strict=True))  # a sorted list is a heap
     out: list[tuple[int, int, int]] = []
-    size = max(least, min(len(item), len(doc), 32))
-    while True:
-        # Karp-Rabin: hashes of all unmarked runs of ``size`` words on both sides.
-        longest = 0
-        hi, hd = roll_i.grams(size), roll_d.grams(size)
-        if len(hi) and len(hd):
-            whole = lambda free: np.convolve(free, np.ones(size, int), "valid") == size
-            at_i, at_d = np.flatnonzero(whole(free_i)), np.flatnonzero(whole(free_d))
-            at_d = at_d[np.isin(hd[at_d], hi[at_i])]
-            where: dict[int, list[int]] = {}
-            for i in at_i.tolist():
-                where.setdefault(int(hi[i]), []).append(i)
-            found = []
-            for j in at_d.tolist():
-                for i in where.get(int(hd[j]), ()):
-                    if i and j and free_i[i - 1] and free_d[j - 1] and item[i - 1] == doc[j - 1]:
-                        continue  # not the start of its run
-                    n = 0
-                    while i + n < len(item) and j + n < len(doc) and free_i[i + n] and free_d[j + n] and item[i + n] == doc[j + n]:
-                        n += 1
-                    if n >= size:
-                        found.append((-n, i, j))
-                        longest = max(longest, n)
-            for n, i, j in sorted(found):
-                if free_i[i : i - n].all() and free_d[j : j - n].all():
-                    out.append((i, j, -n))
-                    free_i[i : i - n] = free_d[j : j - n] = False
-        if size == least:
-            # Runs that an overlapping tile has cut short may still hold a tile.
-            if not longest or free_i.sum() < least:
-                return out
-            if not found:
-                return out
-            continue
-        size = max(least, size // 2)
+    left = len(item)
+    while queue and left >= least:
+        n, i, j = heapq.heappop(queue)
+        free = free_i[i : i - n] & free_d[j : j - n]
+        if free.all():
+            out.append((i, j, -n))
+            free_i[i : i - n] = free_d[j : j - n] = False
+            left += n
+        elif free.any():
+            edge = np.flatnonzero(np.diff(free, prepend=False, append=False))
+            for a, b in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True):
+                if b - a >= least:
+                    heapq.heappush(queue, (a - b, i + a, j + a))
+    return out
 
 
 def _grams(words: np.ndarray, k: int) -> np.ndarray:
