@@ -110,14 +110,15 @@ def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epo
     once. Rows with equal doc_id, source and text share what the mix takes of them evenly.
     """
     each = F.when(F.col("size") == 0, 1).otherwise(F.round("copies")).cast("long")
-    plan = _plan(docs, weights, max_epochs, seed, True).groupBy(F.struct("doc_id", "source", "_h").alias("row__")).agg(F.sum(each).alias("copies__"), F.count("*").alias("rows__"))
-    keyed = docs.withColumn("key__", F.struct("doc_id", "source", F.xxhash64("text").alias("_h")))
-    out = keyed.join(plan, F.col("key__") == F.col("row__"))
+    plan = _plan(docs, weights, max_epochs, seed, True).groupBy(F.struct("doc_id", "source", "_h").alias("row")).agg(F.sum(each).alias("copies"), F.count("*").alias("rows"))
+    # The documents' columns travel as one, so that none clashes.
+    keyed = docs.select(F.struct("*").alias("doc"), F.struct("doc_id", "source", F.xxhash64("text").alias("_h")).alias("key"))
+    out = keyed.join(plan, F.col("key") == F.col("row"))
     # Copies left over by even shares go to the first of the equal rows.
-    nth = F.row_number().over(Window.partitionBy("row__").orderBy("row__"))
-    times = F.floor(F.col("copies__") / F.col("rows__")) + F.when(F.col("rows__") > 1, (nth <= F.col("copies__") % F.col("rows__")).cast("int")).otherwise(0)
-    out = out.withColumn("times__", times.cast("int")).where("times__ > 0")
-    return out.withColumn("copy__", F.explode(F.array_repeat(F.lit(1), F.col("times__")))).drop("key__", "row__", "copies__", "rows__", "times__", "copy__")
+    nth = F.row_number().over(Window.partitionBy("row").orderBy("row"))
+    times = F.floor(F.col("copies") / F.col("rows")) + F.when(F.col("rows") > 1, (nth <= F.col("copies") % F.col("rows")).cast("int")).otherwise(0)
+    out = out.withColumn("times", times.cast("int")).where("times > 0")
+    return out.select("doc", F.explode(F.array_repeat(F.lit(1), F.col("times"))).alias("copy")).select("doc.*")
 
 
 def mix_digest(docs: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from __future__ import annotations
 import uuid
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import discard, materialize
@@ -29,8 +29,6 @@ SMALLEST = 1 << 20
 ROUND_SHARDS = 20_000
 #: Batches in which the registered query lets its table arrive.
 ARRIVALS = 4
-#: Columns named so that no column of the documents clashes.
-ARRIVAL, BIN = "arrival__", "bin__"
 MANIFEST = "path string, tier int, rows long, bytes long, born long"
 
 
@@ -110,8 +108,9 @@ class ShardStore:
 
     def _described(self, folder: str, tier, born: int) -> DataFrame:
         """Manifest rows of the files under ``folder``: rows and bytes of each."""
-        files = self.spark.read.parquet(folder).select("_metadata.file_path", "_metadata.file_size")
-        per = files.groupBy(F.col("file_path").alias("path"), F.col("file_size").alias("bytes")).agg(F.count("*").alias("rows"))
+        rows = self.spark.read.parquet(folder)
+        file = rows.metadataColumn("_metadata")  # even if the documents have a column of that name
+        per = rows.groupBy(file["file_path"].alias("path"), file["file_size"].alias("bytes")).agg(F.count("*").alias("rows"))
         return per.select("path", tier(F.col("bytes")).cast("int").alias("tier"), "rows", "bytes", F.lit(born).cast("long").alias("born"))
 
     def _tier(self, size):
@@ -161,11 +160,13 @@ class ShardStore:
         if not runs:
             return base
         folder = f"{self.root}/data/{uuid.uuid4().hex}"
-        rows = self.spark.read.parquet(*[p for p, _ in runs]).withColumn("file__", F.col("_metadata.file_path"))
-        names = plan.limit(len(runs)).select(F.col("path").alias("path__"), F.col("bin").alias(BIN))
-        merged = rows.join(F.broadcast(names), F.col("file__") == F.col("path__")).drop("file__", "path__")
+        rows = self.spark.read.parquet(*[p for p, _ in runs])
+        # The documents' columns travel as one, so that none clashes.
+        rows = rows.select(F.struct("*").alias("doc"), rows.metadataColumn("_metadata")["file_path"].alias("file"))
+        names = plan.limit(len(runs)).select(F.col("path").alias("path__"), F.col("bin"))
+        merged = rows.join(F.broadcast(names), F.col("file") == F.col("path__")).select("doc", "bin")
         # A run's rows go to the task of its number, which writes the merged file; the target bounds them.
-        merged.repartitionById(runs[-1][1] + 1, F.col(BIN)).drop(BIN).write.option("compression", "zstd").parquet(folder)
+        merged.repartitionById(runs[-1][1] + 1, F.col("bin")).select("doc.*").write.option("compression", "zstd").parquet(folder)
         new = self._described(folder, self._tier, base + 1)
         kept = self.manifest(base).join(F.broadcast(names), F.col("path") == F.col("path__"), "left_anti")
         return self._commit(kept.unionByName(new), base)
@@ -208,9 +209,9 @@ class ShardStore:
         return gone
 
 
-def arrivals_of(docs: DataFrame, n: int = ARRIVALS) -> DataFrame:
-    """``docs`` with the column ``ARRIVAL`` 0..n-1, by a hash of doc_id."""
-    return docs.withColumn(ARRIVAL, F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))), F.lit(n)).cast("int"))
+def arrival_of(doc_id: Column, n: int = ARRIVALS) -> Column:
+    """The arrival, 0..n-1, by a hash of doc_id."""
+    return F.pmod(F.xxhash64(F.coalesce(doc_id.cast("string"), F.lit("null"))), F.lit(n)).cast("int")
 
 
 def shard_documents(docs: DataFrame, root: str, target: int = TARGET_BYTES, fanin: int = FANIN, smallest: int = SMALLEST, arrivals: int = ARRIVALS) -> tuple[ShardStore, int]:
@@ -222,9 +223,8 @@ def shard_documents(docs: DataFrame, root: str, target: int = TARGET_BYTES, fani
     version 0.
     """
     store = ShardStore(docs.sparkSession, root, target, fanin, smallest)
-    dealt = arrivals_of(docs, arrivals)
     for k in range(arrivals):
-        store.append(dealt.where(F.col(ARRIVAL) == k).drop(ARRIVAL))
+        store.append(docs.where(arrival_of(F.col("doc_id"), arrivals) == k))
         store.settle()
         store.sweep()
     return store, store.version()

@@ -200,8 +200,9 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
     """
     _, kept = _grouped(docs, **options)
     key = F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_h"))
-    kept = kept.select(F.struct("doc_id", "text_h").alias("kept__"))
-    rows = docs.withColumn("row__", key).join(kept, F.col("row__") == F.col("kept__"), "left_semi")
+    kept = kept.select(F.struct("doc_id", "text_h").alias("kept"))
+    # The documents' columns travel as one, so that none clashes.
+    rows = docs.select(F.struct("*").alias("doc"), key.alias("row")).join(kept, F.col("row") == F.col("kept"), "left_semi")
     # Sorted by this key already; only equal rows are numbered beyond 1.
-    nth = F.row_number().over(Window.partitionBy("row__").orderBy("row__"))
-    return rows.withColumn("nth__", nth).where("nth__ = 1").drop("row__", "nth__")
+    nth = F.row_number().over(Window.partitionBy("row").orderBy("row"))
+    return rows.withColumn("nth", nth).where("nth = 1").select("doc.*")
