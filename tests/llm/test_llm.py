@@ -6,6 +6,7 @@ import math
 import random
 import re
 import sys
+import time
 import uuid
 import zlib
 from pathlib import Path
@@ -499,6 +500,25 @@ def test_tiles_do_not_overlap():
         assert len(set(ia)) == len(ia) and len(set(ib)) == len(ib) and all((a[i : i + n] == b[j : j + n]).all() and n >= 3 for i, j, n in tiles)
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_tiles_are_the_longest_first(seed):
+    rng = np.random.default_rng(seed)
+    pairs = [(rng.integers(0, k, rng.integers(1, 40)), rng.integers(0, k, rng.integers(1, 70))) for k in (2, 3, 5) for _ in range(150)]
+    item = [23, 2, 1, 1, 1, 1, 1, 2, 2, 1, 1, 2, 2, 2, 1, 2, 2, 2, 2, 2, 2, 1]
+    pairs.append((np.array(item), np.array([2, 2, 2, 2, 2, 2, 1, 2, 2, 1, 2, 2, 2, 1, 1, 2, 2, 2, 1, 2, 2, 2, 1, 2])))
+    for a, b in pairs:
+        for least in (3, 5):
+            got = decontam.tile(a.astype(np.uint64), b.astype(np.uint64), least)
+            assert sum(n for *_, n in got) == greedy(a.tolist(), b.tolist(), min(least, len(a)))
+            assert [n for *_, n in got] == sorted((n for *_, n in got), reverse=True)
+
+
+def test_equal_words_are_tiled_quickly():
+    began = time.perf_counter()
+    assert decontam.tile(np.ones(400, np.uint64), np.ones(20000, np.uint64)) == [(0, 0, 400)]
+    assert time.perf_counter() - began < 5
+
+
 # ------------------------------------------------------------------ op6
 
 
@@ -624,6 +644,41 @@ def test_toxicity(spark, none):
     assert toxicity.toxicity(none, flat).count() == 0 and toxicity.train(none, lab).score("x") < 0.7
 
 
+def test_toxicity_sample_is_bounded_and_counts_documents_once(spark, monkeypatch):
+    rng = random.Random(2)
+    data = [(i, " ".join(rng.choice(["vile", "calm", "tree", "lake", "road"]) + str(rng.randrange(9)) for _ in range(20))) for i in range(90)]
+    lab = spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(90)], "doc_id long, quality int, toxic int")
+    once, hot = frame(spark, data), frame(spark, data + [data[1]] * 300 + data * 3).repartition(7)
+    models = [toxicity.train(d, lab) for d in (once, hot)]
+    assert (models[0].features == models[1].features).all() and (models[0].weights == models[1].weights).all() and models[0].bias == models[1].bias
+    monkeypatch.setattr(toxicity, "UNLABELLED", 20)
+    monkeypatch.setattr(toxicity, "POSITIVES", 5)
+    for d in (once, hot):
+        positive, unlabelled, share = toxicity.sample(d, lab)
+        assert len(positive) == 5 and len(unlabelled) == 20 and 0.1 < share < 0.4
+
+
+@pytest.mark.parametrize("shift", [0.0, 4.0])
+def test_risk_equals_plain_loops(shift):
+    rng = np.random.default_rng(3)
+    prior, u, p = 0.3, rng.normal(size=12) - shift, rng.normal(size=5) + shift
+    loss = lambda g: math.log(1 + math.exp(-g))
+
+    def plain(u, p):
+        rest = sum(loss(-x) for x in u) / len(u) - prior * sum(loss(-x) for x in p) / len(p)
+        return prior * sum(loss(x) for x in p) / len(p) + max(0.0, rest), rest
+
+    value, gu, gp = toxicity.risk(u, p, prior)
+    assert abs(value - plain(u, p)[0]) < 1e-12 and (plain(u, p)[1] < 0) == (shift > 0)
+    for x, g in ((u, gu), (p, gp)):
+        for k in range(len(x)):
+            up, down = x.copy(), x.copy()
+            up[k] += 1e-6
+            down[k] -= 1e-6
+            slope = (plain(*((up, p) if x is u else (u, up)))[0] - plain(*((down, p) if x is u else (u, down)))[0]) / 2e-6
+            assert abs(slope - g[k]) < 1e-6
+
+
 # ------------------------------------------------------------------ op8
 
 
@@ -800,6 +855,20 @@ def test_simhash(spark, docs, rows, none):
     assert sorted((r["doc_id"] or 0, r["component_id"] or 0) for r in nulls) == [(0, 0), (0, 4), (4, 4)]
 
 
+def test_stages_keep_columns_of_any_name(spark, tmp_path):
+    names = ["row__", "times__", "nth__", "file__", "key__", "arrival__", "_metadata", "row", "doc", "bin", "file", "copies", "a b"]
+    data = [(i, f"w{i} " * (i + 3), "en", f"s{i % 2}", *[f"{n}{i}" for n in names]) for i in range(12)] + [(3, "w3 " * 6, "en", "s1", *[None] * len(names))]
+    docs = spark.createDataFrame(data, ", ".join(f"`{n}` string" for n in ["doc_id", "text", "lang", "source", *names]).replace("`doc_id` string", "doc_id long"))
+    rows = lambda df: collections.Counter(map(tuple, df.collect()))
+    mixed = mixing.mixed_documents(docs)
+    assert mixed.columns == docs.columns and set(rows(mixed)) <= set(rows(docs)) and mixed.count() > 6
+    one = simhash.keep_one(docs)
+    assert one.columns == docs.columns and set(rows(one)) <= set(rows(docs)) and one.count() == 12
+    store, version = sharding.shard_documents(docs, f"file://{tmp_path}/clash", fanin=2)
+    got = store.read(version)
+    assert got.columns == docs.columns and rows(got) == rows(docs)
+
+
 # ------------------------------------------------------------------ queries and pipeline
 
 
