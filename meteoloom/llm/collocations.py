@@ -23,7 +23,7 @@ from . import quotient
 from .common import discard, materialize
 
 #: Tokens, and bytes of words, of a shard at about most (one text more).
-SHARD = 1 << 21
+SHARD = 1 << 20
 SHARD_BYTES = 1 << 26
 #: Entries of a range of keys, aimed at; ranges are at most 2**RANGES, so that a shard's filters don't get tiny.
 RANGE = 1 << 19
