@@ -1,23 +1,19 @@
 """Keeping an archive table in step with a landing table.
 
 Both are cubes in long form. A slot is one (model, var, init_ts): it is filled, missing (no
-value) or absent. Changes are computed as a frame of slots to write, staged next to the
-archive, verified, and then swapped in by partition.
+value) or absent. Changes are computed as a frame of slots to write, staged as new files,
+verified, and then committed as the next version of the archive (``sources/snapshots.py``).
 """
 
 from __future__ import annotations
 
-import uuid
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.working import delete, store
+from ..sources.snapshots import PARTS, SLOT, Archive, slot_counts
+from ..sources.working import delete, discard, store
 from .normalise import join_null_safe, pad_union
 
-SLOT = ("model", "var", "init_date", "init_ts")
-
 
 def slots(cube: DataFrame) -> DataFrame:
     """State of each slot: filled or missing."""
@@ -61,58 +57,86 @@ def backfill(landing: DataFrame, archive: DataFrame, n: int = 4) -> DataFrame:
     return landing.join(due, list(SLOT), "left_semi").select(*landing.columns)
 
 
+def plan_slots(landed: DataFrame, held: DataFrame, n: int = 4) -> DataFrame:
+    """M2-M6: SLOT, cells, action, fields: the slots that a sync would write, from the ``slot_counts`` of both sides.
+
+    append: later than all that the model stores; add_var: a new variable at a stored start; backfill: one of the last
+    n starts, missing here and filled there; extend: a filled slot that lacks some of the fields
+    (member and lead) that have landed. ``fields`` are those to write.
+    """
+    from ..sources.catalog import latest_starts
+
+    mark = held.groupBy("model").agg(F.max("init_ts").alias("_mark"))
+    known = held.select("model", "var").distinct().withColumn("_known", F.lit(True))
+    starts = held.select("model", "init_ts").distinct().withColumn("_start", F.lit(True))
+    recent = latest_starts(held, n).select("model", "init_date").distinct().withColumn("_recent", F.lit(True))
+    own = held.select(*SLOT, F.col("filled").alias("_filled"), F.col("fields").alias("_fields"))
+    s = landed.join(mark, "model", "left").join(known, ["model", "var"], "left").join(starts, ["model", "init_ts"], "left").join(recent, ["model", "init_date"], "left")
+    s = join_null_safe(s, own, SLOT, "left")
+    fresh = F.when(F.col("_filled") > 0, F.array_except("fields", "_fields")).otherwise(F.col("fields"))
+    action = (
+        F.when(F.col("_mark").isNull() | (F.col("init_ts") > F.col("_mark")), "append")
+        .when(F.col("_known").isNull() & F.col("_start"), "add_var")
+        .when(F.col("_known") & F.col("_start") & F.col("_recent") & (F.coalesce("_filled", F.lit(0)) == 0) & (F.col("filled") > 0), "backfill")
+        .when((F.col("_filled") > 0) & (F.size(fresh) > 0), "extend")
+    )
+    return s.select(*SLOT, "cells", action.alias("action"), fresh.alias("fields")).where(F.col("action").isNotNull())
+
+
 def sync_plan(landing: DataFrame, archive: DataFrame, n: int = 4) -> DataFrame:
-    """M6 (dry run): slots that a sync would write, with the action."""
-    parts = [("add_var", add_vars(landing, archive)), ("append", append_starts(landing, archive)), ("backfill", backfill(landing, archive, n))]
-    frames = [df.groupBy(*SLOT).agg(F.count("*").alias("cells")).withColumn("action", F.lit(a)) for a, df in parts]
-    return reduce(lambda a, b: a.unionByName(b), frames)
+    """M6 (dry run): slots that a sync would write, with the action. Both tables are read once."""
+    landed, held = (store(slot_counts(df), "slots") for df in (landing, archive))
+    return plan_slots(landed, held, n).drop("fields")
 
 
 def verify(staged: DataFrame, expected: DataFrame) -> DataFrame:
-    """M6: slots whose staged row count isn't the expected one (expected: SLOT, cells)."""
-    got = staged.groupBy(*SLOT).agg(F.count("*").alias("got"))
-    return expected.join(got, list(SLOT), "full").where(~F.col("cells").eqNullSafe(F.col("got")))
+    """M6: slots whose staged rows or fields aren't the expected ones (both: SLOT, cells, fields; null cells: any number)."""
+    got = staged.select(*SLOT, F.col("cells").alias("_cells"), F.array_sort("fields").alias("_fields"))
+    named = expected.select(*SLOT, "cells", F.array_sort("fields").alias("fields")).withColumnsRenamed({k: f"_e_{k}" for k in SLOT})
+    both = got.join(named, [F.col(k).eqNullSafe(F.col(f"_e_{k}")) for k in SLOT], "full")
+    same = F.col("_fields").eqNullSafe(F.col("fields")) & (F.col("cells").isNull() | F.col("cells").eqNullSafe(F.col("_cells")))
+    return both.where(~same)
 
 
 def sync_archive(landing: DataFrame, root: str, n: int = 4, dry_run: bool = False) -> DataFrame:
-    """M1-M6 on an archive stored by (model, var, init_date): returns the plan that was carried out.
+    """M1-M6 on an ``Archive``: returns the plan that was carried out, a table in the shared folder.
 
-    New rows are first written under a staging folder and counted there; only if every slot has
-    its rows do they go to the archive. The initial write renames the staging folder. Later ones
-    overwrite the touched partitions (dynamic partition overwrite): a failure before that leaves
-    the archive as it was, the last step replaces one partition at a time. The plan is a table
-    in the shared folder, and the staging folder is deleted.
+    The plan comes from the slots of the landing table and those that the archive's list names. New
+    rows are written as files that no version names; only if every slot has its rows there
+    they become part of the archive, all in one version. Until then, and after any failure, readers see
+    the version before. If another writer commits first this raises ``Conflict`` and writes nothing.
+    Files are rewritten only if a backfilled slot lies in them.
     """
     spark = landing.sparkSession
-    parts, root = ["model", "var", "init_date"], root.rstrip("/")
-    folder = spark._jvm.org.apache.hadoop.fs.Path(root)
-    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    stored = files.exists(folder)
-    archive = spark.read.schema(landing.schema).parquet(root) if stored else landing.limit(0)  # M1: the initial write
-    plan = sync_plan(landing, archive, n)
-    if dry_run:
-        return plan
-    plan = store(plan, "sync-plan")
-    # The plan names whole slots, so it names the rows too.
-    due = plan.select(*SLOT).distinct()
-    new = join_null_safe(landing, due, SLOT, "left_semi")
-    kept = join_null_safe(archive.join(due.select(*parts).distinct(), parts, "left_semi"), due, SLOT, "left_anti")
-    stage = f"{root}.staging-{uuid.uuid4().hex}"
+    archive = Archive(spark, root)
+    base = archive.version()
+    landed = store(slot_counts(landing), "slots")
+    plan = store(plan_slots(landed, archive.slots(base), n), "sync-plan")
+    discard(landed)
+    if dry_run or plan.isEmpty():
+        return plan.drop("fields")
+    field = F.struct(F.col("member").cast("int").alias("member") if "member" in landing.columns else F.lit(None).cast("int").alias("member"), F.col("lead_ix").cast("int").alias("lead_ix"))
+    due = plan.select(*SLOT, F.explode("fields").alias("_field"))
+    rows = join_null_safe(landing.withColumn("_field", field), due, [*SLOT, "_field"], "left_semi").drop("_field")
+    # Old files of slots that are replaced: what else they hold is written anew.
+    replaced = plan.where("action = 'backfill'").select(*SLOT)
+    held = archive.files(base).select("path", *PARTS, F.explode("slots.init_ts").alias("init_ts"))
+    old = store(join_null_safe(held, replaced, SLOT, "left_semi").select("path").distinct(), "archive-old")
+    kept = join_null_safe(archive.read_files(old, landing.schema), replaced, SLOT, "left_anti")
+    folder, new = archive.stage(rows.unionByName(kept))
     try:
-        rows = kept.unionByName(new) if stored else new
-        rows.repartition(*parts).write.partitionBy(*parts).parquet(stage)
-        staged = spark.read.schema(landing.schema).parquet(stage)
-        bad = verify(join_null_safe(staged, due, SLOT, "left_semi"), plan.select(*SLOT, "cells"))
+        wanted = plan.select(*SLOT, F.when(F.col("action") != "extend", F.col("cells")).alias("cells"), "fields")
+        staged = new.select(*PARTS, F.inline("slots"))
+        bad = verify(join_null_safe(staged, plan, SLOT, "left_semi"), wanted)
         if not bad.isEmpty():
             raise RuntimeError("staged rows don't match the plan; the archive is unchanged")
-        if not stored:
-            if not files.rename(spark._jvm.org.apache.hadoop.fs.Path(stage), folder):
-                raise RuntimeError(f"{root} can't be made")
-        else:
-            staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(root)
+        archive.commit(base, new, old)
+    except BaseException:
+        delete(spark, folder)
+        raise
     finally:
-        delete(spark, stage)
-    return plan
+        discard(new, old)
+    return plan.drop("fields")
 
 
 def lagging(archive: DataFrame) -> DataFrame:

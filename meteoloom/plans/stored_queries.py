@@ -15,6 +15,7 @@ from ..operators import weekly as wk
 from ..sources import catalog as ct
 from ..sources import cube as cu
 from ..sources import sinks as sk
+from ..sources.snapshots import Archive, Conflict
 from ..sources.working import scratch, store
 from ..streaming.landing import crossing_stream, landing_stream
 from .archive_queries import _ARC, _archive, _land
@@ -122,7 +123,7 @@ def archive_after_sync(spark, sf_dir):
     land = store(_land(spark, sf_dir), "landing")
     ar.sync_archive(_archive(land), root)
     ar.sync_archive(land, root)
-    return _counted(spark.read.schema(land.schema).parquet(root))
+    return _counted(Archive(spark, root).read(land.schema))
 
 
 @query(_ARC + """, good AS (SELECT model, var, init_date FROM land GROUP BY 1, 2, 3 HAVING COUNT(value) > 0)
@@ -139,7 +140,7 @@ def landing_catch_up(spark, sf_dir):
     for part in (dated.where(~late), dated.where(late)):
         part.select(*full.columns).coalesce(8).write.mode("append").parquet(landing)
         landing_stream(spark, landing, archive, state).awaitTermination()
-    return _counted(spark.read.schema(full.schema).parquet(archive))
+    return _counted(Archive(spark, archive).read(full.schema))
 
 
 @query("""WITH w AS (SELECT user_id, value, date_trunc('day', ts) - (CAST(range AS INT) || ' days')::INTERVAL AS s FROM events CROSS JOIN range(0, 7))

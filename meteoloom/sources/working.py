@@ -33,7 +33,15 @@ def store(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read back, which cuts its lineage."""
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    stored._stored_at = path
+    return stored
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete the files of tables that ``store`` returned, once nothing reads them any more."""
+    for df in tables:
+        delete(df.sparkSession, df._stored_at)
 
 
 def delete(spark: SparkSession, path: str) -> None:

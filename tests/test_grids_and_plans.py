@@ -17,6 +17,7 @@ from meteoloom.operators import thresholds as th
 from meteoloom.operators import validation as va
 from meteoloom.sources import catalog as ct
 from meteoloom.sources import cube as cu
+from meteoloom.sources.snapshots import Archive
 from meteoloom.sources.working import shared_dir
 
 GRID = "model string, lat double, lon double, value double"
@@ -147,7 +148,7 @@ class TestArchive:
         land, root = spark.createDataFrame(rows, cu.SCHEMA), str(tmp_path / "arc")
         assert ar.sync_archive(land.limit(1), root).count() == 1
         ar.sync_archive(land, root)
-        assert os.listdir(tmp_path) == ["arc"] and spark.read.schema(cu.SCHEMA).parquet(root).count() == 3
+        assert os.listdir(tmp_path) == ["arc"] and Archive(spark, root).read(cu.SCHEMA).count() == 3
 
     def test_policies(self, spark):
         report = spark.createDataFrame([("A", True), ("A", False), ("B", True), ("C", False)], "model string, ok boolean")

@@ -21,6 +21,7 @@ from meteoloom.operators import weekly as wk
 from meteoloom.sources import catalog as ct
 from meteoloom.sources import cube as cu
 from meteoloom.sources import sinks as sk
+from meteoloom.sources import snapshots as sn
 from meteoloom.streaming import landing as st
 
 START = dt.date(2026, 3, 5)
@@ -273,14 +274,18 @@ def landing(spark, days, variables=("pr", "tas"), value=1.0):
     return spark.createDataFrame(rows, cu.SCHEMA)
 
 
+def prints(df):
+    return sorted(map(tuple, ar.fingerprint(df).collect()))
+
+
 class TestArchive:
     def test_sync(self, spark, tmp_path):
         root = str(tmp_path / "arc")
         assert {r["action"] for r in ar.sync_archive(landing(spark, range(3)), root).collect()} == {"append"}
-        read = lambda: spark.read.schema(cu.SCHEMA).parquet(root)
-        before = ar.fingerprint(read()).collect()
+        read = lambda: sn.Archive(spark, root).read(cu.SCHEMA)
+        before = prints(read())
         dry = ar.sync_archive(landing(spark, range(5)), root, dry_run=True).collect()
-        assert len(dry) == 4 and ar.fingerprint(read()).collect() == before
+        assert len(dry) == 4 and prints(read()) == before
         assert ar.sync_archive(landing(spark, range(3)), root).count() == 0
         ar.sync_archive(landing(spark, range(3, 4), value=None).unionByName(landing(spark, range(3), ("ua",))), root)
         assert read().select("var").distinct().count() == 3
@@ -288,6 +293,75 @@ class TestArchive:
         got = read().groupBy("var").agg(F.count("value").alias("n")).collect()
         assert {r["var"]: r["n"] for r in got} == {"pr": 15, "tas": 15, "ua": 9}
 
+    def test_of_two_writers_one_succeeds(self, spark, tmp_path, monkeypatch):
+        root = str(tmp_path / "arc")
+        ar.sync_archive(landing(spark, range(2)), root)
+        stage = sn.Archive.stage
+
+        def other_first(self, rows):
+            monkeypatch.setattr(sn.Archive, "stage", stage)
+            ar.sync_archive(landing(spark, range(2, 3)), root)  # another writer, between plan and commit
+            return stage(self, rows)
+
+        monkeypatch.setattr(sn.Archive, "stage", other_first)
+        with pytest.raises(sn.Conflict):
+            ar.sync_archive(landing(spark, range(4)), root)
+        a = sn.Archive(spark, root)
+        assert a.version() == 2 and a.read(cu.SCHEMA).count() == 18
+        assert {str(r["init_date"]) for r in ar.sync_archive(landing(spark, range(4)), root).collect()} == {"2026-03-08"}
+        assert a.read(cu.SCHEMA).count() == 24 and a.read(cu.SCHEMA, 1).count() == 12
+
+    @pytest.mark.parametrize("step", ["stage", "commit", "_publish"])
+    def test_a_broken_write_leaves_the_version(self, spark, tmp_path, monkeypatch, step):
+        root = str(tmp_path / "arc")
+        a = sn.Archive(spark, root)
+        ar.sync_archive(landing(spark, range(3), value=None).unionByName(landing(spark, range(1), ("ua",))), root)
+        before = prints(a.read(cu.SCHEMA))
+        own = getattr(sn.Archive, step)
+
+        def broken(self, *args):
+            if step == "stage":
+                own(self, *args)  # all files are there, then the job dies
+            raise KeyboardInterrupt
+
+        monkeypatch.setattr(sn.Archive, step, broken)
+        with pytest.raises(KeyboardInterrupt):
+            ar.sync_archive(landing(spark, range(4)), root)
+        monkeypatch.setattr(sn.Archive, step, own)
+        assert a.version() == 1 and prints(a.read(cu.SCHEMA)) == before
+        ar.sync_archive(landing(spark, range(4)), root)
+        got = a.read(cu.SCHEMA)
+        assert a.version() == 2 and got.where("value is not null and var <> 'ua'").count() == 24 and got.count() == 27
+        assert prints(a.read(cu.SCHEMA, 1)) == before
+        a.roll_back(1)
+        assert a.version() == 3 and prints(a.read(cu.SCHEMA)) == before
+        a.roll_back(2)
+        assert a.vacuum(1) > 0 and a.read(cu.SCHEMA).count() == 27
+
+    def test_verification_stops_a_wrong_write(self, spark, tmp_path, monkeypatch):
+        root = str(tmp_path / "arc")
+        ar.sync_archive(landing(spark, range(1)), root)
+        stage = sn.Archive.stage
+        monkeypatch.setattr(sn.Archive, "stage", lambda self, rows: stage(self, rows.where("lead_ix <> 1")))
+        with pytest.raises(RuntimeError):
+            ar.sync_archive(landing(spark, range(2)), root)
+        assert sn.Archive(spark, root).version() == 1
+
+    def test_sub_daily_slots_share_a_partition(self, spark, tmp_path):
+        root, a = str(tmp_path / "arc"), sn.Archive(spark, str(tmp_path / "arc"))
+        noon = landing(spark, range(1)).withColumn("init_ts", F.expr("init_ts + interval 12 hours"))
+        ar.sync_archive(landing(spark, range(1)).unionByName(noon.withColumn("value", F.lit(None).cast("double"))), root)
+        plan = ar.sync_archive(landing(spark, range(1)).unionByName(noon), root).collect()
+        assert {(r["action"], r["init_ts"].hour) for r in plan} == {("backfill", 12)}
+        assert a.read(cu.SCHEMA).count() == 12 and a.read(cu.SCHEMA).where("value is null").count() == 0
+        for d in range(1, 4):
+            ar.sync_archive(landing(spark, range(d + 1)), root)
+        assert a.read(cu.SCHEMA, where=F.col("init_date") > START).count() == 18
+        ar.sync_archive(landing(spark, range(1)).withColumn("member", F.lit(5)), root)
+        before = prints(a.read(cu.SCHEMA))
+        assert a.compact(cu.SCHEMA, 1) == a.version() and prints(a.read(cu.SCHEMA)) == before
+        assert a.files().count() == a.files().select("var", "init_date").distinct().count()
+
     def test_repair_guards(self, spark):
         a = landing(spark, range(4)).where("var = 'pr' OR init_date < DATE '2026-03-08'")
         assert ar.repair_gaps(a, landing(spark, range(4))).count() == 3
@@ -368,9 +442,42 @@ class TestStreams:
         st.landing_stream(spark, land, arc, chk).awaitTermination()
         landing(spark, range(2, 3)).unionByName(landing(spark, range(3, 4), value=None)).coalesce(1).write.mode("append").parquet(land)
         st.landing_stream(spark, land, arc, chk).awaitTermination()
-        got = spark.read.schema(cu.SCHEMA).parquet(arc)
+        got = sn.Archive(spark, arc).read(cu.SCHEMA)
         assert got.select("init_date").distinct().count() == 3 and got.count() == 18
 
+    def test_a_slot_in_two_deliveries_is_whole(self, spark, tmp_path):
+        """Without expectations: the second delivery extends the slot; a replay and a repeat change nothing."""
+        land, arc, chk = (str(tmp_path / x) for x in ("land", "arc", "chk"))
+        second = landing(spark, range(2)).withColumn("member", F.lit(2))
+        for part in (landing(spark, range(2)), second, second, landing(spark, range(2)).withColumn("lead_ix", F.col("lead_ix") + 3)):
+            part.coalesce(1).write.mode("append").parquet(land)
+            st.landing_stream(spark, land, arc, chk).awaitTermination()
+        got = sn.Archive(spark, arc).read(cu.SCHEMA)
+        assert got.count() == 36 and got.select("var", "init_date", "member", "lead_ix").distinct().count() == 36
+        assert sn.Archive(spark, arc).version() == 3
+        st.landing_stream(spark, land, arc, str(tmp_path / "again")).awaitTermination()  # all deliveries once more
+        assert sn.Archive(spark, arc).version() == 3
+
+    def test_slots_wait_until_they_are_whole(self, spark, tmp_path):
+        land, arc, chk = (str(tmp_path / x) for x in ("land", "arc", "chk"))
+        expected = spark.createDataFrame([("A", "pr", 6), ("A", "tas", 9)], "model string, var string, fields int")
+        held = lambda: {(r["var"], r["n"]) for r in sn.Archive(spark, arc).read(cu.SCHEMA).groupBy("var").agg(F.count("*").alias("n")).collect()}
+        run = lambda wait=10**9: st.landing_stream(spark, land, arc, chk, expected=expected, wait_ms=wait).awaitTermination()
+        part = lambda m, v=("pr", "tas"): landing(spark, range(1), v).withColumn("member", F.lit(m)).coalesce(1).write.mode("append").parquet(land)
+        part(1)
+        run(1000)
+        assert sn.Archive(spark, arc).version() == 0
+        part(1)
+        part(2, ("pr",))  # one member again, and the last one of pr
+        run()
+        assert ("pr", 9) in held()  # the repeated member's rows are those of its field
+        part(2, ("tas",))
+        run()  # the wait for tas, from its first field, is over
+        assert dict(held())["tas"] >= 6
+        part(3, ("tas",))
+        run()
+        assert sn.Archive(spark, arc).read(cu.SCHEMA).where("var = 'tas'").select("member", "lead_ix").distinct().count() == 9
+
     def test_crossings(self, spark, tmp_path, sf_dir):
         src = f"{sf_dir}/events.parquet"
         schema = spark.read.parquet(src).schema
