@@ -7,7 +7,7 @@ verified, and then committed as the next version of the archive (``sources/snaps
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.snapshots import PARTS, SLOT, Archive, slot_counts
@@ -213,6 +213,44 @@ def revert_log(audit: DataFrame) -> DataFrame:
     return audit.where("status = 'relabel'").select(*FILE, F.col("canon").alias("leads"), F.col("leads").alias("canon"), "status")
 
 
+def relabel_archive(spark: SparkSession, root: str, schema, audit: DataFrame, log: str, apply: bool = True, relabel=relabel_leads) -> DataFrame:
+    """M10 on an ``Archive``: FILE and result for each file that the audit wants relabelled.
+
+    would_relabel (without ``apply``), changed_since_audit (its labels aren't the audited ones any more), relabelled, or
+    verify_failed_reverted. The revert log is stored first, under ``log``. Files are rewritten beside the archive; those whose
+    labels come out canonical and whose data are unmoved (A20) become one new version, the others never do. A writer
+    that commits in between makes this raise ``Conflict``, with the archive as that writer left it.
+    """
+    archive = Archive(spark, root)
+    base = archive.version()
+    due = audit.where("status = 'relabel'").select(*FILE, "leads", "canon", "status")
+    parts = due.select(*PARTS).distinct().withColumnsRenamed({k: f"_{k}" for k in PARTS})
+    old = store(archive.files(base).join(parts, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in PARTS], "left_semi").select("path", *PARTS, "slots"), "archive-old")
+    cells = archive.read_files(old, schema)
+    now = lead_files(cells).select(*FILE, F.col("leads").alias("_now"))
+    state = store(join_null_safe(due, now, FILE).withColumn("_same", F.col("leads") == F.col("_now")), "relabel-state")
+    name = lambda ok: F.when(~F.col("_same"), "changed_since_audit").when(ok, "relabelled" if apply else "would_relabel").otherwise("verify_failed_reverted")
+    if not apply or state.where("_same").isEmpty():
+        return state.select(*FILE, name(F.lit(True)).alias("result"))
+    revert_log(state.where("_same")).write.mode("append").parquet(log)
+    after = store(relabel(cells, state.where("_same").select(*FILE, "leads", "canon", "status")), "relabelled")
+    new = lead_files(after).select(*FILE, F.col("leads").alias("_new"))
+    moved = lambda df, c: fingerprint(df, FILE).select(*FILE, F.struct("cells", "digest").alias(c))
+    marks = join_null_safe(join_null_safe(state, new, FILE, "left"), join_null_safe(moved(cells, "_was"), moved(after, "_is"), FILE, "left"), FILE, "left")
+    ok = F.coalesce((F.col("_new") == F.col("canon")) & (F.col("_was") == F.col("_is")), F.lit(False))
+    result = store(marks.select(*FILE, name(ok).alias("result")), "relabel-result")
+    done = result.where("result = 'relabelled'").select(*FILE)
+    folder, staged = archive.stage(join_null_safe(after, done, FILE, "left_semi").unionByName(join_null_safe(cells, done, FILE, "left_anti")))
+    try:
+        archive.commit(base, staged, old)
+    except BaseException:
+        delete(spark, folder)
+        raise
+    finally:
+        discard(old, staged, state, after)
+    return result
+
+
 def shift_leads(cube: DataFrame, by: float = 0.5, reverse: bool = False) -> DataFrame:
     """Whole-number labels 0..n-1 become by..n-1+by, and back with ``reverse``. Files that
     already have the target's labels stay, so a rerun changes nothing."""

@@ -2,38 +2,64 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.selection import exact_quantiles
 from .normalise import join_null_safe
 
 
-def drop_empty(df: DataFrame, keys, sample: Column | None = None) -> DataFrame:
-    """drop the files (keys) without any value, judged on all cells or on those of ``sample``.
+def drop_empty(df: DataFrame, keys, sample: str | None = None, level: float | None = None) -> DataFrame:
+    """drop the files (keys) without any value, judged on all cells or on a sample.
 
-    A file of which the sample holds no row counts as empty.
+    ``sample`` is ``centre`` (five by five cells around the middle of the grid), ``strided`` (about ten by ten, evenly from the
+    first on) or ``plane`` (all cells; a file stays if any start has a value). Positions are counted on the file's own axes, so a
+    regional grid has its own middle. All are taken at the first member and lead and one level: the one nearest to ``level``,
+    else the first; the first two also at the first start. A file whose sample has no row is kept.
     """
-    seen = F.count(F.when(sample if sample is not None else F.lit(True), F.col("value")))
-    good = df.groupBy(*keys).agg(seen.alias("_n")).where("_n > 0").drop("_n")
-    return join_null_safe(df, good, keys, "left_semi")
+    if sample is None:
+        good = df.groupBy(*keys).agg(F.count("value").alias("_n")).where("_n > 0").drop("_n")
+        return join_null_safe(df, good, keys, "left_semi")
+    seen = sampled_cells(df, keys, sample, level)
+    bad = seen.groupBy(*keys).agg(F.count("value").alias("_n")).where("_n = 0").drop("_n")
+    return join_null_safe(df, bad, keys, "left_anti")
 
 
-def strided_sample(every: int = 18) -> Column:
-    """About ten by ten cells of a one-degree grid, at the first lead."""
-    return (F.pmod(F.floor("lat"), F.lit(every)) == 0) & (F.pmod(F.floor("lon"), F.lit(2 * every)) == 0) & (F.col("lead_ix") == 0)
+def sampled_cells(df: DataFrame, keys, sample: str, level: float | None = None) -> DataFrame:
+    """the cells of each file that the sample names, found by position on the file's own axes.
 
-
-def centre_sample(lat: float = 0, lon: float = 180, reach: float = 2) -> Column:
-    """A crop of five by five cells at the first lead."""
-    return F.col("lat").between(lat - reach, lat + reach) & F.col("lon").between(lon - reach, lon + reach) & (F.col("lead_ix") == 0)
+    The axes of a file, its distinct labels, are gathered first: one row for each file.
+    """
+    if sample not in ("centre", "strided", "plane"):
+        raise ValueError(f"no such sample: {sample}")
+    firsts = [c for c in ("init_ts", "member", "lead_ix") if c in df.columns and c not in keys and (sample != "plane" or c != "init_ts")]
+    axis = lambda c: F.array_sort(F.collect_set(c))
+    wanted = [axis("lat").alias("_lats"), axis("lon").alias("_lons"), *[F.min(c).alias(f"_first_{c}") for c in firsts]]
+    if "level" in df.columns and "level" not in keys:
+        wanted.append((F.min("level") if level is None else F.min_by("level", F.struct(F.abs(F.col("level") - level), "level"))).alias("_first_level"))
+        firsts = [*firsts, "level"]
+
+    def part(axis: str):
+        at, every = F.col(axis), F.greatest(F.lit(1), F.floor(F.size(axis) / 10).cast("int"))
+        if sample == "centre":
+            middle = F.floor(F.size(at) / 2).cast("int")
+            return F.slice(at, F.greatest(F.lit(1), middle - 1), F.least(F.lit(5), middle + 3))
+        return at if sample == "plane" else F.filter(at, lambda x, i: i % every == 0)
+
+    axes = df.groupBy(*keys).agg(*wanted).withColumns({"_lats": part("_lats"), "_lons": part("_lons")})
+    near = join_null_safe(df, axes, keys)
+    inside = F.array_contains("_lats", F.col("lat")) & F.array_contains("_lons", F.col("lon"))
+    for c in firsts:
+        inside = inside & F.col(c).eqNullSafe(F.col(f"_first_{c}"))
+    return near.where(inside).select(*df.columns)
 
 
 def plausible_median(df: DataFrame, var: str = "tas", low: float = 180, high: float = 330) -> DataFrame:
     """drop (model, var) whose median is outside [low, high] (or missing); other variables stay.
 
-    Apply it to ensemble means. Member anomalies are made before this guard (Q4).
+    The median of a model is selected over passes, so no task holds all its cells. Apply it to ensemble means. Member anomalies are made before this guard (Q4).
     """
-    medians = df.where((F.col("var") == var) & F.col("value").isNotNull()).groupBy(F.col("model").alias("_m")).agg(F.median("value").alias("_median"))
+    medians = exact_quantiles(df.where(F.col("var") == var), ["model"], (0.5,)).select(F.col("model").alias("_m"), F.col("q")[0].alias("_median"))
     good = medians.where(F.col("_median").between(low, high))
     kept = df.where(F.col("var") == var).join(good, F.col("model") == F.col("_m"), "left_semi")
     return df.where(~F.col("var").eqNullSafe(F.lit(var))).unionByName(kept)

@@ -20,51 +20,47 @@ def subsample_grid(df: DataFrame, step: int = 1, native: float = 0.5, expected:
     return out
 
 
-def axis_of(df: DataFrame, col: str, step: float | None = None) -> tuple[float, float]:
-    """First label and step of a regular axis, in whatever order its labels come; raises if it isn't regular.
+def brackets(df: DataFrame, targets: DataFrame, col: str, step: float | None = None) -> DataFrame:
+    """For each target label of ``col`` its neighbours on the source's axis, regular or not: _to, _at, _w (a row for each neighbour).
 
-    Without ``step`` it is taken from the number of labels. An axis of one label has step 1.
+    Labels of both are merged in order, so the neighbours come from one window over them. A target on a label, but for rounding, has that
+    one neighbour with weight 1; one outside the axis has none. With ``step`` neighbours further apart don't count.
     """
-    labels = df.select(F.col(col).cast("double").alias("x")).where("x is not null").distinct()
-    n, lo, hi = labels.agg(F.count("*"), F.min("x"), F.max("x")).first()
-    if not n:
-        return 0.0, step or 1.0
-    step = step or ((hi - lo) / (n - 1) if n > 1 else 1.0)
-    at = (F.col("x") - lo) / step
-    off = labels.agg(F.max(F.abs(at - F.bround(at)))).first()[0]
-    if off > 1e-6:
-        raise ValueError(f"{col} is no regular axis of step {step}")
-    return lo, step
+    own = df.select(F.col(col).cast("double").alias("_x")).where("_x is not null").distinct().select("_x", F.col("_x").alias("_own"), F.lit(None).cast("double").alias("_to"))
+    ask = targets.select(F.col(col).cast("double").alias("_to")).where("_to is not null").distinct()
+    w = Window.orderBy("_x")  # the labels of one axis
+    below = F.last("_own", ignorenulls=True).over(w.rangeBetween(Window.unboundedPreceding, 0))
+    above = F.first("_own", ignorenulls=True).over(w.rangeBetween(0, Window.unboundedFollowing))
+    near = own.unionByName(ask.select(F.col("_to").alias("_x"), F.lit(None).cast("double").alias("_own"), "_to")).withColumns({"_below": below, "_above": above}).where("_to is not null")
+    gap = F.coalesce(F.col("_above") - F.col("_below"), F.greatest(F.lit(1.0), F.abs("_to")))
+    close = lambda c: F.abs(F.col(c) - F.col("_to")) <= 1e-9 * F.when(gap > 0, gap).otherwise(F.lit(1.0))
+    one = lambda at, weight: F.struct(at.alias("_at"), weight.cast("double").alias("_w"))
+    share = (F.col("_to") - F.col("_below")) / gap
+    both = F.array(one(F.col("_below"), 1 - share), one(F.col("_above"), share))
+    fits = F.col("_below").isNotNull() & F.col("_above").isNotNull() & (F.lit(True) if step is None else gap <= step * (1 + 1e-6))
+    picked = F.when(close("_below"), F.array(one(F.col("_below"), F.lit(1)))).when(close("_above"), F.array(one(F.col("_above"), F.lit(1)))).when(fits, both)
+    return near.select("_to", F.inline(picked))
 
 
 def bilinear(df: DataFrame, grid: DataFrame, step_lat: float | None = None, step_lon: float | None = None) -> DataFrame:
-    """Values at ``grid`` (lat, lon) from a regular source grid, whatever its first labels.
+    """Values at ``grid`` (lat, lon) from a source grid whose axes may have any labels.
 
-    Each target names its four neighbours, which meet the source by an equi-join; on a grid
-    line two of them are one and the same with weight 0 or 1. A target without all neighbours
-    (outside the hull, or next to a missing value) is missing. Steps are found if not given.
+    Each target names its up to four neighbours with their weights, which meet the source by an equi-join on its
+    labels. A target without all neighbours (outside the hull, or next to a missing value) is missing.
     """
     keys = [c for c in df.columns if c not in ("lat", "lon", "value")]
-    (lat0, step_lat), (lon0, step_lon) = axis_of(df, "lat", step_lat), axis_of(df, "lon", step_lon)
     small = _small(grid)
-    g = grid.select(F.col("lat").alias("_lat"), F.col("lon").alias("_lon"))
-    # Labels that are whole steps but for rounding lie on the grid line.
-    snap = lambda x: F.when(F.abs(x - F.bround(x)) < 1e-9, F.bround(x)).otherwise(x)
-    y, x = snap((F.col("_lat") - lat0) / step_lat), snap((F.col("_lon") - lon0) / step_lon)
-    corners = []
-    for dy in (0, 1):
-        for dx in (0, 1):
-            fy, fx = y - F.floor(y), x - F.floor(x)
-            weight = (fy if dy else 1 - fy) * (fx if dx else 1 - fx)
-            corners.append(F.struct((F.floor(y) + dy).alias("iy"), (F.floor(x) + dx).alias("ix"), weight.alias("w")))
-    want = g.select("_lat", "_lon", F.inline(F.array(*corners))).where("w > 0")
-    at = lambda c, first, step: F.bround((F.col(c) - first) / step).cast("long")
-    src = df.withColumns({"iy": at("lat", lat0, step_lat), "ix": at("lon", lon0, step_lon)}).drop("lat", "lon")
-    near = src.join(F.broadcast(want) if small else want, ["iy", "ix"])
-    out = near.groupBy(*keys, F.col("_lat").alias("lat"), F.col("_lon").alias("lon")).agg(F.sum(F.col("w") * F.col("value")).alias("_v"), F.sum(F.when(F.col("value").isNotNull(), F.col("w"))).alias("_w"))
+    g = grid.select(F.col("lat").cast("double").alias("_lat"), F.col("lon").cast("double").alias("_lon"))
+    for col, step in (("lat", step_lat), ("lon", step_lon)):
+        sides = brackets(df, grid, col, step).select(F.col("_to").alias(f"_{col}"), F.col("_at").alias(f"_at_{col}"), F.col("_w").alias(f"_w_{col}"))
+        g = g.join(sides, f"_{col}")
+    want = g.select("_lat", "_lon", "_at_lat", "_at_lon", (F.col("_w_lat") * F.col("_w_lon")).alias("_w"))
+    named = df.withColumns({"_at_lat": F.col("lat").cast("double"), "_at_lon": F.col("lon").cast("double")}).drop("lat", "lon")
+    near = named.join(F.broadcast(want) if small else want, ["_at_lat", "_at_lon"])
+    out = near.groupBy(*keys, F.col("_lat").alias("lat"), F.col("_lon").alias("lon")).agg(F.sum(F.col("_w") * F.col("value")).alias("_v"), F.sum(F.when(F.col("value").isNotNull(), F.col("_w"))).alias("_sum"))
     targets = grid.select("lat", "lon")
     full = df.select(*keys).distinct().crossJoin(F.broadcast(targets) if small else targets)
-    return full.join(out, [*keys, "lat", "lon"], "left").select(*keys, "lat", "lon", F.when(F.abs(F.col("_w") - 1) < 1e-9, F.col("_v")).alias("value"))
+    return full.join(out, [*keys, "lat", "lon"], "left").select(*keys, "lat", "lon", F.when(F.abs(F.col("_sum") - 1) < 1e-9, F.col("_v")).alias("value"))
 
 
 def _small(grid: DataFrame, most: int = 1_000_000) -> bool:

@@ -5,21 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.selection import exact_quantiles
+
 
 def describe_field(df: DataFrame, keys) -> DataFrame:
-    """Finite count and share, min, max, mean, population std, p10, p50 and p90 (linear)."""
-    q = F.percentile("value", F.array(F.lit(0.1), F.lit(0.5), F.lit(0.9)))
-    out = df.groupBy(*keys).agg(
-        F.count("value").alias("finite"), (F.count("value") / F.count("*")).alias("finite_share"), F.min("value").alias("min"), F.max("value").alias("max"),
-        F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"), q.alias("_q"),
-    )
-    return out.withColumns({"p10": F.col("_q")[0], "p50": F.col("_q")[1], "p90": F.col("_q")[2]}).drop("_q")
+    """Finite count and share, min, max, mean, population std, p10, p50 and p90 (linear) of the finite values.
+
+    A group may be of any size: its quantiles are selected, not sorted.
+    """
+    finite = F.when(F.abs("value") < F.lit(float("inf")), F.col("value"))
+    q = exact_quantiles(df, keys, (0.1, 0.5, 0.9)).withColumnsRenamed({k: f"_{k}" for k in keys})
+    own = df.groupBy(*keys).agg(
+        F.count(finite).alias("finite"), (F.count(finite) / F.count("*")).alias("finite_share"), F.min(finite).alias("min"), F.max(finite).alias("max"),
+        F.avg(finite).alias("mean"), F.stddev_pop(finite).alias("std"),
+    )
+    out = own.join(q, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    return out.withColumns({"p10": F.col("q")[0], "p50": F.col("q")[1], "p90": F.col("q")[2]}).drop("q", "n", *[f"_{k}" for k in keys])
 
 
 def terciles(df: DataFrame, keys, low: float = 0.33, high: float = 0.66) -> DataFrame:
-    """Linearly interpolated quantiles over the other dimensions: keys, t33, t66."""
-    q = F.percentile("value", F.array(F.lit(low), F.lit(high)))
-    return df.groupBy(*keys).agg(q.alias("_q")).select(*keys, F.col("_q")[0].alias("t33"), F.col("_q")[1].alias("t66"))
+    """Linearly interpolated quantiles over the other dimensions: keys, t33, t66; groups may be of any size."""
+    return exact_quantiles(df, keys, (low, high)).select(*keys, F.col("q")[0].alias("t33"), F.col("q")[1].alias("t66"))
 
 
 def latest(df: DataFrame, keys, time: str = "init_date") -> DataFrame:

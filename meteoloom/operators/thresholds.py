@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.calendar import circular_days, mmdd, mmdd_to_doy
+from ..functions.selection import sliding_ranks
 
 YEAR = 366
 
@@ -39,7 +41,10 @@ def pool_samples(hindcast: DataFrame, window: int = 15, keys=("model", "var", "l
 
 
 def thresholds(hindcast: DataFrame, pct: int, window: int = 15, first: int | None = None, last: int | None = None, trim: bool = True, keys=("model", "var", "lead_ix", "lat", "lon")) -> DataFrame:
-    """A3: nearest-rank percentile of each key and target day: keys, pct, doy, mmdd, threshold.
+    """Nearest-rank percentile of each key and target day: keys, pct, doy, mmdd, threshold.
+
+    No pool is built: each series is shuffled and sorted once, and its window of days moves over marks on the
+    sorted samples (``sliding_ranks``).
 
     With ``trim`` leads beyond those of the shortest start in a (model, var) pool are cut off.
     """
@@ -47,11 +52,21 @@ def thresholds(hindcast: DataFrame, pct: int, window: int = 15, first: int | Non
         hindcast = hindcast.where(F.year("init_date") >= first)
     if last is not None:
         hindcast = hindcast.where(F.year("init_date") <= last)
-    pools = pool_samples(hindcast, window, keys)
+    own = hindcast.select(*keys, mmdd_to_doy(mmdd(F.col("init_date"))).cast("int").alias("_day"), F.col("value").cast("double").alias("_s"))
+
+    def select(table: pa.Table) -> pa.Table:
+        value = table.column("_s").to_numpy().astype(float)  # null comes as NaN
+        doy, found = sliding_ranks(table.column("_day").to_numpy(), value, pct / 100, window, YEAR)
+        same = {k: pa.repeat(table.column(k)[0], len(doy)) for k in keys}
+        return pa.table({**same, "doy": pa.array(doy, pa.int32()), "threshold": pa.array(found, pa.float64(), from_pandas=True)})
+
+    # A group is one series: the samples of one cell and lead, each of which comes once.
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.select(*keys).schema)
+    ranked = own.where("_day is not null").groupBy(*keys).applyInArrow(select, f"{kinds}, doy int, threshold double")
     if trim:
         # A row for each model, variable and day of the year.
-        pools = pools.join(F.broadcast(shortest_leads(hindcast, window)), ["model", "var", "doy"]).where("lead_ix < _least").drop("_least")
-    out = pools.select(*keys, F.lit(pct).alias("pct"), "doy", nearest_rank(F.sort_array("_pool"), pct / 100).alias("threshold"))
+        ranked = ranked.join(F.broadcast(shortest_leads(hindcast, window)), ["model", "var", "doy"]).where("lead_ix < _least").drop("_least")
+    out = ranked.select(*keys, F.lit(pct).alias("pct"), "doy", "threshold")
     return out.withColumn("mmdd", F.date_format(F.date_add(F.lit("1999-12-31").cast("date"), F.col("doy").cast("int")), "MMdd"))
 
 

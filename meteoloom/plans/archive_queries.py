@@ -423,6 +423,37 @@ def without_empty_files(spark, sf_dir):
     return qu.drop_empty(c, ["model", "var", "member", "lat"]).groupBy("model", "var", "member", "lat").agg(F.count("*").alias("n"))
 
 
+_REGIONAL = f"""WITH {CUBE}, c AS (SELECT model, var, member, lead_ix, 10 + lat / 10 + 2 * (lead_ix % 3) AS lat, 200 + lon / 90 + 4 * (member % 2) AS lon,
+CASE WHEN (model LIKE 'R%' AND lon <> 90) OR (model LIKE 'A%' AND var = 'tas') THEN NULL ELSE value END AS value FROM cube),
+g AS (SELECT model, var, MIN(member) AS m, MIN(lead_ix) AS l, list_sort(list_distinct(list(lat))) AS ys, list_sort(list_distinct(list(lon))) AS xs FROM c GROUP BY 1, 2),
+s AS (SELECT c.model, c.var, {{}} AS inside, c.value FROM c JOIN g ON c.model = g.model AND c.var = g.var AND c.member = g.m AND c.lead_ix = g.l),
+bad AS (SELECT model, var FROM s WHERE inside GROUP BY 1, 2 HAVING COUNT(value) = 0) SELECT c.model, c.var, COUNT(*) AS n, COUNT(value) AS filled FROM c WHERE (model, var) NOT IN (SELECT model, var FROM bad) GROUP BY 1, 2"""
+
+
+def _regional(spark, sf_dir):
+    """Grids of a few cells far from the equator: files with values outside the middle only, and files without any."""
+    c = cube(spark, sf_dir)
+    empty = (F.col("model").startswith("R") & (F.col("lon") != 90)) | (F.col("model").startswith("A") & (F.col("var") == "tas"))
+    place = {"value": F.when(~empty, F.col("value")), "lat": 10 + F.col("lat") / 10 + 2 * (F.col("lead_ix") % 3), "lon": 200 + F.col("lon") / 90 + 4 * (F.col("member") % 2)}
+    return c.withColumns(place).select("model", "var", "member", "lead_ix", "lat", "lon", "value")
+
+
+def _kept(df):
+    return df.groupBy("model", "var").agg(F.count("*").alias("n"), F.count("value").alias("filled"))
+
+
+@query(_REGIONAL.format("list_contains(ys[GREATEST(1, len(ys) // 2 - 1) : len(ys) // 2 + 3], c.lat) AND list_contains(xs[GREATEST(1, len(xs) // 2 - 1) : len(xs) // 2 + 3], c.lon)"))
+def without_empty_centres(spark, sf_dir):
+    """F1 (a): the middle of each file's own grid."""
+    return _kept(qu.drop_empty(_regional(spark, sf_dir), ["model", "var"], "centre"))
+
+
+@query(_REGIONAL.format("(list_position(ys, c.lat) - 1) % GREATEST(1, len(ys) // 10) = 0 AND (list_position(xs, c.lon) - 1) % GREATEST(1, len(xs) // 10) = 0"))
+def without_empty_strides(spark, sf_dir):
+    """F1 (b): about ten by ten cells of each file's own grid."""
+    return _kept(qu.drop_empty(_regional(spark, sf_dir), ["model", "var"], "strided"))
+
+
 @query("""SELECT o_custkey AS model, CAST(o_orderdate AS DATE) AS day, MIN(o_orderkey) AS o_orderkey FROM orders GROUP BY 1, 2""")
 def first_of_duplicates(spark, sf_dir):
     """F7."""

@@ -357,6 +357,20 @@ def bilinear_between_steps(spark, sf_dir):
     return gr.bilinear(mean, grid).select("model", "lat", "lon", _r("value"))
 
 
+@query(f"""WITH {CUBE}, m AS (SELECT model, lat * lat / 10 AS lat, (lon / 90) * (lon / 90) AS lon, AVG(value) AS value FROM cube WHERE var = 'pr' GROUP BY 1, 2, 3),
+g AS (SELECT * FROM (VALUES (5.0, 2.5), (10.0, 4.0), (0.5, 0.25), (9.0, 8.5), (9.0, 9.5)) t(lat, lon)),
+c AS (SELECT g.lat, g.lon, m.model, m.value, (1 - abs(m.lat - g.lat) / 10) * CASE WHEN m.lon = g.lon THEN 1 WHEN m.lon < g.lon THEN 1 - (g.lon - m.lon) / (2 * sqrt(m.lon) + 1) ELSE 1 - (m.lon - g.lon) / (2 * sqrt(m.lon) - 1) END AS w
+  FROM g JOIN m ON abs(m.lat - g.lat) < 10 AND m.lon > (CASE WHEN g.lon < 0 THEN 0 ELSE pow(floor(sqrt(g.lon)), 2) END) - 0.001 AND m.lon < pow(floor(sqrt(g.lon)) + 1, 2) + CASE WHEN g.lon = pow(floor(sqrt(g.lon)), 2) THEN -0.001 ELSE 0.001 END)
+SELECT k.model, g.lat::DOUBLE AS lat, g.lon::DOUBLE AS lon, ROUND(CASE WHEN SUM(w) BETWEEN 0.999999 AND 1.000001 THEN SUM(w * value) END, 4) AS value
+FROM (SELECT DISTINCT model FROM m) k CROSS JOIN g LEFT JOIN c ON c.model = k.model AND c.lat = g.lat AND c.lon = g.lon GROUP BY 1, 2, 3""")
+def bilinear_on_uneven_axes(spark, sf_dir):
+    """Longitudes 0, 1, 4 and 9."""
+    place = {"lat": F.col("lat") * F.col("lat") / 10, "lon": (F.col("lon") / 90) * (F.col("lon") / 90)}
+    mean = cube(spark, sf_dir).where("var = 'pr'").withColumns(place).groupBy("model", "lat", "lon").agg(F.avg("value").alias("value"))
+    grid = spark.sql("SELECT * FROM VALUES (5D, 2.5D), (10D, 4D), (0.5D, 0.25D), (9D, 8.5D), (9D, 9.5D) AS t(lat, lon)")
+    return gr.bilinear(mean, grid).select("model", "lat", "lon", _r("value"))
+
+
 @query(f"""WITH {CUBE} SELECT lat, CAST(CAST(lon + 360 AS INT) % 360 AS DOUBLE) AS lon, COUNT(*) AS n FROM cube WHERE CAST(lon AS INT) % 180 = 0 AND CAST(lat AS INT) % 180 = 0 GROUP BY 1, 2""")
 def subsample(spark, sf_dir):
     """P15."""

@@ -143,6 +143,67 @@ def landing_catch_up(spark, sf_dir):
     return _counted(Archive(spark, archive).read(full.schema))
 
 
+@query(f"""WITH {CUBE}, f AS (SELECT model, var, init_date, member, lead_ix, COUNT(*) AS n FROM cube GROUP BY ALL), w AS (SELECT model, var, COUNT(*) AS fields FROM f GROUP BY ALL),
+r AS (SELECT model, var, init_date, COUNT(*) AS fields FROM f WHERE NOT (model LIKE 'R-%' AND member = 7) GROUP BY ALL)
+SELECT model, var, init_date, COUNT(*) AS cells, COUNT(value) AS filled, SUM(value) AS total FROM cube WHERE NOT (model LIKE 'R-%' AND member = 7) AND (model, var) IN (SELECT w.model, w.var FROM w JOIN r USING (model, var) WHERE w.fields = r.fields) GROUP BY 1, 2, 3""")
+def split_deliveries(spark, sf_dir):
+    """Every slot arrives in three deliveries of members; slots that still lack fields afterwards stay out."""
+    landing, archive, state = (scratch(spark, x) for x in ("landing", "archive", "stream"))
+    c = store(_full(cube(spark, sf_dir), "forecast"), "landed")
+    expected = c.select("model", "var", "member", "lead_ix").distinct().groupBy("model", "var").agg(F.count("*").cast("int").alias("fields"))
+    come = c.where(~(F.col("model").startswith("R-") & (F.col("member") == 7)))
+    for members in ((1, 2, 5), (3, 5), (4, 6, 7)):
+        come.where(F.col("member").isin(*members)).coalesce(4).write.mode("append").parquet(landing)
+        landing_stream(spark, landing, archive, state, expected=expected).awaitTermination()
+    return _counted(Archive(spark, archive).read(c.schema).dropDuplicates(["model", "var", "member", "lead_ix", "lat", "lon"]))
+
+
+@query(_ARC + """, v1 AS (SELECT 1 AS version, * FROM arc), v2 AS (SELECT 2 AS version, l.* FROM land l WHERE model LIKE 'N%' AND init_date > (SELECT MAX(init_date) FROM arc WHERE arc.model = l.model) UNION ALL SELECT 2, * FROM arc)
+SELECT CAST(version AS INT) AS version, model, var, COUNT(*) AS cells, COUNT(value) AS filled, SUM(value) AS total FROM (SELECT * FROM v1 UNION ALL SELECT * FROM v2) GROUP BY 1, 2, 3""")
+def versions_of_two_writers(spark, sf_dir):
+    """M6: of two writers that start from one version the first commits and the second fails; both versions stay readable."""
+    root = scratch(spark, "archive")
+    land = store(_land(spark, sf_dir), "landing")
+    archive = Archive(spark, root)
+    archive.commit(0, archive.stage(_archive(land))[1])
+    newest = archive.slots(1).groupBy("model").agg(F.max("init_date").alias("_m"))
+    late = land.join(newest, "model").where(F.col("init_date") > F.col("_m")).select(*land.columns)
+    first, second = (archive.stage(late.where(w))[1] for w in ("model LIKE 'N%'", "model NOT LIKE 'N%'"))
+    archive.commit(1, first)
+    try:
+        archive.commit(1, second)
+        raise AssertionError("two writers committed one version")
+    except Conflict:
+        pass
+    seen = [archive.read(land.schema, v).withColumn("version", F.lit(v)) for v in (1, 2)]
+    return seen[0].unionByName(seen[1]).groupBy("version", "model", "var").agg(F.count("*").alias("cells"), F.count("value").alias("filled"), F.sum("value").alias("total"))
+
+
+@query(f"""WITH {CUBE}, f AS (SELECT DISTINCT model, var, init_date FROM cube)
+SELECT model, var, CASE WHEN model LIKE 'N%' THEN 'changed_since_audit' WHEN var = 'tas' THEN 'verify_failed_reverted' ELSE 'relabelled' END AS result,
+CASE WHEN model NOT LIKE 'N%' AND var = 'pr' THEN 0.5::DOUBLE WHEN model LIKE 'N%' THEN 2::DOUBLE ELSE 1::DOUBLE END AS first_lead FROM f WHERE model <> 'A-F'
+UNION ALL SELECT model, var, NULL, 1::DOUBLE FROM f WHERE model = 'A-F'""")
+def relabelled_archive(spark, sf_dir):
+    """M10 on a stored archive: one model isn't audited, one changed since the audit, one variable comes out damaged."""
+    root, log = scratch(spark, "archive"), scratch(spark, "revert")
+    c = _full(cube(spark, sf_dir), "forecast")
+    shifted = c.withColumn("lead_days", (F.col("lead_ix") + F.when(F.col("model").startswith("N"), 2).otherwise(1)).cast("float"))
+    archive = Archive(spark, root)
+    archive.commit(0, archive.stage(store(shifted, "shifted"))[1])
+    stored = archive.read(c.schema)
+    whole = F.transform(F.sequence(F.lit(0), F.max("lead_ix")), lambda i: i.cast("float"))
+    files = stored.where("model <> 'A-F'").groupBy(*ar.FILE).agg(whole.alias("_ix"), F.array_sort(F.collect_set("lead_days")).alias("_own"))
+    audit = files.select(*ar.FILE, F.when(F.col("model").startswith("N"), F.transform("_own", lambda x: x - 1)).otherwise(F.col("_own")).alias("leads"), F.transform("_ix", lambda x: x + F.lit(0.5).cast("float")).alias("canon"), F.lit("relabel").alias("status"))
+
+    def damaging(cells, due):
+        out = ar.relabel_leads(cells, due)
+        return out.withColumn("value", F.when((F.col("var") == "tas") & (F.col("lead_ix") == 3), F.col("value") + 1).otherwise(F.col("value")))
+
+    result = ar.relabel_archive(spark, root, c.schema, store(audit, "audit"), log, relabel=damaging)
+    first = archive.read(c.schema).groupBy("model", "var").agg(F.min(F.col("lead_days") - F.col("lead_ix")).cast("double").alias("first_lead"))
+    return first.join(result.select("model", "var", "result"), ["model", "var"], "left").select("model", "var", "result", "first_lead")
+
+
 @query("""WITH w AS (SELECT user_id, value, date_trunc('day', ts) - (CAST(range AS INT) || ' days')::INTERVAL AS s FROM events CROSS JOIN range(0, 7))
 SELECT strftime(s, '%Y-%m-%d') AS window_start, user_id, COUNT(*) FILTER (value > 20) AS crossings, COUNT(*) AS n FROM w
 WHERE s + INTERVAL 9 DAY <= (SELECT MAX(ts) FROM events) GROUP BY 1, 2 HAVING COUNT(*) FILTER (value > 20) >= 2""")
