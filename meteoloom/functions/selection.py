@@ -40,8 +40,9 @@ def exact_quantiles(df: DataFrame, keys, qs, value: str = "value", interval: int
 
     wide = (F.col("_d") > interval) & (F.col("_lo") < F.col("_hi"))
     while not state.where(wide).isEmpty():
-        # Halved, so that the width of an interval can't overflow.
-        part = (F.col("_v") / 2 - F.col("_lo") / 2) / (F.col("_hi") / 2 - F.col("_lo") / 2)
+        # The ends never share a part, so every pass narrows. A width that overflows is halved.
+        width = F.col("_hi") - F.col("_lo")
+        part = F.when(width < F.lit(float("inf")), (F.col("_v") - F.col("_lo")) / width).otherwise((F.col("_v") / 2 - F.col("_lo") / 2) / (F.col("_hi") / 2 - F.col("_lo") / 2))
         bin_ = F.least(F.lit(bins - 1), F.floor(part * bins)).cast("int")
         counts = held(state.where(wide)).groupBy(*own, "_r", "_before", bin_.alias("_bin")).agg(F.sum("_c").alias("_c"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.count("*").alias("_d"))
         upto = F.col("_before") + F.sum("_c").over(Window.partitionBy(*own, "_r").orderBy("_bin"))

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from meteoloom.functions.ranking import global_rank
+from meteoloom.functions.selection import exact_quantiles, sliding_ranks
 from meteoloom.operators import archive as ar
 from meteoloom.operators import climatology as cl
 from meteoloom.operators import exceedance as ex
@@ -56,8 +57,6 @@ class TestGrids:
     def test_bilinear_misses_and_irregular_axes(self, spark):
         src = plane(spark, [0, 1, 2], [0, 1, 2]).where("NOT (lat = 1 AND lon = 1)")
         assert values(gr.bilinear(src, targets(spark, (0.5, 0.5), (0, 0.5)))) == {(0.5, 0.5): None, (0.0, 0.5): 0.5}
-        with pytest.raises(ValueError):
-            gr.bilinear(plane(spark, [0, 1, 2.5], [0, 1]), targets(spark, (0.5, 0.5)))
 
     def test_nearest_is_by_label_and_unbounded(self, spark):
         two = plane(spark, [10, 0], [0, 1, 2]).unionByName(plane(spark, [0.25, 5.25], [7], model="B"))
@@ -142,6 +141,79 @@ class TestWorkingFolders:
         assert made.startswith("file:///") and local.set_to == {"spark.checkpoint.dir": made}
 
 
+    def test_uneven_axes_equal_numpy(self, spark):
+        rng = np.random.default_rng(5)
+        lats = np.degrees(np.arcsin(np.polynomial.legendre.leggauss(12)[0]))  # Gaussian latitudes
+        lons = np.sort(rng.choice(np.arange(0, 360, 0.7), 9, replace=False))
+        field = rng.normal(size=(len(lats), len(lons)))
+        src = spark.createDataFrame([("A", float(y), float(x), float(field[i, j])) for i, y in enumerate(lats) for j, x in enumerate(lons)], "model string, lat double, lon double, value double")
+        ask = [(float(rng.uniform(lats[0], lats[-1])), float(rng.uniform(lons[0], lons[-1]))) for _ in range(40)]
+        ask += [(float(lats[3]), float(lons[4])), (float(lats[0]), float(lons[-1])), (float(lats[0]) - 0.01, float(lons[2])), (float(lats[5]) + 1e-12, float(lons[1]))]
+        got = values(gr.bilinear(src, targets(spark, *ask)))
+        for y, x in ask:
+            if y < lats[0]:
+                assert got[y, x] is None
+                continue
+            rows = [np.interp(x, lons, field[i]) for i in range(len(lats))]
+            assert abs(got[y, x] - np.interp(y, lats, rows)) < 1e-8
+
+    def test_given_step_leaves_gaps_open(self, spark):
+        src = plane(spark, [0, 1, 3], [0, 1])
+        assert values(gr.bilinear(src, targets(spark, (2, 0.5)), 1, 1)) == {(2.0, 0.5): None}
+        assert values(gr.bilinear(src, targets(spark, (2, 0.5))))[2.0, 0.5] is not None
+
+
+class TestSelection:
+    @pytest.mark.parametrize(("interval", "bins"), [(1 << 16, 1 << 10), (3, 4), (1, 2)])
+    def test_quantiles_equal_numpy(self, spark, interval, bins):
+        rng = np.random.default_rng(11)
+        groups = {"normal": rng.normal(size=400), "ties": rng.integers(0, 4, 300).astype(float), "one": np.array([7.5]), "same": np.full(90, -2.0), "wide": np.concatenate([rng.normal(size=60) * 1e300, [-1.7e308, 1.7e308, 0.0, 5e-324]])}
+        rows = [(k, float(x)) for k, v in groups.items() for x in v] + [("none", None), ("none", float("nan")), ("normal", float("inf")), (None, 3.0), (None, 5.0)]
+        df = spark.createDataFrame(rows, "g string, value double")
+        qs = (0.0, 0.1, 0.33, 0.5, 0.66, 1.0)
+        got = {r["g"]: (r["n"], r["q"]) for r in exact_quantiles(df, ["g"], qs, interval=interval, bins=bins).collect()}
+        assert set(got) == {*groups, "none", None} and got["none"] == (0, [None] * 6)
+        for k, v in {**groups, None: np.array([3.0, 5.0])}.items():
+            assert got[k][0] == len(v)
+            if k != "wide":
+                assert np.allclose(got[k][1], np.quantile(v, qs), rtol=1e-12)
+            else:  # numpy's own differences overflow here
+                assert got[k][1][0] == v.min() and got[k][1][-1] == v.max() and all(a <= b for a, b in zip(got[k][1], got[k][1][1:]))
+        whole = exact_quantiles(df.where("g = 'normal'"), [], (0.5,), interval=interval, bins=bins).first()
+        assert whole["n"] == 400 and abs(whole["q"][0] - np.median(groups["normal"])) < 1e-12
+
+    @pytest.mark.parametrize(("q", "window"), [(0.05, 0), (0.5, 15), (0.95, 15), (1.0, 40), (0.3, 200)])
+    def test_sliding_ranks_equal_sorted_pools(self, q, window):
+        rng = np.random.default_rng(int(q * 100) + window)
+        day, value = rng.integers(1, 367, 900), np.round(rng.normal(size=900), 1)
+        value[rng.random(900) < 0.2] = np.nan
+        day[day % 50 < 20] = 77  # stretches without samples, and a hot day
+        days, found = sliding_ranks(day, value, q, window, 366, block=16)
+        want = {}
+        for d in range(1, 367):
+            gap = np.abs(day - d)
+            pool = np.sort(value[np.minimum(gap, 366 - gap) <= window])
+            if len(pool):
+                want[d] = pool[int(np.rint(q * (len(pool) - 1)))]
+        assert days.tolist() == list(want) and np.array_equal(found, np.array(list(want.values())), equal_nan=True)
+
+    def test_sliding_ranks_hold_each_sample_once(self):
+        import tracemalloc
+
+        n = 200_000
+        rng = np.random.default_rng(1)
+        day, value = rng.integers(1, 367, n), rng.normal(size=n)
+        tracemalloc.start()
+        sliding_ranks(day, value, 0.95, 15, 366)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 80 * n  # 31 copies of each sample would take 248 bytes for each
+
+    def test_a_sample_is_shuffled_once(self, spark):
+        h = spark.createDataFrame([("A", "pr", 0, 0.0, 0.0, START, 1.0)], "model string, var string, lead_ix int, lat double, lon double, init_date date, value double")
+        assert exchanges(th.thresholds(h, 95, trim=False)) == 1
+
+
 class TestArchive:
     def test_staging_folders_go(self, spark, tmp_path):
         rows = [("forecast", "A", "pr", START + dt.timedelta(d), dt.datetime(2026, 3, 5) + dt.timedelta(d), 1, 0, 0.5, START, None, 0.0, 0.0, 1.0) for d in range(3)]

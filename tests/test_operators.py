@@ -383,6 +383,32 @@ class TestArchive:
         assert st_(ar.lead_files(c, "int64")) == "dtype_mismatch" and st_(ar.lead_files(c.where("lead_ix < 2"))) == "length_mismatch"
         assert st_(ar.lead_files(new)) == "ok" and st_(ar.lead_files(c).withColumn("leads", F.lit(None).cast("array<float>"))) == "unreadable"
 
+    def test_relabelling_a_stored_archive(self, spark, tmp_path, monkeypatch):
+        root, log = str(tmp_path / "arc"), str(tmp_path / "log")
+        c = landing(spark, range(2)).withColumn("lead_days", (F.col("lead_ix") + 1).cast("float"))
+        ar.sync_archive(c, root)
+        a = sn.Archive(spark, root)
+        canon = ar.canonical_leads(spark.createDataFrame([("A", 0.5, 3)], "model string, first double, n int"))
+        audit = ar.audit_leads(ar.lead_files(a.read(cu.SCHEMA)), canon)
+        run = lambda audit, **more: {r["result"] for r in ar.relabel_archive(spark, root, cu.SCHEMA, audit, log, **more).collect()}
+        labels = lambda v=None: sorted({r["lead_days"] for r in a.read(cu.SCHEMA, v).collect()})
+        before = prints(a.read(cu.SCHEMA))
+        assert run(audit, apply=False) == {"would_relabel"} and a.version() == 1
+        assert run(audit, relabel=lambda cells, due: ar.relabel_leads(cells, due).withColumn("value", F.lit(3.0))) == {"verify_failed_reverted"}
+        assert labels() == [1.0, 2.0, 3.0] and prints(a.read(cu.SCHEMA)) == before
+        assert run(audit) == {"relabelled"} and labels() == [0.5, 1.5, 2.5] and labels(1) == [1.0, 2.0, 3.0] and prints(a.read(cu.SCHEMA)) == before
+        assert run(audit) == {"changed_since_audit"}
+        undo = spark.read.parquet(log).distinct()
+        assert run(undo) == {"relabelled"} and labels() == [1.0, 2.0, 3.0]
+
+        def other_first(cells, due):
+            ar.sync_archive(landing(spark, range(2, 3)), root)
+            return ar.relabel_leads(cells, due)
+
+        with pytest.raises(sn.Conflict):
+            run(audit, relabel=other_first)
+        assert a.read(cu.SCHEMA).count() == 18
+
     def test_shift_is_idempotent_and_reversible(self, spark):
         c = landing(spark, range(1), ("pr",)).withColumn("lead_days", F.col("lead_ix").cast("float"))
         once = ar.shift_leads(c)
@@ -425,10 +451,27 @@ class TestQuality:
     def test_samples_and_median(self, spark):
         df = landing(spark, range(2)).withColumn("value", F.when(F.dayofmonth("init_date") == 5, F.lit(250.0)))
         keys = ["model", "var", "level", "init_date"]
-        assert qu.drop_empty(df, keys).count() == 6 and qu.drop_empty(df, keys, qu.strided_sample()).count() == 6
-        assert qu.drop_empty(df, keys, qu.centre_sample()).count() == 0
+        assert qu.drop_empty(df, keys).count() == 6
+        # Every grid has its own middle: files far from the equator stay, and one of missing cells goes.
+        for sample in ("centre", "strided", "plane"):
+            assert qu.drop_empty(df, keys, sample).count() == 6
+        with pytest.raises(ValueError):
+            qu.drop_empty(df, keys, "other")
         assert qu.plausible_median(df, low=300).select("var").distinct().count() == 1
 
+    def test_samples_by_position(self, spark):
+        grid = [(y, x, m, i) for y in range(9) for x in range(30) for m in (1, 2) for i in (0, 1)]
+        at = {"middle": lambda y, x: (y, x) == (6, 13), "corner": lambda y, x: (y, x) == (0, 0), "strides": lambda y, x: (y, x) == (8, 27), "none": lambda y, x: False}
+        rows = [(f, m, i, 40.0 - 0.5 * y, 200.0 + 0.25 * x, 1.0 if has(y, x) and m == 1 and i == 0 else None) for f, has in at.items() for y, x, m, i in grid]
+        rows += [("later", m, i, 40.0 - 0.5 * y, 200.0 + 0.25 * x, 1.0 if m == 2 else None) for y, x, m, i in grid]
+        df = spark.createDataFrame(rows, "model string, member int, lead_ix int, lat double, lon double, value double")
+        left = lambda s: {r["model"] for r in qu.drop_empty(df, ["model"], s).select("model").distinct().collect()}
+        # Ascending latitudes: row 6 is the third of nine; rows 2 to 6 and columns 13 to 17 are the middle.
+        assert left("centre") == {"middle"} and left("strided") == {"corner", "strides"} and left("plane") == {"middle", "corner", "strides"}
+        assert left(None) == {"middle", "corner", "strides", "later"}
+        seen = qu.sampled_cells(df, ["model"], "centre").where("model = 'none'")
+        assert sorted({r["lat"] for r in seen.collect()}) == [37.0, 37.5, 38.0, 38.5, 39.0] and seen.count() == 25
+
     def test_first_climatology(self, spark):
         c = spark.createDataFrame([("B", 1), ("C", 2)], "model string, x int")
         names = spark.createDataFrame([("M", "A", 0), ("M", "B", 1), ("M", "C", 2)], "model string, name string, cand_ix int")
