@@ -28,13 +28,24 @@ def rolling_flags(crossed: DataFrame, window: int = 7, aggregate: str = "any", m
     Leads that a series lacks are absent rows; the range frame runs over positions, so they
     count as not crossed. Incomplete windows drop out. ``min_days`` overrides ``aggregate``.
     """
+    return _flags(crossed, window, _needed(window, "above", aggregate, min_days))
+
+
+def _needed(window: int, direction: str, aggregate: str, min_days: int | None) -> int:
+    """How many days of a window must cross."""
+    if direction not in ("above", "below"):
+        raise ValueError(f"direction must be 'above' or 'below', not {direction!r}")
     if window < 1:
         raise ValueError("window must be at least 1")
     if aggregate not in ("any", "all"):
         raise ValueError(f"aggregate must be 'any' or 'all', not {aggregate!r}")
-    need = min_days if min_days is not None else (1 if aggregate == "any" else window)
+    return min_days if min_days is not None else (1 if aggregate == "any" else window)
+
+
+def _flags(crossed: DataFrame, window: int, need: int, *dealt: str) -> DataFrame:
+    """Flags of windows; ``dealt`` names the column by which the rows are dealt already."""
     bounds = crossed.groupBy("model", "var").agg(F.min("lead_ix").alias("_first"))
-    w = Window.partitionBy(*CELL, "member").orderBy("lead_ix").rangeBetween(1 - window, 0)
+    w = Window.partitionBy(*dealt, *CELL, "member").orderBy("lead_ix").rangeBetween(1 - window, 0)
     out = crossed.withColumn("days", F.sum("crossed").over(w)).join(F.broadcast(bounds), ["model", "var"])
     return out.where(F.col("lead_ix") >= F.col("_first") + window - 1).withColumn("flag", (F.col("days") >= need).cast("int")).drop("_first")
 
@@ -54,13 +65,39 @@ def exceedance(forecast: DataFrame, thresholds: DataFrame, window: int = 7, dire
     start, so positions restart at the first lead that is left: a model padded to the leads of
     others meets its thresholds from the first one on. ``valid_date`` tells the calendar day.
     """
-    full = lead_spine(trim_empty_leads(forecast.select(*CELL, "member", "lead_ix", "valid_date", "value"), restart=True))
-    flags = rolling_flags(crossings(full, thresholds, direction), window, aggregate, min_days)
-    keys = (*CELL, "lead_ix", "valid_date")
-    out = flags.groupBy(*keys).agg(F.sum("flag").alias("count"), F.count("*").alias("members"))
+    need = _needed(window, direction, aggregate, min_days)
+    own = trim_empty_leads(forecast.select(*CELL, "member", "lead_ix", "valid_date", "value"), restart=True)
+    leads = own.groupBy("model", "var").agg(F.collect_set(F.struct("lead_ix", "valid_date")).alias("_leads"))  # a row for each model and variable
+    cells = _cells(own, thresholds)
+    each = cells.join(F.broadcast(leads), ["model", "var"]).withColumn("member", F.explode("_members"))
+    each = each.select("_cell", *CELL, "member", "_values", "_limits", F.inline("_leads")).where(F.map_contains_key("_limits", F.col("lead_ix")))
+    value, limit = F.try_element_at("_values", F.struct("member", "lead_ix")), F.try_element_at("_limits", F.col("lead_ix"))
+    cross = value > limit if direction == "above" else value < limit
+    crossed = each.select("_cell", *CELL, "member", "lead_ix", "valid_date", F.coalesce(cross, F.lit(False)).cast("int").alias("crossed"))
+    flags = _flags(crossed, window, need, "_cell")
+    out = flags.groupBy("_cell", *CELL, "lead_ix", "valid_date").agg(F.sum("flag").alias("count"), F.count("*").alias("members")).drop("_cell")
     return out.withColumn("probability", 100 * F.col("count") / F.col("members"))
 
 
+def _cells(forecast: DataFrame, thresholds: DataFrame) -> DataFrame:
+    """One row for each cell of the forecast that has thresholds: ``_cell`` (a hash of it), its members, values by (member, lead) and thresholds by lead.
+
+    Both tables meet in one shuffle by cell, which the windows and counts after it keep. A series' repeated rows count
+    once, by their greatest value.
+    """
+    null = lambda t: F.lit(None).cast(t)
+    left = forecast.select(*CELL, "member", F.col("lead_ix").cast("int").alias("lead_ix"), F.col("value").cast("double").alias("value"), null("double").alias("threshold"), F.lit(True).alias("_own"))
+    right = thresholds.select(*CELL, F.lit(None).cast(forecast.schema["member"].dataType).alias("member"), F.col("lead_ix").cast("int").alias("lead_ix"), null("double").alias("value"), F.col("threshold").cast("double").alias("threshold"), F.lit(False).alias("_own"))
+    rows = left.unionByName(right)
+    # A hash of the cell, since Spark doesn't take a table dealt by coordinates as grouped by them (0.0 and -0.0).
+    dealt = rows.withColumns({c: F.col(c) + F.lit(0.0) for c in ("lat", "lon")}).withColumn("_cell", F.xxhash64(*CELL)).repartition("_cell")
+    series = dealt.groupBy("_cell", *CELL, "_own", "member", "lead_ix").agg(F.max("value").alias("value"), F.max("threshold").alias("threshold"))
+    values = F.collect_list(F.when(F.col("_own"), F.struct(F.struct("member", "lead_ix").alias("at"), "value")))
+    limits = F.collect_list(F.when(~F.col("_own"), F.struct("lead_ix", "threshold")))
+    cells = series.groupBy("_cell", *CELL).agg(F.collect_set(F.when(F.col("_own"), F.col("member"))).alias("_members"), F.map_from_entries(values).alias("_values"), F.map_from_entries(limits).alias("_limits"))
+    return cells.where((F.size("_members") > 0) & (F.size("_limits") > 0))
+
+
 def pool_models(counts: DataFrame, nens: DataFrame) -> DataFrame:
     """Pooled probability over models: 100 x counts / true ensemble sizes.
 

@@ -209,6 +209,16 @@ class TestSelection:
         tracemalloc.stop()
         assert peak < 80 * n  # 31 copies of each sample would take 248 bytes for each
 
+    def test_exceedance_deals_its_cells_once(self, spark):
+        """Forecast and thresholds meet in one shuffle by cell; what follows keeps it (the first lead of a model is found from the same one)."""
+        rows = [("A", "pr", m, i, START, 0.0, 0.0, 1.0) for m in (1, 2) for i in range(9)]
+        f = spark.createDataFrame(rows, "model string, var string, member int, lead_ix int, valid_date date, lat double, lon double, value double")
+        t = f.where("member = 1").select("model", "var", "lead_ix", "lat", "lon", F.lit(0.5).alias("threshold"))
+        plan = ex.exceedance(f, t)._jdf.queryExecution().executedPlan().toString().splitlines()
+        shuffles = [line for line in plan if "Exchange hashpartitioning" in line]
+        # The cells, in either branch of the same plan (which Spark then runs once); the rest are a row for each model and variable.
+        assert sum("_cell#" in line for line in shuffles) == 2 and not any("lat#" in line for line in shuffles)
+
     def test_a_sample_is_shuffled_once(self, spark):
         h = spark.createDataFrame([("A", "pr", 0, 0.0, 0.0, START, 1.0)], "model string, var string, lead_ix int, lat double, lon double, init_date date, value double")
         assert exchanges(th.thresholds(h, 95, trim=False)) == 1
