@@ -63,10 +63,11 @@ def exceedance(forecast: DataFrame, thresholds: DataFrame, window: int = 7, dire
 
     F6 trims empty outer leads first. A threshold's lead counts the days since the model's own
     start, so positions restart at the first lead that is left: a model padded to the leads of
-    others meets its thresholds from the first one on. ``valid_date`` tells the calendar day.
+    others meets its thresholds from the first one on. ``valid_date`` tells the calendar day. A model
+    without any value of a variable raises.
     """
     need = _needed(window, direction, aggregate, min_days)
-    own = trim_empty_leads(forecast.select(*CELL, "member", "lead_ix", "valid_date", "value"), restart=True)
+    own = trim_empty_leads(_with_values(forecast.select(*CELL, "member", "lead_ix", "valid_date", "value")), restart=True)
     leads = own.groupBy("model", "var").agg(F.collect_set(F.struct("lead_ix", "valid_date")).alias("_leads"))  # a row for each model and variable
     cells = _cells(own, thresholds)
     each = cells.join(F.broadcast(leads), ["model", "var"]).withColumn("member", F.explode("_members"))
@@ -79,6 +80,14 @@ def exceedance(forecast: DataFrame, thresholds: DataFrame, window: int = 7, dire
     return out.withColumn("probability", 100 * F.col("count") / F.col("members"))
 
 
+def _with_values(forecast: DataFrame) -> DataFrame:
+    """The forecast; running it raises if a model has no value at any lead of a variable."""
+    counts = forecast.groupBy(F.col("model").alias("_m"), F.col("var").alias("_v")).agg(F.count("value").alias("_n"))
+    empty = F.raise_error(F.concat_ws(" ", F.lit("no value at any lead:"), "_m", "_v"))
+    good = counts.where(F.when(F.col("_n") > 0, F.lit(True)).otherwise(empty.cast("boolean")))
+    return forecast.join(F.broadcast(good), F.col("model").eqNullSafe(F.col("_m")) & F.col("var").eqNullSafe(F.col("_v")), "left_semi")  # a row for each model and variable
+
+
 def _cells(forecast: DataFrame, thresholds: DataFrame) -> DataFrame:
     """One row for each cell of the forecast that has thresholds: ``_cell`` (a hash of it), its members, values by (member, lead) and thresholds by lead.
 

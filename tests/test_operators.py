@@ -65,6 +65,11 @@ class TestExceedance:
         absent = gap.where("lead_ix <> 7 OR member > 1")
         assert probs(ex.exceedance(absent, limits(spark), 2, aggregate="all")) == [100.0] * 6 + [0.0] * 2 + [100.0] * 5
 
+    def test_a_model_without_values_raises(self, spark):
+        f = field(spark, lambda m, i: 2.0)
+        with pytest.raises(Exception, match="no value at any lead: B pr"):
+            ex.exceedance(f.unionByName(f.withColumns({"model": F.lit("B"), "value": F.lit(None).cast("double")})), limits(spark)).collect()
+
     def test_bad_arguments(self, spark):
         f = field(spark, lambda m, i: 1.0)
         for bad in ({"direction": "up"}, {"aggregate": "some"}, {"window": 0}):
