@@ -120,8 +120,8 @@ def sync_archive(landing: DataFrame, root: str, n: int = 4, dry_run: bool = Fals
     rows = join_null_safe(landing.withColumn("_field", field), due, [*SLOT, "_field"], "left_semi").drop("_field")
     # Old files of slots that are replaced: what else they hold is written anew.
     replaced = plan.where("action = 'backfill'").select(*SLOT)
-    held = archive.files(base).select("path", *PARTS, F.explode("slots.init_ts").alias("init_ts"))
-    old = store(join_null_safe(held, replaced, SLOT, "left_semi").select("path").distinct(), "archive-old")
+    held = archive.files(base).select("path", "labels", *PARTS, F.explode("slots.init_ts").alias("init_ts"))
+    old = store(join_null_safe(held, replaced, SLOT, "left_semi").select("path", "labels").dropDuplicates(["path"]), "archive-old")
     kept = join_null_safe(archive.read_files(old, landing.schema), replaced, SLOT, "left_anti")
     folder, new = archive.stage(rows.unionByName(kept))
     try:
@@ -225,7 +225,7 @@ def relabel_archive(spark: SparkSession, root: str, schema, audit: DataFrame, lo
     base = archive.version()
     due = audit.where("status = 'relabel'").select(*FILE, "leads", "canon", "status")
     parts = due.select(*PARTS).distinct().withColumnsRenamed({k: f"_{k}" for k in PARTS})
-    old = store(archive.files(base).join(parts, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in PARTS], "left_semi").select("path", *PARTS, "slots"), "archive-old")
+    old = store(archive.files(base).join(parts, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in PARTS], "left_semi").select("path", *PARTS, "slots", "labels"), "archive-old")
     cells = archive.read_files(old, schema)
     now = lead_files(cells).select(*FILE, F.col("leads").alias("_now"))
     state = store(join_null_safe(due, now, FILE).withColumn("_same", F.col("leads") == F.col("_now")), "relabel-state")
@@ -251,6 +251,62 @@ def relabel_archive(spark: SparkSession, root: str, schema, audit: DataFrame, lo
     return result
 
 
+def stored_labels(spark: SparkSession, root: str, schema, version: int | None = None) -> DataFrame:
+    """FILE, leads of an archive: the labels that readers see, by position (null where a position has no row).
+
+    Only the label columns are read. A file whose position has two labels raises, as no list by position holds them.
+    """
+    cells = Archive(spark, root).read(schema, version)
+    each = cells.groupBy(*FILE, "lead_ix").agg(F.min("lead_days").alias("_lo"), F.max("lead_days").alias("_hi"))
+    torn = F.raise_error(F.concat_ws(" ", F.lit("two labels at one position:"), *FILE))
+    label = F.when(F.col("_lo").eqNullSafe(F.col("_hi")), F.col("_lo")).otherwise(torn.cast("float"))
+    lists = each.groupBy(*FILE).agg(F.map_from_entries(F.collect_list(F.struct("lead_ix", label.alias("label")))).alias("_of"), F.max("lead_ix").alias("_last"))
+    return lists.select(*FILE, F.transform(F.sequence(F.lit(0), "_last"), lambda i: F.try_element_at("_of", i)).alias("leads"))
+
+
+def overlay_leads(spark: SparkSession, root: str, schema, change) -> DataFrame:
+    """M8, M11, P22 on an ``Archive`` without rewriting a cell: returns the files whose labels differ now: FILE, was, leads.
+
+    ``change`` maps FILE, leads (labels by position) to FILE, leads: ``grid_labels``, ``shifted_labels``, ``aligned_labels`` or one's own.
+    The new labels are part of the next version's list, so readers see all of them or none, ``roll_back`` takes them back,
+    and a writer that commits in between makes this raise ``Conflict``. A file whose new list has another length raises.
+    """
+    archive = Archive(spark, root)
+    base = archive.version()
+    now = store(stored_labels(spark, root, schema, base), "labels")
+    named = change(now).select(*FILE, F.col("leads").cast("array<float>").alias("_to"))
+    both = join_null_safe(now.withColumnRenamed("leads", "was"), named, FILE)
+    wrong = F.raise_error(F.concat_ws(" ", F.lit("the number of leads differs:"), *FILE))
+    to = F.when(F.size("was") == F.size("_to"), F.col("_to")).otherwise(wrong.cast("array<float>"))
+    due = store(both.select(*FILE, "was", to.alias("leads")).where(~F.col("was").eqNullSafe(F.col("leads"))), "labels-due")
+    discard(now)
+    if not due.isEmpty():
+        archive.commit_labels(base, due)
+    return due
+
+
+def grid_labels(grid: DataFrame):
+    """M8 for ``overlay_leads``: the labels of each model's authoritative grid (model, first, last, n).
+
+    Models without a grid keep theirs.
+    """
+    step = (F.col("last") - F.col("first")) / F.greatest(F.lit(1), F.col("n") - 1)
+    lists = grid.withColumn("_step", step).select("model", F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: F.col("first") + i * F.col("_step")).alias("leads"))
+    return lambda files: files.drop("leads").join(lists, "model")
+
+
+def shifted_labels(by: float = 0.5, reverse: bool = False):
+    """M11 for ``overlay_leads``: whole numbers 0..n-1 become by..n-1+by, back with ``reverse``; all other labels stay."""
+    take, give = (by, 0.0) if reverse else (0.0, by)
+    return lambda files: files.withColumn("leads", F.transform("leads", lambda x, i: F.when(x == i.cast("float") + F.lit(take).cast("float"), i + F.lit(give)).otherwise(x).cast("float")))
+
+
+def aligned_labels(ref: DataFrame):
+    """P22 for ``overlay_leads``: labels of the reference (model, leads) for files of the same length; others keep theirs."""
+    own = ref.select("model", F.col("leads").alias("_ref"))
+    return lambda files: files.join(own, "model").withColumn("leads", F.when(F.size("leads") == F.size("_ref"), F.col("_ref")).otherwise(F.col("leads")))
+
+
 def shift_leads(cube: DataFrame, by: float = 0.5, reverse: bool = False) -> DataFrame:
     """Whole-number labels 0..n-1 become by..n-1+by, and back with ``reverse``. Files that
     already have the target's labels stay, so a rerun changes nothing."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.catalog import newest_in_lookback
+from ..sources.catalog import newest_in_lookback, newest_of_words
 
 
 def presence(expected: DataFrame, catalog: DataFrame, fcst: str, days: int) -> DataFrame:
@@ -14,6 +14,12 @@ def presence(expected: DataFrame, catalog: DataFrame, fcst: str, days: int) -> D
     return expected.join(near, ["model", "var"], "left").withColumn("ok", F.col("path").isNotNull())
 
 
+def presence_of_words(expected: DataFrame, words: DataFrame, fcst: str, days: int) -> DataFrame:
+    """V1 by ``start_words`` of the catalog: every expected (model, var) with its newest start in the lookback and whether there is one."""
+    near = newest_of_words(words, fcst, days)
+    return expected.join(near, ["model", "var"], "left").withColumn("ok", F.col("init_date").isNotNull())
+
+
 def enforce(report: DataFrame, policy: str = "warn") -> int:
     """V2: 1 if something is missing under 'fail_on_missing', else 0. One count reaches the driver."""
     return int(policy == "fail_on_missing" and report.where(~F.col("ok")).count() > 0)

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import bitsets
 from ..functions.calendar import parse_date_token
 from ..functions.ranking import global_rank
 
@@ -19,11 +22,16 @@ def parse_catalog(paths: DataFrame) -> DataFrame:
 
     Names look like .../{kind}/{var}/{var}_{GROUP}-{MODEL}_{YYYYMMDD}.daily.nc.
     """
-    name = F.regexp_extract("path", r"([^/]+)$", 1)
+    return paths.withColumns(path_fields(F.col("path")))
+
+
+def path_fields(path) -> dict:
+    """Var, group, model, kind and init_date as expressions of a path."""
+    name = F.regexp_extract(path, r"([^/]+)$", 1)
     pattern = r"^([^_/]+)_([^-_/]+)-(.+?)_(\d{8})(?:[^0-9].*)?$"
     part = lambda i: F.nullif(F.regexp_extract(name, pattern, i), F.lit(""))
-    kind = F.nullif(F.regexp_extract("path", r"/(forecast|hindcast)/", 1), F.lit(""))
-    return paths.withColumns({"var": part(1), "group": part(2), "model": F.when(part(2).isNotNull(), F.concat(part(2), F.lit("-"), part(3))), "kind": kind, "init_date": F.try_to_date(part(4), "yyyyMMdd")})
+    kind = F.nullif(F.regexp_extract(path, r"/(forecast|hindcast)/", 1), F.lit(""))
+    return {"var": part(1), "group": part(2), "model": F.when(part(2).isNotNull(), F.concat(part(2), F.lit("-"), part(3))), "kind": kind, "init_date": F.try_to_date(part(4), "yyyyMMdd")}
 
 
 def newest_init(catalog: DataFrame, fcst: str, lo: int = -7, hi: int = -1, candidates: DataFrame | None = None) -> DataFrame:
@@ -105,6 +113,49 @@ def mirror_counts(diff: DataFrame) -> DataFrame:
     return diff.groupBy("model", "var").agg(F.count("*").alias("n"))
 
 
+def start_words(catalog: DataFrame, keys=("model", "var")) -> DataFrame:
+    """The starts of each (model, var) as words of 64 days (``functions/bitsets.py``), counted from 1970-01-01."""
+    return bitsets.words(catalog, keys, F.unix_date("init_date"))
+
+
+def missing_starts(local: DataFrame, remote: DataFrame, keys=("model", "var")) -> DataFrame:
+    """S13 at archive size: starts that the mirror's words lack, as words. Both sides: ``start_words``.
+
+    Files are told apart by (model, var, start), not by path: what is shuffled is a row for each model, variable and 64 days.
+    """
+    return bitsets.minus(local, remote, keys)
+
+
+def starts_of(words: DataFrame, keys=("model", "var")) -> DataFrame:
+    """keys, init_date of ``start_words``."""
+    return bitsets.numbers(words, keys).select(*keys, F.date_from_unix_date(F.col("number").cast("int")).alias("init_date"))
+
+
+def complete_member_words(catalog: DataFrame, n_vars: int | None = None) -> DataFrame:
+    """Members that every variable of a (model, start) has, or ``n_vars`` of them, as words: the AND of the variables' words."""
+    own = bitsets.words(catalog.where("var IS NOT NULL"), ["model", "init_date", "var"], F.col("member"))
+    held = own.groupBy("model", "init_date", "word").agg(F.bit_and("bits").alias("bits"), F.count("*").alias("_n"))
+    if n_vars is None:
+        wanted = catalog.groupBy("model", "init_date").agg(F.countDistinct("var").alias("_all"))
+        held = held.join(wanted, ["model", "init_date"])
+    enough = F.col("_n") == (F.col("_all") if n_vars is None else F.lit(n_vars))
+    return held.where(enough & (F.col("bits") != 0)).select("model", "init_date", "word", "bits")
+
+
+def member_words_to_fetch(listed: DataFrame, complete: DataFrame) -> DataFrame:
+    """Model, init_date, member: the listed members (rows) that the complete ones (words) lack."""
+    keys = ["model", "init_date"]
+    lack = bitsets.minus(bitsets.words(listed, keys, F.col("member")), complete, keys)
+    return bitsets.numbers(lack, keys).select(*keys, F.col("number").cast("int").alias("member"))
+
+
+def newest_of_words(words: DataFrame, fcst: str, days: int, keys=("model", "var")) -> DataFrame:
+    """Keys, init_date: the newest start in the ``days`` dates (one at least) that end at fcst, by ``start_words``."""
+    last = (date.fromisoformat(fcst) - date(1970, 1, 1)).days
+    near = bitsets.within(words, last - max(1, days) + 1, last)
+    return bitsets.greatest_number(near, keys).select(*keys, F.date_from_unix_date(F.col("number").cast("int")).alias("init_date"))
+
+
 def resend_jobs(manifest: DataFrame, root: str, allowed: DataFrame, local: DataFrame) -> DataFrame:
     """Distinct paths with a status: send, or the first reason to skip of tmp, outside_root,
     not_mirrored, missing_locally. ``allowed``: model, var; ``local``: path."""

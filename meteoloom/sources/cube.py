@@ -10,6 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .catalog import path_fields
+from .working import scratch
+
 SCHEMA = (
     "kind string, model string, var string, init_date date, init_ts timestamp_ntz, member int, lead_ix int, "
     "lead_days float, valid_date date, level int, lat double, lon double, value double"
@@ -33,6 +36,55 @@ def read_cube(spark: SparkSession, root: str, kind: str | None = None, models=No
     return missing_to_null(df)
 
 
+def read_provider(spark: SparkSession, root: str, schema: str, fmt: str = "parquet") -> DataFrame:
+    """Cells of files that are named var_GROUP-MODEL_date, under any folders, with the fields of the names as columns.
+
+    ``schema`` lists the columns inside the files. The fields come from the file's path, so Spark applies filters on
+    kind, var, group, model and init_date to the listing, and files that they leave out are neither opened nor planned.
+    Files whose name has another form have null fields.
+    """
+    cells = spark.read.schema(schema).format(fmt).option("recursiveFileLookup", "true").load(root)
+    return cells.select(*[e.alias(c) for c, e in path_fields(F.col("_metadata.file_path")).items()], *cells.columns)
+
+
+FILE = ("kind", "model", "var", "init_date")
+
+
+def footer_counts(spark: SparkSession, root: str) -> DataFrame:
+    """FILE, cells and filled (values) of each partition of a stored cube, from Parquet footers alone.
+
+    Counts by partition column are pushed into the scan, in a session of its own, as that is a setting for whole sessions.
+    A NaN counts as a value; ``write_cube`` stores none.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    path = scratch(spark, "footers")
+    counts = own.read.schema(SCHEMA).parquet(root).groupBy(*FILE).agg(F.count("*").alias("cells"), F.count("value").alias("filled"))
+    counts.write.parquet(path)
+    return spark.read.schema(counts.schema).parquet(path)
+
+
+def read_filled(spark: SparkSession, root: str, keys=FILE) -> DataFrame:
+    """F1, F2 on a stored cube: its cells without the files (keys) that hold no value, judged by the footers.
+
+    No pass over the cells is needed to find out: partitions without any value go, those without any gap stay. With
+    keys finer than a partition (a level, say) only partitions with some values and some gaps are counted by their cells.
+    Keys coarser than a partition (without one of FILE) add up their partitions' counts.
+    """
+    from ..operators.normalise import join_null_safe
+    from ..operators.quality import drop_empty
+
+    counts = footer_counts(spark, root)
+    cells = read_cube(spark, root)
+    coarse = [k for k in FILE if k in keys]
+    total = counts.groupBy(*coarse).agg(F.sum("cells").alias("cells"), F.sum("filled").alias("filled"))
+    if set(keys) <= set(FILE):
+        return join_null_safe(cells, total.where("filled > 0").select(*coarse), coarse, "left_semi")
+    whole, torn = (total.where(w).select(*coarse) for w in ("filled = cells", "filled > 0 AND filled < cells"))
+    return join_null_safe(cells, whole, coarse, "left_semi").unionByName(drop_empty(join_null_safe(cells, torn, coarse, "left_semi"), list(keys)))
+
+
 def read_hindcast(spark: SparkSession, root: str, first: int | None = None, last: int | None = None) -> DataFrame:
     """All starts of the hindcast in a year range (whole archive where unset), without all-missing starts."""
     from ..operators.quality import drop_empty
@@ -60,7 +112,7 @@ def cube_profile(cube: DataFrame, keys=("model", "var")) -> DataFrame:
 
 
 def write_cube(cube: DataFrame, root: str, mode: str = "append") -> None:
-    """Cells by partition, rows of a file by place and lead so that row groups can be skipped."""
-    parts = ["kind", "model", "var", "init_date"]
-    ordered = cube.repartition(*parts).sortWithinPartitions(*parts, "lat", "lon", "lead_ix")
+    """Cells by partition, rows of a file by place and lead so that row groups can be skipped. NaN is stored as null."""
+    parts = list(FILE)
+    ordered = missing_to_null(cube).repartition(*parts).sortWithinPartitions(*parts, "lat", "lon", "lead_ix")
     ordered.write.mode(mode).partitionBy(*parts).parquet(root)

@@ -8,7 +8,8 @@ see the version that they opened, whatever is written, and a writer that dies le
 files that no version names.
 
 The list also holds the slots of each file with their counts and fields, so that a sync is planned
-without reading the archive.
+without reading the archive, and lead labels that replace the stored ones when the file is read, so that
+relabelling rewrites no cell.
 """
 
 from __future__ import annotations
@@ -26,9 +27,11 @@ PARTS = ("model", "var", "init_date")
 SLOT = (*PARTS, "init_ts")
 FILES = (
     "path string, model string, var string, init_date date, "
-    "slots array<struct<init_ts: timestamp_ntz, cells: bigint, filled: bigint, fields: array<struct<member: int, lead_ix: int>>>>"
+    "slots array<struct<init_ts: timestamp_ntz, cells: bigint, filled: bigint, fields: array<struct<member: int, lead_ix: int>>>>, "
+    "labels array<struct<kind: string, leads: array<float>>>"
 )
-_NAMES = ("path", *PARTS, "slots")
+_NAMES = ("path", *PARTS, "slots", "labels")
+_LABELS = "array<struct<kind: string, leads: array<float>>>"
 
 
 class Conflict(RuntimeError):
@@ -76,7 +79,7 @@ class Archive:
             stream.close()
 
     def files(self, version: int | None = None) -> DataFrame:
-        """Live files of a version: path, partition values, slots."""
+        """Live files of a version: path, partition values, slots, labels (null: as stored)."""
         version = self.version() if version is None else version
         if not version:
             return self.spark.createDataFrame([], FILES)
@@ -94,12 +97,27 @@ class Archive:
         return self.read_files(live if where is None else live.where(where), schema)
 
     def read_files(self, files: DataFrame, schema) -> DataFrame:
-        """Cells of some of the live files. Their names are listed on the driver, as Spark does for any table."""
-        paths = [unquote(r["path"]) for r in files.select("path").toLocalIterator()]
+        """Cells of some of the live files (path, labels). Their names are listed on the driver, as Spark does for any table.
+
+        Files with labels of their own are read apart and joined with those by name; Spark broadcasts that list if
+        its size allows it. The others are read as they are.
+        """
+        plain, labelled = [], []
         empty = self.spark.createDataFrame([], schema)
-        if not paths:
+        own = F.col("labels").isNotNull() if "lead_days" in empty.columns else F.lit(False)
+        for r in files.select("path", own.alias("own")).toLocalIterator():
+            (labelled if r["own"] else plain).append(unquote(r["path"]))
+        if not plain and not labelled:
             return empty
-        return self.spark.read.option("basePath", f"{self.root}/data").schema(empty.schema).parquet(*paths).select(*empty.columns)
+        load = lambda paths: self.spark.read.option("basePath", f"{self.root}/data").schema(empty.schema).parquet(*paths)
+        parts = [load(plain).select(*empty.columns)] if plain else []
+        if labelled:
+            own = files.where(F.col("labels").isNotNull()).select(F.col("path").alias("_path"), F.col("labels").alias("_labels"))
+            cells = load(labelled).select(*empty.columns, F.col("_metadata.file_path").alias("_file"))
+            of_kind = F.get(F.filter("_labels", lambda x: x["kind"].eqNullSafe(F.col("kind") if "kind" in empty.columns else F.lit(None))), F.lit(0))["leads"]
+            label = F.when(of_kind.isNull(), F.col("lead_days")).otherwise(F.get(of_kind, F.col("lead_ix")))
+            parts.append(cells.join(own, F.col("_file") == F.col("_path")).withColumn("lead_days", label).select(*empty.columns))
+        return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
     # -------------------------------------------------------------- writing
 
@@ -112,7 +130,7 @@ class Archive:
         of_file = back.select("*", F.col("_metadata.file_path").alias("_file"))
         counts = slot_counts(of_file, "_file").groupBy(F.col("_file").alias("path"), *PARTS)
         files = counts.agg(F.collect_list(F.struct("init_ts", "cells", "filled", "fields")).alias("slots"))
-        return folder, store(files.select(*_NAMES), "archive-files")
+        return folder, store(files.withColumn("labels", F.lit(None).cast(_LABELS)).select(*_NAMES), "archive-files")
 
     def commit(self, base: int, add: DataFrame, drop: DataFrame | None = None) -> int:
         """The files of version ``base`` without those of ``drop`` (path), and ``add``, as version base + 1.
@@ -124,6 +142,20 @@ class Archive:
             live = live.join(drop.select("path"), "path", "left_anti")
         return self._publish(base, live.select(*_NAMES).unionByName(add.select(*_NAMES)))
 
+    def commit_labels(self, base: int, labels: DataFrame) -> int:
+        """Version base + 1 with the same files, read with other lead labels.
+
+        ``labels``: model, kind, var, init_date, leads (labels by position; null: as stored again). They hold for the files that the
+        partition has now; files that are added later bring their own. Raises ``Conflict`` as ``commit`` does.
+        """
+        new = labels.groupBy(*[F.col(k).alias(f"_{k}") for k in PARTS]).agg(F.collect_list(F.struct(F.col("kind").cast("string").alias("kind"), F.col("leads").cast("array<float>").alias("leads"))).alias("_new"))
+        both = self.files(base).join(new, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in PARTS], "left")
+        replaced = lambda x: F.exists("_new", lambda y: y["kind"].eqNullSafe(x["kind"]))
+        old = F.filter(F.coalesce("labels", F.array().cast(_LABELS)), lambda x: ~replaced(x))
+        merged = F.concat(old, F.filter("_new", lambda y: y["leads"].isNotNull()))
+        after = F.when(F.col("_new").isNull(), F.col("labels")).when(F.size(merged) > 0, merged)
+        return self._publish(base, both.withColumn("labels", after).select(*_NAMES))
+
     def roll_back(self, version: int) -> int:
         """An earlier version's files again, as a new version."""
         return self._publish(self.version(), self.files(version))
@@ -152,7 +184,7 @@ class Archive:
         return base + 1
 
     def compact(self, schema, most: int = 4) -> int:
-        """Rewrite partitions of more than ``most`` files as one file each; returns the version."""
+        """Rewrite partitions of more than ``most`` files as one file each, with the labels that they are read with; returns the version."""
         base = self.version()
         many = self.files(base).groupBy(*PARTS).agg(F.count("*").alias("_n")).where(F.col("_n") > most).drop("_n")
         keys = many.withColumnsRenamed({k: f"_{k}" for k in PARTS})
