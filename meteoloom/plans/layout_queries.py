@@ -57,13 +57,13 @@ def overlaid_leads(spark, sf_dir):
     return out.select("version", "model", "var", "cells", "total", "first_lead", "last_lead", "files_written")
 
 
-@query("""SELECT 'v' || substr(o_orderpriority, 1, 1) AS var, 'G-M' || CAST(o_custkey % 6 AS VARCHAR) AS model, CAST(date_trunc('month', CAST(o_orderdate AS DATE)) AS DATE) AS init_date, COUNT(*) AS n, ROUND(SUM(o_totalprice), 2) AS total FROM orders
+@query("""SELECT 'v' || substr(o_orderpriority, 1, 1) AS var, 'G-M' || CAST(o_custkey % 6 AS VARCHAR) AS model, CAST(date_trunc('year', CAST(o_orderdate AS DATE)) AS DATE) AS init_date, COUNT(*) AS n, ROUND(SUM(o_totalprice), 2) AS total FROM orders
 WHERE substr(o_orderpriority, 1, 1) = '2' AND o_custkey % 6 = 3 AND CAST(o_orderdate AS DATE) >= DATE '1997-01-01' GROUP BY 1, 2, 3""")
 def provider_files(spark, sf_dir):
     """A folder of files named by variable, model and start; filters on these choose the files."""
     root = scratch(spark, "provider")
     o = table(spark, sf_dir, "orders").select(F.concat(F.lit("v"), F.substring("o_orderpriority", 1, 1)).alias("var"), F.concat(F.lit("G-M"), F.pmod("o_custkey", F.lit(6)).cast("string")).alias("model"),
-                                              F.trunc("o_orderdate", "month").alias("init_date"), F.col("o_totalprice").cast("double").alias("value"))
+                                              F.trunc("o_orderdate", "year").alias("init_date"), F.col("o_totalprice").cast("double").alias("value"))
     name_files(o, root)
     got = cu.read_provider(spark, root, "value double").where("var = 'v2' AND model = 'G-M3' AND init_date >= DATE '1997-01-01'")
     return got.groupBy("var", "model", "init_date").agg(F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("total"))

@@ -53,31 +53,37 @@ FILE = ("kind", "model", "var", "init_date")
 def footer_counts(spark: SparkSession, root: str) -> DataFrame:
     """FILE, cells and filled (values) of each partition of a stored cube, from Parquet footers alone.
 
-    Counts by partition column are pushed into the scan, in a session of its own, as that is a setting for whole sessions.
     A NaN counts as a value; ``write_cube`` stores none.
     """
-    own = spark.newSession()
-    own.conf.set("spark.sql.sources.useV1SourceList", "")
-    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
     path = scratch(spark, "footers")
-    counts = own.read.schema(SCHEMA).parquet(root).groupBy(*FILE).agg(F.count("*").alias("cells"), F.count("value").alias("filled"))
+    counts = count_in_footers(spark, root)
     counts.write.parquet(path)
     return spark.read.schema(counts.schema).parquet(path)
 
 
+def count_in_footers(spark: SparkSession, root: str) -> DataFrame:
+    """The scan of ``footer_counts``: counts by partition column are pushed into it, in a session of its own, as that is a setting for whole sessions."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return own.read.schema(SCHEMA).parquet(root).groupBy(*FILE).agg(F.count("*").alias("cells"), F.count("value").alias("filled"))
+
+
 def read_filled(spark: SparkSession, root: str, keys=FILE) -> DataFrame:
     """F1, F2 on a stored cube: its cells without the files (keys) that hold no value, judged by the footers.
 
     No pass over the cells is needed to find out: partitions without any value go, those without any gap stay. With
     keys finer than a partition (a level, say) only partitions with some values and some gaps are counted by their cells.
-    Keys coarser than a partition (without one of FILE) add up their partitions' counts.
+    Keys coarser than a partition (without one of FILE) add up their partitions' counts; keys without any of FILE are judged by all cells.
     """
     from ..operators.normalise import join_null_safe
     from ..operators.quality import drop_empty
 
-    counts = footer_counts(spark, root)
     cells = read_cube(spark, root)
     coarse = [k for k in FILE if k in keys]
+    if not coarse:
+        return drop_empty(cells, list(keys))
+    counts = footer_counts(spark, root)
     total = counts.groupBy(*coarse).agg(F.sum("cells").alias("cells"), F.sum("filled").alias("filled"))
     if set(keys) <= set(FILE):
         return join_null_safe(cells, total.where("filled > 0").select(*coarse), coarse, "left_semi")

@@ -8,19 +8,24 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_LOCAL: dict[str, str] = {}  # the folder made for a local application
+
+
 def shared_dir(spark: SparkSession) -> str:
     """``spark.checkpoint.dir`` of the session.
 
-    Only a local session (as in tests) may leave that unset; a temporary folder is then made and
-    set. Elsewhere executors would not see the driver's folder, so this raises.
+    Only a local session (as in tests) may leave that unset; a temporary folder is then made, one for
+    each application. Elsewhere executors would not see the driver's folder, so this raises.
     """
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         master = spark.sparkContext.master
         if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        base = "file://" + tempfile.mkdtemp(prefix="meteoloom-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        name = spark.sparkContext.applicationId
+        if name not in _LOCAL:
+            _LOCAL[name] = "file://" + tempfile.mkdtemp(prefix="meteoloom-")
+        base = _LOCAL[name]
     return base.rstrip("/")
 
 

@@ -126,10 +126,10 @@ class TestWorkingFolders:
         """What is asked of a session, without one."""
 
         def __init__(self, master, folder=None):
-            settings, self.set_to = {"spark.checkpoint.dir": folder} if folder else {}, {}
-            conf = type("Conf", (), {"get": lambda _, k, d=None: settings.get(k, d), "set": lambda _, k, v: self.set_to.update({k: v})})()
+            settings = {"spark.checkpoint.dir": folder} if folder else {}
+            conf = type("Conf", (), {"get": lambda _, k, d=None: settings.get(k, d)})()
             self.conf = conf
-            self.sparkContext = type("Context", (), {"master": master, "getConf": lambda _: conf})()
+            self.sparkContext = type("Context", (), {"master": master, "getConf": lambda _: conf, "applicationId": f"{master}-{id(self)}"})()
 
     def test_a_cluster_needs_a_shared_folder(self):
         for master in ("yarn", "spark://h:7077", "local-cluster[3,2,1000]", "k8s://h"):
@@ -138,7 +138,7 @@ class TestWorkingFolders:
             assert shared_dir(self.Session(master, "hdfs:///shared/")) == "hdfs:///shared"
         local = self.Session("local[4]")
         made = shared_dir(local)
-        assert made.startswith("file:///") and local.set_to == {"spark.checkpoint.dir": made}
+        assert made.startswith("file:///") and shared_dir(local) == made != shared_dir(self.Session("local[4]"))
 
 
     def test_uneven_axes_equal_numpy(self, spark):
