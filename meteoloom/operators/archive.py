@@ -7,6 +7,8 @@ verified, and then committed as the next version of the archive (``sources/snaps
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -98,44 +100,56 @@ def verify(staged: DataFrame, expected: DataFrame) -> DataFrame:
     return both.where(~same)
 
 
-def sync_archive(landing: DataFrame, root: str, n: int = 4, dry_run: bool = False) -> DataFrame:
+def sync_archive(landing: DataFrame, root: str, n: int = 4, dry_run: bool = False, skip_empty: bool = False) -> DataFrame:
     """M1-M6 on an ``Archive``: returns the plan that was carried out, a table in the shared folder.
 
     The plan comes from the slots of the landing table and those that the archive's list names. New
     rows are written as files that no version names; only if every slot has its rows there
     they become part of the archive, all in one version. Until then, and after any failure, readers see
     the version before. If another writer commits first this raises ``Conflict`` and writes nothing.
-    Files are rewritten only if a backfilled slot lies in them.
+    A partition is rewritten only if a backfilled slot lies in it beside others, or less than half of its file would stay. With ``skip_empty`` files (model, var, init_date) without
+    any value stay out.
     """
     spark = landing.sparkSession
     archive = Archive(spark, root)
     base = archive.version()
     landed = store(slot_counts(landing), "slots")
-    plan = store(plan_slots(landed, archive.slots(base), n), "sync-plan")
+    some = join_null_safe(landed, landed.where("filled > 0").select(*PARTS).distinct(), PARTS, "left_semi") if skip_empty else landed
+    plan = store(plan_slots(some, archive.slots(base), n), "sync-plan")
     discard(landed)
     if dry_run or plan.isEmpty():
         return plan.drop("fields")
-    field = F.struct(F.col("member").cast("int").alias("member") if "member" in landing.columns else F.lit(None).cast("int").alias("member"), F.col("lead_ix").cast("int").alias("lead_ix"))
-    due = plan.select(*SLOT, F.explode("fields").alias("_field"))
-    rows = join_null_safe(landing.withColumn("_field", field), due, [*SLOT, "_field"], "left_semi").drop("_field")
-    # Old files of slots that are replaced: what else they hold is written anew.
+    # An extended slot gets some of its fields, any other all that have landed.
+    rows = join_null_safe(landing, plan.where("action <> 'extend'").select(*SLOT), SLOT, "left_semi")
+    extended = plan.where("action = 'extend'").select(*SLOT, F.explode("fields").alias("_field"))
+    if not extended.isEmpty():
+        field = F.struct(F.col("member").cast("int").alias("member") if "member" in landing.columns else F.lit(None).cast("int").alias("member"), F.col("lead_ix").cast("int").alias("lead_ix"))
+        rows = rows.unionByName(join_null_safe(landing.withColumn("_field", field), extended, [*SLOT, "_field"], "left_semi").drop("_field"))
+    # Partitions of slots that are replaced, and what then is left of files of which less than half stays: what else they hold is written anew.
     replaced = plan.where("action = 'backfill'").select(*SLOT)
-    held = archive.files(base).select("path", "labels", *PARTS, F.explode("slots.init_ts").alias("init_ts"))
-    old = store(join_null_safe(held, replaced, SLOT, "left_semi").select("path", "labels").dropDuplicates(["path"]), "archive-old")
-    kept = join_null_safe(archive.read_files(old, landing.schema), replaced, SLOT, "left_anti")
-    folder, new = archive.stage(rows.unionByName(kept))
+    held = archive.files(base).select("path", "labels", "of", *PARTS, F.explode("slots.init_ts").alias("init_ts"))
+    marked = join_null_safe(held, replaced.withColumn("_gone", F.lit(True)), SLOT, "left")
+    each = marked.groupBy("path", *PARTS).agg(F.first("labels").alias("labels"), F.first("of").alias("of"), F.count("_gone").alias("_gone"), F.count("*").alias("_all"))
+    thin = each.groupBy("path").agg(F.count_if(F.col("_gone") == 0).alias("_live"), F.sum("_gone").alias("_n"), F.max("of").alias("_of")).where("_n > 0 AND 2 * _live < _of").select("path", F.lit(True).alias("_thin"))
+    old = store(each.join(thin, "path", "left").where("_gone > 0 OR _thin"), "archive-old")
+    kept, made, new = old.where("_gone < _all"), [], []
     try:
+        for cells in (rows, None if kept.isEmpty() else join_null_safe(archive.read_files(kept, landing.schema), replaced, SLOT, "left_anti")):
+            if cells is not None:
+                folder, files = archive.stage(cells)
+                made.append(folder)
+                new.append(files)
         wanted = plan.select(*SLOT, F.when(F.col("action") != "extend", F.col("cells")).alias("cells"), "fields")
-        staged = new.select(*PARTS, F.inline("slots"))
-        bad = verify(join_null_safe(staged, plan, SLOT, "left_semi"), wanted)
+        bad = verify(new[0].select(*PARTS, F.inline("slots")).groupBy(*SLOT).agg(F.sum("cells").alias("cells"), F.array_distinct(F.flatten(F.collect_list("fields"))).alias("fields")), wanted)
         if not bad.isEmpty():
             raise RuntimeError("staged rows don't match the plan; the archive is unchanged")
-        archive.commit(base, new, old)
+        archive.commit(base, reduce(DataFrame.unionByName, new), old)
     except BaseException:
-        delete(spark, folder)
+        for folder in made:
+            delete(spark, folder)
         raise
     finally:
-        discard(new, old)
+        discard(*new, old)
     return plan.drop("fields")
 
 
@@ -225,7 +239,7 @@ def relabel_archive(spark: SparkSession, root: str, schema, audit: DataFrame, lo
     base = archive.version()
     due = audit.where("status = 'relabel'").select(*FILE, "leads", "canon", "status")
     parts = due.select(*PARTS).distinct().withColumnsRenamed({k: f"_{k}" for k in PARTS})
-    old = store(archive.files(base).join(parts, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in PARTS], "left_semi").select("path", *PARTS, "slots", "labels"), "archive-old")
+    old = store(archive.files(base).join(parts, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in PARTS], "left_semi").select("path", *PARTS, "slots", "labels", "of"), "archive-old")
     cells = archive.read_files(old, schema)
     now = lead_files(cells).select(*FILE, F.col("leads").alias("_now"))
     state = store(join_null_safe(due, now, FILE).withColumn("_same", F.col("leads") == F.col("_now")), "relabel-state")

@@ -1,15 +1,17 @@
 """A cube archive whose versions are committed as a whole.
 
-Under the root lie ``data`` (files that never change, in a folder for each commit, by model, var and
-init_date), ``lists`` (the live files of each version, a Parquet table) and ``log``
-(``v1``, ``v2``, ... each names the list of its version). A commit writes its files and its list
+Under the root lie ``data`` (files that never change, in a folder for each commit; a file holds many
+partitions, each a (model, var, init_date), sorted by them), ``lists`` (the live partitions of each version's files, a Parquet
+table with a row for each) and ``log`` (``v1``, ``v2``, ... each names the list of its version). How many files
+there are thus follows the bytes, not the partitions, and a partition is dropped from a file by dropping its row. A commit writes its files and its list
 first and then takes the name of the next version, which only one of several writers gets. Readers
 see the version that they opened, whatever is written, and a writer that dies leaves nothing but
 files that no version names.
 
-The list also holds the slots of each file with their counts and fields, so that a sync is planned
+The list also holds the slots of each partition with their counts and fields, so that a sync is planned
 without reading the archive, and lead labels that replace the stored ones when the file is read, so that
-relabelling rewrites no cell.
+relabelling rewrites no cell. ``of`` is the number of partitions that a file was written with: a file of which
+all are wanted is read as it is, any other is joined with its rows of the list.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ import uuid
 from urllib.parse import unquote
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .working import delete, discard, store
@@ -28,9 +30,11 @@ SLOT = (*PARTS, "init_ts")
 FILES = (
     "path string, model string, var string, init_date date, "
     "slots array<struct<init_ts: timestamp_ntz, cells: bigint, filled: bigint, fields: array<struct<member: int, lead_ix: int>>>>, "
-    "labels array<struct<kind: string, leads: array<float>>>"
+    "labels array<struct<kind: string, leads: array<float>>>, of bigint"
 )
-_NAMES = ("path", *PARTS, "slots", "labels")
+_NAMES = ("path", *PARTS, "slots", "labels", "of")
+#: Rows of a file at most; a partition may go on in the next one.
+FILE_ROWS = 1 << 26
 _LABELS = "array<struct<kind: string, leads: array<float>>>"
 
 
@@ -43,9 +47,16 @@ def slot_counts(cube: DataFrame, *more: str) -> DataFrame:
 
     A cube without members has fields with a null member.
     """
+    return _sum_fields(_field_counts(cube, *more), *more)
+
+
+def _field_counts(cube: DataFrame, *more: str) -> DataFrame:
     member = F.col("member") if "member" in cube.columns else F.lit(None)
     field = F.struct(member.cast("int").alias("member"), F.col("lead_ix").cast("int").alias("lead_ix"))
-    each = cube.groupBy(*more, *SLOT, field.alias("_field")).agg(F.count("*").alias("_cells"), F.count("value").alias("_filled"))
+    return cube.groupBy(*more, *SLOT, field.alias("_field")).agg(F.count("*").alias("_cells"), F.count("value").alias("_filled"))
+
+
+def _sum_fields(each: DataFrame, *more: str) -> DataFrame:
     return each.groupBy(*more, *SLOT).agg(F.sum("_cells").alias("cells"), F.sum("_filled").alias("filled"), F.array_sort(F.collect_list("_field")).alias("fields"))
 
 
@@ -79,7 +90,7 @@ class Archive:
             stream.close()
 
     def files(self, version: int | None = None) -> DataFrame:
-        """Live files of a version: path, partition values, slots, labels (null: as stored)."""
+        """Live partitions of a version's files: path, partition values, slots, labels (null: as stored), of."""
         version = self.version() if version is None else version
         if not version:
             return self.spark.createDataFrame([], FILES)
@@ -94,52 +105,62 @@ class Archive:
     def read(self, schema, version: int | None = None, where: Column | None = None) -> DataFrame:
         """Cells of a version. ``where`` is a condition on model, var and init_date; files that it leaves out aren't even listed."""
         live = self.files(version)
-        return self.read_files(live if where is None else live.where(where), schema)
+        return self.read_files(live, schema) if where is None else self.read_files(live.where(where), schema, where)
 
-    def read_files(self, files: DataFrame, schema) -> DataFrame:
-        """Cells of some of the live files (path, labels). Their names are listed on the driver, as Spark does for any table.
+    def read_files(self, files: DataFrame, schema, where: Column | None = None) -> DataFrame:
+        """Cells of some of the live partitions (path, PARTS, labels, of). The files' names are listed on the driver, as Spark does for any table.
 
-        Files with labels of their own are read apart and joined with those by name; Spark broadcasts that list if
-        its size allows it. The others are read as they are.
+        A file of which all partitions are wanted as stored is read as it is. The others are joined with their rows of the list, which pick the
+        partitions and bring labels; Spark broadcasts that list if its size allows it. ``where`` is the condition that chose the
+        partitions, if one did: it spares row groups.
         """
-        plain, labelled = [], []
         empty = self.spark.createDataFrame([], schema)
         own = F.col("labels").isNotNull() if "lead_days" in empty.columns else F.lit(False)
-        for r in files.select("path", own.alias("own")).toLocalIterator():
-            (labelled if r["own"] else plain).append(unquote(r["path"]))
-        if not plain and not labelled:
+        each = files.groupBy("path").agg((F.bool_or(own) | (F.count("*") < F.max("of"))).alias("apart"))
+        plain, apart = [], []
+        for r in each.toLocalIterator():
+            (apart if r["apart"] else plain).append(r["path"])
+        if not plain and not apart:
             return empty
-        load = lambda paths: self.spark.read.option("basePath", f"{self.root}/data").schema(empty.schema).parquet(*paths)
-        parts = [load(plain).select(*empty.columns)] if plain else []
-        if labelled:
-            own = files.where(F.col("labels").isNotNull()).select(F.col("path").alias("_path"), F.col("labels").alias("_labels"))
-            cells = load(labelled).select(*empty.columns, F.col("_metadata.file_path").alias("_file"))
-            of_kind = F.get(F.filter("_labels", lambda x: x["kind"].eqNullSafe(F.col("kind") if "kind" in empty.columns else F.lit(None))), F.lit(0))["leads"]
-            label = F.when(of_kind.isNull(), F.col("lead_days")).otherwise(F.get(of_kind, F.col("lead_ix")))
-            parts.append(cells.join(own, F.col("_file") == F.col("_path")).withColumn("lead_days", label).select(*empty.columns))
+
+        def load(paths):
+            cells = self.spark.read.schema(empty.schema).parquet(*map(unquote, paths))
+            return cells if where is None else cells.where(where)
+
+        parts = [load(plain)] if plain else []
+        if apart:
+            rows = files.join(each.where("apart").select("path"), "path", "left_semi") if plain else files
+            rows = rows.select(F.col("path").alias("_path"), *[F.col(k).alias(f"_{k}") for k in PARTS], F.col("labels").alias("_labels"))
+            same = [F.col("_file") == F.col("_path"), *[F.col(k).eqNullSafe(F.col(f"_{k}")) for k in PARTS]]
+            cells = load(apart).select(*empty.columns, F.col("_metadata.file_path").alias("_file")).join(rows, same)
+            if "lead_days" in empty.columns:
+                of_kind = F.get(F.filter("_labels", lambda x: x["kind"].eqNullSafe(F.col("kind") if "kind" in empty.columns else F.lit(None))), F.lit(0))["leads"]
+                cells = cells.withColumn("lead_days", F.when(of_kind.isNull(), F.col("lead_days")).otherwise(F.get(of_kind, F.col("lead_ix"))))
+            parts.append(cells.select(*empty.columns))
         return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
     # -------------------------------------------------------------- writing
 
     def stage(self, rows: DataFrame) -> tuple[str, DataFrame]:
         """Write rows as new files that no version names yet: their folder, and their list as read back from them."""
-        name = f"commit={uuid.uuid4().hex}"
-        folder = f"{self.root}/data/{name}"
-        rows.repartition(*PARTS).sortWithinPartitions(*SLOT).write.partitionBy(*PARTS).parquet(folder)
-        back = self.spark.read.option("basePath", f"{self.root}/data").schema(rows.schema).parquet(folder)
-        of_file = back.select("*", F.col("_metadata.file_path").alias("_file"))
-        counts = slot_counts(of_file, "_file").groupBy(F.col("_file").alias("path"), *PARTS)
-        files = counts.agg(F.collect_list(F.struct("init_ts", "cells", "filled", "fields")).alias("slots"))
-        return folder, store(files.withColumn("labels", F.lit(None).cast(_LABELS)).select(*_NAMES), "archive-files")
+        folder = f"{self.root}/data/commit-{uuid.uuid4().hex}"
+        rows.repartition(*PARTS).sortWithinPartitions(*SLOT).write.option("maxRecordsPerFile", FILE_ROWS).parquet(folder)
+        back = self.spark.read.schema(rows.schema).parquet(folder)
+        # Counts of fields meet by file; slots, partitions and their number are found there without another shuffle.
+        each = _field_counts(back.select("*", F.col("_metadata.file_path").alias("path")), "path").repartition("path")
+        files = _sum_fields(each, "path").groupBy("path", *PARTS).agg(F.collect_list(F.struct("init_ts", "cells", "filled", "fields")).alias("slots"))
+        files = files.withColumns({"labels": F.lit(None).cast(_LABELS), "of": F.count("*").over(Window.partitionBy("path"))})
+        return folder, store(files.select(*_NAMES), "archive-files")
 
     def commit(self, base: int, add: DataFrame, drop: DataFrame | None = None) -> int:
-        """The files of version ``base`` without those of ``drop`` (path), and ``add``, as version base + 1.
+        """The partitions of version ``base`` without those of ``drop`` (path, PARTS), and ``add``, as version base + 1.
 
         Raises ``Conflict`` if there is such a version already.
         """
         live = self.files(base)
         if drop is not None:
-            live = live.join(drop.select("path"), "path", "left_anti")
+            gone = drop.select("path", *PARTS).withColumnsRenamed({k: f"_{k}" for k in ("path", *PARTS)})
+            live = live.join(gone, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in ("path", *PARTS)], "left_anti")
         return self._publish(base, live.select(*_NAMES).unionByName(add.select(*_NAMES)))
 
     def commit_labels(self, base: int, labels: DataFrame) -> int:
@@ -184,11 +205,15 @@ class Archive:
         return base + 1
 
     def compact(self, schema, most: int = 4) -> int:
-        """Rewrite partitions of more than ``most`` files as one file each, with the labels that they are read with; returns the version."""
+        """Rewrite partitions that lie in more than ``most`` files so that each lies in one, with the labels that they are read with.
+
+        So are those in files of which less than half is live. Returns the version.
+        """
         base = self.version()
-        many = self.files(base).groupBy(*PARTS).agg(F.count("*").alias("_n")).where(F.col("_n") > most).drop("_n")
-        keys = many.withColumnsRenamed({k: f"_{k}" for k in PARTS})
         live = self.files(base)
+        many = live.groupBy(*PARTS).agg(F.count("*").alias("_n")).where(F.col("_n") > most).select(*PARTS)
+        thin = live.groupBy("path").agg(F.count("*").alias("_n"), F.max("of").alias("_of")).where(2 * F.col("_n") < F.col("_of")).select("path")
+        keys = many.union(live.join(thin, "path", "left_semi").select(*PARTS)).distinct().withColumnsRenamed({k: f"_{k}" for k in PARTS})
         old = store(live.join(keys, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in PARTS], "left_semi").select(*_NAMES), "archive-old")
         if old.isEmpty():
             return base
@@ -208,7 +233,7 @@ class Archive:
         """
         newest = self.version()
         bare = lambda p: p.split(":", 1)[-1].lstrip("/")
-        live = {bare(unquote(r["path"])) for v in range(max(1, newest - keep + 1), newest + 1) for r in self.files(v).select("path").toLocalIterator()}
+        live = {bare(unquote(r["path"])) for v in range(max(1, newest - keep + 1), newest + 1) for r in self.files(v).select("path").distinct().toLocalIterator()}
         data, gone = self._path(f"{self.root}/data"), 0
         listing = self._fs.listFiles(data, True) if self._fs.exists(data) else None
         while listing is not None and listing.hasNext():
