@@ -8,7 +8,6 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..operators.archive import sync_archive
 from ..operators.normalise import join_null_safe
-from ..operators.quality import drop_empty
 from ..sources.cube import SCHEMA, missing_to_null
 from ..sources.snapshots import SLOT
 from ..sources.working import discard, store
@@ -29,9 +28,7 @@ def landing_stream(spark: SparkSession, landing: str, archive: str, checkpoint:
     source = spark.readStream.schema(SCHEMA).parquet(landing)
 
     def sync(batch: DataFrame) -> None:
-        good = drop_empty(missing_to_null(batch), ["model", "var", "init_date"])
-        if not good.isEmpty():
-            sync_archive(good, archive, n)
+        sync_archive(missing_to_null(batch), archive, n, skip_empty=True)
 
     def ready(batch: DataFrame, epoch: int) -> None:
         slots = store(batch.select("model", "var", "init_date", F.col("init_ts").cast("timestamp_ntz").alias("init_ts")).distinct(), "ready-slots")
