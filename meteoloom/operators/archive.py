@@ -163,10 +163,14 @@ def lagging(archive: DataFrame) -> DataFrame:
 
 
 def repair_gaps(archive: DataFrame, landing: DataFrame) -> DataFrame:
-    """M7: landing rows for variables that lag by exactly the newest slot; any other gap raises."""
-    lag = lagging(archive)
-    newest = archive.groupBy("model").agg(F.max("init_ts").alias("_newest"))
-    state = lag.join(newest, "model")
+    """M7: landing rows for variables that lag by exactly the newest slot; any other gap raises.
+
+    The archive is read once, for its slots.
+    """
+    own = store(archive.select("model", "var", "init_ts").distinct(), "gap-slots")
+    newest = own.groupBy("model").agg(F.max("init_ts").alias("_newest"))
+    state = store(lagging(own).join(newest, "model"), "gaps")
+    discard(own)
     if not state.where((F.col("gap") != 1) | (F.col("missing_ts") != F.col("_newest"))).isEmpty():
         raise RuntimeError("a variable lags by more than its newest slot; repair aborted")
     due = state.select("model", "var", F.col("missing_ts").alias("init_ts"))

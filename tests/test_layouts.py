@@ -305,3 +305,11 @@ class TestFewReads:
         # Position p is day p + 1: member 1 crosses at 5 (day 6), member 2 at 2 (day 3) and, without day 4, at 5 and 6.
         want = {2: (1, 2), 3: (1, 2), 5: (2, 2), 6: (2, 2)}
         assert {r["lead_ix"]: (r["count"], r["members"]) for r in got.collect()} == want
+
+    def test_gaps_are_found_in_one_pass_over_the_archive(self, spark):
+        seen = spark.sparkContext.accumulator(0)
+        archive = cells(spark, models="A", starts=3).unionByName(cells(spark, models="A", starts=2).withColumn("var", F.lit("tas")))
+        counted = F.udf(lambda v: seen.add(1) or v, "string").asNondeterministic()
+        land = cells(spark, models="A", starts=3).withColumn("var", F.lit("tas"))
+        due = ar.repair_gaps(archive.withColumn("var", counted("var")), land)
+        assert due.count() == 8 and seen.value == 40
