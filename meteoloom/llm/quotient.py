@@ -15,6 +15,8 @@ Keys are lists of uint64 columns: one for widths to 64 bits; two, of 64 and ``wi
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 
 from .common import mix
@@ -68,15 +70,23 @@ def restore(keys: Keys, width: int) -> Keys:
     return _joined(high, low, width)
 
 
-def summed(keys: Keys, counts: np.ndarray) -> tuple[Keys, np.ndarray]:
-    """Sorted distinct keys with the sums of their counts; a stable sort, which is quick on sorted stretches."""
-    if not len(counts):
-        return keys, counts
+def summed(keys: Keys, counts: np.ndarray | None) -> tuple[Keys, np.ndarray]:
+    """Sorted distinct keys with the sums of their counts (None: one each); a stable sort, which is quick on sorted stretches.
+
+    The list ``keys`` gets the sorted columns, so that nothing holds the others any more.
+    """
+    if not len(keys[0]):
+        return keys, np.zeros(0, np.int64)
+    if counts is None and len(keys) == 1:
+        x = np.sort(keys[0])
+        at = np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]]))
+        return [x[at]], np.diff(at, append=len(x))
     order = np.argsort(keys[0], kind="stable") if len(keys) == 1 else np.lexsort(keys[::-1])
-    keys = [k[order] for k in keys]
+    for c in range(len(keys)):
+        keys[c] = keys[c][order]
     new = np.concatenate([[True], np.any([k[1:] != k[:-1] for k in keys], axis=0)])
     at = np.flatnonzero(new)
-    return [k[at] for k in keys], np.add.reduceat(counts[order], at)
+    return [k[at] for k in keys], np.diff(at, append=len(order)) if counts is None else np.add.reduceat(counts[order], at)
 
 
 def _varints(values: np.ndarray) -> bytes:
@@ -149,12 +159,20 @@ def decode(data: bytes, width: int, prefix_bits: int, prefix: int) -> tuple[Keys
     return keys + columns[low > 0 :], _from_varints(raw[at:])
 
 
-def build(keys: Keys, counts: np.ndarray, width: int, prefix_bits: int) -> list[tuple[int, bytes]]:
-    """The filters of any keys (not permuted, in any order, repeats allowed), by prefix."""
-    keys, counts = summed(permute(keys, width), counts)
-    prefix = (keys[0] >> np.uint64(min(width, 64) - prefix_bits)).astype(np.int64) if prefix_bits else np.zeros(len(counts), np.int64)
-    edges = np.flatnonzero(np.diff(prefix, prepend=-1, append=-1))
-    return [(int(prefix[a]), encode([k[a:b] for k in keys], counts[a:b], width, prefix_bits)) for a, b in zip(edges[:-1], edges[1:], strict=True)] if len(counts) else []
+def filters(keys: Keys, counts: np.ndarray | None, width: int, prefix_bits: int) -> Iterator[tuple[int, bytes]]:
+    """The filters of any keys (not permuted, in any order, repeats allowed; counts None: one each), by prefix."""
+    keys = permute(keys, width)
+    keys, counts = summed(keys, counts)
+    starts = np.arange(1 << prefix_bits, dtype=np.uint64) << np.uint64(min(width, 64) - prefix_bits) if prefix_bits else np.zeros(1, np.uint64)
+    edges = np.append(np.searchsorted(keys[0], starts), len(counts))
+    for prefix in np.flatnonzero(np.diff(edges)).tolist():
+        a, b = edges[prefix], edges[prefix + 1]
+        yield prefix, encode([k[a:b] for k in keys], counts[a:b], width, prefix_bits)
+
+
+def build(keys: Keys, counts: np.ndarray | None, width: int, prefix_bits: int) -> list[tuple[int, bytes]]:
+    """All that ``filters`` gives."""
+    return list(filters(keys, counts, width, prefix_bits))
 
 
 def merge(parts: list[tuple[Keys, np.ndarray]]) -> tuple[Keys, np.ndarray]:

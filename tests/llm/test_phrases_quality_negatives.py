@@ -4,6 +4,7 @@ import collections
 import math
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -126,6 +127,55 @@ def test_collocations_of_nothing(spark):
     assert collocations.collocations(frame(spark, [(1, None, None), (None, "", "en")], "doc_id long, text string, lang string")).collect() == []
 
 
+def test_rows_of_shards_stay_small(spark):
+    rows = [(f"l{i % 40}", " ".join(f"w{(i * 7 + k * k) % 5003}" for k in range(4000)) + ". end") for i in range(120)]
+    coded = frame(spark, rows, "lang string, text string").coalesce(1).mapInArrow(collocations._shards, collocations._CODED)
+    most, tokens = coded.select(F.max(F.length("codes")), F.sum(F.length("codes")) / 4).first()
+    assert most <= 4 * collocations.CHUNK and tokens == coded.select(F.sum("c")).first()[0] == 120 * 4001
+    for (lang,) in coded.select("lang").distinct().sort("lang").limit(3).collect():  # the tokens come back in order
+        words = {(r.shard, r.at): r.word for r in coded.where(F.col("lang") == lang).where("c is not null").collect()}
+        chunks = coded.where(F.col("lang") == lang).where("c is null").sort("shard", "at").collect()
+        codes = np.concatenate([np.frombuffer(r.codes, np.int32) for r in chunks])
+        shards = np.concatenate([np.full(len(r.codes) // 4, r.shard) for r in chunks])
+        said = [w for x, text in rows if x == lang for w in text.replace(".", "").split()]
+        assert [words[s, c] for s, c in zip(shards.tolist(), (codes ^ (codes >> 31)).tolist(), strict=True)] == said
+        assert np.flatnonzero(codes < 0).tolist() == [k for t in range(3) for k in (4001 * t, 4001 * t + 4000)]
+
+
+def test_a_task_holds_few_tokens_open_whatever_the_languages(spark, monkeypatch):
+    for name, value in (("OPEN", 200), ("_TOGETHER", 100)):
+        monkeypatch.setattr(collocations, name, value)
+    rows = phrase_rows() + [(f"l{i}", "a b c. " * 5) for i in range(60)]
+    docs = frame(spark, rows, "lang string, text string").coalesce(1)
+    sizes = docs.select(F.coalesce("lang", F.lit("und")), F.coalesce("text", F.lit(""))).mapInArrow(collocations._shards, collocations._CODED).groupBy("shard").agg(F.sum("c").alias("n"))
+    assert sizes.count() > 60 and sizes.select(F.max("n")).first()[0] <= 200 + 4000
+    assert sorted(map(tuple, collocations.collocations(docs).collect())) == phrases_by_hand(rows)
+
+
+def test_no_window_orders_all_candidates_of_a_language(spark, monkeypatch):
+    rows = [("en", f"a{i} b{i}. " * 10) for i in range(300)] + [("de", "x y z. " * 12), ("en", "p q r. " * 11)]  # 300 ties at the last place
+    plans, ranked = [], collocations.ranked
+    monkeypatch.setattr(collocations, "ranked", lambda *args: plans.append(ranked(*args)) or plans[-1])
+    docs = frame(spark, rows, "lang string, text string")
+    assert sorted(map(tuple, collocations.collocations(docs, top=5).collect())) == phrases_by_hand(rows, top=5)
+    windows = re.findall(r"Window \[.*?\], \[(.*?)\], \[", plans[0]._jdf.queryExecution().optimizedPlan().toString())
+    assert [bool(re.search("deal", w)) for w in windows] == [False, True, True]  # from the last to the first
+
+
+@pytest.mark.parametrize("bits", [17, 32])
+def test_counting_a_shard_takes_little_memory(bits):
+    codes = np.random.default_rng(2).integers(0, 1 << 15, 1 << 20, dtype=np.int32)
+    at = np.arange(1 << 15, dtype=np.int32)
+    tracemalloc.start()
+    try:
+        n = sum(1 for _ in collocations.shard_filters(codes, at, at.astype(np.int64), bits, 6))
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert n == 128
+    assert most < 80e6  # before, 87 MB and 113 MB
+
+
 def test_words_are_the_same_however_texts_are_batched(monkeypatch):
     texts = [t for _, t in phrase_rows()]
     want = None
